@@ -1 +1,11 @@
-"""Operators of a training-data pipeline.  Nothing else in the library imports this subpackage."""
+"""Operators of a training-data pipeline.  Nothing else in the library imports this subpackage.
+
+Its functions travel to the executors by value, so that these need no copy of
+the package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
