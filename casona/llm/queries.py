@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casona.llm import simhash
+from casona.llm import decontamination, langid, mixing, sharding, simhash
 from casona.llm.shared import table
 
 
@@ -14,9 +14,37 @@ def op1_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), max_bits=4, shingle=4)
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs)
+    return langid.predict(docs.withColumn("held_out", langid.held_out()), model, keep=["doc_id", "held_out"])
+
+
+def op3_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.allotments(table(spark, sf_dir, "documents"))
+
+
+def op4_bounded_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(table(spark, sf_dir, "documents"), shards=8)
+
+
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.digest(decontamination.contamination(docs, benchmark, n=10))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash_near_duplicates": op1_simhash_near_duplicates}
+    return {
+        "op1_simhash_near_duplicates": op1_simhash_near_duplicates,
+        "op2_language_id": op2_language_id,
+        "op3_weighted_fair_mix": op3_weighted_fair_mix,
+        "op4_bounded_ring_shards": op4_bounded_ring_shards,
+        "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_weighted_fair_mix": mixing.MIX_SQL,
+        "op7_benchmark_decontamination": decontamination.DECONTAMINATION_SQL,
+    }
