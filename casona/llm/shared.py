@@ -13,16 +13,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read from there; its lineage ends.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder that the session names in ``spark.checkpoint.dir``.
 
-    The folder is the one that the session names in ``spark.checkpoint.dir``.
     Only where none is named (tests on one machine) is a temporary one set.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoints-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoints-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder and read from there; its lineage ends."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
