@@ -133,10 +133,11 @@ def aligned(template: np.ndarray, ids: np.ndarray, diagonal: int, band: int) ->
     minus ``band``.  Of equal matches, the one that spans the fewest words.
     """
     lo, hi = max(0, diagonal - band), min(len(ids), diagonal + len(template) + band)
-    # best[j]: (matched, -first, ) of alignments that end at or before the j-th word of the text
+    # best[j]: (matched, first, -last) of alignments whose last word is the j-th of the text
     best: dict[int, tuple[int, int, int]] = {}
     for k, word in enumerate(template.tolist()):
-        i0, i1 = max(lo, diagonal + k - band), min(hi, diagonal + k + band + 1)
+        i0 = max(lo, diagonal + k - band)
+        i1 = max(i0, min(hi, diagonal + k + band + 1))
         new: dict[int, tuple[int, int, int]] = {}
         for j in (np.flatnonzero(ids[i0:i1] == word) + i0).tolist():
             before = max((v for p, v in best.items() if p < j), default=(0, 0, 0))
