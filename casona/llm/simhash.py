@@ -99,15 +99,34 @@ def rotated(value: Column, by: int) -> Column:
     return value if not by else F.shiftleft(value, by).bitwiseOR(F.shiftrightunsigned(value, 64 - by))
 
 
-def node_pairs(prints: DataFrame, max_bits: int) -> DataFrame:
-    """Rows ``(rot, depth, a, b, err, side, fp)`` of the pairs of nodes, none over ``PAIR_ROWS`` rows.
+def children(rows: DataFrame, max_bits: int) -> DataFrame:
+    """The pairs of nodes ``STEP`` bits further down: a fingerprint goes to its own child and to those that differ within the budget."""
+    limits = F.array(*[F.array(*[F.lit(int(x)) for x in row]) for row in budgets(max_bits)])
+    masks = F.array(*[F.lit(m) for m in sorted(range(1 << STEP), key=int.bit_count) if m.bit_count() <= max_bits])
+    return (
+        rows.withColumn("step", F.least(F.lit(STEP), 64 - F.col("depth")))
+        .withColumn("mask", F.explode(masks))
+        .where("mask < shiftleft(1, step)")
+        .withColumn("depth", F.col("depth") + F.col("step"))
+        .withColumn("err", F.col("err") + F.bit_count("mask"))
+        .where(F.col("err") <= F.get(F.get(limits, F.col("rot")), F.col("depth")))
+        .withColumn("own", F.expr("shiftrightunsigned(fp, 64 - depth)"))
+        .withColumn("bits", F.expr("own & (shiftleft(1L, step) - 1)"))
+        .withColumn("other", F.expr("shiftleft(case side when 1 then b when 2 then a else a end, step) | (bits ^ mask)"))
+        .withColumn("side", F.expr("case when a <> b then side when mask = 0 then 0 when own < other then 1 else 2 end"))
+        .select("rot", "depth", F.expr("if(side = 2, other, own)").alias("a"), F.expr("if(side = 2, own, other)").alias("b"), "err", "side", "fp")
+    )
+
+
+def node_pairs(prints: DataFrame, n: int, max_bits: int) -> DataFrame:
+    """Rows ``(rot, depth, a, b, err, side, fp)`` of the pairs of nodes of ``n`` fingerprints, none over ``PAIR_ROWS`` rows.
 
-    At first each node is paired with itself at the depth of its first block.
-    A pair with too many rows is taken down ``STEP`` bits: a fingerprint goes
-    to its own child and to the children that differ within the budget.  The
-    fingerprints are distinct, so this ends.  Pairs with an empty side go.
+    At first each node is paired with itself at the depth of its first block,
+    and taken down so far that the pairs of evenly spread fingerprints fit.  What
+    still has too many rows is taken further down.  The fingerprints are
+    distinct, so this ends.  Pairs with an empty side go.
     """
-    w, allowed, key = widths(max_bits), budgets(max_bits), ["rot", "depth", "a", "b"]
+    w, key = widths(max_bits), ["rot", "depth", "a", "b"]
     turns = [
         F.struct(F.lit(r).alias("rot"), F.lit(w[r]).alias("depth"), rotated(F.col("fp"), sum(w[:r])).alias("fp"))
         for r in range(max_bits + 1)
@@ -118,8 +137,9 @@ def node_pairs(prints: DataFrame, max_bits: int) -> DataFrame:
         .withColumn("a", F.expr("shiftrightunsigned(fp, 64 - depth)"))
         .select("rot", "depth", "a", F.col("a").alias("b"), F.lit(0).alias("err"), F.lit(0).alias("side"), "fp")
     )
+    for _ in range(w[-1], max(1, n // PAIR_ROWS).bit_length(), STEP):
+        work = children(work, max_bits)
     done: DataFrame | None = None
-    limits = F.array(*[F.array(*[F.lit(int(x)) for x in row]) for row in allowed])
     while True:
         sizes = work.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("side").alias("low"), F.max("side").alias("high"))
         sizes = checkpointed(sizes.where("n > 1 and (a = b or low <> high)").select(*key, "n"))
@@ -128,20 +148,7 @@ def node_pairs(prints: DataFrame, max_bits: int) -> DataFrame:
         done = small if done is None else done.union(small)
         if sizes.where(F.col("n") > PAIR_ROWS).isEmpty():
             return done
-        big = rows.where(F.col("n") > PAIR_ROWS).withColumn("step", F.least(F.lit(STEP), 64 - F.col("depth")))
-        masks = F.array(*[F.lit(m) for m in sorted(range(1 << STEP), key=int.bit_count) if m.bit_count() <= max_bits])
-        work = checkpointed(
-            big.withColumn("mask", F.explode(masks))
-            .where("mask < shiftleft(1, step)")
-            .withColumn("depth", F.col("depth") + F.col("step"))
-            .withColumn("err", F.col("err") + F.bit_count("mask"))
-            .where(F.col("err") <= F.get(F.get(limits, F.col("rot")), F.col("depth")))
-            .withColumn("own", F.expr("shiftrightunsigned(fp, 64 - depth)"))
-            .withColumn("bits", F.expr("own & (shiftleft(1L, step) - 1)"))
-            .withColumn("other", F.expr("shiftleft(case side when 1 then b when 2 then a else a end, step) | (bits ^ mask)"))
-            .withColumn("side", F.expr("case when a <> b then side when mask = 0 then 0 when own < other then 1 else 2 end"))
-            .select("rot", "depth", F.expr("if(side = 2, other, own)").alias("a"), F.expr("if(side = 2, own, other)").alias("b"), "err", "side", "fp")
-        )
+        work = checkpointed(children(rows.where(F.col("n") > PAIR_ROWS).drop("n"), max_bits))
 
 
 def trie_links(rot: np.ndarray, depth: np.ndarray, a: np.ndarray, b: np.ndarray, err: np.ndarray, side: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -213,15 +220,16 @@ def trie_links(rot: np.ndarray, depth: np.ndarray, a: np.ndarray, b: np.ndarray,
     return nodes[moved], nodes[parent[moved]]
 
 
-def near_links(prints: DataFrame, max_bits: int = 4) -> DataFrame:
+def near_links(prints: DataFrame, max_bits: int = 4, n: int | None = None) -> DataFrame:
     """``(a, b)`` links of the distinct longs ``fp`` of ``prints`` that join all within ``max_bits`` bits.
 
+    ``n``: about how many there are, if it is known; it only decides how deep the work starts.
     Not every pair: a spanning forest of the links that each task found, from
     which the same components follow.
     """
-    pairs = node_pairs(prints.select("fp"), max_bits)
-    n = prints.count() * (max_bits + 1)
-    buckets = max(1, n // TASK_ROWS)
+    n = n or prints.count()
+    pairs = node_pairs(prints.select("fp"), n, max_bits)
+    buckets = max(1, n * (max_bits + 1) // TASK_ROWS)
 
     def run(group: pa.Table) -> pa.Table:
         cols = [group.column(k).to_numpy() for k in ("rot", "depth", "a", "b", "err", "side", "fp")]

@@ -65,12 +65,12 @@ def clustered(rng, n):
     return list(out)
 
 
-@pytest.mark.parametrize("bits, pair_rows", [(4, 1024), (4, 20), (0, 1024), (7, 30)])
-def test_links_join_what_is_near(spark, monkeypatch, bits, pair_rows):
+@pytest.mark.parametrize("bits, pair_rows, n", [(4, 1024, None), (4, 20, None), (4, 1024, 10**10), (0, 1024, None), (7, 30, None)])
+def test_links_join_what_is_near(spark, monkeypatch, bits, pair_rows, n):
     monkeypatch.setattr(simhash, "PAIR_ROWS", pair_rows)
     values = clustered(random.Random(bits), 600)
     signed = np.array(values, np.uint64).view(np.int64).tolist()
-    links = simhash.near_links(spark.createDataFrame([(v,) for v in signed], "fp long"), bits)
+    links = simhash.near_links(spark.createDataFrame([(v,) for v in signed], "fp long"), bits, n)
     roots = {r["node"]: r["root"] for r in connected_components(links).collect()}
     u = np.array(values, np.uint64)
     label = list(range(len(u)))
