@@ -34,9 +34,16 @@ def current_currency(choices: DataFrame) -> DataFrame:
     return last.select("user_id", F.when(F.col("last") == "MXN", "MXN").otherwise("USD").alias("currency"))
 
 
-def currency_changes(choices: DataFrame) -> DataFrame:
-    """Choices that change what holds, USD at first; a choice that repeats it is not saved."""
+def currency_changes(choices: DataFrame, bucket: str = "day") -> DataFrame:
+    """Choices that change what holds, USD at first; a choice that repeats it is not saved.
+
+    A user's choices are compared within time buckets, and the last one of each
+    bucket is carried on, so that a user with very many is spread over tasks.
+    """
     chosen = F.when(F.col("currency") == "MXN", "MXN").otherwise("USD")
-    x = choices.withColumn("currency", chosen)
-    before = F.coalesce(F.lag("currency").over(W.partitionBy("user_id").orderBy("ts", "event_id")), F.lit("USD"))
-    return x.withColumn("before", before).where("currency <> before").drop("before")
+    x = choices.withColumn("currency", chosen).withColumn("bucket", F.date_trunc(bucket, F.col("ts").cast("timestamp")))
+    last = x.groupBy("user_id", "bucket").agg(F.max_by("currency", F.struct("ts", "event_id")).alias("last"))
+    carried = last.select("user_id", "bucket", F.lag("last").over(W.partitionBy("user_id").orderBy("bucket")).alias("carried"))
+    within = x.withColumn("near", F.lag("currency").over(W.partitionBy("user_id", "bucket").orderBy("ts", "event_id")))
+    before = F.coalesce("near", "carried", F.lit("USD"))
+    return within.join(carried, ["user_id", "bucket"]).where(F.col("currency") != before).select(*choices.columns)

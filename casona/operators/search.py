@@ -88,13 +88,14 @@ def search(listings: DataFrame, units: DataFrame, query: ListingQuery, favorites
     return found.orderBy(*ordering(query.sort))
 
 
-def ranked(found: DataFrame, sort: str, groups: int = 64) -> DataFrame:
+def ranked(found: DataFrame, sort: str, groups: int | None = None) -> DataFrame:
     """``found`` with its place in the order, from 1.
 
     Rows are sorted over ranges; the counts of the ranges before are added to the
     place within a range, so that no task has them all.
     """
     keys = ordering(sort)
+    groups = groups or int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = checkpointed(found.repartitionByRange(groups, *keys).withColumn("__part", F.spark_partition_id()))
     within = parts.withColumn("__at", F.row_number().over(W.partitionBy("__part").orderBy(*keys)))
     before = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
