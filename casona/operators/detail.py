@@ -28,6 +28,11 @@ def amenity_pills(listings: DataFrame, expanded: bool = False) -> DataFrame:
     return listings.withColumns({"shown": shown, "remaining": remaining, "more_label": more})
 
 
+def listing_text(listings: DataFrame) -> DataFrame:
+    """``(listing_id, seq, amenity, description)``: all amenities in order beside the description; one row where there are none."""
+    return listings.select("listing_id", "description", F.posexplode_outer("amenities").alias("seq", "amenity"))
+
+
 def amenity_icons(listings: DataFrame) -> DataFrame:
     """``(listing_id, seq, amenity, has_icon)``."""
     known = F.array(*[F.lit(a) for a in lb.ICON_AMENITIES])

@@ -31,6 +31,13 @@ class ListingQuery:
     favorites_of: int | None = None
     sort: str = "newest"
 
+    @staticmethod
+    def from_form(values: dict[str, str]) -> ListingQuery:
+        """Of the texts of a form: an empty one is unset; a number that is none is an error."""
+        text = lambda name: values.get(name, "") or None
+        number = lambda name: None if not values.get(name, "").strip() else float(values[name])
+        return ListingQuery(text("text"), text("property_type"), text("city"), text("unit_type"), number("min_bathrooms"), number("min_price"), number("max_price"), sort=values.get("sort", "") or "newest")
+
 
 def every(predicates: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, predicates, F.lit(True))

@@ -333,6 +333,15 @@ def amenity_icons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detail.amenity_icons(cat.amenities(spark, sf_dir).withColumn("amenities", F.concat(F.array(F.lit("Pool")), "amenities")))
 
 
+@query(
+    "listing_text", AMEN,
+    sql="""SELECT o_orderkey AS listing_id, 'Offer ' || o_orderkey || ' of ' || c_name AS description, CAST(k - 1 AS INTEGER) AS seq, amenities[k] AS amenity
+FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN (SELECT listing_id, amenities, unnest(range(1, len(amenities) + 1)) AS k FROM a) x ON x.listing_id = o_orderkey""",
+)
+def listing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detail.listing_text(cat.listings(spark, sf_dir).join(cat.amenities(spark, sf_dir), "listing_id", "left"))
+
+
 @query(
     "price_labels_usd_mxn", U, S, FX,
     sql=f"""SELECT listing_id, CASE WHEN min_price = max_price THEN {usd('min_price')} ELSE {usd('min_price')} || ' – ' || {usd('max_price')} END AS usd,
@@ -363,11 +372,22 @@ def favorites_saved_and_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefs.load_favorites(prefs.saved_texts(cat.toggles(spark, sf_dir)))
 
 
+def event_stream(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Events of a kind as they land, with their number ``k``."""
+    events = spark.readStream.schema(cat.table(spark, sf_dir, "events").schema).option("pathGlobFilter", "events*.parquet").parquet(sf_dir)
+    return cat.numbered(events.where(F.col("event_type") == kind))
+
+
+@query("fx_stream", FX, sql="SELECT rate, updated_utc FROM f")
+def fx_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest valid rate of a stream of payloads."""
+    return state.run_to_end(state.last_rates(cat.payloads_of(event_stream(spark, sf_dir, "purchase"))), []).select("x.rate", "x.updated_utc")
+
+
 @query("favorites_stream", FAV, sql="SELECT * FROM fav")
 def favorites_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from a stream of events."""
-    events = spark.readStream.schema(cat.table(spark, sf_dir, "events").schema).option("pathGlobFilter", "events*.parquet").parquet(sf_dir)
-    clicks = events.where("event_type = 'click'").select("event_id", "ts", "user_id", F.get_json_object("props", "$.k").cast("long").alias("listing_id"))
+    clicks = cat.toggles_of(event_stream(spark, sf_dir, "click"))
     return state.run_to_end(state.toggle_counts(clicks), ["user_id", "listing_id"]).where("n % 2 = 1").select("user_id", "listing_id")
 
 
@@ -382,6 +402,12 @@ def currency_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefs.current_currency(cat.currency_choices(spark, sf_dir))
 
 
+@query("currency_stream", CHOICES, sql="SELECT user_id, CASE WHEN currency = 'MXN' THEN 'MXN' ELSE 'USD' END AS currency FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM c) WHERE n = 1")
+def currency_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    last = state.run_to_end(state.last_choices(cat.choices_of(event_stream(spark, sf_dir, "view"))), ["user_id"])
+    return last.select("user_id", F.when(F.col("last") == "MXN", "MXN").otherwise("USD").alias("currency"))
+
+
 @query(
     "currency_changes", CHOICES,
     sql="""SELECT event_id, user_id, currency FROM (

@@ -117,26 +117,42 @@ def landmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def numbered(events: DataFrame) -> DataFrame:
+    """Events with their number ``k``."""
+    return events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+
+
 def event_rows(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """Events of a kind with their number ``k``."""
-    return table(spark, sf_dir, "events").where(F.col("event_type") == kind).withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    return numbered(table(spark, sf_dir, "events").where(F.col("event_type") == kind))
+
+
+def toggles_of(clicks: DataFrame) -> DataFrame:
+    return clicks.select("event_id", "ts", "user_id", F.col("k").cast("long").alias("listing_id"))
 
 
 def toggles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_rows(spark, sf_dir, "click").select("event_id", "ts", "user_id", F.col("k").cast("long").alias("listing_id"))
+    return toggles_of(event_rows(spark, sf_dir, "click"))
 
 
-def currency_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def choices_of(views: DataFrame) -> DataFrame:
     currency = F.when(F.col("k") % 3 == 0, "MXN").when(F.col("k") % 3 == 1, "USD").otherwise("EUR")
-    return event_rows(spark, sf_dir, "view").select("event_id", "ts", "user_id", currency.alias("currency"))
+    return views.select("event_id", "ts", "user_id", currency.alias("currency"))
 
 
-def fx_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def currency_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return choices_of(event_rows(spark, sf_dir, "view"))
+
+
+def payloads_of(purchases: DataFrame) -> DataFrame:
     """Landed answers of a rate service, as text."""
     rate = F.format_string("%.2f", 16 + F.col("k").cast("double") / 25)
     result = F.when(F.col("k") % 5 == 0, "error").otherwise("success")
     body = F.concat(F.lit('{"result":"'), result, F.lit('","rates":{"MXN":'), rate, F.lit('},"time_last_update_utc":"'), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit('"}'))
-    return event_rows(spark, sf_dir, "purchase").select("event_id", "ts", (F.col("k") % 7 != 0).alias("http_ok"), F.when(F.col("k") % 11 == 0, F.substring(body, 1, 20)).otherwise(body).alias("body"))
+    return purchases.select("event_id", "ts", (F.col("k") % 7 != 0).alias("http_ok"), F.when(F.col("k") % 11 == 0, F.substring(body, 1, 20)).otherwise(body).alias("body"))
+
+
+def fx_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return payloads_of(event_rows(spark, sf_dir, "purchase"))
 
 
 def page_requests(spark: SparkSession, sf_dir: str) -> DataFrame:

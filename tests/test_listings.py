@@ -93,6 +93,17 @@ def test_text_is_literal_and_skips_the_developer(spark, listings, units):
     assert sorted(ids(search.search(listings, units, ListingQuery(text="ciudad 1")))) == [1, 6, 11]
 
 
+def test_form():
+    form = {"text": "", "property_type": "Condo", "unit_type": "", "min_bathrooms": "1.5", "min_price": "", "max_price": "0"}
+    assert ListingQuery.from_form(form) == ListingQuery(property_type="Condo", min_bathrooms=1.5, max_price=0.0)
+    assert ListingQuery.from_form({}) == ListingQuery()
+
+
+def test_description_stays_without_amenities(listings):
+    rows = detail.listing_text(listings.withColumn("description", F.lit("d"))).where("listing_id = 7").collect()
+    assert [(r["amenity"], r["description"]) for r in rows] == [(None, "d")]
+
+
 def test_zero_is_a_bound(listings, units):
     assert ids(search.search(listings, units, ListingQuery(max_price=0))) == []
 
