@@ -51,7 +51,7 @@ def build_index(docs: DataFrame, terms: dict[bytes, int], id_col: str = "doc_id"
 
     def flush(ids: list, lengths: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
         starts = np.cumsum([0, *(n + 2 for n in lengths)])
-        tokens = np.concatenate([np.full(starts[-1], -1, np.int32)[:0], *found]) if found else np.zeros(0, np.int32)
+        tokens = np.concatenate(found)
         at = np.flatnonzero(tokens >= 0)
         by_term = at[np.argsort(tokens[at], kind="stable")]
         present, counts = np.unique(tokens[at], return_counts=True)
@@ -158,16 +158,12 @@ def matches(index: DataFrame, items: list[tuple[int, bytes]], terms: dict[bytes,
             places = (turns - starts[run_doc]).astype(np.int32)
             bounds = np.searchsorted(run_doc, np.arange(len(starts)))
             item_bounds = np.searchsorted(pairs[0], np.arange(len(starts)))
-            for k, doc in enumerate(row["doc_ids"]):
-                out.append((doc, int(starts[k + 1] - starts[k] - 2), places[bounds[k] : bounds[k + 1]].tolist(), pairs[1][item_bounds[k] : item_bounds[k + 1]].tolist()))
-            yield as_batch(out)
-            out.clear()
+            yield as_batch([(doc, int(starts[k + 1] - starts[k] - 2), places[bounds[k] : bounds[k + 1]].tolist(), pairs[1][item_bounds[k] : item_bounds[k + 1]].tolist()) for k, doc in enumerate(row["doc_ids"])])
 
     def as_batch(rows: list[tuple]) -> pa.RecordBatch:
         kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())]
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["doc_id", "n_words", "hits", "items"])
 
-    out: list[tuple] = []
     return index.mapInArrow(run, "doc_id long, n_words long, hits array<int>, items array<long>")
 
 

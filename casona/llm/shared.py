@@ -2,34 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from casona.functions.storage import checkpoint_folder, checkpointed
+
+__all__ = ["checkpoint_folder", "checkpointed", "connected_components", "table"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder that the session names in ``spark.checkpoint.dir``.
-
-    Only where none is named (tests on one machine) is a temporary one set.
-    """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoints-"))
-    return context.getCheckpointDir()
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the checkpoint folder and read from there; its lineage ends."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Smallest node that each node of ``edges`` reaches, as ``(node, root)``.
 
