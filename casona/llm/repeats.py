@@ -19,11 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-UNIT_END = re.compile(r"\n|[.!?](?=\s)")
+from casona.llm.shared import checkpointed
+
+#: A line's end, or a sentence's: one mark after a word, before white space.
+UNIT_END = re.compile(r"\n|(?<=[^\s.!?])[.!?](?=\s)")
 EDGES = " \t\r\n\x0b\x0c.,;:!?\"'()[]"
-#: Words of consecutive repeated units from which they are removed.
-MIN_WORDS = 20
-UNITS = "doc_id long, unit int, start int, stop int, words int, h1 long, h2 long"
+#: Words of consecutive repeated units from which they are removed, and of a unit from which its words count for that.
+MIN_WORDS, UNIT_WORDS = 20, 4
+UNITS = "doc_id long, unit int, start int, stop int, words int, again boolean, h1 long, h2 long"
 
 
 def units(text: str) -> Iterator[tuple[int, int, int, bytes]]:
@@ -43,27 +46,30 @@ def units(text: str) -> Iterator[tuple[int, int, int, bytes]]:
 
 
 def hashed_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The units of whole ``docs`` with 128-bit digests.  Rows with a null id or text have none."""
+    """The units of whole ``docs`` with 128-bit digests; ``again``: the text has the unit already.  Rows with a null id or text have none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            out: list[tuple[int, int, int, int, int]] = []
+            out: list[tuple[int, int, int, int, int, bool]] = []
             digests: list[bytes] = []
             for doc, text in zip(ids, texts, strict=True):
+                seen: set[bytes] = set()
                 for k, (start, stop, n, unit) in enumerate(units(text.as_py())):
-                    out.append((doc, k, start, stop, n))
-                    digests.append(xxhash.xxh3_128_digest(unit))
+                    digest = xxhash.xxh3_128_digest(unit)
+                    out.append((doc, k, start, stop, n, digest in seen))
+                    digests.append(digest)
+                    seen.add(digest)
                 if len(out) >= 100_000:
                     yield as_batch(out, digests)
                     out, digests = [], []
             if out:
                 yield as_batch(out, digests)
 
-    def as_batch(rows: list[tuple[int, int, int, int, int]], digests: list[bytes]) -> pa.RecordBatch:
+    def as_batch(rows: list[tuple[int, int, int, int, int, bool]], digests: list[bytes]) -> pa.RecordBatch:
         numbers, halves = np.array(rows, np.int64), np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-        arrays = [pa.array(numbers[:, 0]), *[pa.array(numbers[:, k].astype(np.int32)) for k in (1, 2, 3, 4)], pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy())]
-        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "unit", "start", "stop", "words", "h1", "h2"])
+        arrays = [pa.array(numbers[:, 0]), *[pa.array(numbers[:, k].astype(np.int32)) for k in (1, 2, 3, 4)], pa.array(numbers[:, 5] == 1), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy())]
+        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "unit", "start", "stop", "words", "again", "h1", "h2"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null and text is not null").mapInArrow(run, UNITS)
 
@@ -72,23 +78,26 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``(doc_id, start, stop, n_units, n_words, kept_doc_id)``: what to remove, as character offsets ``[start, stop)``.
 
     A row is a run of consecutive units of a document that all occur earlier in
-    the corpus, ``min_words`` words or more in total; ``kept_doc_id`` keeps the
-    first of them.  Texts that are null, empty or without a word have no rows; a
+    the corpus, with ``min_words`` words or more in its units of ``UNIT_WORDS``
+    words or more (shorter ones are too common to tell); ``kept_doc_id`` keeps
+    the first of them.  Texts that are null, empty or without a word have no rows; a
     text that repeats itself loses its later occurrences; rows that repeat an id
     are one document.
     """
     found = hashed_units(docs, id_col, text_col)
     keys = ["h1", "h2"]
-    first = found.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "unit")).alias("kept")).where("n > 1").select(*keys, "kept")
-    later = found.join(first, keys).where("struct(doc_id, unit) > kept").select("doc_id", "unit", "start", "stop", "words", F.col("kept.doc_id").alias("kept_doc_id"))
+    first = found.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("kept_doc_id")).where("n > 1").drop("n")
+    # written, so that the join deals out both sides anew and a very common unit can be split over tasks
+    later = found.join(checkpointed(first), keys).where("again or doc_id > kept_doc_id").select("doc_id", "unit", "start", "stop", "words", "kept_doc_id")
     by_doc = W.partitionBy("doc_id").orderBy("unit")
     # dense_rank: units of rows that repeat an id share their place in the run
     runs = later.withColumn("run", F.col("unit") - F.dense_rank().over(by_doc))
     spans = runs.groupBy("doc_id", "run", "unit").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.max("words").alias("words"), F.min("kept_doc_id").alias("kept"))
     total = spans.groupBy("doc_id", "run").agg(
-        F.min("start").alias("start"), F.max("stop").alias("stop"), F.count(F.lit(1)).cast("int").alias("n_units"), F.sum("words").cast("int").alias("n_words"), F.min_by("kept", "unit").alias("kept_doc_id")
-    )
-    return total.where(F.col("n_words") >= min_words).drop("run")
+        F.min("start").alias("start"), F.max("stop").alias("stop"), F.count(F.lit(1)).cast("int").alias("n_units"), F.sum("words").cast("int").alias("n_words"), F.min_by("kept", "unit").alias("kept_doc_id"),
+        F.sum(F.when(F.col("words") >= UNIT_WORDS, F.col("words")).otherwise(0)).alias("weight"),
+    )
+    return total.where(F.col("weight") >= min_words).drop("run", "weight")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:

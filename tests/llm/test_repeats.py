@@ -21,7 +21,7 @@ def slow_spans(rows, min_words=20):
         run = []
         for x in [*found, (10**9, 0, 0, 0, 0)]:
             if run and x[0] != run[-1][0] + 1:
-                if sum(r[3] for r in run) >= min_words:
+                if sum(r[3] for r in run if r[3] >= repeats.UNIT_WORDS) >= min_words:
                     out.append((doc, run[0][1], run[-1][2], len(run), sum(r[3] for r in run), run[0][4]))
                 run = []
             run.append(x)
@@ -59,7 +59,8 @@ def test_passage_inside_lines_is_found(spark, none):
 
 def test_normalised_and_short_units_stay(spark, none):
     line = "One two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty"
-    rows = [(1, line + ".", None, None, 0), (2, "x\n  " + line.upper().replace(" ", "  ") + " !\nYes. No.", None, None, 0), (3, "Yes. No.", None, None, 0)]
+    shout = " ".join(f"{w}!!" for w in line.upper().split())
+    rows = [(0, shout + " " + "Yes. No. Of it. " * 30, None, None, 0), (1, line + ".", None, None, 0), (2, "x\n  " + line.upper().replace(" ", "  ") + " !\nYes. No.", None, None, 0), (3, "Yes. No. Of it. " * 30, None, None, 0)]
     assert [r[0] for r in got(repeats.repeated_spans(spark.createDataFrame(rows, none.schema)))] == [2]
 
 
