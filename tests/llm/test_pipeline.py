@@ -47,7 +47,7 @@ def test_edge_cases(spark, small, edge, edge_rows, none, name, stage):
     if name == "language":
         assert {4, 5, 6, 7}.isdisjoint(ids) and {1, 2, 3, 8, 10, 11} <= set(ids)
     if name == "near_duplicates":
-        assert ids[3] <= 1 and ids[1] == 1 and ids[2] == 0 and ids[4] == 1 and ids[5] == ids[6] == 0 and ids[8] == 1
+        assert ids[3] <= 1 and ids[None] == 1 and ids[1] == 1 and ids[2] == 0 and ids[4] == 1 and ids[5] == ids[6] == 0 and ids[8] == 1
     if name == "decontaminated":
         assert ids == Counter(r[0] for r in edge_rows)
     if name == "mixed":
