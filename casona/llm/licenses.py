@@ -8,6 +8,7 @@ text around it tells how much of the template is there, and where.
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -108,19 +109,20 @@ class TemplateIndex:
         spans: list[tuple[int, int]] | None = None
         for t in sorted(hits):
             best: list[tuple[int, int, int]] = []
-            done = -(10**9)
+            done, near = -(10**9), min(band, max(1, len(self.tokens[t]) // 2))  # short notices may follow one another closely
             for diagonal, _ in sorted(hits[t]):
-                if diagonal - done <= band // 2:  # the alignment around the last one covers this diagonal
+                if diagonal - done <= near // 2:  # the alignment around the last one covers this diagonal
                     continue
                 done = diagonal
-                matched, first, last = aligned(self.tokens[t], ids, diagonal, band)
+                matched, first, last = aligned(self.tokens[t], ids, diagonal, near)
                 if matched >= coverage * len(self.tokens[t]):
                     best.append((matched, first, last))
-            kept: list[tuple[int, int, int]] = []
+            kept: list[tuple[int, int, int]] = []  # (first, last, matched), in order, none overlapping
             for m, i, j in sorted(best, key=lambda x: (-x[0], x[2] - x[1], x[1])):
-                if all(j < a or i > b for _, a, b in kept):
-                    kept.append((m, i, j))
-            for m, i, j in sorted(kept, key=lambda x: x[1]):
+                at = bisect.bisect_left(kept, (i, j, m))
+                if (at == 0 or kept[at - 1][1] < i) and (at == len(kept) or kept[at][0] > j):
+                    kept.insert(at, (i, j, m))
+            for i, j, m in kept:
                 spans = spans or [x.span() for x in WORD.finditer(text)]
                 out.append((self.names[t], m / len(self.tokens[t]), spans[i][0], spans[j][1], m, len(self.tokens[t])))
         return out

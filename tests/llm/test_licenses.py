@@ -64,3 +64,9 @@ def test_documents_have_what_a_plain_search_finds(docs, doc_rows):
         want = " ".join(lc.words(lc.TEMPLATES[name]))
         plain = {r[0] for r in doc_rows if f" {want} " in f" {' '.join(lc.words(r[1]))} "}
         assert plain <= {d for d, n in rows if n == name}
+
+
+def test_notices_that_follow_one_another():
+    index = lc.TemplateIndex(lc.TEMPLATES)
+    assert [(x[2], x[3]) for x in index.scan("All rights reserved. " * 3)] == [(0, 19), (21, 40), (42, 61)]
+    assert len(index.scan("Released under the MIT License. " * 500)) == 500
