@@ -32,31 +32,6 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def source_targets(sizes: DataFrame) -> DataFrame:
-    """``(source, source_size, target, total, rank)`` of rows ``(source, size)``.
-
-    The targets share ``SHARE`` of all words by weight.  None is above ``PASSES``
-    times its source's size; what that leaves is shared again by weight.  With
-    the sources in order of cap over weight, those up to some place are capped
-    and the level of the others follows from what is left there.
-    """
-    src = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    ranked = src.withColumn("rank", F.row_number().over(W.orderBy(F.asc_nulls_last("source"))))
-    cycle = F.array(*[F.lit(w) for w in WEIGHTS])
-    ranked = ranked.withColumn("weight", F.element_at(cycle, (F.col("rank") - 1) % len(WEIGHTS) + 1)).withColumn("cap", F.col("source_size") * PASSES)
-    order = W.orderBy(F.col("cap").cast("double") / F.col("weight"), "rank")
-    every = W.orderBy(F.lit(1)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    level = (
-        ranked.withColumn("total", F.sum("source_size").over(every))
-        .withColumn("before", F.coalesce(F.sum("cap").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-        .withColumn("left", F.sum("weight").over(order.rowsBetween(0, W.unboundedFollowing)))
-        .withColumn("level", (F.lit(SHARE) * F.col("total") - F.col("before")) / F.col("left"))
-    )
-    free = F.max(F.when(F.col("cap").cast("double") / F.col("weight") > F.col("level"), F.col("level"))).over(every)
-    target = F.least(F.col("cap").cast("double"), F.coalesce(F.col("weight") * free, F.col("cap").cast("double")))
-    return level.select("source", "source_size", target.alias("target"), "total", "rank")
-
-
 def running_sum(rows: DataFrame, keys: list[str], run: str, order: list[Column | str], value: str) -> DataFrame:
     """``rows`` with ``sum_to``: the sum of ``value`` up to each row, by ``keys``, then ``run``, then ``order``.
 
@@ -70,6 +45,34 @@ def running_sum(rows: DataFrame, keys: list[str], run: str, order: list[Column |
     return rows.join(offsets, [*keys, run]).withColumn("sum_to", F.col("__before") + F.sum(value).over(within)).drop("__before")
 
 
+def source_targets(sizes: DataFrame) -> DataFrame:
+    """``(source, source_size, target, total, rank)`` of rows ``(source, size)``.
+
+    The targets share ``SHARE`` of all words by weight.  None is above ``PASSES``
+    times its source's size; what that leaves is shared again by weight.  With
+    the sources in order of cap over weight, those up to some place are capped
+    and the level of the others follows from what is left there.  Both orders
+    are sorted over ranges, so there may be any number of sources.
+    """
+    parts = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    src = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    by_name = [F.asc_nulls_last("source")]
+    named = checkpointed(src.repartitionByRange(parts, *by_name).select("*", F.spark_partition_id().alias("run"), F.lit(0).alias("all"), F.lit(1).alias("one")))
+    cycle = F.array(*[F.lit(w) for w in WEIGHTS])
+    ranked = running_sum(named, ["all"], "run", by_name, "one").select("source", "source_size", "all", F.col("sum_to").alias("rank"))
+    ranked = ranked.withColumn("weight", F.get(cycle, ((F.col("rank") - 1) % len(WEIGHTS)).cast("int"))).withColumn("cap", F.col("source_size") * PASSES)
+    ranked = ranked.withColumn("ratio", F.col("cap").cast("double") / F.col("weight"))
+    by_ratio = checkpointed(ranked.repartitionByRange(parts, "ratio", "rank").withColumn("run", F.spark_partition_id()))
+    x = running_sum(by_ratio, ["all"], "run", ["ratio", "rank"], "cap").withColumnRenamed("sum_to", "caps")
+    x = running_sum(x, ["all"], "run", ["ratio", "rank"], "weight").withColumnRenamed("sum_to", "weights")
+    totals = by_ratio.agg(F.sum("source_size").alias("total"), F.sum("weight").alias("heavy"))  # one row
+    level = (F.lit(SHARE) * F.col("total") - (F.col("caps") - F.col("cap"))) / (F.col("heavy") - (F.col("weights") - F.col("weight")))
+    x = checkpointed(x.crossJoin(F.broadcast(totals)).withColumn("level", level))
+    free = x.agg(F.max(F.when(F.col("ratio") > F.col("level"), F.col("level"))).alias("free"))  # one row
+    target = F.least(F.col("cap").cast("double"), F.coalesce(F.col("weight") * F.col("free"), F.col("cap").cast("double")))
+    return x.crossJoin(F.broadcast(free)).select("source", "source_size", target.alias("target"), "total", "rank")
+
+
 def mix_entries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``(rid, doc_id, size, source_size, target, pass, finish, sum_to, served)``: each row of ``docs`` once for each pass.
 
