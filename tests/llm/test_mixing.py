@@ -80,3 +80,8 @@ def test_runs_of_one_source(spark, none, monkeypatch):
     monkeypatch.setattr(mixing, "RUN_ROWS", 3)
     rows = [(k, "w " * (k % 7), None, "a" if k % 3 else "b", 0) for k in range(400)]
     check(rows, mixing.allotments(spark.createDataFrame(rows, none.schema)).collect())
+
+
+def test_many_sources(spark, none):
+    rows = [(k, "w " * (1 + k * k % 13), None, f"s{k % 60}" if k % 61 else None, 0) for k in range(600)]
+    check(rows, mixing.allotments(spark.createDataFrame(rows, none.schema)).collect())
