@@ -12,13 +12,15 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casona.llm.shared import small_batches
+
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")  # of UTF-8 bytes in lower case
 PHRASE = 10
 #: Tokens of a block, at least; a block ends with the document that exceeds them.
@@ -26,6 +28,8 @@ BLOCK_TOKENS = 1 << 20
 #: Benchmark tokens that one pass over the documents looks for.
 PASS_TOKENS = 2_000_000
 INDEX = "doc_ids array<long>, starts binary, terms binary, ends binary, postings binary"
+FOUND = "doc_id long, n_words long, hits array<int>, items array<long>"
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -40,8 +44,8 @@ def vocabulary(items: list[tuple[int, bytes]]) -> dict[bytes, int]:
     return out
 
 
-def build_index(docs: DataFrame, terms: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The index of whole ``docs`` for the given terms, a row for each block.
+def indexer(terms: dict[bytes, int]) -> Batches:
+    """Makes rows of the index of batches of ids and texts.
 
     ``starts``: token offset of each document and the end of the last, int64;
     ``terms``: those that occur; ``ends``: where the list of each ends;
@@ -75,7 +79,7 @@ def build_index(docs: DataFrame, terms: dict[bytes, int], id_col: str = "doc_id"
         if ids:
             yield flush(ids, lengths, found)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, INDEX)
+    return run
 
 
 class Postings:
@@ -126,8 +130,8 @@ def phrases(items: list[tuple[int, bytes]], terms: dict[bytes, int], n: int) ->
     return [np.array(w) for w in of], [np.array(sorted(x)) for x in of.values()]
 
 
-def matches(index: DataFrame, items: list[tuple[int, bytes]], terms: dict[bytes, int], n: int = PHRASE) -> DataFrame:
-    """``(doc_id, n_words, hits, items)``, a row for each document of the index.
+def matcher(items: list[tuple[int, bytes]], terms: dict[bytes, int], n: int) -> Batches:
+    """Finds ``(doc_id, n_words, hits, items)`` for each document of rows of the index.
 
     ``hits``: runs ``[from, to)`` of word places inside an occurrence of a
     window, flattened; ``items``: those with an occurring window, ascending.
@@ -164,7 +168,29 @@ def matches(index: DataFrame, items: list[tuple[int, bytes]], terms: dict[bytes,
         kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())]
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["doc_id", "n_words", "hits", "items"])
 
-    return index.mapInArrow(run, "doc_id long, n_words long, hits array<int>, items array<long>")
+    return run
+
+
+def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    small_batches(docs.sparkSession)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+
+
+def build_index(docs: DataFrame, terms: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The index of whole ``docs`` for the given terms as a table, to keep and to search again."""
+    return texts_of(docs, id_col, text_col).mapInArrow(indexer(terms), INDEX)
+
+
+def matches(index: DataFrame, items: list[tuple[int, bytes]], terms: dict[bytes, int], n: int = PHRASE) -> DataFrame:
+    """``(doc_id, n_words, hits, items)`` of a kept index, a row for each document."""
+    return index.mapInArrow(matcher(items, terms, n), FOUND)
+
+
+def indexed_and_matched(docs: DataFrame, items: list[tuple[int, bytes]], n: int, id_col: str, text_col: str) -> DataFrame:
+    """The same for an index that is searched where it is made, block by block."""
+    terms = vocabulary(items)
+    make, find = indexer(terms), matcher(items, terms, n)
+    return texts_of(docs, id_col, text_col).mapInArrow(lambda batches: find(make(batches)), FOUND)
 
 
 def benchmark_passes(benchmark: DataFrame, item_col: str, text_col: str) -> list[list[tuple[int, bytes]]]:
@@ -196,8 +222,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     found: DataFrame | None = None
     passes = benchmark_passes(benchmark, item_col, item_text_col)
     for items in passes:
-        terms = vocabulary(items)
-        part = matches(build_index(docs, terms, id_col, text_col), items, terms, n)
+        part = indexed_and_matched(docs, items, n, id_col, text_col)
         found = part if found is None else found.union(part)
     if len(passes) == 1:
         return found

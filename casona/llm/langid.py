@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from casona.llm.shared import small_batches
+
 UNDETERMINED = "und"
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -189,6 +191,7 @@ def predict(docs: DataFrame, model: ByteCNN, text_col: str = "text", keep: list[
                 out = out.filter(pa.array((np.array(labels, object) != UNDETERMINED) & (scores >= min_score), pa.bool_()))
             yield out
 
+    small_batches(docs.sparkSession)
     return rows.mapInArrow(run, ", ".join(x for x in (schema, "lang_pred string, score double") if x))
 
 

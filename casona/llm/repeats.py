@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from casona.llm.shared import checkpointed
+from casona.llm.shared import checkpointed, small_batches
 
 #: A line's end, or a sentence's: one mark after a word, before white space.
 UNIT_END = re.compile(r"\n|(?<=[^\s.!?])[.!?](?=\s)")
@@ -71,6 +71,7 @@ def hashed_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         arrays = [pa.array(numbers[:, 0]), *[pa.array(numbers[:, k].astype(np.int32)) for k in (1, 2, 3, 4)], pa.array(numbers[:, 5] == 1), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy())]
         return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "unit", "start", "stop", "words", "again", "h1", "h2"])
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null and text is not null").mapInArrow(run, UNITS)
 
 

@@ -7,7 +7,22 @@ from pyspark.sql import functions as F
 
 from casona.functions.storage import checkpoint_folder, checkpointed
 
-__all__ = ["checkpoint_folder", "checkpointed", "connected_components", "table"]
+__all__ = ["checkpoint_folder", "checkpointed", "connected_components", "small_batches", "table"]
+
+#: Rows of an Arrow batch of texts.
+BATCH_ROWS = 256
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session sends at most ``BATCH_ROWS`` rows to Python at once.
+
+    A batch is held several times, in Spark's memory outside the heap and in the
+    Python worker, and ten thousand texts, the default, take much of an executor.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    set_to = int(spark.conf.get(name))
+    if not 0 < set_to <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casona.llm.shared import checkpointed, connected_components
+from casona.llm.shared import checkpointed, connected_components, small_batches
 
 SEED = 42
 ONES = np.uint64(0x0101010101010101)
@@ -78,6 +78,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             values = np.array([fingerprint(x.as_py(), shingle) for x in batch.column(1)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=["doc_id", "fingerprint"])
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "doc_id long, fingerprint long")
 
 
