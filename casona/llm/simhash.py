@@ -17,6 +17,7 @@ is the key by which the work is dealt out.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -258,3 +259,133 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     found = rooted.join(least, "root").select(F.col("fp").alias("fingerprint"), "component_id")
     return prints.join(found, "fingerprint").select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+#: The wide setting: words of a shingle, least similarity (Jaccard) of shingle sets, fingerprints of a text, and bits by which each may differ.
+WORDS, SIMILAR, PRINTS, WIDE_BITS = 5, 0.8, 4, 11
+#: Differing bits of all fingerprints together above which a pair isn't compared: at a similarity of 0.8, 39 are expected, with a deviation of 6.
+ALL_BITS = 72
+#: Texts of a block that are all compared with each other; in larger ones so many pivots are, to begin with.
+BLOCK_TEXTS, PIVOTS = 64, 8
+#: Multipliers that make further hashes of one.
+MIXERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
+
+
+def shingle_set(text: bytes | None, shingle: int = WORDS) -> np.ndarray:
+    """Hashes of the distinct shingles of a text, ascending; one for all its words if they are fewer."""
+    words = (text or b"").lower().split()
+    n = len(words)
+    if not n:
+        return np.zeros(0, np.uint64)
+    joined, digest = b" ".join(words), xxhash.xxh64_intdigest
+    if n <= shingle:
+        return np.array([digest(joined, SEED)], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    pairs = zip(starts[: n - shingle + 1].tolist(), ends[shingle - 1 :].tolist(), strict=True)
+    return np.unique(np.array([digest(joined[i:j], SEED) for i, j in pairs], np.uint64))
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Shingles that both sets have for each that one has; 1 for two empty sets."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
+
+
+def wide_prints(rows: DataFrame, key: str, text_col: str) -> DataFrame:
+    """``(row, d1, d2, s0, s1, ...)``: a 128-bit digest of the words of each text, and independent SimHashes of its set of shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, values = [], np.zeros((batch.num_rows, PRINTS), np.uint64)
+            for k, x in enumerate(batch.column(1)):
+                text = x.as_py() or b""
+                digests.append(xxhash.xxh3_128_digest(b" ".join(text.lower().split())))
+                hashes = shingle_set(text)
+                for p in range(PRINTS if len(hashes) else 0):
+                    h = (hashes ^ (hashes >> np.uint64(29 + p))) * MIXERS[p]
+                    h = (h ^ (h >> np.uint64(32))) * MIXERS[p - 1]
+                    values[k, p] = np.packbits(2 * bit_counts(h ^ (h >> np.uint64(29))) > len(h), bitorder="little").view("<u8")[0]
+            halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            arrays = [batch.column(0), *[pa.array(halves[:, j].copy()) for j in (0, 1)], *[pa.array(values[:, p].copy().view(np.int64)) for p in range(PRINTS)]]
+            yield pa.RecordBatch.from_arrays(arrays, names=["row", "d1", "d2", *[f"s{p}" for p in range(PRINTS)]])
+
+    small_batches(rows.sparkSession)
+    schema = "row long, d1 long, d2 long, " + ", ".join(f"s{p} long" for p in range(PRINTS))
+    return rows.select(F.col(key).alias("row"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, schema)
+
+
+def confirmed(pairs: DataFrame, rows: DataFrame, key: str, text_col: str, least: float) -> DataFrame:
+    """The ``(a, b)`` of ``pairs`` whose sets of shingles are at least so similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            last, known, keep = None, None, []
+            for ta, tb in zip(batch.column(2), batch.column(3), strict=True):
+                tb = tb.as_py()
+                if known is None or tb != last:
+                    last, known = tb, shingle_set(tb)
+                keep.append(similarity(shingle_set(ta.as_py()), known) >= least)
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    texts = rows.select(F.col(key).alias("row"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
+    left = texts.select(F.col("row").alias("a"), F.col("text").alias("ta"))
+    right = texts.select(F.col("row").alias("b"), F.col("text").alias("tb"))
+    # the common side last: a pivot's pairs are then dealt anew if they are many
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+
+
+def similar_links(nodes: DataFrame, rows: DataFrame, key: str, text_col: str, least: float) -> DataFrame:
+    """``(a, b)`` links of the texts ``(node, s0, ...)`` that are ``least`` similar, enough to join them.
+
+    Blocks are what links within ``WIDE_BITS`` of any fingerprint join; a link
+    is confirmed by the texts.  In a block of up to ``BLOCK_TEXTS`` every pair is
+    a candidate.  In a larger one all are compared with pivots and those that
+    match one go; the rest gets twice the pivots until few are left.
+    """
+    n, edges = nodes.count(), None
+    for p in range(PRINTS):
+        prints = checkpointed(nodes.groupBy(F.col(f"s{p}").alias("fp")).agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("n")))
+        links = near_links(prints, WIDE_BITS, n)
+        ends = [prints.select(F.col("fp").alias(c), F.col("rep").alias(f"n{c}")) for c in "ab"]
+        part = links.join(ends[0], "a").join(ends[1], "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
+        shared = prints.where("n > 1").select(F.col("fp").alias(f"s{p}"), "rep")
+        part = checkpointed(part.union(nodes.join(shared, f"s{p}").select(F.col("node").alias("a"), F.col("rep").alias("b"))))
+        edges = part if edges is None else edges.union(part)
+    sums = [f"s{p}" for p in range(PRINTS)]
+    left = checkpointed(connected_components(edges).join(nodes, "node").select("root", "node", *sums))
+    other = lambda x: x.select("root", F.col("node").alias("b"), *[F.col(s).alias(f"t{s}") for s in sums])
+    near = reduce(lambda x, y: x + y, [F.bit_count(F.col(s).bitwiseXOR(F.col(f"t{s}"))) for s in sums]) <= ALL_BITS
+    found, pivots = None, PIVOTS
+    while True:
+        sizes = checkpointed(left.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+        small = left.join(sizes.where(F.col("n") <= BLOCK_TEXTS), "root").drop("n")
+        pairs = small.withColumnRenamed("node", "a").join(other(small), "root").where("a < b").where(near).select("a", "b")
+        many = sizes.where(F.col("n") > BLOCK_TEXTS)
+        done = many.isEmpty()
+        if not done:
+            large = left.join(many, "root").drop("n").withColumn("turn", F.pmod(F.xxhash64("node", F.lit(pivots)), F.lit(pivots)))
+            chosen = checkpointed(large.groupBy("root", "turn").agg(F.min_by(F.struct("node", *sums), F.xxhash64("node")).alias("x")).select("root", "x.*"))
+            pairs = pairs.union(large.withColumnRenamed("node", "a").join(other(chosen), "root").where("a <> b").where(near).select("a", "b"))
+        part = checkpointed(confirmed(checkpointed(pairs), rows, key, text_col, least))
+        found = part if found is None else found.union(part)
+        if done:
+            return found
+        gone = part.select(F.col("a").alias("node")).union(chosen.select("node")).distinct()
+        left = checkpointed(large.drop("turn").join(gone, "node", "left_anti").select("root", "node", *sums))
+        pivots *= 2
+
+
+def similar_rows(rows: DataFrame, key: str, text_col: str = "text", least: float = SIMILAR) -> DataFrame:
+    """``(row, component)``: for each row of ``rows`` by its unique long ``key`` the least key that links reach.
+
+    Texts link if their sets of ``WORDS``-word shingles are ``least`` similar.
+    Texts of the same words are one from the start; so are those without words.
+    """
+    prints = checkpointed(wide_prints(rows, key, text_col))
+    sums = [f"s{p}" for p in range(PRINTS)]
+    texts = checkpointed(prints.groupBy("d1", "d2").agg(F.min("row").alias("node"), *[F.first(s).alias(s) for s in sums]))
+    roots = connected_components(similar_links(texts.select("node", *sums), rows, key, text_col, least))
+    rooted = texts.select("d1", "d2", "node").join(roots, "node", "left").select("d1", "d2", F.coalesce("root", "node").alias("component"))
+    # written, so that the join deals out both sides anew and a very common text can be split over tasks
+    return prints.select("row", "d1", "d2").join(checkpointed(rooted), ["d1", "d2"]).select("row", "component")

@@ -1,0 +1,44 @@
+"""What the pipeline does with near copies and with rows that share an id or have none."""
+
+import random
+from collections import Counter
+
+import corpus_pipeline as cp
+from casona.llm import simhash
+
+from .conftest import SCHEMA
+
+
+def prose(rng, n):
+    return ["".join(rng.choices("abcdefghij", k=6)) for _ in range(n)]
+
+
+def similarity(a, b):
+    x, y = ({tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_near_copies_of_a_similarity_of_0_8_go_and_others_stay(spark):
+    rng, texts, copies, others = random.Random(4), [], [], []
+    for k in range(40):
+        base = prose(rng, 300)
+        near, far = list(base), list(base)
+        for at in range(20, 280, 47):
+            near[at] = "changed"
+        for at in range(5, 295, 17):
+            far[at] = "changed"
+        assert similarity(base, near) >= 0.8 > 0.6 > similarity(base, far)
+        texts += [(3 * k, " ".join(base)), (3 * k + 1, " ".join(near)), (3 * k + 2, " ".join(far))]
+        copies.append(3 * k + 1)
+        others += [3 * k, 3 * k + 2]
+    docs = spark.createDataFrame([(d, t, None, None, 0) for d, t in texts], SCHEMA)
+    assert sorted(r["doc_id"] for r in cp.near_duplicates(spark, docs, "").collect()) == others
+
+
+def test_large_block_is_one_component(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK_TEXTS", 8)
+    rng = random.Random(5)
+    base = prose(rng, 200)
+    rows = [(k, " ".join(base[:k] + ["own" + str(k)] + base[k + 1 :])) for k in range(60)] + [(100 + k, " ".join(prose(rng, 80))) for k in range(30)]
+    docs = spark.createDataFrame([(d, t, None, None, 0) for d, t in rows], SCHEMA)
+    assert sorted(r["doc_id"] for r in cp.near_duplicates(spark, docs, "").collect()) == [0, *range(100, 130)]
