@@ -9,7 +9,6 @@ the mix is cut where the words served reach the budget.
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -73,17 +72,18 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     return x.crossJoin(F.broadcast(free)).select("source", "source_size", target.alias("target"), "total", "rank")
 
 
-def mix_entries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def mix_entries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None) -> DataFrame:
     """``(rid, doc_id, size, source_size, target, pass, finish, sum_to, served)``: each row of ``docs`` once for each pass.
 
     ``served`` says whether the entry is in the mix, ``sum_to`` how many words
     the mix has with it if so.  A shuffled order is that of the md5 of the id,
-    so reruns agree; rows that repeat are entries of their own.  A null text has
+    so reruns agree; rows that repeat are entries of their own.  ``rid`` is
+    ``row_col``, a unique long, or a number of its own.  A null text has
     no words, a null source is a source, ranked last, and a null id is shuffled
     like an empty one.
     """
     base = docs.select(
-        F.monotonically_increasing_id().alias("rid"),
+        (F.monotonically_increasing_id() if row_col is None else F.col(row_col)).alias("rid"),
         F.col(id_col).alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
         word_count(F.col(text_col)).alias("size"),
@@ -123,17 +123,14 @@ def allotments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of ``docs`` that the mix takes, with their columns, a row as often as it is taken.
 
-    Rows that share an id, source and size are taken together, as many as the
-    mix has of them.  Rows without words add no word and stay once.
+    Each row is taken by itself, whatever its id.  Rows without words add no
+    word and stay once.
     """
-    size, copies = word_count(F.col(text_col)), F.sum(F.when(F.col("served") & (F.col("size") > 0), 1).otherwise(0))
-    entries = mix_entries(docs, id_col, text_col, source_col)
-    taken = entries.groupBy("doc_id", "source_size", "size").agg(F.when(F.first("size") == 0, F.count(F.lit(1)) / PASSES).otherwise(copies).cast("int").alias("__times"), (F.count(F.lit(1)) / PASSES).cast("int").alias("__rows"))
-    taken = checkpointed(taken.groupBy(F.col("doc_id").alias("__id"), F.col("size").alias("__size")).agg(F.sum("__times").alias("__times"), F.sum("__rows").alias("__rows")))
-    rows = docs if taken.where("__rows > 1").isEmpty() else docs.withColumn("__n", size).dropDuplicates([id_col, "__n"]).drop("__n")
-    match = [F.col(id_col).eqNullSafe(F.col("__id")), size == F.col("__size")]
-    wanted = taken.where("__times > 0")
-    return rows.join(wanted, reduce(lambda a, b: a & b, match)).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))).select(*[rows[c] for c in docs.columns])
+    rows = checkpointed(docs.withColumn("__row", F.monotonically_increasing_id()))
+    entries = mix_entries(rows, id_col, text_col, source_col, "__row")
+    times = F.when(F.first("size") == 0, 1).otherwise(F.sum(F.col("served").cast("int"))).cast("int")
+    taken = entries.groupBy(F.col("rid").alias("__row")).agg(times.alias("__times")).where("__times > 0")
+    return rows.join(taken, "__row").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
 
 
 #: The same rows in SQL; the shuffled order, the finish times and the cut are those above.

@@ -42,3 +42,22 @@ def test_large_block_is_one_component(spark, monkeypatch):
     rows = [(k, " ".join(base[:k] + ["own" + str(k)] + base[k + 1 :])) for k in range(60)] + [(100 + k, " ".join(prose(rng, 80))) for k in range(30)]
     docs = spark.createDataFrame([(d, t, None, None, 0) for d, t in rows], SCHEMA)
     assert sorted(r["doc_id"] for r in cp.near_duplicates(spark, docs, "").collect()) == [0, *range(100, 130)]
+
+
+def test_rows_that_share_an_id_or_have_none_are_told_apart(spark):
+    rng = random.Random(6)
+    a, b, c, d = (" ".join(prose(rng, 60)) for _ in range(4))
+    rows = [(1, a), (2, b), (2, a), (None, c), (None, d), (None, c), (None, None), (3, None)]
+    docs = spark.createDataFrame([(i, t, None, None, 0) for i, t in rows], SCHEMA).repartition(3)
+    kept = Counter((r["doc_id"], r["text"]) for r in cp.near_duplicates(spark, docs, "").collect())
+    assert kept == Counter([(1, a), (2, b), (None, c), (None, d), (3, None)])
+
+
+def test_mix_takes_each_row_by_itself(spark):
+    rng = random.Random(8)
+    texts = [" ".join(prose(rng, 10)) for _ in range(40)]
+    docs = spark.createDataFrame([(None if k % 2 else 7, t, None, "ab"[k % 3 == 0], 0) for k, t in enumerate(texts)], SCHEMA)
+    times = Counter(r["text"] for r in cp.mixed(spark, docs, "").collect())
+    assert max(times.values()) <= 2 and 58 <= sum(times.values()) <= 60
+    capped = spark.createDataFrame([(1, "one two", None, "a", 0), (1, "red blue", None, "b", 0)], SCHEMA)
+    assert set(Counter(r["text"] for r in cp.mixed(spark, capped, "").collect()).values()) <= {1, 2}
