@@ -61,3 +61,11 @@ def test_mix_takes_each_row_by_itself(spark):
     assert max(times.values()) <= 2 and 58 <= sum(times.values()) <= 60
     capped = spark.createDataFrame([(1, "one two", None, "a", 0), (1, "red blue", None, "b", 0)], SCHEMA)
     assert set(Counter(r["text"] for r in cp.mixed(spark, capped, "").collect()).values()) <= {1, 2}
+
+
+def test_contaminated_rows_without_an_id_go(spark, small):
+    rng = random.Random(9)
+    passage = spark.read.parquet(f"{small}/benchmark.parquet").first()["text"]
+    clean, planted = " ".join(prose(rng, 60)), " ".join([*prose(rng, 20), passage, *prose(rng, 20)])
+    docs = spark.createDataFrame([(i, t, None, None, 0) for i in (None, 5) for t in (clean, planted)], SCHEMA)
+    assert sorted(((r["doc_id"], r["text"]) for r in cp.decontaminated(spark, docs, small).collect()), key=repr) == sorted([(None, clean), (5, clean)], key=repr)
