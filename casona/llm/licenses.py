@@ -79,17 +79,23 @@ def winnowed(hashes: np.ndarray, window: int) -> np.ndarray:
 
 
 class TemplateIndex:
-    """Words of the templates, and where each fingerprint occurs in them."""
+    """Words of the templates, and where each fingerprint occurs in them.
+
+    Winnowing is sure to meet matches of ``gram + window - 1`` words; all grams
+    of shorter templates are kept apart and looked up with every gram of a text.
+    """
 
     def __init__(self, templates: dict[str, str], gram: int = GRAM, window: int = WINDOW):
         self.gram, self.window, self.names = gram, window, sorted(templates)
         self.vocabulary: dict[str, int] = {}
         self.tokens = [np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words(templates[n])], np.int64) for n in self.names]
         self.places: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        self.short: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for t, ids in enumerate(self.tokens):
-            hashes = grams(ids, gram)
-            for at in winnowed(hashes, window).tolist():
-                self.places[int(hashes[at])].append((t, at))
+            hashes, short = grams(ids, gram), len(ids) < gram + window - 1
+            for at in range(len(hashes)) if short else winnowed(hashes, window).tolist():
+                (self.short if short else self.places)[int(hashes[at])].append((t, at))
+        self.short_hashes = np.array(list(self.short), np.uint64)
 
     def scan(self, text: str, band: int = BAND, coverage: float = COVERAGE) -> list[tuple[str, float, int, int, int, int]]:
         """``(license, coverage, start, stop, matched, words)`` of a text, offsets in characters, in order of license and start.
@@ -107,6 +113,9 @@ class TemplateIndex:
         for at in winnowed(hashes, self.window).tolist():
             for t, place in self.places.get(int(hashes[at]), ()):
                 hits[t].append((at - place, at))
+        for at in np.flatnonzero(np.isin(hashes, self.short_hashes)).tolist():
+            for t, place in self.short[int(hashes[at])]:
+                hits[t].append((at - place, at))
         out: list[tuple[str, float, int, int, int, int]] = []
         spans: list[tuple[int, int]] | None = None
         for t in sorted(hits):

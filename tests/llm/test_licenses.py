@@ -70,3 +70,12 @@ def test_notices_that_follow_one_another():
     index = lc.TemplateIndex(lc.TEMPLATES)
     assert [(x[2], x[3]) for x in index.scan("All rights reserved. " * 3)] == [(0, 19), (21, 40), (42, 61)]
     assert len(index.scan("Released under the MIT License. " * 500)) == 500
+
+
+def test_short_notices_beside_words_of_templates():
+    index, rng = lc.TemplateIndex(lc.TEMPLATES), random.Random(11)
+    vocabulary = sorted(index.vocabulary)
+    contexts = [("the license", "You may not"), ("this license", "Use of this")] + [(" ".join(rng.choices(vocabulary, k=4)), " ".join(rng.choices(vocabulary, k=4))) for _ in range(2000)]
+    for before, after in contexts:
+        text = f"{before}. All rights reserved. {after}"
+        assert "All rights reserved" in {text[x[2] : x[3]] for x in index.scan(text) if x[0] == "all-rights-reserved"}
