@@ -1,10 +1,11 @@
-"""Substring deduplication by hashed units: lines, cut further at the ends of sentences.
-
-Every unit is normalised and hashed; digests are grouped over the whole corpus,
-and the occurrence with the smallest (document id, unit number) stays.  Later
-occurrences are removed where enough of them follow one another: a passage that
-documents share is a run of such units, wherever in a line it starts, while a
-short sentence that two documents happen to share is left alone.
+"""Substring deduplication by hashed units: lines, and lines cut further at the ends of sentences.
+
+Every unit and every line is normalised and hashed; digests are grouped over the
+whole corpus, and the occurrence with the smallest (document id, unit number)
+stays.  A line that occurred as a line before is removed whatever its length.
+Sentences inside lines are removed where enough of them follow one another: a
+passage that documents share is a run of such units, wherever in a line it
+starts, while a short sentence that two documents happen to share is left alone.
 """
 
 from __future__ import annotations
@@ -22,54 +23,88 @@ from pyspark.sql import functions as F
 from casona.llm.shared import checkpointed, small_batches
 
 #: A line's end, or a sentence's: one mark after a word, before white space.
-UNIT_END = re.compile(r"\n|(?<=[^\s.!?])[.!?](?=\s)")
-EDGES = " \t\r\n\x0b\x0c.,;:!?\"'()[]"
+UNIT_END = re.compile(r"\n|(?<=[^\s.!?])[.!?](?=\s)|[。！？｡]")
+#: Characters of scripts that put no blanks between words: each counts as a word.
+UNSPACED = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+EDGES = " \t\r\n\x0b\x0c.,;:!?\"'()[]。！？｡、，"
 #: Words of consecutive repeated units from which they are removed, and of a unit from which its words count for that.
 MIN_WORDS, UNIT_WORDS = 20, 4
-UNITS = "doc_id long, unit int, start int, stop int, words int, again boolean, h1 long, h2 long"
+UNITS = "doc_id long, unit int, start int, stop int, words int, again boolean, line_again boolean, span int, h1 long, h2 long"
 
 
 def units(text: str) -> Iterator[tuple[int, int, int, bytes]]:
     """``(start, stop, words, normalised)`` of the units of a text that have a word; offsets in characters.
 
-    Normalised: lower case, white space runs as one blank, no punctuation at the ends.
+    Normalised: lower case, white space runs as one blank, no punctuation at the
+    ends.  A character of a script without blanks counts as a word.
     """
-    at = 0
+    at, unspaced = 0, not text.isascii() and UNSPACED.search(text) is not None
     ends = [m.end() for m in UNIT_END.finditer(text)]
     for end in [*ends, len(text)]:
         raw = text[at:end]
         words = raw.lower().strip(EDGES).split()
         if words:
             left = len(raw) - len(raw.lstrip())
-            yield at + left, at + len(raw.rstrip()), len(words), " ".join(words).encode("utf-8", "surrogatepass")
+            n = sum(max(1, len(UNSPACED.findall(w))) for w in words) if unspaced else len(words)
+            yield at + left, at + len(raw.rstrip()), n, " ".join(words).encode("utf-8", "surrogatepass")
         at = end
 
 
+def lines(text: str, found: list[tuple[int, int, int, bytes]]) -> Iterator[tuple[int, int, bytes]]:
+    """``(first, units, normalised)`` of the lines that the units ``found`` in a text make up."""
+    first = 0
+    for k in range(1, len(found) + 1):
+        if k == len(found) or "\n" in text[found[k - 1][1] : found[k][0]]:
+            if k - first == 1:
+                yield first, 1, found[first][3]
+            else:
+                words = text[found[first][0] : found[k - 1][1]].lower().strip(EDGES).split()
+                yield first, k - first, " ".join(words).encode("utf-8", "surrogatepass")
+            first = k
+
+
 def hashed_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The units of whole ``docs`` with 128-bit digests; ``again``: the text has the unit already.  Rows with a null id or text have none."""
+    """The units and lines of whole ``docs`` with 128-bit digests.  Rows with a null id or text have none.
+
+    ``span``: 0 for a unit inside a line, 1 for one that is a line, else the
+    units of a line that has several, which is a row of its own from its first
+    unit on.  ``again``: the text has the unit already; ``line_again``: as a line.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            out: list[tuple[int, int, int, int, int, bool]] = []
+            out: list[tuple[int, ...]] = []
             digests: list[bytes] = []
             for doc, text in zip(ids, texts, strict=True):
+                value = text.as_py()
+                found = list(units(value))
                 seen: set[bytes] = set()
-                for k, (start, stop, n, unit) in enumerate(units(text.as_py())):
-                    digest = xxhash.xxh3_128_digest(unit)
-                    out.append((doc, k, start, stop, n, digest in seen))
-                    digests.append(digest)
-                    seen.add(digest)
+                seen_lines: set[bytes] = set()
+                for first, n, line in lines(value, found):
+                    key = xxhash.xxh3_128_digest(line if n == 1 else b"\n" + line)
+                    again = key in seen_lines
+                    seen_lines.add(key)
+                    if n > 1:
+                        out.append((doc, first, found[first][0], found[first + n - 1][1], sum(x[2] for x in found[first : first + n]), again, again, n))
+                        digests.append(key)
+                    for k in range(first, first + n):
+                        start, stop, words, unit = found[k]
+                        digest = key if n == 1 else xxhash.xxh3_128_digest(unit)
+                        out.append((doc, k, start, stop, words, digest in seen, n == 1 and again, n == 1))
+                        digests.append(digest)
+                        seen.add(digest)
                 if len(out) >= 100_000:
                     yield as_batch(out, digests)
                     out, digests = [], []
             if out:
                 yield as_batch(out, digests)
 
-    def as_batch(rows: list[tuple[int, int, int, int, int, bool]], digests: list[bytes]) -> pa.RecordBatch:
+    def as_batch(rows: list[tuple[int, ...]], digests: list[bytes]) -> pa.RecordBatch:
         numbers, halves = np.array(rows, np.int64), np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-        arrays = [pa.array(numbers[:, 0]), *[pa.array(numbers[:, k].astype(np.int32)) for k in (1, 2, 3, 4)], pa.array(numbers[:, 5] == 1), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy())]
-        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "unit", "start", "stop", "words", "again", "h1", "h2"])
+        whole = [pa.array(numbers[:, k].astype(np.int32)) for k in (1, 2, 3, 4)]
+        arrays = [pa.array(numbers[:, 0]), *whole, *[pa.array(numbers[:, k] == 1) for k in (5, 6)], pa.array(numbers[:, 7].astype(np.int32)), *[pa.array(halves[:, k].copy()) for k in (0, 1)]]
+        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "unit", "start", "stop", "words", "again", "line_again", "span", "h1", "h2"])
 
     small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null and text is not null").mapInArrow(run, UNITS)
@@ -79,26 +114,33 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``(doc_id, start, stop, n_units, n_words, kept_doc_id)``: what to remove, as character offsets ``[start, stop)``.
 
     A row is a run of consecutive units of a document that all occur earlier in
-    the corpus, with ``min_words`` words or more in its units of ``UNIT_WORDS``
-    words or more (shorter ones are too common to tell); ``kept_doc_id`` keeps
-    the first of them.  Texts that are null, empty or without a word have no rows; a
-    text that repeats itself loses its later occurrences; rows that repeat an id
-    are one document.
+    the corpus.  Whole lines that occur earlier as lines are always removed; other
+    units where the run has ``min_words`` words or more in its units of
+    ``UNIT_WORDS`` words or more (shorter ones are too common to tell).
+    ``kept_doc_id`` keeps the first of them.  Texts that are null, empty or without
+    a word have no rows; a text that repeats itself loses its later occurrences;
+    rows that repeat an id are one document.
     """
     found = hashed_units(docs, id_col, text_col)
     keys = ["h1", "h2"]
-    first = found.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("kept_doc_id")).where("n > 1").drop("n")
+    first = found.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("kept_doc_id"), F.min(F.when(F.col("span") > 0, F.col("doc_id"))).alias("kept_line")).where("n > 1").drop("n")
     # written, so that the join deals out both sides anew and a very common unit can be split over tasks
-    later = found.join(checkpointed(first), keys).where("again or doc_id > kept_doc_id").select("doc_id", "unit", "start", "stop", "words", "kept_doc_id")
+    later = found.join(checkpointed(first), keys).where("again or doc_id > kept_doc_id")
+    line = F.expr("span > 0 and (line_again or doc_id > kept_line)")
+    # a line of several units only marks them
+    places = F.when(F.col("span") > 1, F.sequence("unit", F.col("unit") + F.col("span") - 1)).otherwise(F.array("unit"))
+    own = {c: F.when(F.col("span") < 2, F.col(c)).alias(c) for c in ("start", "stop", "words", "kept_doc_id")}
+    later = later.where(F.expr("span < 2") | line).select("doc_id", F.explode(places).alias("unit"), *own.values(), line.alias("line"))
     by_doc = W.partitionBy("doc_id").orderBy("unit")
     # dense_rank: units of rows that repeat an id share their place in the run
     runs = later.withColumn("run", F.col("unit") - F.dense_rank().over(by_doc))
-    spans = runs.groupBy("doc_id", "run", "unit").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.max("words").alias("words"), F.min("kept_doc_id").alias("kept"))
-    total = spans.groupBy("doc_id", "run").agg(
+    spans = runs.groupBy("doc_id", "run", "unit").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.max("words").alias("words"), F.min("kept_doc_id").alias("kept"), F.max("line").alias("line"))
+    weight = F.sum(F.when(F.col("words") >= UNIT_WORDS, F.col("words")).otherwise(0)).over(W.partitionBy("doc_id", "run"))
+    removed = spans.withColumn("weight", weight).where((F.col("weight") >= min_words) | F.col("line"))
+    removed = removed.withColumn("run", F.col("unit") - F.row_number().over(by_doc))
+    return removed.groupBy("doc_id", "run").agg(
         F.min("start").alias("start"), F.max("stop").alias("stop"), F.count(F.lit(1)).cast("int").alias("n_units"), F.sum("words").cast("int").alias("n_words"), F.min_by("kept", "unit").alias("kept_doc_id"),
-        F.sum(F.when(F.col("words") >= UNIT_WORDS, F.col("words")).otherwise(0)).alias("weight"),
-    )
-    return total.where(F.col("weight") >= min_words).drop("run", "weight")
+    ).drop("run")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:

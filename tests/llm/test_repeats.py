@@ -69,3 +69,48 @@ def test_offsets(text):
     for start, stop, n, unit in repeats.units(text):
         assert len(text[start:stop].split()) == n or not unit.isalnum()
         assert text[start:stop].strip() == text[start:stop]
+
+
+def slow_removed(rows, min_words=20):
+    """Places removed by the definition with whole lines: all lines and units, in order of document."""
+    texts = {d: t for d, t, *_ in rows if d is not None and t is not None}
+    seen, seen_lines, out = set(), set(), []
+    for doc in sorted(texts):
+        found, certain, at = list(repeats.units(texts[doc])), set(), 0
+        for raw in texts[doc].split("\n"):
+            inside = [k for k, u in enumerate(found) if at <= u[0] < at + len(raw)]
+            at += len(raw) + 1
+            if inside:
+                line = " ".join(texts[doc][found[inside[0]][0] : found[inside[-1]][1]].lower().strip(repeats.EDGES).split())
+                certain |= set(inside) if line in seen_lines else set()
+                seen_lines.add(line)
+        again, new = set(), set()
+        for k, u in enumerate(found):
+            again |= {k} if u[3] in seen or u[3] in new else set()
+            new.add(u[3])
+        seen |= new
+        kept, run = set(certain), []
+        for k in range(len(found) + 1):
+            if k in again:
+                run.append(k)
+            else:
+                kept |= set(run) if sum(found[j][2] for j in run if found[j][2] >= repeats.UNIT_WORDS) >= min_words else set()
+                run = []
+        out += [(doc, k, *found[k][:2]) for k in kept]
+    return out
+
+
+def test_every_repeated_line_goes(docs, doc_rows):
+    spans = got(repeats.repeated_spans(docs))
+    places = slow_removed(doc_rows)
+    assert sum(s[3] for s in spans) == len(places) and any(s[4] < 20 for s in spans)
+    ends = {d: [s[1:3] for s in spans if s[0] == d] for d, *_ in places}
+    assert all(any(a <= start and stop <= b for a, b in ends[d]) for d, _, start, stop in places)
+
+
+def test_short_lines_and_texts_without_blanks(spark, none):
+    chinese = "这是一个没有空格的句子用来测试重复的段落是否会被删除。它还有第二个句子在后面"
+    rows = [(0, f"Own words here.\nSee you. Bye now.\nMenu\n{chinese}", None, None, 0), (1, "Other words here.\nSee you. Bye now.\nMENU!", None, None, 0), (2, f"Its own begin. {chinese}。", None, None, 0), (3, chinese, None, None, 0), (4, "Menu of the day. See you. It ends", None, None, 0)]
+    df = spark.createDataFrame(rows, none.schema)
+    cut = {d: [rows[d][1][a:b] for a, b in sorted(s[1:3] for s in got(repeats.repeated_spans(df)) if s[0] == d)] for d in range(5)}
+    assert cut == {0: [], 1: ["See you. Bye now.\nMENU!"], 2: [chinese + "。"], 3: [chinese], 4: []}
