@@ -28,7 +28,7 @@ BLOCK_TOKENS = 1 << 20
 #: Benchmark tokens that one pass over the documents looks for.
 PASS_TOKENS = 2_000_000
 INDEX = "doc_ids array<long>, starts binary, terms binary, ends binary, postings binary"
-FOUND = "doc_id long, n_words long, hits array<int>, items array<long>"
+FOUND = "doc_id long, n_words long, hits array<int>, items array<long>, near array<struct<item: bigint, place: int>>"
 Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
@@ -106,20 +106,34 @@ class Postings:
             starts = starts[(place < len(there)) & (there[np.minimum(place, len(there) - 1)] == starts + k)] if len(there) else starts[:0]
         return starts
 
-    def near(self, terms: np.ndarray, within: int) -> np.ndarray:
-        """Offsets of the rarest term around which all terms lie, none over ``within`` tokens away."""
+    def near(self, terms: np.ndarray, within: int, starts: np.ndarray | None = None) -> np.ndarray:
+        """Offsets of the rarest term around which all terms lie, none over ``within`` tokens away (or in another document, if their ``starts`` are given)."""
         order = np.argsort(self.hi[terms] - self.lo[terms], kind="stable")
-        middle = self.of(terms[order[0]])
-        for k in order[1:]:
-            there = self.of(terms[k])
-            if not len(middle) or not len(there):
-                return middle[:0]
-            after = there[np.minimum(np.searchsorted(there, middle), len(there) - 1)]
-            before = there[np.maximum(np.searchsorted(there, middle, side="right") - 1, 0)]
-            middle = middle[np.minimum(abs(after - middle), abs(before - middle)) <= within]
+        return self.around(self.of(terms[order[0]]), terms[order[1:]], within, starts)
+
+    def around(self, middle: np.ndarray, terms: np.ndarray, within: int, starts: np.ndarray | None = None) -> np.ndarray:
+        """Those offsets ``middle`` that have each of ``terms`` at most ``within`` tokens away."""
+        for term in terms:
+            if not len(middle):
+                break
+            there, low, high = self.of(term), middle - within, middle + within
+            if starts is not None:
+                doc = np.searchsorted(starts, middle, side="right")
+                low, high = np.maximum(low, starts[doc - 1]), np.minimum(high, starts[doc] - 1)
+            middle = middle[np.searchsorted(there, low) < np.searchsorted(there, high, side="right")]
         return middle
 
 
+def reach(n: int) -> int:
+    """How many words from its anchor the terms of a window of ``n`` may lie in a proximity match: its length and half as much again."""
+    return n - 1 + n // 2
+
+
+def anchor(window: tuple[bytes, ...]) -> bytes:
+    """The term of a window at which its proximity matches are placed: the longest, the last in order of bytes of equal ones."""
+    return max(window, key=lambda w: (len(w), w))
+
+
 def phrases(items: list[tuple[int, bytes]], terms: dict[bytes, int], n: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Windows of ``n`` terms of the items, and a window of all terms of each shorter one; the items of each window."""
     of: dict[tuple[int, ...], set[int]] = {}
@@ -131,12 +145,18 @@ def phrases(items: list[tuple[int, bytes]], terms: dict[bytes, int], n: int) ->
 
 
 def matcher(items: list[tuple[int, bytes]], terms: dict[bytes, int], n: int) -> Batches:
-    """Finds ``(doc_id, n_words, hits, items)`` for each document of rows of the index.
+    """Finds ``(doc_id, n_words, hits, items, near)`` for each document of rows of the index.
 
     ``hits``: runs ``[from, to)`` of word places inside an occurrence of a
     window, flattened; ``items``: those with an occurring window, ascending.
+    ``near``: proximity matches ``(item, place)``, in order: word places of a
+    window's ``anchor`` with all its terms, in any order and with other words
+    between, at most ``reach`` words away in the same document.
     """
     windows, owners = phrases(items, terms, n)
+    spelled = list(terms)
+    distinct = [np.unique(w) for w in windows]
+    anchors = [terms[anchor(tuple(spelled[k] for k in w))] for w in windows]
     widest = max((len(w) for w in windows), default=1)
     grid = np.stack([np.concatenate([w, np.repeat(w[-1:], widest - len(w))]) for w in windows]) if windows else np.zeros((0, widest), np.int64)
 
@@ -146,7 +166,7 @@ def matcher(items: list[tuple[int, bytes]], terms: dict[bytes, int], n: int) ->
             starts = np.frombuffer(row["starts"], np.int64)
             lengths = lists.hi - lists.lo
             edge = np.zeros(int(starts[-1]) + 1, np.int32)
-            docs_of, items_of = [], []
+            docs_of, items_of, near_of = [], [], [np.zeros((3, 0), np.int64)]
             for k in np.flatnonzero(lengths[grid].min(axis=1) > 0) if len(grid) else ():
                 at = lists.phrase(windows[k])
                 if len(at):
@@ -155,6 +175,11 @@ def matcher(items: list[tuple[int, bytes]], terms: dict[bytes, int], n: int) ->
                     held = np.unique(np.searchsorted(starts, at, side="right") - 1)
                     docs_of.append(np.repeat(held, len(owners[k])))
                     items_of.append(np.tile(owners[k], len(held)))
+                within = reach(len(windows[k]))
+                if len(lists.near(distinct[k], 2 * within, starts)):  # by the rarest term, as all lie around the anchor
+                    close = lists.around(lists.of(anchors[k]), distinct[k], within, starts).astype(np.int64)
+                    doc = np.searchsorted(starts, close, side="right") - 1
+                    near_of.append(np.stack([np.repeat(doc, len(owners[k])), np.tile(owners[k], len(close)), np.repeat(close - starts[doc], len(owners[k]))]))
             hit = np.concatenate([[0], (np.cumsum(edge[:-1]) > 0).astype(np.int8)])
             turns = np.flatnonzero(np.diff(np.append(hit, 0)))  # hit runs start and end in turn, and never cross documents
             run_doc = np.searchsorted(starts, turns, side="right") - 1
@@ -162,11 +187,13 @@ def matcher(items: list[tuple[int, bytes]], terms: dict[bytes, int], n: int) ->
             places = (turns - starts[run_doc]).astype(np.int32)
             bounds = np.searchsorted(run_doc, np.arange(len(starts)))
             item_bounds = np.searchsorted(pairs[0], np.arange(len(starts)))
-            yield as_batch([(doc, int(starts[k + 1] - starts[k] - 2), places[bounds[k] : bounds[k + 1]].tolist(), pairs[1][item_bounds[k] : item_bounds[k + 1]].tolist()) for k, doc in enumerate(row["doc_ids"])])
+            near = np.unique(np.concatenate(near_of, axis=1), axis=1)
+            near_bounds = np.searchsorted(near[0], np.arange(len(starts)))
+            yield as_batch([(doc, int(starts[k + 1] - starts[k] - 2), places[bounds[k] : bounds[k + 1]].tolist(), pairs[1][item_bounds[k] : item_bounds[k + 1]].tolist(), [{"item": i, "place": p} for i, p in near[1:, near_bounds[k] : near_bounds[k + 1]].T.tolist()]) for k, doc in enumerate(row["doc_ids"])])
 
     def as_batch(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())]
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["doc_id", "n_words", "hits", "items"])
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.struct([("item", pa.int64()), ("place", pa.int32())]))]
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["doc_id", "n_words", "hits", "items", "near"])
 
     return run
 
@@ -182,7 +209,7 @@ def build_index(docs: DataFrame, terms: dict[bytes, int], id_col: str = "doc_id"
 
 
 def matches(index: DataFrame, items: list[tuple[int, bytes]], terms: dict[bytes, int], n: int = PHRASE) -> DataFrame:
-    """``(doc_id, n_words, hits, items)`` of a kept index, a row for each document."""
+    """``(doc_id, n_words, hits, items, near)`` of a kept index, a row for each document."""
     return index.mapInArrow(matcher(items, terms, n), FOUND)
 
 
@@ -211,7 +238,7 @@ def benchmark_passes(benchmark: DataFrame, item_col: str, text_col: str) -> list
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = PHRASE) -> DataFrame:
-    """``(doc_id, n_words, hits, items)``, a row for each row of ``docs``.
+    """``(doc_id, n_words, hits, items, near)``, a row for each row of ``docs``; see ``matcher``.
 
     A null text has no words and no hits; so has every document if the benchmark
     is empty or its texts are.  Items that repeat an id count as one; a null item
@@ -226,11 +253,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         found = part if found is None else found.union(part)
     if len(passes) == 1:
         return found
-    covered = F.sort_array(F.array_distinct(F.flatten(F.collect_list(F.expr("flatten(transform(sequence(0, size(hits) - 2, 2), k -> sequence(hits[k], hits[k + 1] - 1)))")))))
-    merged = found.where("size(hits) > 0").groupBy("doc_id").agg(covered.alias("places"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    covered = F.sort_array(F.array_distinct(F.flatten(F.collect_list(F.expr("if(size(hits) > 0, flatten(transform(sequence(0, size(hits) - 2, 2), k -> sequence(hits[k], hits[k + 1] - 1))), null)")))))
+    merged = found.where("size(hits) > 0 or size(near) > 0").groupBy("doc_id").agg(covered.alias("places"), *[F.sort_array(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("items", "near")])
     singles = F.expr("flatten(transform(places, p -> array(p, p + 1)))")
     every = found.groupBy("doc_id").agg(F.max("n_words").alias("n_words"))
-    return every.join(merged, every["doc_id"].eqNullSafe(merged["doc_id"]), "left").select(every["doc_id"], "n_words", F.coalesce(singles, F.expr("cast(array() as array<int>)")).alias("hits"), F.coalesce("items", F.expr("cast(array() as array<bigint>)")).alias("items"))
+    return every.join(merged, every["doc_id"].eqNullSafe(merged["doc_id"]), "left").select(every["doc_id"], "n_words", F.coalesce(singles, F.expr("cast(array() as array<int>)")).alias("hits"), F.coalesce("items", F.expr("cast(array() as array<bigint>)")).alias("items"), F.coalesce("near", F.expr("cast(array() as array<struct<item: bigint, place: int>>)")).alias("near"))
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -72,3 +72,30 @@ def test_near(spark):
     lists = dc.Postings(bytes(row["terms"]), bytes(row["ends"]), bytes(row["postings"]), len(terms))
     assert lists.near(dc.np.array([terms[b"a"], terms[b"b"], terms[b"c"]]), 5).tolist() == [0]
     assert lists.phrase(dc.np.array([terms[b"a"], terms[b"b"]])).tolist() == []
+
+
+def slow_near(rows, items, n=10):
+    out = []
+    for doc, text, *_ in rows:
+        w, found = words(text), set()
+        for item, passage in items:
+            ws = words(passage) if item is not None else []
+            for k in range(max(1, len(ws) - n + 1) if ws else 0):
+                window = ws[k : k + n]
+                first, far = max(window, key=lambda x: (len(x.encode()), x.encode())), dc.reach(len(window))
+                found |= {(item, p) for p, x in enumerate(w) if x == first and set(window) <= set(w[max(0, p - far) : p + far + 1])}
+        out.append((doc, sorted(found)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("block, per_pass", [(1 << 20, 2_000_000), (30, 2_000_000), (200, 5)])
+def test_proximity_matches(spark, edge_rows, none, items, monkeypatch, block, per_pass):
+    monkeypatch.setattr(dc, "BLOCK_TOKENS", block)
+    monkeypatch.setattr(dc, "PASS_TOKENS", per_pass)
+    w = ITEMS[5][1].split()
+    inserted = " ".join(x for k in range(0, 12, 4) for x in [*w[k : k + 4], "other"])
+    rows = [*planted(edge_rows), (60, f"x {inserted} y", None, None, 0), (61, " ".join([w[1], w[0], *w[2:]]), None, None, 0), (62, " ".join(w[:6]), None, None, 0), (63, " ".join(w[6:]), None, None, 0), (64, " far out ".join(w), None, None, 0)]
+    rows = list({r[0]: r for r in rows if r[0] is not None}.values())
+    found = {r["doc_id"]: [tuple(x) for x in r["near"]] for r in dc.contamination(spark.createDataFrame(rows, none.schema).coalesce(1), items).collect()}
+    assert sorted(found.items(), key=repr) == slow_near(rows, ITEMS)
+    assert found[60] and found[61] and not found[62] and not found[63] and not found[64]
