@@ -261,11 +261,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(found, "fingerprint").select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: The wide setting: words of a shingle, least similarity (Jaccard) of shingle sets, fingerprints of a text, and bits by which each may differ.
-WORDS, SIMILAR, PRINTS, WIDE_BITS = 5, 0.8, 4, 11
+# The wide setting.  Of texts that are 0.8 similar about one bit in seven differs.  The
+# trie would need 11 bits of four fingerprints, and its rows are too many for the
+# disk (README), so that here bands of MinHashes find the candidates.
+
+#: Words of a shingle, least similarity (Jaccard) of shingle sets, and SimHashes by which candidates are looked through.
+WORDS, SIMILAR, PRINTS = 5, 0.8, 4
+#: Bands, and MinHashes that must agree in one: all but 2 of 100,000 pairs of a similarity of 0.8 are expected to share a band.
+BANDS, DEEP = 36, 6
 #: Differing bits of all fingerprints together above which a pair isn't compared: at a similarity of 0.8, 39 are expected, with a deviation of 6.
 ALL_BITS = 72
-#: Texts of a block that are all compared with each other; in larger ones so many pivots are, to begin with.
+#: Texts of a block that are all compared with each other; in larger ones all meet so many pivots first.
 BLOCK_TEXTS, PIVOTS = 64, 8
 #: Multipliers that make further hashes of one.
 MIXERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -292,26 +298,42 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
 
 
+def band_hashers() -> tuple[np.ndarray, np.ndarray]:
+    """Odd multipliers and summands of the MinHashes."""
+    rng = np.random.default_rng(SEED)
+    return tuple(rng.integers(0, 2**63, BANDS * DEEP, dtype=np.uint64).astype(np.uint32)[:, None] | np.uint32(1) for _ in range(2))
+
+
+def band_keys(hashes: np.ndarray, by: np.ndarray, plus: np.ndarray) -> np.ndarray:
+    """A key for each band of MinHashes of a set of shingles."""
+    least, short = np.full(BANDS * DEEP, 2**32 - 1, np.uint32), (hashes ^ (hashes >> np.uint64(32))).astype(np.uint32)
+    for k in range(0, len(short), 1024):
+        least = np.minimum(least, (by * short[k : k + 1024] + plus).min(axis=1))
+    return np.array([xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(least.reshape(BANDS, DEEP))], np.uint64).view(np.int64)
+
+
 def wide_prints(rows: DataFrame, key: str, text_col: str) -> DataFrame:
-    """``(row, d1, d2, s0, s1, ...)``: a 128-bit digest of the words of each text, and independent SimHashes of its set of shingles."""
+    """``(row, d1, d2, s0, s1, ..., bands)``: a 128-bit digest of the words of each text; independent SimHashes and ``band_keys`` of its set of shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by, plus = band_hashers()
         for batch in batches:
-            digests, values = [], np.zeros((batch.num_rows, PRINTS), np.uint64)
+            digests, values, keys = [], np.zeros((batch.num_rows, PRINTS), np.uint64), []
             for k, x in enumerate(batch.column(1)):
                 text = x.as_py() or b""
                 digests.append(xxhash.xxh3_128_digest(b" ".join(text.lower().split())))
                 hashes = shingle_set(text)
+                keys.append(band_keys(hashes, by, plus))
                 for p in range(PRINTS if len(hashes) else 0):
                     h = (hashes ^ (hashes >> np.uint64(29 + p))) * MIXERS[p]
                     h = (h ^ (h >> np.uint64(32))) * MIXERS[p - 1]
                     values[k, p] = np.packbits(2 * bit_counts(h ^ (h >> np.uint64(29))) > len(h), bitorder="little").view("<u8")[0]
             halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            arrays = [batch.column(0), *[pa.array(halves[:, j].copy()) for j in (0, 1)], *[pa.array(values[:, p].copy().view(np.int64)) for p in range(PRINTS)]]
-            yield pa.RecordBatch.from_arrays(arrays, names=["row", "d1", "d2", *[f"s{p}" for p in range(PRINTS)]])
+            arrays = [batch.column(0), *[pa.array(halves[:, j].copy()) for j in (0, 1)], *[pa.array(values[:, p].copy().view(np.int64)) for p in range(PRINTS)], pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["row", "d1", "d2", *[f"s{p}" for p in range(PRINTS)], "bands"])
 
     small_batches(rows.sparkSession)
-    schema = "row long, d1 long, d2 long, " + ", ".join(f"s{p} long" for p in range(PRINTS))
+    schema = "row long, d1 long, d2 long, " + ", ".join(f"s{p} long" for p in range(PRINTS)) + ", bands array<long>"
     return rows.select(F.col(key).alias("row"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, schema)
 
 
@@ -336,44 +358,37 @@ def confirmed(pairs: DataFrame, rows: DataFrame, key: str, text_col: str, least:
 
 
 def similar_links(nodes: DataFrame, rows: DataFrame, key: str, text_col: str, least: float) -> DataFrame:
-    """``(a, b)`` links of the texts ``(node, s0, ...)`` that are ``least`` similar, enough to join them.
+    """``(a, b)`` links of the texts ``(node, s0, ..., bands)`` that are ``least`` similar, enough to join them.
 
-    Blocks are what links within ``WIDE_BITS`` of any fingerprint join; a link
-    is confirmed by the texts.  In a block of up to ``BLOCK_TEXTS`` every pair is
-    a candidate.  In a larger one all are compared with pivots and those that
-    match one go; the rest gets twice the pivots until few are left.
+    Blocks are what shared keys of bands join; a link is confirmed by the texts.  In a block of up to ``BLOCK_TEXTS`` every pair is
+    a candidate.  In a larger one all are compared with pivots first; what isn't
+    in the largest component then is compared with all outside its own.
     """
-    n, edges = nodes.count(), None
-    for p in range(PRINTS):
-        prints = checkpointed(nodes.groupBy(F.col(f"s{p}").alias("fp")).agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("n")))
-        links = near_links(prints, WIDE_BITS, n)
-        ends = [prints.select(F.col("fp").alias(c), F.col("rep").alias(f"n{c}")) for c in "ab"]
-        part = links.join(ends[0], "a").join(ends[1], "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
-        shared = prints.where("n > 1").select(F.col("fp").alias(f"s{p}"), "rep")
-        part = checkpointed(part.union(nodes.join(shared, f"s{p}").select(F.col("node").alias("a"), F.col("rep").alias("b"))))
-        edges = part if edges is None else edges.union(part)
+    keys = nodes.select("node", F.explode("bands").alias("key"))
+    # written, so that the join deals out both sides anew and a very common key can be split over tasks
+    shared = checkpointed(keys.groupBy("key").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    edges = keys.join(shared, "key").select(F.col("node").alias("a"), F.col("rep").alias("b")).where("a <> b")
     sums = [f"s{p}" for p in range(PRINTS)]
     left = checkpointed(connected_components(edges).join(nodes, "node").select("root", "node", *sums))
     other = lambda x: x.select("root", F.col("node").alias("b"), *[F.col(s).alias(f"t{s}") for s in sums])
     near = reduce(lambda x, y: x + y, [F.bit_count(F.col(s).bitwiseXOR(F.col(f"t{s}"))) for s in sums]) <= ALL_BITS
-    found, pivots = None, PIVOTS
-    while True:
-        sizes = checkpointed(left.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-        small = left.join(sizes.where(F.col("n") <= BLOCK_TEXTS), "root").drop("n")
-        pairs = small.withColumnRenamed("node", "a").join(other(small), "root").where("a < b").where(near).select("a", "b")
-        many = sizes.where(F.col("n") > BLOCK_TEXTS)
-        done = many.isEmpty()
-        if not done:
-            large = left.join(many, "root").drop("n").withColumn("turn", F.pmod(F.xxhash64("node", F.lit(pivots)), F.lit(pivots)))
-            chosen = checkpointed(large.groupBy("root", "turn").agg(F.min_by(F.struct("node", *sums), F.xxhash64("node")).alias("x")).select("root", "x.*"))
-            pairs = pairs.union(large.withColumnRenamed("node", "a").join(other(chosen), "root").where("a <> b").where(near).select("a", "b"))
-        part = checkpointed(confirmed(checkpointed(pairs), rows, key, text_col, least))
-        found = part if found is None else found.union(part)
-        if done:
-            return found
-        gone = part.select(F.col("a").alias("node")).union(chosen.select("node")).distinct()
-        left = checkpointed(large.drop("turn").join(gone, "node", "left_anti").select("root", "node", *sums))
-        pivots *= 2
+    sizes = checkpointed(left.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    small = left.join(sizes.where(F.col("n") <= BLOCK_TEXTS), "root").drop("n")
+    pairs = small.withColumnRenamed("node", "a").join(other(small), "root").where("a < b").where(near).select("a", "b")
+    many = sizes.where(F.col("n") > BLOCK_TEXTS)
+    if many.isEmpty():
+        return checkpointed(confirmed(checkpointed(pairs), rows, key, text_col, least))
+    large = checkpointed(left.join(many, "root").drop("n").withColumn("turn", F.pmod(F.xxhash64("node"), F.lit(PIVOTS))))
+    chosen = checkpointed(large.groupBy("root", "turn").agg(F.min_by(F.struct("node", *sums), F.xxhash64("node")).alias("x")).select("root", "x.*"))
+    pairs = pairs.union(large.withColumnRenamed("node", "a").join(other(chosen), "root").where("a <> b").where(near).select("a", "b"))
+    found = checkpointed(confirmed(checkpointed(pairs), rows, key, text_col, least))
+    components = connected_components(found).withColumnRenamed("root", "component")
+    labelled = checkpointed(large.join(components, "node", "left").withColumn("component", F.coalesce("component", "node")).select("root", "node", "component", *sums))
+    top = labelled.groupBy("root", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("root").agg(F.max_by("component", F.struct("n", "component")).alias("top"))
+    outside = labelled.join(checkpointed(top), "root").where("component <> top").withColumnRenamed("node", "a")
+    every = other(labelled.drop("component")).join(labelled.select(F.col("node").alias("b"), F.col("component").alias("of")), "b")
+    more = outside.join(every, "root").where("component <> of and (of = top or a < b)").where(near).select("a", "b")
+    return found.union(checkpointed(confirmed(checkpointed(more), rows, key, text_col, least)))
 
 
 def similar_rows(rows: DataFrame, key: str, text_col: str = "text", least: float = SIMILAR) -> DataFrame:
@@ -384,8 +399,9 @@ def similar_rows(rows: DataFrame, key: str, text_col: str = "text", least: float
     """
     prints = checkpointed(wide_prints(rows, key, text_col))
     sums = [f"s{p}" for p in range(PRINTS)]
-    texts = checkpointed(prints.groupBy("d1", "d2").agg(F.min("row").alias("node"), *[F.first(s).alias(s) for s in sums]))
-    roots = connected_components(similar_links(texts.select("node", *sums), rows, key, text_col, least))
+    least_row = prints.groupBy("d1", "d2").agg(F.min("row").alias("node"))
+    texts = checkpointed(least_row.join(prints.select(F.col("row").alias("node"), *sums, "bands"), "node"))
+    roots = connected_components(similar_links(texts.select("node", *sums, "bands"), rows, key, text_col, least))
     rooted = texts.select("d1", "d2", "node").join(roots, "node", "left").select("d1", "d2", F.coalesce("root", "node").alias("component"))
     # written, so that the join deals out both sides anew and a very common text can be split over tasks
     return prints.select("row", "d1", "d2").join(checkpointed(rooted), ["d1", "d2"]).select("row", "component")
