@@ -1,34 +1,40 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
-The index is split by document: each row of it is a block of documents with the
-posting lists (token offsets within the block) of every term of the benchmark
-that occurs there.  A phrase is looked up in each block by intersecting the
-lists of its terms, shifted by their offsets, from the shortest list on; the
-terms' frequencies in the block say which are rarest.  Nothing is shuffled to
-find matches, and a passage that very many documents hold costs as much in each.
+The index of the training documents is a stored table.  Each row of it is a
+block of documents with the posting lists (token offsets within the block) of
+every term that occurs there; a term is known by its 64-bit digest, so that an
+index serves any benchmark.  The windows of the benchmark are looked up in each
+block: their terms' lists, shifted by the terms' offsets, are intersected from
+the rarest term on, for all windows at once.  Nothing is shuffled to find
+matches, and a passage that very many documents hold costs as much in each.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casona.llm.shared import small_batches
+from casona.llm.shared import checkpoint_folder, checkpointed, text_pieces
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")  # of UTF-8 bytes in lower case
 PHRASE = 10
+SEED = 42
 #: Tokens of a block, at least; a block ends with the document that exceeds them.
 BLOCK_TOKENS = 1 << 20
-#: Benchmark tokens that one pass over the documents looks for.
-PASS_TOKENS = 2_000_000
-INDEX = "doc_ids array<long>, starts binary, terms binary, ends binary, postings binary"
-FOUND = "doc_id long, n_words long, hits array<int>, items array<long>, near array<struct<item: bigint, place: int>>"
+#: Tokens of a lot of benchmark items, on average: what the driver and a task hold at once.
+LOT_TOKENS = 1_000_000
+#: Occurrences of windows that are followed at once.
+FOLLOWED = 1 << 20
+INDEX = "block long, doc_ids array<long>, starts binary, terms binary, ends binary, postings binary"
+FOUND = "block long, place int, doc_id long, n_words long, hits array<int>, items array<long>, near array<struct<item: bigint, place: int>>"
 Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
@@ -36,92 +42,103 @@ def words(text: bytes | None) -> list[bytes]:
     return WORD.findall((text or b"").lower())
 
 
-def vocabulary(items: list[tuple[int, bytes]]) -> dict[bytes, int]:
-    out: dict[bytes, int] = {}
-    for _, text in items:
-        for w in words(text):
-            out.setdefault(w, len(out))
-    return out
+def term_of(word: bytes) -> int:
+    return xxhash.xxh64_intdigest(word, SEED)
 
 
-def indexer(terms: dict[bytes, int]) -> Batches:
-    """Makes rows of the index of batches of ids and texts.
+class Block:
+    """Documents as posting lists: ``keys``, ascending, has term times ``span`` and offset of every token.
 
-    ``starts``: token offset of each document and the end of the last, int64;
-    ``terms``: those that occur; ``ends``: where the list of each ends;
-    ``postings``: token offsets, ascending in each list, int32.  Documents are
-    two tokens apart, so that no phrase crosses from one to the next.
+    ``starts``: offset of each document and the end of the last; ``terms``:
+    digests that occur, ascending; ``ends``: where the list of each ends;
+    ``postings``: offsets, ascending in each list.  Documents are two tokens
+    apart, so that no phrase crosses from one to the next.
     """
 
-    def flush(ids: list, lengths: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
-        starts = np.cumsum([0, *(n + 2 for n in lengths)])
-        tokens = np.concatenate(found)
-        at = np.flatnonzero(tokens >= 0)
-        by_term = at[np.argsort(tokens[at], kind="stable")]
-        present, counts = np.unique(tokens[at], return_counts=True)
-        ends = np.cumsum(counts)
-        row = [[ids], [starts.tobytes()], [present.astype(np.int32).tobytes()], [ends.astype(np.int64).tobytes()], [by_term.astype(np.int32).tobytes()]]
-        kinds = [pa.list_(pa.int64()), *[pa.binary()] * 4]
-        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], names=["doc_ids", "starts", "terms", "ends", "postings"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, lengths, found, size, term = [], [], [], 0, terms.get
-        for batch in batches:
-            for key, text in zip(batch.column(0), batch.column(1), strict=True):
-                tokens = words(text.as_py())
-                ids.append(key.as_py())
-                lengths.append(len(tokens))
-                found.append(np.array([term(w, -1) for w in tokens] + [-1, -1], np.int32))
-                size += len(tokens) + 2
-                if size >= BLOCK_TOKENS:
-                    yield flush(ids, lengths, found)
-                    ids, lengths, found, size = [], [], [], 0
-        if ids:
-            yield flush(ids, lengths, found)
-
-    return run
-
-
-class Postings:
-    """The posting lists of one block."""
-
-    def __init__(self, terms: bytes, ends: bytes, postings: bytes, n_terms: int):
-        present, ends_of = np.frombuffer(terms, np.int32), np.frombuffer(ends, np.int64)
-        self.at = np.frombuffer(postings, np.int32)
-        self.lo, self.hi = np.zeros(n_terms, np.int64), np.zeros(n_terms, np.int64)
-        self.lo[present], self.hi[present] = np.concatenate([[0], ends_of[:-1]]) if len(ends_of) else ends_of, ends_of
-
-    def of(self, term: int) -> np.ndarray:
-        return self.at[self.lo[term] : self.hi[term]]
-
-    def phrase(self, terms: np.ndarray) -> np.ndarray:
-        """Offsets at which the terms follow one another."""
-        order = np.argsort(self.hi[terms] - self.lo[terms], kind="stable")
-        starts = self.of(terms[order[0]]) - order[0]
-        for k in order[1:]:
-            if not len(starts):
-                break
-            there = self.of(terms[k])
-            place = np.searchsorted(there, starts + k)
-            starts = starts[(place < len(there)) & (there[np.minimum(place, len(there) - 1)] == starts + k)] if len(there) else starts[:0]
-        return starts
-
-    def near(self, terms: np.ndarray, within: int, starts: np.ndarray | None = None) -> np.ndarray:
-        """Offsets of the rarest term around which all terms lie, none over ``within`` tokens away (or in another document, if their ``starts`` are given)."""
-        order = np.argsort(self.hi[terms] - self.lo[terms], kind="stable")
-        return self.around(self.of(terms[order[0]]), terms[order[1:]], within, starts)
-
-    def around(self, middle: np.ndarray, terms: np.ndarray, within: int, starts: np.ndarray | None = None) -> np.ndarray:
-        """Those offsets ``middle`` that have each of ``terms`` at most ``within`` tokens away."""
-        for term in terms:
-            if not len(middle):
-                break
-            there, low, high = self.of(term), middle - within, middle + within
-            if starts is not None:
-                doc = np.searchsorted(starts, middle, side="right")
-                low, high = np.maximum(low, starts[doc - 1]), np.minimum(high, starts[doc] - 1)
-            middle = middle[np.searchsorted(there, low) < np.searchsorted(there, high, side="right")]
-        return middle
+    def __init__(self, starts: np.ndarray, terms: np.ndarray, ends: np.ndarray, postings: np.ndarray):
+        self.starts, self.terms, self.ends, self.postings = starts, terms, ends, postings
+        self.firsts = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(ends) else ends
+        self.span = int(starts[-1]) + 1
+        self.keys = np.repeat(np.arange(len(terms)), np.diff(ends, prepend=0)) * self.span + postings
+
+    @staticmethod
+    def of(documents: list[list[bytes]]) -> Block:
+        known: dict[bytes, int] = {}
+        lengths = np.array([len(d) for d in documents], np.int64)
+        starts = np.concatenate([[0], np.cumsum(lengths + 2)])
+        tokens = np.fromiter((known.setdefault(w, len(known)) for d in documents for w in d), np.int64, int(lengths.sum()))
+        at = np.arange(len(tokens)) + np.repeat(2 * np.arange(len(lengths)), lengths)
+        digests = np.array([term_of(w) for w in known], np.uint64)
+        terms, which = np.unique(digests, return_inverse=True)
+        own = which[tokens] if len(tokens) else tokens
+        return Block(starts, terms, np.cumsum(np.bincount(own, minlength=len(terms))), at[np.argsort(own, kind="stable")])
+
+    def numbers(self, digests: np.ndarray) -> np.ndarray:
+        """Places of the digests among the block's terms; -1 where a term doesn't occur."""
+        if not len(self.terms):
+            return np.full(digests.shape, -1)
+        at = np.minimum(np.searchsorted(self.terms, digests), len(self.terms) - 1)
+        return np.where(self.terms[at] == digests, at, -1)
+
+    def document(self, offsets: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.starts, offsets, side="right") - 1
+
+    def occurrences(self, numbers: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of a list of terms: pairs of its places and the offsets of each term there, some at once."""
+        counts = self.ends[numbers] - self.firsts[numbers]
+        lot = np.cumsum(counts) // FOLLOWED
+        for k in np.unique(lot):
+            which = np.flatnonzero(lot == k)
+            n = counts[which]
+            own = np.repeat(which, n)
+            yield own, self.postings[np.repeat(self.firsts[numbers[which]], n) + np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)]
+
+    def holds(self, numbers: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Whether a term occurs at an offset from ``low`` to ``high``."""
+        base = numbers * self.span
+        return np.searchsorted(self.keys, base + low) < np.searchsorted(self.keys, base + high, side="right")
+
+    def phrases(self, windows: Windows) -> tuple[np.ndarray, np.ndarray]:
+        """``(window, offset)`` of every occurrence of a window."""
+        live, numbers, order = windows.within(self)
+        out = []
+        for own, offset in self.occurrences(numbers[np.arange(len(live)), order[:, 0]] if len(live) else live):
+            start = offset - order[own, 0]
+            for k in range(1, numbers.shape[1]):
+                at = order[own, k]
+                term = numbers[own, at]
+                fits = (term < 0) | self.holds(np.maximum(term, 0), np.maximum(start, 0) + at, np.maximum(start, 0) + at) & (start >= 0)
+                own, start = own[fits], start[fits]
+            keep = start >= 0
+            out.append(np.stack([live[own[keep]], start[keep]]))
+        both = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+        return both[0], both[1]
+
+    def proximities(self, windows: Windows) -> tuple[np.ndarray, np.ndarray]:
+        """``(window, offset)`` of the anchor of a window wherever all its terms lie at most ``reach`` tokens away in the same document."""
+        live, numbers, order = windows.within(self)
+        if not len(live):
+            return live, live
+
+        def around(own: np.ndarray, middle: np.ndarray, within: np.ndarray) -> np.ndarray:
+            """Which of the offsets have every term of their window so near."""
+            left = np.arange(len(own))
+            for k in range(numbers.shape[1]):
+                o, m = own[left], middle[left]
+                term, doc = numbers[o, order[o, k]], self.document(m)
+                low, high = np.maximum(m - within[o], self.starts[doc]), np.minimum(m + within[o], self.starts[doc + 1] - 1)
+                left = left[(term < 0) | self.holds(np.maximum(term, 0), low, high)]
+            return left
+
+        far = windows.reach[live]
+        some = np.zeros(len(live), bool)
+        for own, offset in self.occurrences(numbers[np.arange(len(live)), order[:, 0]]):  # the rarest term: as all lie around the anchor
+            some[own[around(own, offset, 2 * far)]] = True
+        chosen, out = np.flatnonzero(some), [np.zeros((2, 0), np.int64)]
+        for own, offset in self.occurrences(numbers[chosen, windows.anchor[live[chosen]]]):
+            left = around(chosen[own], offset, far)
+            out.append(np.stack([live[chosen[own[left]]], offset[left]]))
+        return tuple(np.concatenate(out, axis=1))
 
 
 def reach(n: int) -> int:
@@ -129,135 +146,209 @@ def reach(n: int) -> int:
     return n - 1 + n // 2
 
 
-def anchor(window: tuple[bytes, ...]) -> bytes:
-    """The term of a window at which its proximity matches are placed: the longest, the last in order of bytes of equal ones."""
-    return max(window, key=lambda w: (len(w), w))
-
-
-def phrases(items: list[tuple[int, bytes]], terms: dict[bytes, int], n: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Windows of ``n`` terms of the items, and a window of all terms of each shorter one; the items of each window."""
-    of: dict[tuple[int, ...], set[int]] = {}
-    for item, text in items:
-        ids = [terms[w] for w in words(text)]
-        for k in range(max(1, len(ids) - n + 1) if ids else 0):
-            of.setdefault(tuple(ids[k : k + n]), set()).add(item)
-    return [np.array(w) for w in of], [np.array(sorted(x)) for x in of.values()]
-
-
-def matcher(items: list[tuple[int, bytes]], terms: dict[bytes, int], n: int) -> Batches:
-    """Finds ``(doc_id, n_words, hits, items, near)`` for each document of rows of the index.
-
-    ``hits``: runs ``[from, to)`` of word places inside an occurrence of a
-    window, flattened; ``items``: those with an occurring window, ascending.
-    ``near``: proximity matches ``(item, place)``, in order: word places of a
-    window's ``anchor`` with all its terms, in any order and with other words
-    between, at most ``reach`` words away in the same document.
+def anchor(window: tuple[bytes, ...]) -> int:
+    """The place in a window at which its proximity matches are placed: its longest term, the last in order of bytes of equal ones."""
+    return max(range(len(window)), key=lambda k: (len(window[k]), window[k]))
+
+
+class Windows:
+    """Windows of ``n`` words of benchmark items, and one of all words of each shorter item, with the items of each."""
+
+    def __init__(self, items: list[tuple[int, bytes]], n: int):
+        of: dict[tuple[bytes, ...], set[int]] = {}
+        for item, text in items:
+            tokens = words(text)
+            for k in range(max(1, len(tokens) - n + 1) if tokens else 0):
+                of.setdefault(tuple(tokens[k : k + n]), set()).add(item)
+        self.length = np.array([len(w) for w in of], np.int64)
+        widest = int(self.length.max(initial=1))
+        known = {w: term_of(w) for w in {w for window in of for w in window}}
+        self.digests = np.zeros((len(of), widest), np.uint64)
+        for k, window in enumerate(of):
+            self.digests[k, : len(window)] = [known[w] for w in window]
+        self.filled = np.arange(widest) < self.length[:, None]
+        self.anchor = np.array([anchor(w) for w in of], np.int64)
+        self.reach = np.array([reach(len(w)) for w in of], np.int64)
+        self.owners = np.concatenate([np.zeros(0, np.int64), *(np.array(sorted(x), np.int64) for x in of.values())])
+        self.owner_ends = np.cumsum([0, *(len(x) for x in of.values())])
+
+    def within(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Windows whose terms all occur in a block; their terms' numbers there, -1 beyond a window's end; places from the rarest term to the commonest, then those."""
+        if not len(self.digests):
+            return np.zeros(0, np.int64), np.zeros((0, 1), np.int64), np.zeros((0, 1), np.int64)
+        numbers = block.numbers(self.digests)
+        live = np.flatnonzero(((numbers >= 0) | ~self.filled).all(axis=1))
+        numbers = np.where(self.filled[live], numbers[live], -1)
+        counts = np.where(numbers >= 0, (block.ends - block.firsts)[numbers] if len(block.ends) else 0, np.iinfo(np.int64).max)
+        return live, numbers, np.argsort(counts, axis=1, kind="stable")
+
+    def of_items(self, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each of ``window`` its items: places among ``window``, and items."""
+        n = self.owner_ends[window + 1] - self.owner_ends[window]
+        own = np.repeat(np.arange(len(window)), n)
+        return own, self.owners[self.owner_ends[window][own] + np.arange(len(own)) - (np.cumsum(n) - n)[own]]
+
+
+def blocks(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[list[pa.RecordBatch], Block]]:
+    """Blocks of rows, with the rows themselves."""
+    rows, documents, size = [], [], 0
+    for batch in batches:
+        for piece, texts in text_pieces(batch, text_at):
+            for text in texts:
+                documents.append(words(text))
+                size += len(documents[-1]) + 2
+            rows.append(piece)
+            if size >= BLOCK_TOKENS:
+                yield rows, Block.of(documents)
+                rows, documents, size = [], [], 0
+    if rows:
+        yield rows, Block.of(documents)
+
+
+def as_bytes(values: np.ndarray, kind: type) -> bytes:
+    return values.astype(kind).tobytes()
+
+
+def make_index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of the index of batches of ids and texts; ``block`` numbers them."""
+    number = TaskContext.get().partitionId() << 33
+    for rows, block in blocks(batches, 1):
+        ids = pa.chunked_array([r.column(0) for r in rows]).to_pylist()
+        row = [[number], [ids], [as_bytes(block.starts, np.int64)], [as_bytes(block.terms, np.uint64)], [as_bytes(block.ends, np.int64)], [as_bytes(block.postings, np.int32)]]
+        kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4]
+        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], names=["block", "doc_ids", "starts", "terms", "ends", "postings"])
+        number += 1
+
+
+def runs(block: Block, window: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of the runs of tokens inside the given windows, in turn, and the document of each; no run crosses documents."""
+    edge = np.zeros(block.span + 1, np.int64)
+    np.add.at(edge, start, 1)
+    np.add.at(edge, start + length[window], -1)
+    hit = (np.cumsum(edge) > 0).astype(np.int8)
+    turns = np.flatnonzero(np.diff(hit, prepend=0, append=0))
+    return turns, block.document(turns)
+
+
+def lookup(windows: Windows, every: bool) -> Batches:
+    """Finds ``(block, place, doc_id, n_words, hits, items, near)`` in rows of the index, for ``every`` document or for those with a match.
+
+    ``place``: of the document in its block.  ``hits``: runs ``[from, to)`` of
+    word places inside an occurrence of a window, flattened; ``items``: those
+    with an occurring window, ascending.  ``near``: proximity matches ``(item,
+    place)``, in order: word places of a window's ``anchor`` with all its terms,
+    in any order and with other words between, at most ``reach`` words away in
+    the same document.
     """
-    windows, owners = phrases(items, terms, n)
-    spelled = list(terms)
-    distinct = [np.unique(w) for w in windows]
-    anchors = [terms[anchor(tuple(spelled[k] for k in w))] for w in windows]
-    widest = max((len(w) for w in windows), default=1)
-    grid = np.stack([np.concatenate([w, np.repeat(w[-1:], widest - len(w))]) for w in windows]) if windows else np.zeros((0, widest), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in (r for batch in batches for r in batch.to_pylist()):
-            lists = Postings(row["terms"], row["ends"], row["postings"], len(terms))
-            starts = np.frombuffer(row["starts"], np.int64)
-            lengths = lists.hi - lists.lo
-            edge = np.zeros(int(starts[-1]) + 1, np.int32)
-            docs_of, items_of, near_of = [], [], [np.zeros((3, 0), np.int64)]
-            for k in np.flatnonzero(lengths[grid].min(axis=1) > 0) if len(grid) else ():
-                at = lists.phrase(windows[k])
-                if len(at):
-                    np.add.at(edge, at, 1)
-                    np.add.at(edge, at + len(windows[k]), -1)
-                    held = np.unique(np.searchsorted(starts, at, side="right") - 1)
-                    docs_of.append(np.repeat(held, len(owners[k])))
-                    items_of.append(np.tile(owners[k], len(held)))
-                within = reach(len(windows[k]))
-                if len(lists.near(distinct[k], 2 * within, starts)):  # by the rarest term, as all lie around the anchor
-                    close = lists.around(lists.of(anchors[k]), distinct[k], within, starts).astype(np.int64)
-                    doc = np.searchsorted(starts, close, side="right") - 1
-                    near_of.append(np.stack([np.repeat(doc, len(owners[k])), np.tile(owners[k], len(close)), np.repeat(close - starts[doc], len(owners[k]))]))
-            hit = np.concatenate([[0], (np.cumsum(edge[:-1]) > 0).astype(np.int8)])
-            turns = np.flatnonzero(np.diff(np.append(hit, 0)))  # hit runs start and end in turn, and never cross documents
-            run_doc = np.searchsorted(starts, turns, side="right") - 1
-            pairs = np.unique(np.stack([np.concatenate(docs_of), np.concatenate(items_of)]), axis=1) if docs_of else np.zeros((2, 0), np.int64)
-            places = (turns - starts[run_doc]).astype(np.int32)
-            bounds = np.searchsorted(run_doc, np.arange(len(starts)))
-            item_bounds = np.searchsorted(pairs[0], np.arange(len(starts)))
-            near = np.unique(np.concatenate(near_of, axis=1), axis=1)
-            near_bounds = np.searchsorted(near[0], np.arange(len(starts)))
-            yield as_batch([(doc, int(starts[k + 1] - starts[k] - 2), places[bounds[k] : bounds[k + 1]].tolist(), pairs[1][item_bounds[k] : item_bounds[k + 1]].tolist(), [{"item": i, "place": p} for i, p in near[1:, near_bounds[k] : near_bounds[k + 1]].T.tolist()]) for k, doc in enumerate(row["doc_ids"])])
-
-    def as_batch(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.struct([("item", pa.int64()), ("place", pa.int32())]))]
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["doc_id", "n_words", "hits", "items", "near"])
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
+                block = Block(*(np.frombuffer(row[c], kind).astype(to) for c, kind, to in (("starts", np.int64, np.int64), ("terms", np.uint64, np.uint64), ("ends", np.int64, np.int64), ("postings", np.int32, np.int64))))
+                yield searched(row["block"], row["doc_ids"], block)
+
+    def searched(number: int, ids: list, block: Block) -> pa.RecordBatch:
+        starts, n = block.starts, len(ids)
+        window, at = block.phrases(windows)
+        turns, run_doc = runs(block, window, at, windows.length)
+        own, item = windows.of_items(window)
+        pairs = np.unique(np.stack([block.document(at)[own], item]), axis=1)
+        close, middle = block.proximities(windows)
+        own, item = windows.of_items(close)
+        doc = block.document(middle)[own]
+        near = np.unique(np.stack([doc, item, middle[own] - starts[doc]]), axis=1)
+        bounds = [np.searchsorted(x, np.arange(n + 1)).astype(np.int32) for x in (run_doc, pairs[0], near[0])]
+        keep = np.arange(n) if every else np.flatnonzero((np.diff(bounds[1]) > 0) | (np.diff(bounds[2]) > 0))
+        lists = [pa.array((turns - starts[run_doc]).astype(np.int32)), pa.array(pairs[1]), pa.StructArray.from_arrays([pa.array(near[1]), pa.array(near[2].astype(np.int32))], names=["item", "place"])]
+        arrays = [pa.array(np.full(n, number, np.int64)), pa.array(np.arange(n, dtype=np.int32)), pa.array(ids, pa.int64()), pa.array(np.diff(starts) - 2), *[pa.ListArray.from_arrays(pa.array(b), x) for b, x in zip(bounds, lists, strict=True)]]
+        return pa.RecordBatch.from_arrays([a.take(pa.array(keep)) for a in arrays], names=["block", "place", "doc_id", "n_words", "hits", "items", "near"])
 
     return run
 
 
-def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    small_batches(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+def build_index(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The index of whole ``docs``, written to ``path`` as Parquet, to be searched now and again."""
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    texts.mapInArrow(make_index, INDEX).write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
 
 
-def build_index(docs: DataFrame, terms: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The index of whole ``docs`` for the given terms as a table, to keep and to search again."""
-    return texts_of(docs, id_col, text_col).mapInArrow(indexer(terms), INDEX)
+def lots(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[int, bytes]]]:
+    """The items in lots of about ``LOT_TOKENS`` tokens, one after the other; there is one at least.
 
+    Items with a null id or text are left out.  An item is in the lot that its
+    hash says.
+    """
+    rows = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).cast("binary").alias("text")).where("item is not null and text is not null")
+    size = rows.agg(F.sum(F.octet_length("text") / 4)).first()[0] or 0  # tokens are at most that many, but for very short ones
+    n = max(1, -(-int(size) // LOT_TOKENS))
+    for lot in range(n):
+        part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item"), F.lit(n)) == lot)
+        yield [(r["item"], bytes(r["text"])) for r in part.toLocalIterator()]
 
-def matches(index: DataFrame, items: list[tuple[int, bytes]], terms: dict[bytes, int], n: int = PHRASE) -> DataFrame:
-    """``(doc_id, n_words, hits, items, near)`` of a kept index, a row for each document."""
-    return index.mapInArrow(matcher(items, terms, n), FOUND)
 
+def matches(index: DataFrame, benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text", n: int = PHRASE) -> DataFrame:
+    """``(doc_id, n_words, hits, items, near)``, a row for each document of a stored index; see ``lookup``.
 
-def indexed_and_matched(docs: DataFrame, items: list[tuple[int, bytes]], n: int, id_col: str, text_col: str) -> DataFrame:
-    """The same for an index that is searched where it is made, block by block."""
-    terms = vocabulary(items)
-    make, find = indexer(terms), matcher(items, terms, n)
-    return texts_of(docs, id_col, text_col).mapInArrow(lambda batches: find(make(batches)), FOUND)
+    A benchmark is looked up lot by lot, each with the whole index, and what a
+    document has in several lots is brought together by its place in the index,
+    so that the number of lots changes nothing and documents that share an id, or
+    have none, stay apart.  Items that repeat an id count as one.
+    """
+    found: DataFrame | None = None
+    several = False
+    for items in lots(benchmark, item_col, item_text_col):
+        if found is not None:  # the driver holds one lot at a time
+            found, several = checkpointed(found), True
+        part = index.mapInArrow(lookup(Windows(items, n), every=found is None), FOUND)
+        found = part if found is None else found.union(part)
+    if several:
+        covered = F.expr("flatten(transform(sequence(0, size(hits) - 2, 2), k -> sequence(hits[k], hits[k + 1] - 1)))")
+        places = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(F.size("hits") > 0, covered)))))
+        several_lists = [F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("items", "near")]
+        merged = found.groupBy("block", "place").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), places.alias("places"), *several_lists)
+        firsts, lasts = (F.expr(f"filter(places, (p, k) -> not (get(places, k {sign} 1) <=> p {sign} 1))") for sign in "-+")
+        bounds = F.flatten(F.zip_with(firsts, lasts, lambda a, b: F.array(a, b + 1)))
+        found = merged.withColumn("hits", bounds)
+    return found.select("doc_id", "n_words", "hits", "items", "near")
 
 
-def benchmark_passes(benchmark: DataFrame, item_col: str, text_col: str) -> list[list[tuple[int, bytes]]]:
-    """The items in lists of about ``PASS_TOKENS`` tokens, each of which a task can hold; mostly there is one.
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = PHRASE) -> DataFrame:
+    """``(doc_id, n_words, hits, items, near)``, a row for each row of ``docs``: their index, stored in the checkpoint folder, searched for the benchmark.
 
-    The driver reads the items one partition at a time.
+    A null text has no words and no hits; so has every document if the benchmark
+    is empty or its texts are.  Rows of ``docs`` that share an id, or have none,
+    have a row each.  Items with a null id or text take no part.
     """
-    passes: list[list[tuple[int, bytes]]] = [[]]
-    size = 0
-    for row in benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).cast("binary").alias("text")).where("item is not null and text is not null").toLocalIterator():
-        n = len(words(bytes(row["text"])))
-        if size and size + n > PASS_TOKENS:
-            passes.append([])
-            size = 0
-        passes[-1].append((row["item"], bytes(row["text"])))
-        size += n
-    return passes
+    path = f"{checkpoint_folder(docs.sparkSession)}/postings-{uuid.uuid4().hex}"
+    return matches(build_index(docs, path, id_col, text_col), benchmark, item_col, item_text_col, n)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = PHRASE) -> DataFrame:
-    """``(doc_id, n_words, hits, items, near)``, a row for each row of ``docs``; see ``matcher``.
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = PHRASE) -> DataFrame:
+    """The rows of ``docs`` without a phrase match, each judged by itself, whatever its id.
 
-    A null text has no words and no hits; so has every document if the benchmark
-    is empty or its texts are.  Items that repeat an id count as one; a null item
-    id or text takes no part.  A benchmark too large for one pass is looked for in
-    several, and the hits are joined by document; rows of ``docs`` that repeat an
-    id then come back once.
+    Every block of the index is searched where it is made, beside its rows, so
+    that no text is moved.  Rows with a null text stay; other columns are kept
+    as they are.
     """
-    found: DataFrame | None = None
-    passes = benchmark_passes(benchmark, item_col, item_text_col)
-    for items in passes:
-        part = indexed_and_matched(docs, items, n, id_col, text_col)
-        found = part if found is None else found.union(part)
-    if len(passes) == 1:
-        return found
-    covered = F.sort_array(F.array_distinct(F.flatten(F.collect_list(F.expr("if(size(hits) > 0, flatten(transform(sequence(0, size(hits) - 2, 2), k -> sequence(hits[k], hits[k + 1] - 1))), null)")))))
-    merged = found.where("size(hits) > 0 or size(near) > 0").groupBy("doc_id").agg(covered.alias("places"), *[F.sort_array(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("items", "near")])
-    singles = F.expr("flatten(transform(places, p -> array(p, p + 1)))")
-    every = found.groupBy("doc_id").agg(F.max("n_words").alias("n_words"))
-    return every.join(merged, every["doc_id"].eqNullSafe(merged["doc_id"]), "left").select(every["doc_id"], "n_words", F.coalesce(singles, F.expr("cast(array() as array<int>)")).alias("hits"), F.coalesce("items", F.expr("cast(array() as array<bigint>)")).alias("items"), F.coalesce("near", F.expr("cast(array() as array<struct<item: bigint, place: int>>)")).alias("near"))
+    at = docs.columns.index(text_col)
+    for items in lots(benchmark, item_col, item_text_col):
+        docs = docs.mapInArrow(keeper(Windows(items, n), at), docs.schema)
+    return docs
+
+
+def keeper(windows: Windows, text_at: int) -> Batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, block in blocks(batches, text_at):
+            keep = np.ones(len(block.starts) - 1, bool)
+            keep[block.document(block.phrases(windows)[1])] = False
+            first = 0
+            for piece in rows:
+                yield piece.filter(pa.array(keep[first : first + piece.num_rows]))
+                first += piece.num_rows
+
+    return run
 
 
 def digest(found: DataFrame) -> DataFrame:

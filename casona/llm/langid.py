@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casona.llm.shared import small_batches
+from casona.llm.shared import text_pieces
 
 UNDETERMINED = "und"
 WINDOW = 256
@@ -147,24 +147,25 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", docs_per_label: int = 400, chars: int = 1024, max_labels: int = 200) -> ByteCNN:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", docs_per_label: int = 400, chars: int = 1024) -> ByteCNN:
     """A network for the labels of ``docs``.
 
     Learns from about ``docs_per_label`` documents of each label, picked by a
     hash of the id, and one passage of ``chars`` characters of each, which
-    starts at a place picked by hash; this bounds what comes to the driver.
-    Rows without an id, text or label, and rows of ``held_out``, are left out.
-    Beyond ``max_labels`` labels the most frequent ones are learned.
+    starts at a place picked by hash; this bounds what comes to the driver of
+    each label.  Rows without an id, text or label, and rows of ``held_out``,
+    are left out.  Every label is learned, so there must be a bounded number of them.
     """
     at = F.xxhash64(F.col(id_col), F.lit("sample"))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label"), at.alias("at"), held_out(id_col).alias("held")).where("id is not null and text is not null and label is not null and not held")
-    counts = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(max_labels).collect()
-    if not counts:
-        return ByteCNN.fresh([], 0)
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["label"], min(1.0, docs_per_label / r["count"]))])
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label"), at.alias("at"), held_out(id_col).alias("held")).where("id is not null and label is not null and not held")
+    counts = rows.groupBy("label").count()  # of ids and labels alone
+    share = F.broadcast(counts.select("label", F.least(F.lit(1.0), docs_per_label / F.col("count")).alias("share")))
     start = F.greatest(F.lit(0), F.length("text") - chars)
     passage = F.substring(F.col("text"), 1 + F.pmod(F.col("at"), start + 1).cast("int"), F.lit(chars))
-    sample = rows.where(F.pmod("at", F.lit(1_000_003)) / F.lit(1_000_003) < F.try_element_at(share, "label")).select("id", "label", passage.cast("binary").alias("text")).toPandas()
+    picked = rows.where("text is not null").join(share, "label").where(F.pmod("at", F.lit(1_000_003)) / F.lit(1_000_003) < F.col("share"))
+    sample = picked.select("id", "label", passage.cast("binary").alias("text")).toPandas()
+    if not len(sample):
+        return ByteCNN.fresh([], 0)
     sample = sample[[has_letter(t) for t in sample["text"]]].sort_values(["id", "text"])
     return fit([bytes(t) for t in sample["text"]], list(sample["label"]))
 
@@ -184,14 +185,13 @@ def predict(docs: DataFrame, model: ByteCNN, text_col: str = "text", keep: list[
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            labels, scores = model.predict([x.as_py() for x in batch.column(at).cast(pa.binary())])
+        for batch, texts in (x for b in batches for x in text_pieces(b, at)):
+            labels, scores = model.predict(texts)
             out = pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], pa.array(labels, pa.string()), pa.array(scores, pa.float64())], names=[*columns, "lang_pred", "score"])
             if min_score is not None:
                 out = out.filter(pa.array((np.array(labels, object) != UNDETERMINED) & (scores >= min_score), pa.bool_()))
             yield out
 
-    small_batches(docs.sparkSession)
     return rows.mapInArrow(run, ", ".join(x for x in (schema, "lang_pred string, score double") if x))
 
 

@@ -18,8 +18,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casona.llm.shared import small_batches
-
 WORD = re.compile(r"[^\W_]+")
 #: Words of a hashed gram, and grams of a window of which the least hash is kept.
 GRAM, WINDOW = 3, 3
@@ -184,5 +182,4 @@ def license_spans(docs: DataFrame, templates: dict[str, str] | None = None, id_c
             rows = [(doc.as_py(), *x) for doc, text in zip(batch.column(0), batch.column(1), strict=True) if text.is_valid for x in index.scan(text.as_py(), band, coverage)]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
 
-    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, FOUND)

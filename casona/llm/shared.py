@@ -2,27 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casona.functions.storage import checkpoint_folder, checkpointed
 
-__all__ = ["checkpoint_folder", "checkpointed", "connected_components", "small_batches", "table"]
+__all__ = ["checkpoint_folder", "checkpointed", "connected_components", "table", "text_pieces"]
 
-#: Rows of an Arrow batch of texts.
-BATCH_ROWS = 256
+#: Bytes of texts that Python code takes out of an Arrow batch at once, about.
+PIECE_BYTES = 1 << 22
 
 
-def small_batches(spark: SparkSession) -> None:
-    """From now on the session sends at most ``BATCH_ROWS`` rows to Python at once.
+def text_pieces(batch: pa.RecordBatch, at: int, binary: bool = True) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """A batch in pieces of about ``PIECE_BYTES``, each with the texts of its column ``at`` as bytes (or as they are).
 
-    A batch is held several times, in Spark's memory outside the heap and in the
-    Python worker, and ten thousand texts, the default, take much of an executor.
+    How large a batch is the session says (``spark.sql.execution.arrow.maxBytesPerBatch``);
+    as Python objects only a piece of it is held.
     """
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    set_to = int(spark.conf.get(name))
-    if not 0 < set_to <= BATCH_ROWS:
-        spark.conf.set(name, str(BATCH_ROWS))
+    rows = max(1, min(batch.num_rows, batch.num_rows * PIECE_BYTES // max(1, batch.column(at).nbytes)))
+    for first in range(0, batch.num_rows, rows):
+        piece = batch.slice(first, rows)
+        texts = piece.column(at)
+        yield piece, (texts.cast(pa.binary()) if binary else texts).to_pylist()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

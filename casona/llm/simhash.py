@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casona.llm.shared import checkpointed, connected_components, small_batches
+from casona.llm.shared import checkpointed, connected_components, text_pieces
 
 SEED = 42
 ONES = np.uint64(0x0101010101010101)
@@ -75,11 +75,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = np.array([fingerprint(x.as_py(), shingle) for x in batch.column(1)], np.uint64)
+        for batch, texts in (x for b in batches for x in text_pieces(b, 1)):
+            values = np.array([fingerprint(x, shingle) for x in texts], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=["doc_id", "fingerprint"])
 
-    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "doc_id long, fingerprint long")
 
 
@@ -317,10 +316,10 @@ def wide_prints(rows: DataFrame, key: str, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by, plus = band_hashers()
-        for batch in batches:
+        for batch, texts in (x for b in batches for x in text_pieces(b, 1)):
             digests, values, keys = [], np.zeros((batch.num_rows, PRINTS), np.uint64), []
-            for k, x in enumerate(batch.column(1)):
-                text = x.as_py() or b""
+            for k, text in enumerate(texts):
+                text = text or b""
                 digests.append(xxhash.xxh3_128_digest(b" ".join(text.lower().split())))
                 hashes = shingle_set(text)
                 keys.append(band_keys(hashes, by, plus))
@@ -332,7 +331,6 @@ def wide_prints(rows: DataFrame, key: str, text_col: str) -> DataFrame:
             arrays = [batch.column(0), *[pa.array(halves[:, j].copy()) for j in (0, 1)], *[pa.array(values[:, p].copy().view(np.int64)) for p in range(PRINTS)], pa.array(keys, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["row", "d1", "d2", *[f"s{p}" for p in range(PRINTS)], "bands"])
 
-    small_batches(rows.sparkSession)
     schema = "row long, d1 long, d2 long, " + ", ".join(f"s{p} long" for p in range(PRINTS)) + ", bands array<long>"
     return rows.select(F.col(key).alias("row"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, schema)
 

@@ -46,13 +46,11 @@ def planted(edge_rows):
     return edge_rows + [(50, f"x {passage.upper()} y", None, None, 0), (51, " ".join(passage.split()[1:11]), None, None, 0), (52, " ".join(passage.split()[:9]), None, None, 0), (53, f"{passage}, {passage}", None, None, 0)]
 
 
-@pytest.mark.parametrize("block, per_pass", [(1 << 20, 2_000_000), (30, 2_000_000), (200, 5)])
-def test_edge_cases(spark, edge_rows, none, items, monkeypatch, block, per_pass):
+@pytest.mark.parametrize("block, lot", [(1 << 20, 1_000_000), (30, 1_000_000), (200, 15)])
+def test_edge_cases(spark, edge_rows, none, items, monkeypatch, block, lot):
     monkeypatch.setattr(dc, "BLOCK_TOKENS", block)
-    monkeypatch.setattr(dc, "PASS_TOKENS", per_pass)
-    rows = planted(edge_rows)
-    if per_pass == 5:  # several passes give a row for each id
-        rows = list({r[0]: r for r in rows if r[0] is not None}.values())
+    monkeypatch.setattr(dc, "LOT_TOKENS", lot)
+    rows = planted(edge_rows) + [(None, f"a {ITEMS[5][1]} b", None, None, 0), (52, ITEMS[5][1], None, None, 0)]
     assert got(dc.contamination(spark.createDataFrame(rows, none.schema), items)) == slow(rows, ITEMS)
 
 
@@ -65,13 +63,22 @@ def test_query(same_as_sql):
     same_as_sql(queries.op7_benchmark_decontamination, dc.DECONTAMINATION_SQL)
 
 
-def test_near(spark):
-    text = b"a x x b x c x x x x x x x b x x x x x x c x x x x x x x x x x x x a"
-    terms = dc.vocabulary([(1, b"a b c")])
-    row = dc.build_index(spark.createDataFrame([(1, text.decode())], "doc_id long, text string"), terms).first()
-    lists = dc.Postings(bytes(row["terms"]), bytes(row["ends"]), bytes(row["postings"]), len(terms))
-    assert lists.near(dc.np.array([terms[b"a"], terms[b"b"], terms[b"c"]]), 5).tolist() == [0]
-    assert lists.phrase(dc.np.array([terms[b"a"], terms[b"b"]])).tolist() == []
+def test_stored_index_is_searched_again(spark, none, edge_rows, items, tmp_path):
+    index = dc.build_index(spark.createDataFrame(planted(edge_rows), none.schema), str(tmp_path / "index"))
+    again = spark.read.parquet(str(tmp_path / "index"))
+    other = spark.createDataFrame([(8, "zeta eta theta iota kappa")], "item_id long, text string")
+    assert got(dc.matches(again, items)) == slow(planted(edge_rows), ITEMS)
+    assert got(dc.matches(index, other)) == slow(planted(edge_rows), [(8, "zeta eta theta iota kappa")])
+
+
+@pytest.mark.parametrize("lot", [1_000_000, 15])
+def test_clean_rows_are_kept_whatever_their_id(spark, edge, edge_rows, items, none, monkeypatch, lot):
+    monkeypatch.setattr(dc, "BLOCK_TOKENS", 100)
+    monkeypatch.setattr(dc, "LOT_TOKENS", lot)
+    rows = planted(edge_rows) + [(None, f"a {ITEMS[5][1]} b", None, None, 0), (1, ITEMS[5][1], None, None, 0)]
+    kept = dc.clean(spark.createDataFrame(rows, none.schema), items)
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted((r for r in rows if not slow([r], ITEMS)[0][-1]), key=repr)
+    assert dc.clean(edge, items).columns == edge.columns and dc.clean(none, items).count() == 0
 
 
 def slow_near(rows, items, n=10):
@@ -88,10 +95,10 @@ def slow_near(rows, items, n=10):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("block, per_pass", [(1 << 20, 2_000_000), (30, 2_000_000), (200, 5)])
-def test_proximity_matches(spark, edge_rows, none, items, monkeypatch, block, per_pass):
+@pytest.mark.parametrize("block, lot", [(1 << 20, 1_000_000), (30, 1_000_000), (200, 15)])
+def test_proximity_matches(spark, edge_rows, none, items, monkeypatch, block, lot):
     monkeypatch.setattr(dc, "BLOCK_TOKENS", block)
-    monkeypatch.setattr(dc, "PASS_TOKENS", per_pass)
+    monkeypatch.setattr(dc, "LOT_TOKENS", lot)
     w = ITEMS[5][1].split()
     inserted = " ".join(x for k in range(0, 12, 4) for x in [*w[k : k + 4], "other"])
     rows = [*planted(edge_rows), (60, f"x {inserted} y", None, None, 0), (61, " ".join([w[1], w[0], *w[2:]]), None, None, 0), (62, " ".join(w[:6]), None, None, 0), (63, " ".join(w[6:]), None, None, 0), (64, " far out ".join(w), None, None, 0)]
