@@ -30,7 +30,7 @@ def op4_bounded_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_hash_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.repeated_spans(table(spark, sf_dir, "documents"), min_words=20)
+    return repeats.repeated_spans(table(spark, sf_dir, "documents")).drop("row")
 
 
 def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_weighted_fair_mix": mixing.MIX_SQL,
+        "op5_line_hash_repeats": repeats.REPEATS_SQL,
         "op6_warc_revisits": revisits.REVISITS_SQL,
         "op7_benchmark_decontamination": decontamination.DECONTAMINATION_SQL,
         "op8_preference_pairs": preferences.PREFERENCES_SQL,
