@@ -1,16 +1,27 @@
 """License scans: winnowed fingerprints of templates pick candidates, banded alignment measures them.
 
-The templates' fingerprints form an inverted index from a hash to the places
-where it occurs.  A document is winnowed in the same way; hits on near diagonals
-of one template are a candidate, and a banded alignment of the template with the
-text around it tells how much of the template is there, and where.
+The fingerprints are the words that winnowing leaves of a template: of each two
+neighbours the one that is rarer in the templates, or every word of a template
+too short for that.  They form an inverted index to their places.  A document is
+winnowed in the same way, and where hits on near diagonals of a template are as
+many as any text that qualifies must have, a banded alignment tells how much of
+the template is there, and where.  So no text that qualifies is lost.
+
+How many hits that are: let ``lost`` be the words that may be missing and ``near``
+the band.  The diagonal can grow by ``2 * near + lost`` in all, so what is found
+is in at most ``1 + 2 * lost + 2 * near`` runs, and all other neighbours among
+the found words lie side by side in the text too.  Each such pair leaves a
+fingerprint at the same place of both, and a place serves two pairs at most.
+Longer grams would promise nothing: with a fifth of the words changed, no three
+words in a row need be left.
 """
 
 from __future__ import annotations
 
 import bisect
+import math
 import re
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,16 +29,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casona.llm.shared import text_pieces
+
 WORD = re.compile(r"[^\W_]+")
-#: Words of a hashed gram, and grams of a window of which the least hash is kept.
-GRAM, WINDOW = 3, 3
-#: Words by which an alignment may leave its diagonal.
+#: Words by which an alignment may leave its diagonal; half a template's words if that is less.
 BAND = 8
 #: Share of a template's words that must be found, in order.
 COVERAGE = 0.8
+#: Share of the words from the first found one to the last that must be found ones.
+DENSITY = 0.7
 FOUND = "doc_id long, license string, coverage double, start int, stop int, matched_words int, template_words int"
 
-# License notices.
+WARRANTY = "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+BSD_START = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+BSD_END = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+
+
+def gnu_header(name: str, version: str) -> str:
+    """The notice by which a file is put under one of the GNU licenses."""
+    return f"This program is free software: you can redistribute it and/or modify it under the terms of the {name} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {name} for more details."
+
+
+# License texts and notices.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
@@ -36,96 +59,105 @@ TEMPLATES = {
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
     "MIT-notice": "Released under the MIT License",
     "all-rights-reserved": "All rights reserved",
-    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
-    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
-    "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. " + WARRANTY,
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "BSD-2-Clause": BSD_START + " " + BSD_END,
+    "BSD-3-Clause": BSD_START + " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. " + BSD_END,
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
+    "BSL-1.0": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following: The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor.",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.",
     "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0. Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
-    "GPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "MPL-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "GPL-2.0-header": gnu_header("GNU General Public License", "2"),
+    "GPL-3.0-header": gnu_header("GNU General Public License", "3"),
+    "LGPL-3.0-header": gnu_header("GNU Lesser General Public License", "3"),
+    "AGPL-3.0-header": gnu_header("GNU Affero General Public License", "3"),
 }
 
-NONE = np.uint64(2**64 - 1)
-
 
 def words(text: str) -> list[str]:
     return [w.lower() for w in WORD.findall(text)]
 
 
-def grams(ids: np.ndarray, gram: int) -> np.ndarray:
-    """A hash of each run of ``gram`` ids; the largest value if one of them is -1."""
-    n = len(ids) - gram + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    out, known = np.zeros(n, np.uint64), np.ones(n, bool)
-    for k in range(gram):
-        part = ids[k : k + n]
-        known &= part >= 0
-        out = (out ^ (part.astype(np.uint64) + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(29)
-    return np.where(known, out >> np.uint64(1), NONE)
+def winnowed(ranks: np.ndarray) -> np.ndarray:
+    """Places of the lesser rank of each two neighbours, the right one of equal ones; pairs with a negative rank leave none."""
+    a, b = ranks[:-1], ranks[1:]
+    left = np.flatnonzero((a >= 0) & (b >= 0))
+    return np.unique(left + (b[left] <= a[left]))
 
 
-def winnowed(hashes: np.ndarray, window: int) -> np.ndarray:
-    """Places of the least hash of each window, the rightmost of equal ones; all hashes are one window if they are fewer."""
-    if not len(hashes):
-        return np.zeros(0, np.int64)
-    w = min(window, len(hashes))
-    rows = np.lib.stride_tricks.sliding_window_view(hashes, w)
-    least = np.arange(len(rows)) + w - 1 - rows[:, ::-1].argmin(axis=1)
-    places = np.unique(least)
-    return places[hashes[places] != NONE]
+class Postings:
+    """Places by word: ``of`` gives for the words of a text at some places the templates' and the diagonals that they hit."""
 
+    def __init__(self, found: list[tuple[int, int, int]], n_words: int):
+        rows = np.array(sorted(found), np.int64).reshape(-1, 3)  # (word, template, place)
+        self.template, self.place = rows[:, 1], rows[:, 2]
+        self.first = np.searchsorted(rows[:, 0], np.arange(n_words + 1))
 
-class TemplateIndex:
-    """Words of the templates, and where each fingerprint occurs in them.
+    def of(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        word = ids[at]
+        n = self.first[word + 1] - self.first[word]
+        which = np.repeat(self.first[word] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        return self.template[which], np.repeat(at, n) - self.place[which]
 
-    Winnowing is sure to meet matches of ``gram + window - 1`` words; all grams
-    of shorter templates are kept apart and looked up with every gram of a text.
-    """
 
-    def __init__(self, templates: dict[str, str], gram: int = GRAM, window: int = WINDOW):
-        self.gram, self.window, self.names = gram, window, sorted(templates)
-        self.vocabulary: dict[str, int] = {}
-        self.tokens = [np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words(templates[n])], np.int64) for n in self.names]
-        self.places: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        self.short: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for t, ids in enumerate(self.tokens):
-            hashes, short = grams(ids, gram), len(ids) < gram + window - 1
-            for at in range(len(hashes)) if short else winnowed(hashes, window).tolist():
-                (self.short if short else self.places)[int(hashes[at])].append((t, at))
-        self.short_hashes = np.array(list(self.short), np.uint64)
-
-    def scan(self, text: str, band: int = BAND, coverage: float = COVERAGE) -> list[tuple[str, float, int, int, int, int]]:
+class TemplateIndex:
+    """The templates' words, fingerprints, and how many hits a text that qualifies must have of each template."""
+
+    def __init__(self, templates: dict[str, str], band: int = BAND, coverage: float = COVERAGE):
+        self.names = sorted(templates)
+        counts = Counter(w for n in self.names for w in words(templates[n]))
+        self.vocabulary = {w: k for k, w in enumerate(sorted(counts, key=lambda w: (counts[w], w)))}  # the rarest first
+        self.tokens = [np.array([self.vocabulary[w] for w in words(templates[n])], np.int64) for n in self.names]
+        if empty := [n for n, t in zip(self.names, self.tokens, strict=True) if not len(t)]:
+            raise ValueError(f"templates without a word: {', '.join(empty)}")
+        self.needed = [math.ceil(coverage * len(t) - 1e-9) for t in self.tokens]
+        self.near = np.array([min(band, max(1, len(t) // 2)) for t in self.tokens], np.int64)
+        pairs = [need - 1 - 2 * (len(t) - need) - 2 * near for t, need, near in zip(self.tokens, self.needed, self.near.tolist(), strict=True)]
+        self.hits = np.array([-(-p // 2) if p > 0 else need for p, need in zip(pairs, self.needed, strict=True)], np.int64)
+        places = [(t, winnowed(ids) if pairs[t] > 0 else np.arange(len(ids))) for t, ids in enumerate(self.tokens)]
+        posted = lambda long: [(int(self.tokens[t][k]), t, int(k)) for t, at in places if (pairs[t] > 0) == long for k in at]
+        self.every, self.few = (Postings(posted(long), len(self.vocabulary)) for long in (False, True))
+
+    def candidates(self, ids: np.ndarray) -> dict[int, np.ndarray]:
+        """Diagonals of each template around which a text has enough hits."""
+        found = [self.every.of(ids, np.flatnonzero(ids >= 0)), self.few.of(ids, winnowed(ids))]
+        template, diagonal = (np.concatenate([x[j] for x in found]) for j in (0, 1))
+        zero = max(len(t) for t in self.tokens) + 2 * int(self.near.max()) + 1
+        span = len(ids) + 2 * zero
+        keys = np.sort(template * span + diagonal + zero)
+        of = keys // span
+        many = np.searchsorted(keys, keys + 2 * self.near[of], side="right") - np.arange(len(keys)) >= self.hits[of]
+        out: dict[int, np.ndarray] = {}
+        for t in np.unique(of[many]).tolist():
+            own, near = keys[of == t] - t * span - zero, int(self.near[t])
+            around = np.unique(keys[many & (of == t)][:, None] - t * span - zero + near + np.arange(-2 * near, 2 * near + 1))
+            enough = np.searchsorted(own, around + near, side="right") - np.searchsorted(own, around - near) >= self.hits[t]
+            out[t] = around[enough]
+        return out
+
+    def scan(self, text: str) -> list[tuple[str, float, int, int, int, int]]:
         """``(license, coverage, start, stop, matched, words)`` of a text, offsets in characters, in order of license and start.
 
         Of findings of one license that overlap, the best stays; a notice that lies
         within a better covered, longer one of another license is reported too.
         """
-        found_words = WORD.findall(text)
-        get = self.vocabulary.get
+        found_words, get = WORD.findall(text), self.vocabulary.get
         ids = np.array([get(w.lower(), -1) for w in found_words], np.int64)
-        hashes = grams(ids, self.gram)
-        if not (hashes != NONE).any():
-            return []
-        hits: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for at in winnowed(hashes, self.window).tolist():
-            for t, place in self.places.get(int(hashes[at]), ()):
-                hits[t].append((at - place, at))
-        for at in np.flatnonzero(np.isin(hashes, self.short_hashes)).tolist():
-            for t, place in self.short[int(hashes[at])]:
-                hits[t].append((at - place, at))
         out: list[tuple[str, float, int, int, int, int]] = []
         spans: list[tuple[int, int]] | None = None
-        for t in sorted(hits):
-            best: list[tuple[int, int, int]] = []
-            done, near = -(10**9), min(band, max(1, len(self.tokens[t]) // 2))  # short notices may follow one another closely
-            for diagonal, _ in sorted(hits[t]):
-                if diagonal - done <= near // 2:  # the alignment around the last one covers this diagonal
+        for t, diagonals in self.candidates(ids).items() if (ids >= 0).any() else ():
+            size, near = len(self.tokens[t]), int(self.near[t])
+            best: set[tuple[int, int, int]] = set()
+            done = -(10**9)
+            for diagonal in diagonals.tolist():
+                if diagonal <= done:
                     continue
-                done = diagonal
                 matched, first, last = aligned(self.tokens[t], ids, diagonal, near)
-                if matched >= coverage * len(self.tokens[t]):
-                    best.append((matched, first, last))
+                if matched >= self.needed[t] and matched >= DENSITY * (last - first + 1):
+                    best.add((matched, first, last))
+                if matched == size and last - first == size - 1 and 4 * near <= size:
+                    done = first + near  # what else these diagonals reach overlaps the whole text just found
             kept: list[tuple[int, int, int]] = []  # (first, last, matched), in order, none overlapping
             for m, i, j in sorted(best, key=lambda x: (-x[0], x[2] - x[1], x[1])):
                 at = bisect.bisect_left(kept, (i, j, m))
@@ -133,7 +165,7 @@ class TemplateIndex:
                     kept.insert(at, (i, j, m))
             for i, j, m in kept:
                 spans = spans or [x.span() for x in WORD.finditer(text)]
-                out.append((self.names[t], m / len(self.tokens[t]), spans[i][0], spans[j][1], m, len(self.tokens[t])))
+                out.append((self.names[t], m / size, spans[i][0], spans[j][1], m, size))
         return out
 
 
@@ -171,15 +203,15 @@ def license_spans(docs: DataFrame, templates: dict[str, str] | None = None, id_c
     Offsets are characters of the text.  The templates are a parameter of a
     size that the caller sets; they and their index go to every task.  Texts that
     are null, empty or without a notice have no rows; rows that repeat come
-    back as often.  Templates shorter than a gram are never found.
+    back as often.  A template without a word is an error.
     """
-    index = TemplateIndex(TEMPLATES if templates is None else templates)
+    index = TemplateIndex(TEMPLATES if templates is None else templates, band, coverage)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.string(), pa.float64(), *[pa.int32()] * 4]
         names = ["doc_id", "license", "coverage", "start", "stop", "matched_words", "template_words"]
-        for batch in batches:
-            rows = [(doc.as_py(), *x) for doc, text in zip(batch.column(0), batch.column(1), strict=True) if text.is_valid for x in index.scan(text.as_py(), band, coverage)]
+        for batch, texts in (x for b in batches for x in text_pieces(b, 1, binary=False)):
+            rows = [(doc, *x) for doc, text in zip(batch.column(0).to_pylist(), texts, strict=True) if text for x in index.scan(text)]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, FOUND)
