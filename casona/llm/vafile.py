@@ -1,34 +1,71 @@
 """Exact top-k inner products with a vector-approximation file.
 
-Candidates and queries are dealt into blocks of bounded size, and each pair of
-blocks is one group.  In a group every candidate is quantised to cells of equal
-width by component; a scan of the cells alone bounds each score from both sides,
-and exact vectors are read in the order of their upper bounds until no unread
-one can reach the k-th score.  What the groups find is merged by query.
+The file is a stored table with a byte for each component of a vector: the cell
+in which it lies, of cells whose bounds are the same for all vectors.  Queries
+meet the cells alone, in pairs of blocks, and each score is bounded from both
+sides; a row is dropped where enough others are certain to be better.  Exact
+vectors are then read in the order of the bounds: first those of the best k
+upper bounds of each query, then only those whose upper bound reaches the k-th
+exact score so far, after which the result is certain.
+
+Of rows with one and the same vector the first ``k + 1`` by id can be among the
+results and the others can't, so that only these go on, and equal queries are
+searched once.  A very common vector is thus no more work than a rare one.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from casona.llm.shared import stored
+
 #: Vectors and queries of a block, on average.
-BLOCK, QUERY_BLOCK = 16_384, 4_096
+BLOCK, QUERY_BLOCK = 65_536, 4_096
 #: Bits of a cell.
 BITS = 6
-#: Exact vectors read at first; then twice as many each time.
-READ = 64
+#: Scores that are bounded at once.
+AT_ONCE = 1 << 22
+#: Scores must be below this to be exact throughout.
+LARGEST = 2**53
+BOUNDS = "query long, row long, upper long"
 
 
-def whole_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """``(id, v)``: components times ``scale``, rounded down; rows without an id, a vector or a finite component are left out."""
+def whole_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int, is_query: Column) -> DataFrame:
+    """``(row, id, v, dim, asks)``: components times ``scale``, rounded down, as doubles; rows without an id, a vector or a finite component are left out."""
     bad = F.exists(vector_col, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    v = F.transform(vector_col, lambda x: F.floor(x.cast("double") * scale))
+    v = F.transform(vector_col, lambda x: x.cast("double") * scale)
     usable = F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & ~F.coalesce(bad, F.lit(False))
-    return vectors.where(usable).select(F.col(id_col).cast("long").alias("id"), v.alias("v"))
+    rows = vectors.where(usable).select(F.col(id_col).cast("long").alias("id"), v.alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
+    # Spark's floor gives a long, which a large double leaves; an own floor of those stays a double and is refused later
+    floor = F.transform("v", lambda x: F.when(F.abs(x) < 2.0**53, F.floor(x).cast("double")).otherwise(x))
+    return rows.select(F.monotonically_increasing_id().alias("row"), "id", floor.alias("v"), F.size("v").alias("dim"), "asks")
+
+
+@dataclass
+class Cells:
+    """Component d of a vector lies in ``low[d] + cell * width[d]`` and up to ``width[d] - 1`` above."""
+
+    low: np.ndarray
+    width: np.ndarray
+
+    @staticmethod
+    def over(least: list[float], most: list[float], bits: int = BITS) -> Cells:
+        low = np.array(least)
+        return Cells(low, (np.array(most) - low) // (1 << bits) + 1)
+
+    def of(self, exact: np.ndarray) -> np.ndarray:
+        return ((exact - self.low) // self.width).astype(np.uint8)
+
+    def bounds(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of whole queries: weights of the cells, and what to add to the weighted sum for a lower and an upper bound of the score."""
+        base, room = queries @ self.low, self.width - 1
+        return queries * self.width, base + np.minimum(queries, 0) @ room, base + np.maximum(queries, 0) @ room
 
 
 def matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -36,84 +73,130 @@ def matrix(column: pa.ChunkedArray) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1 if len(flat.flatten()) else 0)
 
 
-class Approximation:
-    """Cells of a matrix of whole numbers: component d of row i lies in ``low[d] + cells[i, d] * width[d]`` and up to ``width[d]`` - 1 above."""
+def byte_matrix(column: pa.ChunkedArray) -> np.ndarray:
+    joined = b"".join(column.to_pylist())
+    return np.frombuffer(joined, np.uint8).reshape(len(column), -1 if joined else 0)
+
+
+def extremes(vectors: DataFrame) -> dict[int, Cells]:
+    """Cells for the vectors of each length, from the least and greatest of every component."""
+    rows = vectors.select("dim", F.posexplode("v").alias("at", "x")).groupBy("dim", "at").agg(F.min("x").alias("least"), F.max("x").alias("most"))
+    found: dict[int, list] = {}
+    for r in rows.orderBy("dim", "at").collect():  # a row for each component
+        found.setdefault(r["dim"], []).append((r["least"], r["most"]))
+    for dim, ends in found.items():
+        largest = sum(max(a * a, b * b) for a, b in ends)
+        if largest >= LARGEST:
+            raise ValueError(f"scores of vectors of {dim} components may reach {largest:.3g}; only those below 2**53 are exact")
+    return {dim: Cells.over([a for a, _ in ends], [b for _, b in ends]) for dim, ends in found.items()}
+
+
+def approximations(vectors: DataFrame, cells: dict[int, Cells]) -> DataFrame:
+    """The vector-approximation file ``(row, id, dim, cells)``."""
+
+    def run(batches):
+        for batch in batches:
+            out = [b""] * batch.num_rows
+            dims = batch.column(2).to_numpy()
+            for dim in np.unique(dims).tolist():
+                at = np.flatnonzero(dims == dim)
+                if dim:
+                    found = cells[dim].of(matrix(pa.chunked_array([batch.column(3).take(pa.array(at))])))
+                    for k, row in zip(at.tolist(), found, strict=True):
+                        out[k] = row.tobytes()
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.binary())], names=["row", "id", "dim", "cells"])
+
+    return vectors.select("row", "id", "dim", "v").mapInArrow(run, "row long, id long, dim int, cells binary")
+
+
+def survivors(lower: np.ndarray, upper: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
+    """Places that may be among the ``k`` best (ties go to the smaller id, then row): no ``k`` others are certain to be better."""
+    if len(lower) <= k:
+        return np.arange(len(lower))
+    kth = np.partition(lower, len(lower) - k)[len(lower) - k]
+    sure = np.flatnonzero(lower > kth)
+    equal = np.flatnonzero(lower == kth)
+    last = equal[np.lexsort((rows[equal], ids[equal]))[k - len(sure) - 1]]
+    tied = (upper == kth) & ((ids < ids[last]) | (ids == ids[last]) & (rows <= rows[last]))
+    return np.flatnonzero((upper > kth) | tied)
+
+
+def bounded(queries: DataFrame, file: DataFrame, cells: dict[int, Cells], k: int, blocks: int, query_blocks: int) -> DataFrame:
+    """``(query, row, upper)``: for each query the rows of each block of the file that may be among its ``k`` best, with upper bounds."""
+    own = lambda n, c: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    key = ["g", "h", "dim"]
+    left = queries.select("query", "v", "dim", own(query_blocks, "query").alias("h"), all_of(blocks).alias("g"))
+    right = file.select("row", "id", "cells", "dim", own(blocks, "row").alias("g"), all_of(query_blocks).alias("h"))
 
-    def __init__(self, exact: np.ndarray, bits: int = BITS):
-        self.low = exact.min(axis=0)
-        self.width = (exact.max(axis=0) - self.low) // (1 << bits) + 1
-        self.cells = ((exact - self.low) // self.width).astype(np.uint8)
+    def run(asked: pa.Table, candidates: pa.Table) -> pa.Table:
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        if asked.num_rows and candidates.num_rows:
+            asks, q = asked.column("query").to_numpy(), matrix(asked.column("v"))
+            rows, ids, bytes_of = candidates.column("row").to_numpy(), candidates.column("id").to_numpy(), byte_matrix(candidates.column("cells"))
+            weights, low, high = cells[q.shape[1]].bounds(q) if q.shape[1] else (q, np.zeros(len(q)), np.zeros(len(q)))
+            step = max(1, AT_ONCE // len(rows))
+            scan = bytes_of.T.astype(np.float64)
+            for at in range(0, len(q), step):
+                sums = weights[at : at + step] @ scan
+                for i, total in enumerate(sums, at):
+                    lower, upper = total + low[i], total + high[i]
+                    keep = survivors(lower, upper, ids, rows, k)
+                    out.append((np.full(len(keep), asks[i]), rows[keep], upper[keep].astype(np.int64)))
+        columns = [np.concatenate([x[j] for x in out]) if out else np.zeros(0, np.int64) for j in range(3)]
+        return pa.table(columns, names=["query", "row", "upper"])
+
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(run, BOUNDS)
 
-    def floors(self) -> np.ndarray:
-        return self.cells * self.width.astype(np.float64) + self.low
 
-    def slack(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """What to add, for each query, to the score of the cells' floors for a lower and an upper bound."""
-        room = (self.width - 1).astype(np.float64)
-        return np.minimum(queries, 0) @ room, np.maximum(queries, 0) @ room
+def read_exactly(pairs: DataFrame, queries: DataFrame, vectors: DataFrame) -> DataFrame:
+    """``(query, row, id, score)`` of pairs ``(query, row)``: their vectors, and no others, are joined."""
+    product = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x).cast("long")
+    return pairs.join(vectors.select("row", "id", "v"), "row").join(queries.select("query", F.col("v").alias("q")), "query").select("query", "row", "id", product.alias("score"))
 
 
-def best_of(query: np.ndarray, own: np.ndarray, floor_scores: np.ndarray, below: float, above: float, exact: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of the ``k`` best rows, but for those in the mask ``own``."""
-    floor_scores = np.where(own, -np.inf, floor_scores)
-    n = int((~own).sum())
-    if not n:
-        return ids[:0], ids[:0]
-    kth = np.partition(floor_scores, len(floor_scores) - min(k, n))[len(floor_scores) - min(k, n)] + below
-    at = np.flatnonzero(floor_scores + above >= kth)
-    at = at[np.argsort(-floor_scores[at], kind="stable")]
-    upper, scores, step = floor_scores[at] + above, np.zeros(0, np.int64), READ
-    while len(scores) < len(at):
-        read = at[len(scores) : len(scores) + step]
-        scores = np.concatenate([scores, exact[read] @ query])
-        step *= 2
-        if len(scores) >= min(k, n) and len(scores) < len(at) and upper[len(scores)] < np.partition(scores, len(scores) - k)[len(scores) - k]:
-            break
-    found = ids[at[: len(scores)]]
-    order = np.lexsort((found, -scores))[:k]
-    return found[order], scores[order]
+def best(scored: DataFrame, k: int) -> DataFrame:
+    """``scored`` with ``rank``: the ``k`` best of each query."""
+    order = W.partitionBy("query").orderBy(F.desc("score"), "id", "row")
+    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64) -> DataFrame:
-    """``(query_id, rank, vec_id, score)``: for each query its ``k`` best other vectors, by integer inner product.
+def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64, counted: list[int] | None = None) -> DataFrame:
+    """``(query_id, rank, vec_id, score)``: for each query its ``k`` best other rows, by integer inner product.
 
     Queries are the rows of ``vectors`` that ``is_query`` picks; candidates are
-    all rows but those with the query's id.  Ranks start at 1, ties go to the
-    smaller id; with fewer than ``k`` candidates all come back.  Vectors that are
-    null or hold a null or non-finite component take no part; vectors of another
-    length than the query's are no candidates.  Rows that repeat an id are
-    candidates of their own, but one query (their least vector).  Scores are exact
-    below 2**53.  An empty table gives no rows.
+    all rows but the query's own.  Rows that repeat an id are queries and
+    candidates of their own.  Ranks start at 1, ties go to the smaller id; with
+    fewer than ``k`` candidates all come back.  Vectors that are null or hold a
+    null or non-finite component take no part; vectors of another length than
+    the query's are no candidates.  Where a score could reach 2**53 it is an
+    error.  An empty table gives no rows.  ``counted`` gets how many exact
+    vectors were read, if it is given.
     """
-    every = whole_vectors(vectors, id_col, vector_col, scale)
-    asked = whole_vectors(vectors.where(is_query), id_col, vector_col, scale).groupBy("id").agg(F.min("v").alias("v"))
-    blocks = max(1, -(-every.count() // BLOCK))
-    query_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    own = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(n)).cast("int")
-    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    key = ["g", "h", "dim"]
-    left = asked.select("id", "v", F.size("v").alias("dim"), own(query_blocks, 1).alias("h"), all_of(blocks).alias("g"))
-    right = every.select("id", "v", F.size("v").alias("dim"), own(blocks, 2).alias("g"), all_of(query_blocks).alias("h"))
-
-    def run(queries: pa.Table, candidates: pa.Table) -> pa.Table:
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        if queries.num_rows and candidates.num_rows:
-            asks, q = queries.column("id").to_numpy(), matrix(queries.column("v"))
-            ids, exact = candidates.column("id").to_numpy(), matrix(candidates.column("v"))
-            cells = Approximation(exact)
-            below, above = cells.slack(q)
-            floors = cells.floors().T
-            for at in range(0, len(q), 64):
-                scores = q[at : at + 64].astype(np.float64) @ floors
-                for i in range(at, min(at + 64, len(q))):
-                    found, score = best_of(q[i], ids == asks[i], scores[i - at], below[i], above[i], exact, ids, k)
-                    out.append((np.full(len(found), asks[i]), found, score))
-        columns = [np.concatenate([x[j] for x in out]) if out else np.zeros(0, np.int64) for j in range(3)]
-        return pa.table([pa.array(c.astype(np.int64)) for c in columns], names=["query_id", "vec_id", "score"])
-
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(run, "query_id long, vec_id long, score long")
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    rows = stored(whole_vectors(vectors, id_col, vector_col, scale, is_query))
+    cells = extremes(rows)
+    # the first k + 1 of equal vectors; the window's limit acts before the shuffle too
+    firsts = rows.withColumn("nth", F.row_number().over(W.partitionBy("v").orderBy("id", "row"))).where(F.col("nth") <= k + 1).drop("nth", "asks")
+    every = stored(firsts)
+    file = stored(approximations(every, cells))
+    asked = stored(rows.where("asks").groupBy("v", "dim").agg(F.min("row").alias("query")))
+    blocks, query_blocks = max(1, -(-every.count() // BLOCK)), max(1, -(-asked.count() // QUERY_BLOCK))
+    bounds = stored(bounded(asked, file, cells, k + 1, blocks, query_blocks))
+    # the query's own row may be among the best, so one more is looked for
+    order = W.partitionBy("query").orderBy(F.desc("upper"), "row")
+    ahead = bounds.withColumn("at", F.row_number().over(order)).where(F.col("at") <= k + 1)
+    first = stored(read_exactly(ahead.select("query", "row"), asked, every))
+    reached = first.groupBy("query").agg(F.min("score").alias("reached"))
+    rest = bounds.join(reached, "query").where(F.col("upper") >= F.col("reached")).select("query", "row").join(first.select("query", "row"), ["query", "row"], "left_anti")
+    second = stored(read_exactly(rest, asked, every))
+    if counted is not None:
+        counted.append(first.count() + second.count())
+    found = best(first.union(second), k + 1).select("query", "row", "id", "score")
+    back = rows.where("asks").select("v", F.col("id").alias("query_id"), F.col("row").alias("own")).join(asked.select("v", "query"), "v").drop("v")
+    # written, so that a very common query can be split over tasks
+    answers = back.join(stored(found), "query").where("row <> own")
+    ranked = answers.withColumn("rank", F.row_number().over(W.partitionBy("own").orderBy(F.desc("score"), "id", "row"))).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
 #: The same rows in SQL, from all pairs.

@@ -10,14 +10,11 @@ from casona.llm import queries, vafile
 
 def slow(rows, k=20, every=20):
     vectors = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
-    asked = {}
-    for i, v in vectors:
-        if i % every == 0:
-            asked[i] = min(asked.get(i, v), v)
     out = []
-    for q, v in asked.items():
-        scores = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in vectors if i != q and len(w) == len(v))
-        out += [(q, n, i, -s) for n, (s, i) in enumerate(scores[:k], 1)]
+    for own, (q, v) in enumerate(vectors):
+        if q % every == 0:
+            scores = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for at, (i, w) in enumerate(vectors) if at != own and len(w) == len(v))
+            out += [(q, n, i, -s) for n, (s, i) in enumerate(scores[:k], 1)]
     return sorted(out)
 
 
@@ -25,15 +22,17 @@ def got(df):
     return sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in df.collect())
 
 
-@pytest.mark.parametrize("block, query_block", [(16_384, 4_096), (40, 7)])
-def test_ties_copies_and_bad_vectors(spark, monkeypatch, block, query_block):
+@pytest.mark.parametrize("block, query_block, bits", [(65_536, 4_096, 6), (40, 7, 6), (40, 7, 3)])
+def test_ties_copies_and_bad_vectors(spark, monkeypatch, block, query_block, bits):
     monkeypatch.setattr(vafile, "BLOCK", block)
     monkeypatch.setattr(vafile, "QUERY_BLOCK", query_block)
+    over = vafile.Cells.over
+    monkeypatch.setattr(vafile.Cells, "over", staticmethod(lambda least, most: over(least, most, bits)))
     rng = random.Random(block)
     rows = [(k, [rng.uniform(-1, 1) for _ in range(6)]) for k in range(200)]
-    rows += [(1000 + k, [0.5] * 6) for k in range(100)] + [(5, [0.1] * 6), (20, [0.9] * 6), (300, None), (301, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (302, [float("nan")] * 6), (303, [float("inf")] * 6), (None, [0.1] * 6)]
-    rows += [(400, [1.0, 2.0]), (401, [0.5, 0.5]), (420, [])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({"id": F.lit("x"), "v": F.lit("y"), "rank": F.lit(0)})
+    rows += [(1000 + k, [0.5] * 6) for k in range(100)] + [(5, [0.1] * 6), (20, [0.9] * 6), (20, [0.9] * 6), (20, [0.5] * 6), (300, None), (301, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (302, [float("nan")] * 6), (303, [float("inf")] * 6), (None, [0.1] * 6)]
+    rows += [(400, [1.0, 2.0]), (401, [0.5, 0.5]), (420, []), (440, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({"id": F.lit("x"), "v": F.lit("y"), "rank": F.lit(0), "row": F.lit(1), "query": F.lit("z")})
     assert got(vafile.top_k(df, F.col("vec_id") % 20 == 0, 20)) == slow(rows)
 
 
@@ -44,13 +43,31 @@ def test_few_and_none(spark):
     assert got(vafile.top_k(df.where("vec_id = 0"), F.col("vec_id") % 20 == 0, 20)) == []
 
 
-def test_bounds_hold():
+@pytest.mark.parametrize("large", [1e9, 1e300])
+def test_scores_that_are_not_exact_are_refused(spark, large):
+    df = spark.createDataFrame([(0, [large, 1.0]), (1, [2.0, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="2\\*\\*53"):
+        vafile.top_k(df, F.col("vec_id") % 20 == 0, 20)
+
+
+@pytest.mark.parametrize("bits", [2, 4, 6])
+def test_bounds_hold(bits):
     rng = np.random.default_rng(1)
-    exact, q = rng.integers(-300, 300, (500, 9)), rng.integers(-300, 300, (20, 9))
-    cells = vafile.Approximation(exact)
-    below, above = cells.slack(q)
-    floors, true = q @ cells.floors().T, q @ exact.T
-    assert (floors + below[:, None] <= true).all() and (true <= floors + above[:, None]).all()
+    exact, q = rng.integers(-300, 300, (500, 9)).astype(float), rng.integers(-300, 300, (20, 9)).astype(float)
+    cells = vafile.Cells.over(exact.min(axis=0), exact.max(axis=0), bits)
+    assert int(cells.of(exact).max()) < 1 << bits
+    weights, low, high = cells.bounds(q)
+    sums, true = weights @ cells.of(exact).T.astype(float), q @ exact.T
+    assert (sums + low[:, None] <= true).all() and (true <= sums + high[:, None]).all()
+
+
+def test_few_exact_vectors_are_read(spark, small):
+    read = []
+    rng = np.random.default_rng(2)
+    rows = [(k, v.tolist()) for k, v in enumerate(rng.normal(0, 20, (2000, 8)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert got(vafile.top_k(df, F.col("vec_id") % 20 == 0, 20, counted=read)) == slow(rows)
+    assert 100 * 21 <= read[0] < 100 * 2000 / 10
 
 
 def test_query(same_as_sql):
