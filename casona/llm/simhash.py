@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casona.llm.shared import checkpointed, connected_components, text_pieces
+from casona.llm.shared import checkpointed, connected_components, stored, text_pieces
 
 SEED = 42
 ONES = np.uint64(0x0101010101010101)
@@ -39,6 +39,8 @@ STEP = 6
 DIRECT = 64
 #: Pairs of nodes held at once.
 FRONTIER = 1 << 18
+#: From here on, numbers of fingerprints without an id; ids are less.
+NO_ID = 1 << 62
 
 
 def bit_counts(hashes: np.ndarray) -> np.ndarray:
@@ -115,12 +117,12 @@ def children(rows: DataFrame, max_bits: int) -> DataFrame:
         .withColumn("bits", F.expr("own & (shiftleft(1L, step) - 1)"))
         .withColumn("other", F.expr("shiftleft(case side when 1 then b when 2 then a else a end, step) | (bits ^ mask)"))
         .withColumn("side", F.expr("case when a <> b then side when mask = 0 then 0 when own < other then 1 else 2 end"))
-        .select("rot", "depth", F.expr("if(side = 2, other, own)").alias("a"), F.expr("if(side = 2, own, other)").alias("b"), "err", "side", "fp")
+        .select("rot", "depth", F.expr("if(side = 2, other, own)").alias("a"), F.expr("if(side = 2, own, other)").alias("b"), "err", "side", "fp", "node")
     )
 
 
 def node_pairs(prints: DataFrame, n: int, max_bits: int) -> DataFrame:
-    """Rows ``(rot, depth, a, b, err, side, fp)`` of the pairs of nodes of ``n`` fingerprints, none over ``PAIR_ROWS`` rows.
+    """Rows ``(rot, depth, a, b, err, side, fp, node)`` of the pairs of nodes of ``n`` fingerprints, none over ``PAIR_ROWS`` rows.
 
     At first each node is paired with itself at the depth of its first block,
     and taken down so far that the pairs of evenly spread fingerprints fit.  What
@@ -133,10 +135,10 @@ def node_pairs(prints: DataFrame, n: int, max_bits: int) -> DataFrame:
         for r in range(max_bits + 1)
     ]
     work = (
-        prints.select(F.explode(F.array(*turns)).alias("x"))
-        .select("x.*")
+        prints.select("node", F.explode(F.array(*turns)).alias("x"))
+        .select("x.*", "node")
         .withColumn("a", F.expr("shiftrightunsigned(fp, 64 - depth)"))
-        .select("rot", "depth", "a", F.col("a").alias("b"), F.lit(0).alias("err"), F.lit(0).alias("side"), "fp")
+        .select("rot", "depth", "a", F.col("a").alias("b"), F.lit(0).alias("err"), F.lit(0).alias("side"), "fp", "node")
     )
     for _ in range(w[-1], max(1, n // PAIR_ROWS).bit_length(), STEP):
         work = children(work, max_bits)
@@ -152,13 +154,13 @@ def node_pairs(prints: DataFrame, n: int, max_bits: int) -> DataFrame:
         work = checkpointed(children(rows.where(F.col("n") > PAIR_ROWS).drop("n"), max_bits))
 
 
-def trie_links(rot: np.ndarray, depth: np.ndarray, a: np.ndarray, b: np.ndarray, err: np.ndarray, side: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links within the given pairs of nodes: each fingerprint and its root."""
+def trie_links(rot: np.ndarray, depth: np.ndarray, a: np.ndarray, b: np.ndarray, err: np.ndarray, side: np.ndarray, fp: np.ndarray, node: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links within the given pairs of nodes: the ``node`` of each fingerprint and of its root."""
     order = np.lexsort((fp, side, b, a, depth, rot))
-    rot, depth, a, b, err, side, fp = (x[order] for x in (rot, depth, a, b, err, side, fp))
+    rot, depth, a, b, err, side, fp, node = (x[order] for x in (rot, depth, a, b, err, side, fp, node))
     turn = np.cumsum([0, *widths(max_bits)])[:-1].astype(np.uint64)[rot]
     original = np.where(turn == 0, fp, (fp >> turn) | (fp << ((np.uint64(64) - turn) & np.uint64(63))))
-    nodes, index = np.unique(original, return_inverse=True)
+    nodes, first_at, index = np.unique(original, return_index=True, return_inverse=True)
     parent, allowed = np.arange(len(nodes)), budgets(max_bits)
     new = np.ones(len(fp), bool)
     new[1:] = (rot[1:] != rot[:-1]) | (depth[1:] != depth[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
@@ -217,25 +219,25 @@ def trie_links(rot: np.ndarray, depth: np.ndarray, a: np.ndarray, b: np.ndarray,
         if out:
             joined = np.concatenate(out, axis=1)
             stack += [joined[:, k : k + FRONTIER] for k in range(0, joined.shape[1], FRONTIER)]
-    moved = parent != np.arange(len(nodes))
+    moved, nodes = parent != np.arange(len(nodes)), node[first_at]
     return nodes[moved], nodes[parent[moved]]
 
 
 def near_links(prints: DataFrame, max_bits: int = 4, n: int | None = None) -> DataFrame:
-    """``(a, b)`` links of the distinct longs ``fp`` of ``prints`` that join all within ``max_bits`` bits.
+    """``(a, b)`` links of ``prints`` ``(fp, node)``, distinct longs and what stands for each, that join all within ``max_bits`` bits.
 
     ``n``: about how many there are, if it is known; it only decides how deep the work starts.
     Not every pair: a spanning forest of the links that each task found, from
     which the same components follow.
     """
     n = n or prints.count()
-    pairs = node_pairs(prints.select("fp"), n, max_bits)
+    pairs = node_pairs(prints.select("fp", "node"), n, max_bits)
     buckets = max(1, n * (max_bits + 1) // TASK_ROWS)
 
     def run(group: pa.Table) -> pa.Table:
-        cols = [group.column(k).to_numpy() for k in ("rot", "depth", "a", "b", "err", "side", "fp")]
-        u, v = trie_links(*cols[:6], cols[6].astype(np.int64).view(np.uint64), max_bits)
-        return pa.table({"a": pa.array(u.view(np.int64)), "b": pa.array(v.view(np.int64))})
+        cols = [group.column(k).to_numpy() for k in ("rot", "depth", "a", "b", "err", "side", "fp", "node")]
+        u, v = trie_links(*cols[:6], cols[6].astype(np.int64).view(np.uint64), cols[7], max_bits)
+        return pa.table({"a": pa.array(u), "b": pa.array(v)})
 
     dealt = pairs.withColumn("bucket", F.pmod(F.xxhash64("rot", "depth", "a", "b"), F.lit(buckets)))
     return dealt.groupBy("bucket").applyInArrow(run, "a long, b long")
@@ -249,15 +251,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     share a fingerprint and are expanded into no pairs.  Null and wordless texts
     have fingerprint 0 and link like any other; rows that repeat come back as
     often; a null id is never the smallest (a component of null ids has null).
-    Other columns of ``docs`` are not read; an empty table gives no rows.
+    Ids from 2**62 on are an error.  Other columns of ``docs`` are not read; an
+    empty table gives no rows.
     """
-    prints = checkpointed(fingerprints(docs, id_col, text_col, shingle))
-    distinct = checkpointed(prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("least")))
+    prints = stored(fingerprints(docs, id_col, text_col, shingle))
+    # a fingerprint is known by its least id, so that the least node of a component is its id; ids of none come after all others
+    distinct = prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("least"))
+    distinct = stored(distinct.select("fp", F.coalesce("least", F.monotonically_increasing_id() + NO_ID).alias("node")))
+    if not prints.where(F.col("doc_id") >= NO_ID).isEmpty():
+        raise ValueError(f"ids must be less than {NO_ID}")
     roots = connected_components(near_links(distinct, max_bits))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = rooted.join(least, "root").select(F.col("fp").alias("fingerprint"), "component_id")
-    return prints.join(found, "fingerprint").select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+    # written, so that the join deals out both sides anew and a very common fingerprint can be split over tasks
+    found = stored(distinct.join(roots, "node", "left").select(F.col("fp").alias("fingerprint"), F.coalesce("root", "node").alias("root")))
+    component = F.when(F.col("root") < NO_ID, F.col("root")).alias("component_id")
+    return prints.join(found, "fingerprint").select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), component)
 
 
 # The wide setting.  Of texts that are 0.8 similar about one bit in seven differs.  The
@@ -272,6 +279,8 @@ BANDS, DEEP = 36, 6
 ALL_BITS = 72
 #: Texts of a block that are all compared with each other; in larger ones all meet so many pivots first.
 BLOCK_TEXTS, PIVOTS = 64, 8
+#: Texts of a large block that meet the pivots in one task, on average.
+PART_TEXTS = 1024
 #: Multipliers that make further hashes of one.
 MIXERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -376,9 +385,13 @@ def similar_links(nodes: DataFrame, rows: DataFrame, key: str, text_col: str, le
     many = sizes.where(F.col("n") > BLOCK_TEXTS)
     if many.isEmpty():
         return checkpointed(confirmed(checkpointed(pairs), rows, key, text_col, least))
-    large = checkpointed(left.join(many, "root").drop("n").withColumn("turn", F.pmod(F.xxhash64("node"), F.lit(PIVOTS))))
-    chosen = checkpointed(large.groupBy("root", "turn").agg(F.min_by(F.struct("node", *sums), F.xxhash64("node")).alias("x")).select("root", "x.*"))
-    pairs = pairs.union(large.withColumnRenamed("node", "a").join(other(chosen), "root").where("a <> b").where(near).select("a", "b"))
+    large = checkpointed(left.join(many, "root").withColumn("turn", F.pmod(F.xxhash64("node"), F.lit(PIVOTS))))
+    chosen = checkpointed(large.groupBy("root", "turn").agg(F.min_by(F.struct("node", "n", *sums), F.xxhash64("node")).alias("x")).select("root", "x.*"))
+    # a block is dealt out in parts, and its pivots go to each
+    parts = F.ceil(F.col("n") / PART_TEXTS).cast("int")
+    dealt = large.withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), parts)).withColumnRenamed("node", "a")
+    pivots = chosen.select("root", F.col("node").alias("b"), *[F.col(s).alias(f"t{s}") for s in sums], F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    pairs = pairs.union(dealt.join(pivots, ["root", "part"]).where("a <> b").where(near).select("a", "b"))
     found = checkpointed(confirmed(checkpointed(pairs), rows, key, text_col, least))
     components = connected_components(found).withColumnRenamed("root", "component")
     labelled = checkpointed(large.join(components, "node", "left").withColumn("component", F.coalesce("component", "node")).select("root", "node", "component", *sums))

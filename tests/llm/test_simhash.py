@@ -49,6 +49,13 @@ def test_edge_cases(edge, edge_rows):
     assert got(simhash.near_duplicates(edge)) == slow_components([r[:2] for r in edge_rows])
 
 
+def test_ids_that_are_too_large_are_refused(spark):
+    with pytest.raises(ValueError, match="ids"):
+        simhash.near_duplicates(spark.createDataFrame([(2**62, "a")], "doc_id long, text string"))
+    low = [(-5, "a b"), (-7, "a b"), (None, "c"), (2**62 - 1, "d")]
+    assert got(simhash.near_duplicates(spark.createDataFrame(low, "doc_id long, text string"))) == slow_components(low)
+
+
 def test_empty(none):
     assert got(simhash.near_duplicates(none)) == []
 
@@ -70,7 +77,7 @@ def test_links_join_what_is_near(spark, monkeypatch, bits, pair_rows, n):
     monkeypatch.setattr(simhash, "PAIR_ROWS", pair_rows)
     values = clustered(random.Random(bits), 600)
     signed = np.array(values, np.uint64).view(np.int64).tolist()
-    links = simhash.near_links(spark.createDataFrame([(v,) for v in signed], "fp long"), bits, n)
+    links = simhash.near_links(spark.createDataFrame([(v, v) for v in signed], "fp long, node long"), bits, n)
     roots = {r["node"]: r["root"] for r in connected_components(links).collect()}
     u = np.array(values, np.uint64)
     label = list(range(len(u)))
