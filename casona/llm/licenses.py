@@ -87,18 +87,18 @@ def winnowed(ranks: np.ndarray) -> np.ndarray:
 
 
 class Postings:
-    """Places by word: ``of`` gives for the words of a text at some places the templates' and the diagonals that they hit."""
+    """Places by word: ``of`` gives, for the words of a text at some places, the templates, their places and the diagonals that are hit."""
 
     def __init__(self, found: list[tuple[int, int, int]], n_words: int):
         rows = np.array(sorted(found), np.int64).reshape(-1, 3)  # (word, template, place)
         self.template, self.place = rows[:, 1], rows[:, 2]
         self.first = np.searchsorted(rows[:, 0], np.arange(n_words + 1))
 
-    def of(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def of(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         word = ids[at]
         n = self.first[word + 1] - self.first[word]
         which = np.repeat(self.first[word] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-        return self.template[which], np.repeat(at, n) - self.place[which]
+        return self.template[which], self.place[which], np.repeat(at, n) - self.place[which]
 
 
 class TemplateIndex:
@@ -119,21 +119,31 @@ class TemplateIndex:
         posted = lambda long: [(int(self.tokens[t][k]), t, int(k)) for t, at in places if (pairs[t] > 0) == long for k in at]
         self.every, self.few = (Postings(posted(long), len(self.vocabulary)) for long in (False, True))
 
-    def candidates(self, ids: np.ndarray) -> dict[int, np.ndarray]:
-        """Diagonals of each template around which a text has enough hits."""
+    def candidates(self, ids: np.ndarray) -> dict[int, list[int]]:
+        """Diagonals of each template around which a text hits enough of its places."""
         found = [self.every.of(ids, np.flatnonzero(ids >= 0)), self.few.of(ids, winnowed(ids))]
-        template, diagonal = (np.concatenate([x[j] for x in found]) for j in (0, 1))
-        zero = max(len(t) for t in self.tokens) + 2 * int(self.near.max()) + 1
-        span = len(ids) + 2 * zero
-        keys = np.sort(template * span + diagonal + zero)
-        of = keys // span
-        many = np.searchsorted(keys, keys + 2 * self.near[of], side="right") - np.arange(len(keys)) >= self.hits[of]
-        out: dict[int, np.ndarray] = {}
-        for t in np.unique(of[many]).tolist():
-            own, near = keys[of == t] - t * span - zero, int(self.near[t])
-            around = np.unique(keys[many & (of == t)][:, None] - t * span - zero + near + np.arange(-2 * near, 2 * near + 1))
-            enough = np.searchsorted(own, around + near, side="right") - np.searchsorted(own, around - near) >= self.hits[t]
-            out[t] = around[enough]
+        template, place, diagonal = (np.concatenate([x[j] for x in found]) for j in range(3))
+        width = 2 * self.near + 1
+        zero, longest = max(len(t) for t in self.tokens), max(len(t) for t in self.tokens)
+        # what a band reaches lies in two neighbouring stripes of its width, so these must have enough places
+        stripe = (diagonal + zero) // width[template] + template * (len(ids) + 2 * zero + 2)
+        pairs = np.unique(stripe * longest + place) // longest
+        stripes, n = np.unique(pairs, return_counts=True)
+        after = np.append(np.where(np.diff(stripes) == 1, n[1:], 0), 0) if len(n) else n
+        before = np.append(0, np.where(np.diff(stripes) == 1, n[:-1], 0)) if len(n) else n
+        enough = n + np.maximum(after, before) >= self.hits[stripes // (len(ids) + 2 * zero + 2)]
+        live = np.isin(stripe, stripes[enough])
+        out: dict[int, list[int]] = {}
+        for t in np.unique(template[live]).tolist():
+            own = live & (template == t)
+            order = np.argsort(diagonal[own], kind="stable")
+            hit, at, near = diagonal[own][order], place[own][order], int(self.near[t])
+            around = np.unique(hit[:, None] + np.arange(-near, near + 1))
+            low, high = np.searchsorted(hit, around - near), np.searchsorted(hit, around + near, side="right")
+            some = np.flatnonzero(high - low >= self.hits[t])
+            kept = [k for k in some.tolist() if len(set(at[low[k] : high[k]].tolist())) >= self.hits[t]]
+            if kept:
+                out[t] = around[kept].tolist()
         return out
 
     def scan(self, text: str) -> list[tuple[str, float, int, int, int, int]]:
@@ -150,7 +160,7 @@ class TemplateIndex:
             size, near = len(self.tokens[t]), int(self.near[t])
             best: set[tuple[int, int, int]] = set()
             done = -(10**9)
-            for diagonal in diagonals.tolist():
+            for diagonal in diagonals:
                 if diagonal <= done:
                     continue
                 matched, first, last = aligned(self.tokens[t], ids, diagonal, near)
