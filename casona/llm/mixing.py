@@ -8,20 +8,16 @@ the mix is cut where the words served reach the budget.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from casona.llm.shared import checkpointed
+from casona.llm.shared import checkpointed, stored
 
 #: What the sources weigh, by rank of their name, over and over.
 WEIGHTS = (3, 1, 2)
 #: Words to take for each word there is, and times that a source may be repeated.
 SHARE, PASSES = 1.5, 2
-#: Rows of a source that share a running sum, on average.
-RUN_ROWS = 1000
 #: Rows up to which the table of sources is broadcast; beyond, it is joined by a shuffle.
 BROADCAST_SOURCES = 10_000
 
@@ -77,10 +73,11 @@ def mix_entries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ``served`` says whether the entry is in the mix, ``sum_to`` how many words
     the mix has with it if so.  A shuffled order is that of the md5 of the id,
-    so reruns agree; rows that repeat are entries of their own.  ``rid`` is
-    ``row_col``, a unique long, or a number of its own.  A null text has
-    no words, a null source is a source, ranked last, and a null id is shuffled
-    like an empty one.
+    then of the id, size and text, so reruns agree; rows that repeat are entries
+    of their own.  ``rid`` is ``row_col``, a unique long, or a number of its own.
+    A null text has no words, a null source is a source, ranked last, and a null
+    id is shuffled like an empty one.  Both orders are sorted over ranges, which
+    also part the rows of one id.
     """
     base = docs.select(
         (F.monotonically_increasing_id() if row_col is None else F.col(row_col)).alias("rid"),
@@ -88,20 +85,21 @@ def mix_entries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col(source_col).cast("string").alias("source"),
         word_count(F.col(text_col)).alias("size"),
         F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("turn"),
+        F.xxhash64(text_col).alias("tie"),
     )
-    base = checkpointed(base)
+    base = stored(base)
     sources = checkpointed(source_targets(base))
-    rows, n_sources = base.count(), sources.count()
-    digits = max(0, math.ceil(math.log(max(1, rows / RUN_ROWS), 16)))
-    named = F.broadcast(sources) if n_sources <= BROADCAST_SOURCES else sources
-    x = base.join(named, base["source"].eqNullSafe(sources["source"])).drop("source").withColumn("run", F.substring("turn", 1, digits))
-    x = running_sum(x, ["rank"], "run", ["turn", "doc_id", "size", "rid"], "size").withColumnRenamed("sum_to", "upto").drop("run")
+    named = F.broadcast(sources) if sources.count() <= BROADCAST_SOURCES else sources
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shuffled = ["turn", "doc_id", "size", "tie", "rid"]
+    x = base.join(named, base["source"].eqNullSafe(sources["source"])).drop("source")
+    x = stored(x.repartitionByRange(parts, "rank", *shuffled).withColumn("run", F.spark_partition_id()))
+    x = running_sum(x, ["rank"], "run", shuffled, "size").withColumnRenamed("sum_to", "upto").drop("run")
     entries = x.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(PASSES - 1)))).withColumn(
         "finish", F.when(F.col("target") > 0, (F.col("upto") + F.col("pass") * F.col("source_size")).cast("double") / F.col("target")).otherwise(F.lit(0.0))
     )
-    order = ["finish", "rank", "pass", "turn", "doc_id", "size", "rid"]
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = checkpointed(entries.repartitionByRange(parts, *order).withColumn("run", F.spark_partition_id()))
+    order = ["finish", "rank", "pass", *shuffled]
+    ranged = stored(entries.repartitionByRange(parts, *order).withColumn("run", F.spark_partition_id()))
     summed = running_sum(ranged.withColumn("all", F.lit(0)), ["all"], "run", order, "size")
     return summed.withColumn("served", F.col("sum_to") <= F.floor(F.lit(SHARE) * F.col("total"))).select("rid", "doc_id", "size", "source_size", "target", "pass", "finish", "sum_to", "served")
 
@@ -126,7 +124,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     Each row is taken by itself, whatever its id.  Rows without words add no
     word and stay once.
     """
-    rows = checkpointed(docs.withColumn("__row", F.monotonically_increasing_id()))
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()))
     entries = mix_entries(rows, id_col, text_col, source_col, "__row")
     times = F.when(F.first("size") == 0, 1).otherwise(F.sum(F.col("served").cast("int"))).cast("int")
     taken = entries.groupBy(F.col("rid").alias("__row")).agg(times.alias("__times")).where("__times > 0")

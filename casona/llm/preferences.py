@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from casona.llm.shared import stored
+
 START, END, GAP = "<|im_start|>", "<|im_end|>", "\n"
 ASSISTANT = "assistant"
 
@@ -34,11 +36,23 @@ def spans(turns: Column) -> Column:
 
 def conversations_of(turns: DataFrame, key: str) -> DataFrame:
     """``(key, turns)``: the turns of each conversation in order.  Rows that repeat count once; a null role or text is empty."""
-    rows = turns.select(key, "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).where(F.col(key).isNotNull() & F.col("turn").isNotNull()).distinct()
-    ordered = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
+    rows = turns.select(key, "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).where(F.col(key).isNotNull() & F.col("turn").isNotNull())
+    ordered = F.array_sort(F.array_distinct(F.collect_list(F.struct("turn", "role", "text"))))
     return rows.groupBy(key).agg(F.transform(ordered, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
 
 
+def formatted(both: DataFrame, key: str) -> DataFrame:
+    """``(key, prefix_turns, prompt, chosen, rejected, chosen_mask, rejected_mask, usable)`` of rows ``(key, good, bad)`` with the turns of either side."""
+    same = F.zip_with("good", "bad", lambda x, y: x.eqNullSafe(y))
+    differs = F.array_position(same, F.lit(False))  # places beyond the shorter one differ
+    both = both.withColumn("prefix_turns", F.when(differs > 0, differs - 1).otherwise(F.size("good")).cast("int"))
+    rest = [F.slice(c, F.col("prefix_turns") + 1, F.greatest(F.size(c) - F.col("prefix_turns"), F.lit(0))) for c in ("good", "bad")]
+    text = lambda turns: F.array_join(F.transform(turns, rendered), "")
+    out = both.select(key, "prefix_turns", text(F.slice("good", F.lit(1), F.col("prefix_turns"))).alias("prompt"), *[x.alias(c) for x, c in zip(rest, ("good", "bad"), strict=True)])
+    out = out.select(key, "prefix_turns", "prompt", text(F.col("good")).alias("chosen"), text(F.col("bad")).alias("rejected"), spans(F.col("good")).alias("chosen_mask"), spans(F.col("bad")).alias("rejected_mask"))
+    return out.withColumn("usable", (F.size("chosen_mask") > 0) & (F.size("rejected_mask") > 0) & (F.col("chosen") != F.col("rejected")))
+
+
 def preference_pairs(chosen: DataFrame, rejected: DataFrame, key: str) -> DataFrame:
     """``(key, prefix_turns, prompt, chosen, rejected, chosen_mask, rejected_mask, usable)`` of two tables of turns.
 
@@ -51,43 +65,42 @@ def preference_pairs(chosen: DataFrame, rejected: DataFrame, key: str) -> DataFr
     """
     a = conversations_of(chosen, key).withColumnRenamed("turns", "good")
     b = conversations_of(rejected, key).withColumnRenamed("turns", "bad")
-    same = F.zip_with("good", "bad", lambda x, y: x.eqNullSafe(y))
-    differs = F.array_position(same, F.lit(False))  # places beyond the shorter one differ
-    both = a.join(b, key).withColumn("prefix_turns", F.when(differs > 0, differs - 1).otherwise(F.size("good")).cast("int"))
-    rest = [F.slice(c, F.col("prefix_turns") + 1, F.greatest(F.size(c) - F.col("prefix_turns"), F.lit(0))) for c in ("good", "bad")]
-    text = lambda turns: F.array_join(F.transform(turns, rendered), "")
-    out = both.select(key, "prefix_turns", text(F.slice("good", F.lit(1), F.col("prefix_turns"))).alias("prompt"), *[x.alias(c) for x, c in zip(rest, ("good", "bad"), strict=True)])
-    out = out.select(key, "prefix_turns", "prompt", text(F.col("good")).alias("chosen"), text(F.col("bad")).alias("rejected"), spans(F.col("good")).alias("chosen_mask"), spans(F.col("bad")).alias("rejected_mask"))
-    return out.withColumn("usable", (F.size("chosen_mask") > 0) & (F.size("rejected_mask") > 0) & (F.col("chosen") != F.col("rejected")))
+    return formatted(a.join(b, key), key)
 
 
 def mask_text(mask: Column) -> Column:
     return F.array_join(F.transform(mask, lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["stop"].cast("string"))), ",")
 
 
-def with_rejected(turns: DataFrame) -> DataFrame:
-    """For each conversation a worse one: up to its last assistant turn, which says what the last one of the next id says instead.
+def swapped_pairs(turns: DataFrame) -> DataFrame:
+    """``preference_pairs`` of each conversation with a worse one: up to its last assistant turn, which says what the last one of the next id says instead.
 
-    The next id is ``conv_id`` + 1; where it has no assistant turn, nothing is said.
+    The next id is ``conv_id`` + 1; where it has no assistant turn, nothing is
+    said.  A conversation without an assistant turn is its own rejected side.
+    Of turns that share a number the assistant's, and of those the text that is
+    greatest, is the last.  Turns are grouped once; only what each conversation
+    says last goes to its neighbour.
     """
-    last = turns.where(F.col("role") == ASSISTANT).groupBy("conv_id").agg(F.max("turn").alias("last"), F.max_by("text", F.struct("turn", "text")).alias("said"))
-    other = last.select((F.col("conv_id") - 1).alias("conv_id"), F.col("said").alias("other"))
-    x = turns.join(last.select("conv_id", "last"), "conv_id", "left").join(other, "conv_id", "left")
-    text = F.when(F.col("turn") == F.col("last"), F.coalesce("other", F.lit(""))).otherwise(F.col("text"))
-    return x.where("last is null or turn <= last").select("conv_id", "turn", "role", text.alias("text"))
+    grouped = stored(conversations_of(turns, "conv_id").withColumnRenamed("turns", "good"))
+    spoken = lambda t: t["role"] == ASSISTANT
+    last = F.aggregate(F.transform("good", lambda t, k: F.when(spoken(t), k + 1).otherwise(0)), F.lit(0), lambda a, x: F.greatest(a, x))
+    rows = grouped.withColumn("last", last)
+    said = rows.select((F.col("conv_id") - 1).alias("conv_id"), F.when(F.col("last") > 0, F.get("good", F.col("last") - 1)["text"]).alias("other"))
+    swap = F.struct(F.lit(ASSISTANT).alias("role"), F.coalesce("other", F.lit("")).alias("text"))
+    bad = F.when(F.col("last") == 0, F.col("good")).otherwise(F.concat(F.slice("good", F.lit(1), F.col("last") - 1), F.array(swap)))
+    return formatted(rows.join(said, "conv_id", "left").select("conv_id", "good", bad.alias("bad")), "conv_id")
 
 
-#: The pairs of ``conversations`` and ``with_rejected(conversations)`` in SQL.
+#: The pairs of ``swapped_pairs(conversations)`` in SQL.
 PREFERENCES_SQL = r"""
-WITH c AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
-l AS (SELECT conv_id, max(turn) AS lst FROM c WHERE role = 'assistant' GROUP BY conv_id),
-s AS (SELECT c.conv_id, c.text AS said FROM c JOIN l ON c.conv_id = l.conv_id AND c.turn = l.lst AND c.role = 'assistant'),
-b AS (
-  SELECT c.conv_id, c.turn, c.role, CASE WHEN c.turn = l.lst THEN coalesce(s.said, '') ELSE c.text END AS text
-  FROM c LEFT JOIN l ON c.conv_id = l.conv_id LEFT JOIN s ON s.conv_id = c.conv_id + 1
-  WHERE l.lst IS NULL OR c.turn <= l.lst),
-g AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM c),
-h AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM b),
+WITH c AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+g AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k FROM c),
+l AS (SELECT conv_id, max(k) AS lst FROM g WHERE role = 'assistant' GROUP BY conv_id),
+s AS (SELECT g.conv_id, g.text AS said FROM g JOIN l ON g.conv_id = l.conv_id AND g.k = l.lst),
+h AS (
+  SELECT g.conv_id, g.turn, g.role, CASE WHEN g.k = l.lst THEN coalesce(s.said, '') ELSE g.text END AS text, g.k
+  FROM g LEFT JOIN l ON g.conv_id = l.conv_id LEFT JOIN s ON s.conv_id = g.conv_id + 1
+  WHERE l.lst IS NULL OR g.k <= l.lst),
 f AS (
   SELECT coalesce(g.conv_id, h.conv_id) AS conv_id, min(coalesce(g.k, h.k)) AS k
   FROM g FULL JOIN h ON g.conv_id = h.conv_id AND g.k = h.k

@@ -44,8 +44,7 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op8_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations")
-    pairs = preferences.preference_pairs(turns, preferences.with_rejected(turns), "conv_id")
+    pairs = preferences.swapped_pairs(table(spark, sf_dir, "conversations"))
     return pairs.withColumns({c: preferences.mask_text(F.col(c)) for c in ("chosen_mask", "rejected_mask")})
 
 

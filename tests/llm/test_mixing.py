@@ -76,8 +76,7 @@ def test_capped_sources(spark, none):
     assert all(r["taken"] == 20 for r in out if r["source_size"] == 30)
 
 
-def test_runs_of_one_source(spark, none, monkeypatch):
-    monkeypatch.setattr(mixing, "RUN_ROWS", 3)
+def test_runs_of_one_source(spark, none):
     rows = [(k, "w " * (k % 7), None, "a" if k % 3 else "b", 0) for k in range(400)]
     check(rows, mixing.allotments(spark.createDataFrame(rows, none.schema)).collect())
 

@@ -55,3 +55,12 @@ def test_nulls_and_missing_sides(spark):
 
 def test_query(same_as_sql):
     same_as_sql(queries.op8_preference_pairs, pf.PREFERENCES_SQL)
+
+
+def test_turns_that_share_a_number(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "mine"), (1, 1, "user", "and?"), (2, 0, "assistant", "theirs"), (3, 0, "user", "alone"), (3, 0, "user", "alone"), (5, 1, None, None), (None, 0, "assistant", "x")]
+    found = {r["conv_id"]: r for r in pf.swapped_pairs(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    user, mine = ("user", "q"), ("assistant", "mine")
+    assert set(found) == {1, 2, 3, 5}
+    assert found[1]["prompt"] == render([user]) and found[1]["chosen"] == render([mine, ("user", "and?")]) and found[1]["rejected"] == render([("assistant", "theirs")])
+    assert found[2]["rejected"] == render([("assistant", "")]) and found[3]["prompt"] == render([("user", "alone")]) and not found[3]["usable"]
