@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,6 +44,24 @@ def folded(query: str) -> str:
     return query.strip().lower()
 
 
+NUMBER = r"[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?"
+
+
+def number_of(text: str) -> float | None:
+    """The number that a form's text says; nothing if it is empty or says none."""
+    return float(text.strip()) if re.fullmatch(NUMBER, text.strip()) else None
+
+
+def form_number(text: Column) -> Column:
+    """The same of a column; null if there is no text, or none that is a number."""
+    bare = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.when(bare.rlike(f"^(?:{NUMBER})$"), bare.try_cast("double"))
+
+
+def page_title(project: Column, site: str) -> Column:
+    return F.concat(project, F.lit(f" — {site}"))
+
+
 def number_text(x: Column, pattern: str = "0.##########") -> Column:
     return F.call_function("format_number", x, F.lit(pattern))
 

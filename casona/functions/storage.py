@@ -3,18 +3,25 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder that the session names in ``spark.checkpoint.dir``.
+    """The shared folder that the session names in ``spark.checkpoint.dir``: a part of it that is this application's own.
 
-    Only where none is named (tests on one machine) is a temporary one set.
+    Where none is named, a temporary one is set if all runs on one machine, as
+    in tests; on a cluster that is an error.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoints-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+            folder = tempfile.mkdtemp(prefix="spark-checkpoints-")
+        context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
@@ -22,3 +29,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the checkpoint folder and read from there; its lineage ends."""
     checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as a Parquet table in the checkpoint folder, and read from there: smaller than a checkpoint, and read by column."""
+    path = f"{checkpoint_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -21,6 +21,11 @@ def saved_texts(toggles: DataFrame) -> DataFrame:
     return kept.groupBy("user_id").agg(F.to_json(ids).alias("body"))
 
 
+def save_favorites(toggles: DataFrame, path: str) -> None:
+    """Writes the texts of all users as a Parquet table, in place of what is there."""
+    saved_texts(toggles).write.mode("overwrite").parquet(path)
+
+
 def load_favorites(saved: DataFrame) -> DataFrame:
     """``(user_id, listing_id)`` of saved texts; a missing or malformed one is empty, an element that is no id is skipped."""
     parsed = F.from_json("body", "array<string>")

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from casona.functions.geo import EARTH_KM, haversine_km
 from casona.functions.labels import FALLBACK_RATE, half_up
+from casona.functions.storage import stored
 
 AVAILABLE = ("DISPONIBLE", "AVAILABLE")
 UNKNOWN_DEVELOPER = "Developer not confirmed"
 #: Landmarks up to which every listing is compared with every landmark, the landmarks being broadcast.
 BROADCAST_LANDMARKS = 10_000
+#: What a computed distance may be off.
+ROUNDING_KM = 1e-6
 
 
 def available_units(raw: DataFrame) -> DataFrame:
@@ -42,37 +48,44 @@ def nearest_landmarks(listings: DataFrame, landmarks: DataFrame) -> DataFrame:
     return nearest_by_grid(listings, landmarks)
 
 
-def nearest_by_grid(listings: DataFrame, landmarks: DataFrame, cells: tuple[float, ...] = (0.5, 2.0, 9.0, 45.0)) -> DataFrame:
-    """The same by grid cells, for any number of landmarks of a few categories.
+def cells_of(marks: DataFrame, ratio: int, parent: int | None) -> DataFrame:
+    """``(category, y, x, up_y, up_x, rep_lat, rep_lng)``: the cells that are ``ratio`` finest ones wide, one landmark of each, and the cell of ``parent`` finest ones in which it lies."""
+    at = [F.floor(F.col(c) / ratio).alias(n) for c, n in (("fine_y", "y"), ("fine_x", "x"))]
+    up = [F.floor(F.col(c) * ratio / (parent or ratio)).alias(n) for c, n in (("y", "up_y"), ("x", "up_x"))]
+    reps = marks.groupBy("category", *at).agg(F.min(F.struct("mark_lat", "mark_lng")).alias("rep"))
+    return reps.select("category", "y", "x", *up, F.col("rep.mark_lat").alias("rep_lat"), F.col("rep.mark_lng").alias("rep_lng"))
+
 
-    A listing meets the landmarks of its cell and of the cells around it; one
-    that is nearer than any place outside them can be is the nearest.  Listings
-    without such a find go on with wider cells, and at last with all landmarks.
-    Cells are degrees that divide 360 evenly.
+def nearest_by_grid(listings: DataFrame, landmarks: DataFrame, finest: float = 0.05, ratios: tuple[int, ...] = (900, 180, 36, 6, 1)) -> DataFrame:
+    """The same by grid cells, for any number of landmarks.
+
+    A listing starts with the widest cells that hold a landmark of a category,
+    and goes down to the cells within them.  At each step it keeps those that may
+    hold the nearest one: whose nearest point isn't farther than the nearest of
+    the landmarks that stand for the cells.  In the finest cells that are left
+    it meets the landmarks themselves.  ``finest``: degrees; ``ratios``: how many
+    of the finest cells the cells of each step are wide.
     """
-    marks = landmarks.select("category", "name", F.col("lat").alias("mark_lat"), F.col("lng").alias("mark_lng"))
-    left = listings.select("listing_id", "lat", "lng").crossJoin(F.broadcast(landmarks.select("category").distinct()))
-    out = None
-    for degrees in (*cells, None):
-        if degrees is None:
-            placed, keys, edge = left, ["category"], F.lit(float("inf"))
-            grid = marks
+    placed = [F.floor(F.col(c) / finest).alias(n) for c, n in (("lat", "fine_y"), ("lng", "fine_x"))]
+    marks = stored(landmarks.select("category", "name", F.col("lat").alias("mark_lat"), F.col("lng").alias("mark_lng"), *placed).where("fine_y is not null and fine_x is not null"))
+    here = listings.select("listing_id", "lat", "lng").where("lat is not null and lng is not null")
+    left: DataFrame | None = None
+    for step, ratio in enumerate(ratios):
+        cells = cells_of(marks, ratio, ratios[step - 1] if step else None)
+        few = cells.limit(BROADCAST_LANDMARKS + 1).count() <= BROADCAST_LANDMARKS
+        cells = F.broadcast(cells) if few else cells
+        if left is None:
+            met = here.crossJoin(cells)  # every category is asked of every listing, and there are some dozens of the widest cells
         else:
-            columns, around = int(360 / degrees), F.array(*[F.lit(k) for k in (-1, 0, 1)])
-            row, column = F.floor(F.col("lat") / degrees), F.floor(F.col("lng") / degrees)
-            placed = left.withColumn("y", F.explode(F.transform(around, lambda d: row + d)))
-            placed = placed.withColumn("x", F.explode(F.array_distinct(F.transform(around, lambda d: F.pmod(column + d, F.lit(columns))))))
-            grid = marks.withColumn("y", F.floor(F.col("mark_lat") / degrees)).withColumn("x", F.pmod(F.floor(F.col("mark_lng") / degrees), F.lit(columns)))
-            keys = ["category", "y", "x"]
-            # how far the nearest meridian outside is; the nearest parallel outside is farther
-            edge = EARTH_KM * F.asin(F.cos(F.radians("lat")) * F.sin(F.radians(F.lit(degrees))))
-        met = placed.join(grid, keys).withColumn("km", haversine_km(F.col("lat"), F.col("lng"), F.col("mark_lat"), F.col("mark_lng")))
-        best = met.groupBy("listing_id", "category").agg(F.min_by(F.struct("name", "km"), F.struct("km", "name")).alias("x"))
-        judged = left.join(best, ["listing_id", "category"], "left").withColumn("sure", F.coalesce(F.col("x.km") < edge, F.lit(False)))
-        done = judged.where("sure").select("listing_id", "category", "x.name", (half_up(F.col("x.km") * 10) / 10).alias("distance_km"))
-        out = done if out is None else out.union(done)
-        left = judged.where("not sure").select("listing_id", "lat", "lng", "category")
-    return out
+            met = left.withColumnsRenamed({"y": "up_y", "x": "up_x"}).join(cells, ["category", "up_y", "up_x"])
+        degrees = finest * ratio
+        centre = [(F.col(c) + 0.5) * degrees for c in ("y", "x")]
+        reach = EARTH_KM * math.radians(degrees) / math.sqrt(2)  # no place of a cell is farther from its centre
+        nearest = F.min(haversine_km(F.col("lat"), F.col("lng"), F.col("rep_lat"), F.col("rep_lng"))).over(W.partitionBy("listing_id", "category"))
+        least = haversine_km(F.col("lat"), F.col("lng"), *centre) - reach
+        left = met.withColumn("km", nearest).where(least <= F.col("km") + ROUNDING_KM).select("listing_id", "lat", "lng", "category", "y", "x")
+    met = left.join(marks.withColumnsRenamed({"fine_y": "y", "fine_x": "x"}), ["category", "y", "x"])
+    return nearest_of(met.withColumn("km", haversine_km(F.col("lat"), F.col("lng"), F.col("mark_lat"), F.col("mark_lng"))))
 
 
 def snapshot_diff(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from casona.functions.labels import folded, results_header
-from casona.functions.storage import checkpointed
+from casona.functions.labels import folded, form_number, number_of, results_header
+from casona.functions.ranks import numbered
+from casona.functions.storage import stored
 from casona.operators.summary import unit_summary
 
 
@@ -33,9 +34,9 @@ class ListingQuery:
 
     @staticmethod
     def from_form(values: dict[str, str]) -> ListingQuery:
-        """Of the texts of a form: an empty one is unset; a number that is none is an error."""
+        """Of the texts of a form: one that is empty, or is to be a number and is none, is unset."""
         text = lambda name: values.get(name, "") or None
-        number = lambda name: None if not values.get(name, "").strip() else float(values[name])
+        number = lambda name: number_of(values.get(name, ""))
         return ListingQuery(text("text"), text("property_type"), text("city"), text("unit_type"), number("min_bathrooms"), number("min_price"), number("max_price"), sort=values.get("sort", "") or "newest")
 
 
@@ -89,25 +90,24 @@ def ordering(sort: str) -> list[Column]:
     return [*by, F.asc("position")]
 
 
+def matched_summary(listings: DataFrame, units: DataFrame, query: ListingQuery, favorites: DataFrame | None = None) -> DataFrame:
+    """Matching listings with the summary of all their units, of which one must fit: units are read and grouped once."""
+    summed = unit_summary(units, F.bool_or(unit_predicate(query)).alias("__fits")).where("__fits").drop("__fits")
+    found = listings.where(listing_predicate(query))
+    if query.favorites_of is not None:
+        own = favorites.where(F.col("user_id") == query.favorites_of).select("listing_id")
+        found = found.join(own, "listing_id", "left_semi")
+    return found.join(summed, "listing_id")
+
+
 def search(listings: DataFrame, units: DataFrame, query: ListingQuery, favorites: DataFrame | None = None) -> DataFrame:
     """Matching listings with their summary, over all their units, in order."""
-    found = matched(listings, units, query, favorites).join(unit_summary(units), "listing_id")
-    return found.orderBy(*ordering(query.sort))
+    return matched_summary(listings, units, query, favorites).orderBy(*ordering(query.sort))
 
 
 def ranked(found: DataFrame, sort: str, groups: int | None = None) -> DataFrame:
-    """``found`` with its place in the order, from 1.
-
-    Rows are sorted over ranges; the counts of the ranges before are added to the
-    place within a range, so that no task has them all.
-    """
-    keys = ordering(sort)
-    groups = groups or int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = checkpointed(found.repartitionByRange(groups, *keys).withColumn("__part", F.spark_partition_id()))
-    within = parts.withColumn("__at", F.row_number().over(W.partitionBy("__part").orderBy(*keys)))
-    before = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
-    starts = within.groupBy("__part").agg(F.max("__at").alias("__n")).select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    return within.join(F.broadcast(starts), "__part").withColumn("rank", (F.col("__start") + F.col("__at")).cast("int")).drop("__part", "__at", "__start")
+    """``found`` with its place in the order, from 1."""
+    return numbered(found, ordering(sort), "rank", groups).withColumn("rank", F.col("rank").cast("int"))
 
 
 def visibility(listings: DataFrame, found: DataFrame) -> DataFrame:
@@ -122,29 +122,63 @@ def header(found: DataFrame) -> DataFrame:
     return totals.withColumn("header", results_header(F.col("n_listings"), F.col("n_units")))
 
 
+#: What a request asks for, in the order of the columns of ``requests_matched``.
+ASKED = ("q", "property_type", "city", "unit_type", "min_bathrooms", "min_price", "max_price")
+#: Of these the ones that must be equal, and the column of the stock that each is compared with.
+EQUAL = {"unit_type": "type", "property_type": "property_type", "city": "city"}
+#: Parts into which units are dealt where the requests are too many to be broadcast.
+PARTS = 64
+
+
+def requests_of_forms(forms: DataFrame) -> DataFrame:
+    """Requests of the texts of many forms, with the columns of ``requests_matched``; what is empty or no number is unset."""
+    numbers = ("min_bathrooms", "min_price", "max_price")
+    return forms.select("request_id", *[(form_number(F.col(c)) if c in numbers else F.nullif(F.col(c), F.lit(""))).alias(c) for c in ASKED])
+
+
 def requests_matched(requests: DataFrame, listings: DataFrame, units: DataFrame, limit: int = 10_000) -> DataFrame:
     """``(request_id, n_listings, n_units)`` of many searches at once.
 
-    ``requests``: ``request_id``, ``q``, ``property_type``, ``city``,
-    ``unit_type``, ``min_bathrooms``, ``min_price``, ``max_price``; null or empty
-    asks for nothing.  Up to ``limit`` of them meet the units in one pass; more
-    are taken in lots of that size, as each lot is broadcast.
+    ``requests``: ``request_id`` and the columns ``ASKED``; null or empty asks for
+    nothing.  Equal requests are answered once.  Units, each with its listing,
+    meet the requests in one join: on equal type, property type and city where
+    those are asked for (a unit goes there once for each of the at most eight
+    ways to ask), and all other predicates besides.  Up to ``limit`` different
+    requests are broadcast; beyond, units are dealt out in ``PARTS``, each of
+    which meets all requests.
     """
-    text = F.lower(F.regexp_replace(F.col("q"), r"(?U)^\s+|\s+$", ""))
-    asked = requests.withColumn("q", text)
-    lots = -(-asked.count() // limit)
-    unset = lambda c: F.col(f"r.{c}").isNull() | (F.col(f"r.{c}") == "")
+    text = lambda c: F.nullif(F.col(c), F.lit(""))
+    folded_text = F.nullif(F.lower(F.regexp_replace(F.col("q"), r"(?U)^\s+|\s+$", "")), F.lit(""))
+    asked = requests.select("request_id", folded_text.alias("q"), *[text(c).alias(c) for c in ASKED[1:4]], *ASKED[4:])
+    asked = stored(asked.withColumn("key", F.md5(F.to_json(F.struct(*ASKED)).cast("binary"))))
+    way = reduce(lambda x, y: x + y, [F.when(F.col(c).isNotNull(), 1 << k).otherwise(0) for k, c in enumerate(EQUAL)])
+    kinds = stored(asked.groupBy("key").agg(*[F.first(c).alias(c) for c in ASKED]).withColumn("way", way))
+    few = kinds.count() <= limit
+    ways = [r["way"] for r in kinds.select("way").distinct().collect()]  # eight at most
+    total = F.sum("available").over(W.partitionBy("listing_id"))
+    stock = units.select("listing_id", "type", "bathrooms", "price", total.alias("total")).join(listings.select("listing_id", F.lower("project").alias("project"), "city", F.lower("city").alias("city_folded"), "property_type"), "listing_id")
+    stock = stock.withColumn("way", F.explode(F.array(*[F.lit(w) for w in ways]) if ways else F.expr("cast(array() as array<int>)")))
+    # what isn't asked for is the same empty text on both sides
+    met = lambda column, k: F.when(F.col("way").bitwiseAND(1 << k) > 0, F.col(column)).otherwise("")
+    stock = stock.select("*", *[met(column, k).alias(f"__{k}") for k, column in enumerate(EQUAL.values())]).alias("u")
+    sought = kinds.select("*", *[met(c, k).alias(f"__{k}") for k, c in enumerate(EQUAL)])
+    keys = ["way", *[f"__{k}" for k in range(len(EQUAL))]]
+    if not few:
+        stock, keys = stock.withColumn("__part", F.pmod(F.xxhash64("listing_id"), F.lit(PARTS)).cast("int")).alias("u"), [*keys, "__part"]
+        sought = sought.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    sought = (F.broadcast(sought) if few else sought).alias("r")
     bound = lambda c, test: F.col(f"r.{c}").isNull() | test
-    on_unit = (unset("unit_type") | (F.col("u.type") == F.col("r.unit_type"))) & bound("min_bathrooms", F.col("u.bathrooms") >= F.col("r.min_bathrooms")) & bound("min_price", F.col("u.price") >= F.col("r.min_price")) & bound("max_price", F.col("u.price") <= F.col("r.max_price"))
-    on_listing = (unset("q") | F.contains(F.lower("l.project"), F.col("r.q")) | F.contains(F.lower("l.city"), F.col("r.q"))) & (unset("property_type") | (F.col("l.property_type") == F.col("r.property_type"))) & (unset("city") | (F.col("l.city") == F.col("r.city")))
-    stock = listings.join(unit_summary(units).select("listing_id", "available"), "listing_id")
-    out = None
-    for lot in range(max(1, lots)):
-        part = asked if lots <= 1 else asked.where(F.pmod(F.xxhash64("request_id"), F.lit(lots)) == lot)
-        some = F.broadcast(part).alias("r")
-        hits = units.alias("u").join(some, on_unit).select("r.request_id", "u.listing_id").distinct()
-        rows = hits.join(F.broadcast(part), "request_id").alias("r").join(stock.alias("l"), F.col("r.listing_id") == F.col("l.listing_id")).where(on_listing)
-        counts = rows.groupBy("r.request_id").agg(F.count(F.lit(1)).alias("n_listings"), F.sum("l.available").cast("long").alias("n_units"))
-        every_one = part.select("request_id").join(counts, "request_id", "left").select("request_id", F.coalesce("n_listings", F.lit(0)).alias("n_listings"), F.coalesce("n_units", F.lit(0)).alias("n_units"))
-        out = every_one if out is None else out.union(every_one)
-    return out
+    fits = every(
+        [
+            *[F.col(f"u.{k}") == F.col(f"r.{k}") for k in keys],
+            F.col("r.q").isNull() | F.contains("u.project", F.col("r.q")) | F.contains("u.city_folded", F.col("r.q")),
+            bound("min_bathrooms", F.col("u.bathrooms") >= F.col("r.min_bathrooms")),
+            bound("min_price", F.col("u.price") >= F.col("r.min_price")),
+            bound("max_price", F.col("u.price") <= F.col("r.max_price")),
+        ]
+    )
+    hits = stock.join(sought, fits).groupBy("r.key", "u.listing_id").agg(F.first("u.total").alias("total"))
+    counts = hits.groupBy("key").agg(F.count(F.lit(1)).alias("n_listings"), F.sum("total").cast("long").alias("n_units"))
+    counts = stored(counts)
+    every_one = asked.select("request_id", "key").join(F.broadcast(counts) if few else counts, "key", "left")
+    return every_one.select("request_id", F.coalesce("n_listings", F.lit(0)).alias("n_listings"), F.coalesce("n_units", F.lit(0)).alias("n_units"))

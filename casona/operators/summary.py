@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casona.functions.labels import UNIT_TYPES, listed
@@ -13,7 +13,8 @@ def type_dim(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(t, k, label) for k, (t, label) in enumerate(UNIT_TYPES)], "type string, ord int, label string")
 
 
-def unit_summary(units: DataFrame) -> DataFrame:
+def unit_summary(units: DataFrame, *more: Column) -> DataFrame:
+    """A row for each listing that has units, with ``more`` aggregates at the end."""
     return units.groupBy("listing_id").agg(
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
@@ -21,6 +22,7 @@ def unit_summary(units: DataFrame) -> DataFrame:
         F.max("bedrooms").alias("max_bedrooms"),
         F.min("size").alias("min_size"),
         F.sum("available").cast("long").alias("available"),
+        *more,
     )
 
 

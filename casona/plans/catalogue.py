@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casona.functions import labels as lb
+from casona.functions.storage import checkpoint_folder
 from casona.operators import detail, prep, search, summary
 from casona.operators import preferences as prefs
 from casona.operators.search import ListingQuery
@@ -85,13 +87,18 @@ def query(name: str, *ctes: str, sql: str):
     return register
 
 
+def colours(key: str) -> str:
+    """The banner's two colours by a key."""
+    lists = [", ".join(f"'{pair[k]}'" for pair in lb.PALETTE) for k in (0, 1)]
+    return f"[{lists[0]}][{key} % {len(lb.PALETTE)} + 1] AS colour_from, [{lists[1]}][{key} % {len(lb.PALETTE)} + 1] AS colour_to"
+
+
 SEARCH_COLUMNS = ("listing_id", "project", "min_price", "available", "rank")
 
 
 def found(spark: SparkSession, sf_dir: str, q: ListingQuery, favorites: DataFrame | None = None) -> DataFrame:
     listings, units = cat.listings(spark, sf_dir), cat.units(spark, sf_dir)
-    matches = search.matched(listings, units, q, favorites).join(summary.unit_summary(units), "listing_id")
-    return search.ranked(matches, q.sort).select(*SEARCH_COLUMNS)
+    return search.ranked(search.matched_summary(listings, units, q, favorites), q.sort).select(*SEARCH_COLUMNS)
 
 
 def found_sql(listing: str = "true", unit: str = "true", order: str = "position", more: str = "") -> str:
@@ -116,7 +123,7 @@ def search_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Type, region, bathrooms and both price bounds, dearest first."""
     listings, units = cat.listings(spark, sf_dir).where(F.endswith(F.col("city"), F.lit(", ASIA"))), cat.units(spark, sf_dir)
     q = ListingQuery(property_type="Villa", min_bathrooms=1.5, min_price=10000, max_price=60000, sort="price-desc")
-    return search.ranked(search.matched(listings, units, q).join(summary.unit_summary(units), "listing_id"), q.sort).select(*SEARCH_COLUMNS)
+    return search.ranked(search.matched_summary(listings, units, q), q.sort).select(*SEARCH_COLUMNS)
 
 
 @query("search_city", L, U, S, sql=found_sql("city = (SELECT min(n_name || ', ' || r_name) FROM nation JOIN region ON n_regionkey = r_regionkey)"))
@@ -159,7 +166,7 @@ def visibility_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM s WHERE listing_id IN (SELECT listing_id FROM u WHERE type = '2BR' AND price <= 20000) AND listing_id IN (SELECT listing_id FROM l)""",
 )
 def results_header(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.header(search.search(cat.listings(spark, sf_dir), cat.units(spark, sf_dir), ListingQuery(unit_type="2BR", max_price=20000)))
+    return search.header(search.matched_summary(cat.listings(spark, sf_dir), cat.units(spark, sf_dir), ListingQuery(unit_type="2BR", max_price=20000)))
 
 
 @query("listing_summary", L, U, S, sql="SELECT l.listing_id, min_price, max_price, min_bedrooms, max_bedrooms, min_size, coalesce(available, 0) AS available FROM l LEFT JOIN s ON l.listing_id = s.listing_id")
@@ -202,8 +209,7 @@ def distinct_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
        ELSE delivery_date END AS delivery_label,
   upper(substr(split_part(project, ' ', 1), 1, 1) || substr(split_part(project, ' ', 2), 1, 1)) AS initials,
   trim(split_part(city, ',', 1)) AS city_part, trim(split_part(city, ',', 2)) AS state_part,
-  ['#0e7c86', '#2472a8', '#1c8c6b', '#3f6e9c', '#0f9aa0', '#4a7fae'][listing_id % 6 + 1] AS colour_from,
-  ['#0b5f68', '#173f63', '#0f5c46', '#24466b', '#0a6970', '#2a4f7c'][listing_id % 6 + 1] AS colour_to,
+  """ + colours("listing_id") + """,
   coalesce(developer, 'Developer not confirmed') AS developer
 FROM l""",
 )
@@ -231,8 +237,7 @@ SIZE_FROM = f"'From ' || {plain('min_size')} || 'm² / ' || replace({plain('floo
     sql=rf"""SELECT l.listing_id, position, available || ' units available' AS header,
   upper(substr(split_part(project, ' ', 1), 1, 1) || substr(split_part(project, ' ', 2), 1, 1)) AS initials,
   CASE WHEN n_photos > 0 THEN 'https://lh3.googleusercontent.com/d/photo-' || l.listing_id || '-1=w500' END AS photo,
-  ['#0e7c86', '#2472a8', '#1c8c6b', '#3f6e9c', '#0f9aa0', '#4a7fae'][l.listing_id % 6 + 1] AS colour_from,
-  ['#0b5f68', '#173f63', '#0f5c46', '#24466b', '#0a6970', '#2a4f7c'][l.listing_id % 6 + 1] AS colour_to,
+  {colours("l.listing_id")},
   property_type, l.listing_id IN (SELECT listing_id FROM fav WHERE user_id = {USER}) AS favorite, delivery_date, project,
   'From ' || {usd('min_price')} AS price, {BED_RANGE} AS beds, {SIZE_FROM} AS size, city || ', Mexico' AS address,
   array_to_string(amenities[1:4], '|') AS pills, greatest(len(amenities) - 4, 0) AS remaining,
@@ -243,7 +248,7 @@ WHERE l.listing_id IN (SELECT listing_id FROM u WHERE type = '1BR' AND price <=
 def card_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cards of a search, with one user's favorites."""
     listings, units = cat.listings(spark, sf_dir), cat.units(spark, sf_dir)
-    rows = search.matched(listings, units, ListingQuery(unit_type="1BR", max_price=40000)).join(summary.unit_summary(units), "listing_id").join(cat.amenities(spark, sf_dir), "listing_id", "left")
+    rows = search.matched_summary(listings, units, ListingQuery(unit_type="1BR", max_price=40000)).join(cat.amenities(spark, sf_dir), "listing_id", "left")
     favorites = prefs.favorites_from_toggles(cat.toggles(spark, sf_dir))
     return detail.cards(detail.with_favorite(rows, favorites, USER), fx.current_rate(cat.fx_payloads(spark, sf_dir)))
 
@@ -298,6 +303,11 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detail.facts(summary.listing_summary(cat.listings(spark, sf_dir), units), units)
 
 
+@query("page_title", L, sql="SELECT listing_id, project || ' — Listings' AS title FROM l")
+def page_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cat.listings(spark, sf_dir).select("listing_id", lb.page_title(F.col("project"), "Listings").alias("title"))
+
+
 @query(
     "gallery", L,
     sql="""SELECT listing_id, CASE WHEN n_photos > 0 THEN 'https://lh3.googleusercontent.com/d/photo-' || listing_id || '-1=w800' END AS main,
@@ -323,14 +333,18 @@ def amenity_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return few.join(every, "listing_id")
 
 
+ICONS = ", ".join(f"'{a}'" for a in lb.ICON_AMENITIES)
+
+
 @query(
     "amenity_icons", AMEN,
-    sql="""SELECT listing_id, CAST(k - 1 AS INTEGER) AS seq, amenities[k] AS amenity, amenities[k] IN ('Pool', 'Gym', 'Spa', 'Golf', 'Yoga', 'Marina') AS has_icon
-FROM (SELECT listing_id, amenities, unnest(range(1, len(amenities) + 1)) AS k FROM (SELECT listing_id, list_concat(['Pool'], amenities) AS amenities FROM a))""",
+    sql=f"""SELECT listing_id, CAST(k - 1 AS INTEGER) AS seq, amenities[k] AS amenity, list_contains([{ICONS}], amenities[k]) AS has_icon
+FROM (SELECT listing_id, amenities, unnest(range(1, len(amenities) + 1)) AS k FROM (SELECT listing_id, list_concat([[{ICONS}][listing_id % {len(lb.ICON_AMENITIES)} + 1]], amenities) AS amenities FROM a))""",
 )
 def amenity_icons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each listing's brands, and a pool, with whether there is an icon."""
-    return detail.amenity_icons(cat.amenities(spark, sf_dir).withColumn("amenities", F.concat(F.array(F.lit("Pool")), "amenities")))
+    """Each listing's brands, and before them an amenity that has an icon, picked by its id, with whether there is one."""
+    known = F.get(F.array(*[F.lit(a) for a in lb.ICON_AMENITIES]), (F.col("listing_id") % len(lb.ICON_AMENITIES)).cast("int"))
+    return detail.amenity_icons(cat.amenities(spark, sf_dir).withColumn("amenities", F.concat(F.array(known), "amenities")))
 
 
 @query(
@@ -368,8 +382,10 @@ def favorites_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("favorites_saved_and_loaded", FAV, sql="SELECT * FROM fav")
 def favorites_saved_and_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is read back from the texts that are saved."""
-    return prefs.load_favorites(prefs.saved_texts(cat.toggles(spark, sf_dir)))
+    """What is read back from the texts that were written."""
+    path = f"{checkpoint_folder(spark)}/favorites-{uuid.uuid4().hex}"
+    prefs.save_favorites(cat.toggles(spark, sf_dir), path)
+    return prefs.load_favorites(spark.read.parquet(path))
 
 
 def event_stream(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
@@ -384,6 +400,14 @@ def fx_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.run_to_end(state.last_rates(cat.payloads_of(event_stream(spark, sf_dir, "purchase"))), []).select("x.rate", "x.updated_utc")
 
 
+@query("fx_stream_prices", U, S, FX, sql=f"SELECT listing_id, rate, {mxn('min_price')} AS price FROM s CROSS JOIN f")
+def fx_stream_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every listing's lowest price at the rate that a stream of payloads leaves."""
+    prices = summary.unit_summary(cat.units(spark, sf_dir)).select("listing_id", "min_price")
+    rows = state.prices_at_rates(cat.payloads_of(event_stream(spark, sf_dir, "purchase")), prices)
+    return rows.select("listing_id", "rate", lb.price_mxn(F.col("min_price"), F.col("rate")).alias("price"))
+
+
 @query("favorites_stream", FAV, sql="SELECT * FROM fav")
 def favorites_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from a stream of events."""
@@ -492,6 +516,29 @@ def search_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "form_requests",
+    sql="""SELECT c_custkey AS request_id, CAST(NULL AS VARCHAR) AS q, c_mktsegment AS property_type, CAST(NULL AS VARCHAR) AS city, CASE WHEN c_custkey % 2 = 0 THEN '2BR' END AS unit_type,
+  CASE c_custkey % 4 WHEN 0 THEN 1.5 WHEN 1 THEN NULL WHEN 2 THEN NULL ELSE 0.5 END AS min_bathrooms, CAST(NULL AS DOUBLE) AS min_price, CASE c_custkey % 3 WHEN 0 THEN CAST(c_custkey AS DOUBLE) WHEN 1 THEN CAST(c_custkey AS DOUBLE) * 1000 END AS max_price
+FROM customer""",
+)
+def form_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests of the texts of forms, one for each customer; some texts are empty or no number."""
+    key = F.col("c_custkey")
+    text = key.cast("string")
+    forms = cat.table(spark, sf_dir, "customer").select(
+        key.alias("request_id"),
+        F.lit("").alias("q"),
+        F.col("c_mktsegment").alias("property_type"),
+        F.lit("").alias("city"),
+        F.when(key % 2 == 0, "2BR").otherwise("").alias("unit_type"),
+        F.when(key % 4 == 0, " 1.5 ").when(key % 4 == 1, "").when(key % 4 == 2, "two").otherwise(".5").alias("min_bathrooms"),
+        F.lit("NaN").alias("min_price"),
+        F.when(key % 3 == 0, text).when(key % 3 == 1, F.concat(text, F.lit("e3"))).otherwise(F.concat(text, F.lit(" USD"))).alias("max_price"),
+    )
+    return search.requests_of_forms(forms)
+
+
 @query(
     "multi_request_counts", L, U, S,
     sql="""SELECT CAST(n_nationkey AS BIGINT) AS request_id, count(l.listing_id) AS n_listings, CAST(coalesce(sum(s.available), 0) AS BIGINT) AS n_units

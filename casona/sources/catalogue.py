@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from casona.functions import ranks
+from casona.functions.storage import stored
+
 CATALOGUE = """
   id bigint, project string, developer string, city string, lat double, lng double, deliveryDate string, propertyType string,
   description string, amenities array<string>, pointsOfInterest array<struct<label: string, name: string, distanceKm: double>>,
@@ -13,14 +16,23 @@ CATALOGUE = """
 """
 
 
-def read_json(spark: SparkSession, path: str) -> DataFrame:
-    """A catalogue as JSON lines."""
-    return spark.read.schema(CATALOGUE).json(path)
+def read_json(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """A catalogue as JSON lines, or as one array (``multiline``), with ``position``: its order, from 1.
+
+    The order is that of the file names, of the blocks in a file, and of the rows
+    in a block, which are read by one task from first to last.
+    """
+    rows = spark.read.schema(CATALOGUE).option("multiLine", multiline).json(path)
+    at = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__row")]
+    keys = ["__file", "__block", "__row"]
+    return ranks.numbered(stored(rows.select("*", *at)), [F.col(k) for k in keys], "position").drop(*keys)
 
 
 def listings_of(catalogue: DataFrame) -> DataFrame:
-    """Flat listings of a nested catalogue with a ``position`` column, or in order of id."""
-    position = F.col("position") if "position" in catalogue.columns else F.col("id")
+    """Flat listings of a nested catalogue; it must have ``position``, as the order can't be told from anything else."""
+    if "position" not in catalogue.columns:
+        raise ValueError("a catalogue needs a column position")
+    position = F.col("position")
     return catalogue.select(
         F.col("id").alias("listing_id"), position.cast("long").alias("position"), "project", "developer", "city", "lat", "lng", F.col("deliveryDate").alias("delivery_date"), F.col("propertyType").alias("property_type"), "description", "amenities", "photos"
     )

@@ -7,17 +7,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from casona.functions.labels import FALLBACK_RATE
 from casona.functions.storage import checkpoint_folder
 from casona.sources.fx import valid_rates
 
 
-def toggle_counts(toggles: DataFrame) -> DataFrame:
+def toggle_counts(toggles: DataFrame, late: str = "30 days") -> DataFrame:
     """``(user_id, listing_id, n)`` of a stream of toggles; an event that repeats counts once.
 
-    Counting doesn't depend on the order, so late events do no harm.  The state
-    grows with the pairs ever toggled: a watermark would forget favorites.
+    Counting doesn't depend on the order.  What is kept: a number for each pair
+    ever toggled, as a favorite must not be forgotten, and the ids of the events
+    of the last ``late``, within which an event may come late or come again.
     """
-    return toggles.dropDuplicates(["event_id"]).groupBy("user_id", "listing_id").agg(F.count(F.lit(1)).alias("n"))
+    once = toggles.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"])
+    return once.groupBy("user_id", "listing_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 def last_choices(choices: DataFrame) -> DataFrame:
@@ -30,6 +33,28 @@ def last_rates(payloads: DataFrame) -> DataFrame:
     return valid_rates(payloads).agg(F.max_by(F.struct("rate", "updated_utc"), F.struct("ts", "event_id")).alias("x"))
 
 
+def prices_at_rates(payloads: DataFrame, prices: DataFrame) -> DataFrame:
+    """``prices`` with ``rate``: that which holds once a stream of payloads is read, or the fallback if none was valid.
+
+    Whenever a micro-batch changes the rate, all prices are joined to it and
+    written anew; the last such table counts.
+    """
+    spark: SparkSession = payloads.sparkSession
+    folder = f"{checkpoint_folder(spark)}/prices-{uuid.uuid4().hex}"
+
+    def write(batch: DataFrame, number: int) -> None:
+        valid = batch.select("x.rate").where("rate is not null")
+        if not valid.isEmpty():
+            prices.crossJoin(F.broadcast(valid)).write.mode("overwrite").parquet(f"{folder}/rows/batch={number}")
+
+    prices.withColumn("rate", F.lit(FALLBACK_RATE)).write.parquet(f"{folder}/rows/batch=-1")
+    query = last_rates(payloads).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    rows = spark.read.parquet(f"{folder}/rows")
+    last = rows.agg(F.max("batch")).first()[0]
+    return rows.where(F.col("batch") == last).drop("batch")
+
+
 def run_to_end(stream: DataFrame, keys: list[str]) -> DataFrame:
     """What an updating stream has for each key once all its input is read.
 

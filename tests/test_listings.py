@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from casona.functions import labels as lb
 from casona.functions.geo import haversine_km
+from casona.functions.storage import checkpoint_folder
 from casona.operators import detail, prep, search, summary
 from casona.operators import preferences as prefs
 from casona.operators.search import ListingQuery
@@ -12,20 +13,16 @@ from casona.sources import catalogue as cat
 from casona.sources import fx
 from casona.streaming import state
 
-# listing: property type, delivery, units as (type, bedrooms, bathrooms, price, size)
+# Invented: property type, delivery, units as (type, bedrooms, bathrooms, price, size).
 CATALOGUE = {
-    1: ("Condo", "Ready to move in", [("1BR", 1, 1.0, 229108, 37.53)]),
-    2: ("Land", "Dec 2026", [("Land", 0, 0.0, 134919, 300), ("Land", 0, 0.0, 80951, 180)]),
-    3: ("Condo", "Dec 2028", [("Studio", 0, 1.0, 177241, 26.6), ("1BR", 1, 1.0, 242143, 43.6), ("2BR", 2, 2.0, 446600, 86.56), ("2BR", 2, 2.0, 459395, 89.04)]),
-    4: ("Villa", "Dec 2027", [("1BR", 1, 1.5, 434394, 201.21), ("2BR", 2, 2.0, 695852, 237.03), ("3BR", 3, 2.5, 708815, 255.43)]),
-    5: ("Condo", "Ready to move in", [("1BR", 1, 1.0, 217000, 58.25), ("1BR", 1, 1.0, 220000, 63.45)]),
-    6: ("Condo", "Ready to move in", [("2BR", 2, 2.0, 353668, 126.31), ("2BR", 2, 2.0, 383940, 127.98), ("2BR", 2, 2.0, 283247, 91.37)]),
-    7: ("Condo", "Ready to move in", [("Studio", 0, 1.0, 122422, 43.46), ("1BR", 1, 1.0, 130688, 57.21), ("2BR", 2, 2.0, 204557, 115.98)]),
-    8: ("Condo", "Ready to move in", [("2BR", 2, 2.0, 251005, 80.35), ("2BR", 2, 2.0, 232096, 82.8), ("2BR", 2, 2.0, 275400, 92.5)]),
-    9: ("Villa", "Dec 2027", [("3BR", 3, 3.0, 352778, 225), ("2BR", 2, 2.0, 288000, 225)]),
-    10: ("Condo", "Ready to move in", [("Studio", 0, 1.0, 235000, 46.48), ("Studio", 0, 1.0, 235000, 46.48)]),
-    11: ("Condo", "Ready to move in", [("3BR", 3, 3.5, 1084444, 236.8), ("3BR", 3, 3.5, 1269444, 244)]),
-    12: ("Condo", "Sept 2026", [("2BR", 2, 2.0, 252281, 48.48), ("2BR", 2, 2.0, 267901, 53.53), ("3BR", 3, 2.5, 662613, 107.08)]),
+    1: ("Condo", "Ready to move in", [("1BR", 1, 1.0, 150_000, 40)]),
+    2: ("Land", "Mar 2027", [("Land", 0, 0.0, 60_500, 250), ("Land", 0, 0.0, 48_000, 200)]),
+    3: ("Villa", "Jun 2028", [("2BR", 2, 2.5, 310_000, 120.5), ("3BR", 3, 3.0, 295_000, 150)]),
+    4: ("Condo", "Nov 2027", [("Studio", 0, 1.0, 99_000, 25), ("1BR", 1, 1.5, 140_000, 50), ("2BR", 2, 2.0, 260_000, 75.5)]),
+    5: ("Condo", "Ready to move in", [("Studio", 0, 1.0, 120_000, 30), ("Studio", 0, 1.0, 120_000, 32.5)]),
+    6: ("Villa", "Sept 2026", [("3BR", 3, 3.5, 900_000, 300)]),
+    7: ("Condo", "TBD", [("2BR", 2, 1.0, 305_000, 80), ("2BR", 2, 2.0, 280_000, 70), ("1BR", 1, 1.0, 200_000, 55)]),
+    8: ("Condo", "Dec 2026", [("1BR", 1, 1.0, 120_000, 45)]),
 }
 LISTINGS = "listing_id long, position long, project string, developer string, city string, lat double, lng double, delivery_date string, property_type string, amenities array<string>, photos array<string>"
 UNITS = "listing_id long, unit_seq int, unit_label string, type string, bedrooms int, bathrooms double, price double, size double, available int"
@@ -49,14 +46,14 @@ def ids(df):
 
 def test_no_filter_finds_all(listings, units):
     found = search.search(listings, units, ListingQuery())
-    assert ids(found) == list(range(1, 13))
-    assert search.header(found).first()["header"] == "12 Listings / 30 Units matching your search"
+    assert ids(found) == list(range(1, 9))
+    assert search.header(found).first()["header"] == "8 Listings / 15 Units matching your search"
 
 
 def test_price_order(listings, units):
     up = ids(search.search(listings, units, ListingQuery(sort="price-asc")))
-    assert up == [2, 7, 3, 5, 1, 8, 10, 12, 6, 9, 4, 11]
-    assert ids(search.search(listings, units, ListingQuery(sort="price-desc"))) == up[::-1]
+    assert up == [2, 4, 5, 8, 1, 7, 3, 6]
+    assert ids(search.search(listings, units, ListingQuery(sort="price-desc"))) == [6, 3, 7, 1, 5, 8, 4, 2]
     ranked = search.ranked(search.search(listings, units, ListingQuery()), "price-asc", groups=3)
     assert {r["listing_id"]: r["rank"] for r in ranked.collect()} == {k: n for n, k in enumerate(up, 1)}
 
@@ -64,19 +61,19 @@ def test_price_order(listings, units):
 def test_ties_keep_catalogue_order(spark, listings, units):
     same = units.withColumn("price", F.lit(5.0))
     for sort in ("price-asc", "price-desc", "newest"):
-        assert ids(search.search(listings, same, ListingQuery(sort=sort))) == list(range(1, 13))
+        assert ids(search.search(listings, same, ListingQuery(sort=sort))) == list(range(1, 9))
 
 
 def test_header_counts_all_units_of_matches(listings, units):
     found = search.search(listings, units, ListingQuery(unit_type="2BR", max_price=300000))
-    assert sorted(ids(found)) == [6, 7, 8, 9, 12]
-    assert search.header(found).first()["n_units"] == 14
+    assert sorted(ids(found)) == [4, 7]
+    assert search.header(found).first()["n_units"] == 6
     one = search.header(search.search(listings, units, ListingQuery(unit_type="1BR", min_bathrooms=1.5))).first()
     assert one["header"] == "1 Listing / 3 Units matching your search"
 
 
 def test_predicates_hold_on_one_unit(listings, units):
-    assert ids(search.search(listings, units, ListingQuery(unit_type="3BR", max_price=300000))) == []
+    assert ids(search.search(listings, units, ListingQuery(property_type="Villa", unit_type="2BR", max_price=300000))) == []
     assert ids(search.search(listings, units, ListingQuery(unit_type="1BR", min_bathrooms=1.5))) == [4]
 
 
@@ -89,14 +86,21 @@ def test_nested_equals_flat(listings, units, query):
 def test_text_is_literal_and_skips_the_developer(spark, listings, units):
     assert ids(search.search(listings, units, ListingQuery(text="  CASA 3%"))) == [3]
     assert ids(search.search(listings, units, ListingQuery(text="_"))) == []
-    assert len(ids(search.search(listings, units, ListingQuery(text="  ")))) == 12
-    assert sorted(ids(search.search(listings, units, ListingQuery(text="ciudad 1")))) == [1, 6, 11]
+    assert len(ids(search.search(listings, units, ListingQuery(text="  ")))) == 8
+    assert sorted(ids(search.search(listings, units, ListingQuery(text="ciudad 1")))) == [1, 6]
 
 
 def test_form():
     form = {"text": "", "property_type": "Condo", "unit_type": "", "min_bathrooms": "1.5", "min_price": "", "max_price": "0"}
     assert ListingQuery.from_form(form) == ListingQuery(property_type="Condo", min_bathrooms=1.5, max_price=0.0)
     assert ListingQuery.from_form({}) == ListingQuery()
+    assert ListingQuery.from_form({"min_price": "abc", "max_price": " 1e3 "}) == ListingQuery(max_price=1000.0)
+
+
+@pytest.mark.parametrize("text", ["", " ", "12", " 1.5\t", ".5", "5.", "-3e2", "abc", "1,000", "NaN", "inf", "1_0", "0x1f", "1d", None])
+def test_number_of_a_form(spark, text):
+    got = spark.createDataFrame([(text,)], "t string").select(lb.form_number(F.col("t"))).first()[0]
+    assert got == lb.number_of(text or "") and (got is None) == (text not in ("12", " 1.5\t", ".5", "5.", "-3e2"))
 
 
 def test_description_stays_without_amenities(listings):
@@ -113,7 +117,7 @@ def test_listing_without_units(spark, listings, units):
     assert 1 not in ids(search.search(listings, few, ListingQuery()))
     row = summary.listing_summary(listings, few).where("listing_id = 1").first()
     assert row["available"] == 0 and row["min_price"] is None
-    assert detail.gallery(listings).count() == 12
+    assert detail.gallery(listings).count() == 8
 
 
 def test_summary_labels(spark, listings, units):
@@ -122,16 +126,16 @@ def test_summary_labels(spark, listings, units):
     rows = detail.with_favorite(summary.listing_summary(listings, units), favorites, 1)
     cards = {r["listing_id"]: r for r in detail.cards(rows, rate).collect()}
     assert [k for k, r in cards.items() if r["favorite"]] == [3]
-    beds = {1: "1 Bed", 2: "Land", 3: "Studio - 2 Bed", 4: "1 Bed - 3 Bed", 5: "1 Bed", 6: "2 Bed", 7: "Studio - 2 Bed", 8: "2 Bed", 9: "2 Bed - 3 Bed", 10: "Studio", 11: "3 Bed", 12: "2 Bed - 3 Bed"}
+    beds = {1: "1 Bed", 2: "Land", 3: "2 Bed - 3 Bed", 4: "Studio - 2 Bed", 5: "Studio", 6: "3 Bed", 7: "1 Bed - 2 Bed", 8: "1 Bed"}
     assert {k: r["beds"] for k, r in cards.items()} == beds
-    feet = {1: "403.97", 2: "1937.5", 3: "286.32", 4: "2165.8", 5: "627", 6: "983.5", 7: "467.8", 8: "864.88", 9: "2421.88", 10: "500.31", 11: "2548.89", 12: "521.83"}
+    feet = {1: "430.56", 2: "2152.78", 3: "1297.05", 4: "269.1", 5: "322.92", 6: "3229.17", 7: "592.01", 8: "484.38"}
     assert {k: r["size"].split(" / ")[1] for k, r in cards.items()} == {k: f"{v}ft²" for k, v in feet.items()}
-    assert cards[1]["size"] == "From 37.53m² / 403.97ft²" and cards[1]["price"] == "From US $229,108"
+    assert cards[1]["size"] == "From 40m² / 430.56ft²" and cards[1]["price"] == "From US $150,000"
     assert cards[5]["more_label"] == "+1 more amenities" and cards[4]["more_label"] == "" and cards[5]["pills"] == "a|b|c|d"
     assert cards[1]["initials"] == "C1" and cards[1]["photo"].endswith("/x=w500") and cards[3]["photo"] is None
     pins = {r["listing_id"]: r for r in detail.markers(rows, rate, "MXN").collect()}
-    assert pins[12]["label"] == "Sep 26" and pins[1]["label"] == "Now" and pins[2]["label"] == "Dec 26"
-    assert pins[10]["price"] == "MX $4,700,000" and pins[5]["price"] == "MX $4,340,000 – MX $4,400,000"
+    assert pins[6]["label"] == "Sep 26" and pins[1]["label"] == "Now" and pins[8]["label"] == "Dec 26" and pins[7]["label"] == "TBD"
+    assert pins[5]["price"] == "MX $2,400,000" and pins[4]["price"] == "MX $1,980,000 – MX $5,200,000"
 
 
 def test_tabs_and_unknown_types(spark, units):
@@ -139,23 +143,23 @@ def test_tabs_and_unknown_types(spark, units):
     tabs = {(r["label"], r["available"]) for r in summary.unit_tabs(more).where("listing_id = 1").collect()}
     assert tabs == {("All", 4), ("1 Bed", 1), ("Studio", 0)}
     assert summary.bed_summary(more).where("listing_id = 1").first()["bed_summary"] == "Studio & 1 Bed"
-    three = summary.bed_summary(units).where("listing_id = 7").first()["bed_summary"]
+    three = summary.bed_summary(units).where("listing_id = 4").first()["bed_summary"]
     assert three == "Studio, 1 Bed & 2 Bed"
 
 
 def test_unit_table(spark, units):
     rate = spark.createDataFrame([(18.0,)], "rate double")
     rows = {(r["listing_id"], r["unit_seq"]): r for r in detail.unit_table(units.withColumn("available", F.lit(0)), rate).collect()}
-    assert len(rows) == 30 and {r["status"] for r in rows.values()} == {"Available"}
+    assert len(rows) == 15 and {r["status"] for r in rows.values()} == {"Available"}
     assert rows[2, 0]["label"] == "Land" and rows[2, 0]["bed"] == "Land" and rows[2, 0]["bath"] == "—"
-    assert rows[3, 0]["bed"] == "Studio" and rows[4, 0]["bath"] == "1.5" and rows[4, 1]["bath"] == "2" and rows[4, 1]["label"] == "4-1"
-    assert rows[1, 0]["size"] == "37.53 m²"
+    assert rows[4, 0]["bed"] == "Studio" and rows[4, 1]["bath"] == "1.5" and rows[4, 2]["bath"] == "2" and rows[4, 1]["label"] == "4-1"
+    assert rows[1, 0]["size"] == "40 m²" and rows[3, 0]["size"] == "120.5 m²"
     assert detail.unit_table(units, rate, "Land", "MXN").count() == 2
 
 
 def test_facts(spark, listings, units):
-    row = detail.facts(summary.listing_summary(listings, units), units).where("listing_id = 3").first()
-    assert row["units_line"] == "4 / 5" and row["city_part"] == "Ciudad 3" and row["state_part"] == "Estado"
+    row = detail.facts(summary.listing_summary(listings, units), units).where("listing_id = 4").first()
+    assert row["units_line"] == "3 / 4" and row["city_part"] == "Ciudad 4" and row["state_part"] == "Estado"
     city, state_part = lb.state_of(F.lit("Alone"))
     assert spark.range(1).select(city, state_part).first() == ("Alone", "Alone")
 
@@ -183,13 +187,13 @@ def test_falsy_width_and_half_up(spark):
 
 def test_visibility_keeps_all(listings, units):
     rows = search.visibility(listings, search.matched(listings, units, ListingQuery(unit_type="Land"))).collect()
-    assert len(rows) == 12 and [r["listing_id"] for r in rows if r["visible"]] == [2]
+    assert len(rows) == 8 and [r["listing_id"] for r in rows if r["visible"]] == [2]
 
 
 def test_many_requests_equal_single_ones(spark, listings, units):
-    asked = [(1, None, None, None, None, None, None, None), (2, None, None, None, "2BR", None, None, 300000.0), (3, " CASA 3% ", "", "", "", None, None, None), (4, None, "Villa", None, None, 3.0, None, None), (5, None, None, None, None, None, None, 0.0)]
+    asked = [(1, None, None, None, None, None, None, None), (2, None, None, None, "2BR", None, None, 300000.0), (3, " CASA 3% ", "", "", "", None, None, None), (4, None, "Villa", None, None, 3.0, None, None), (5, None, None, None, None, None, None, 0.0), (6, None, "", None, "2BR", None, None, 300000.0), (7, None, "Villa", "Ciudad 3, Estado", "3BR", None, 1.0, None)]
     requests = spark.createDataFrame(asked, "request_id long, q string, property_type string, city string, unit_type string, min_bathrooms double, min_price double, max_price double")
-    expected = {1: (12, 30), 2: (5, 14), 3: (1, 4), 4: (1, 2), 5: (0, 0)}
+    expected = {1: (8, 15), 2: (2, 6), 3: (1, 2), 4: (2, 3), 5: (0, 0), 6: (2, 6), 7: (1, 2)}
     for limit in (10_000, 2):
         rows = search.requests_matched(requests, listings, units, limit).collect()
         assert {r["request_id"]: (r["n_listings"], r["n_units"]) for r in rows} == expected
@@ -223,7 +227,8 @@ def test_toggle_parity(spark):
 def test_toggle_stream_equals_batch(spark, tmp_path):
     schema = "event_id long, ts long, user_id long, listing_id long"
     for k, row in enumerate(reversed(TOGGLES)):  # one file for each micro-batch, out of order
-        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        late = (row[0], 1_700_000_000 + row[1], *row[2:])  # a watermark starts in 1970
+        spark.createDataFrame([late], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(str(tmp_path / "in"))
     rows = state.run_to_end(state.toggle_counts(stream), ["user_id", "listing_id"]).where("n % 2 = 1")
     assert sorted((r["user_id"], r["listing_id"]) for r in rows.collect()) == [(7, 11), (7, 12), (8, 10)]
@@ -287,6 +292,61 @@ def test_grid_finds_what_all_pairs_find(spark):
     assert key(prep.nearest_by_grid(listings, landmarks)) == key(prep.nearest_landmarks(listings, landmarks))
 
 
+def test_grid_reads_landmarks_once_a_step(spark):
+    listings = spark.createDataFrame([(1, 20.0, -87.0)], "listing_id long, lat double, lng double")
+    landmarks = spark.createDataFrame([("a", f"m{k}", 20.0 + k / 50, -87.0) for k in range(40)], "category string, name string, lat double, lng double")
+    plan = prep.nearest_by_grid(listings, landmarks)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") <= 6 and prep.nearest_by_grid(listings, landmarks).first()["name"] == "m0"
+
+
+def test_listings_in_one_place_meet_few_landmarks(spark, monkeypatch):
+    monkeypatch.setattr(prep, "BROADCAST_LANDMARKS", 3)
+    listings = spark.range(50).select(F.col("id").alias("listing_id"), F.lit(20.5).alias("lat"), (F.lit(-87.0) + F.col("id") / 1000).alias("lng"))
+    far = [("far", f"f{k}", 50.0 + k % 7 / 10, 10.0 + k / 10) for k in range(30)]
+    landmarks = spark.createDataFrame([("near", f"n{k}", 20.0 + k / 50, -87.0) for k in range(40)] + far, "category string, name string, lat double, lng double")
+    key = lambda df: sorted(map(tuple, df.collect()))
+    found = key(prep.nearest_landmarks(listings, landmarks))
+    monkeypatch.setattr(prep, "BROADCAST_LANDMARKS", 10_000)
+    assert len(found) == 100 and found == key(prep.nearest_landmarks(listings, landmarks))
+
+
+def test_prices_keep_the_fallback_without_a_valid_rate(spark, tmp_path):
+    schema = "event_id long, ts long, http_ok boolean, body string"
+    ok = '{"result":"success","rates":{"MXN":%s},"time_last_update_utc":"t"}'
+    prices = spark.createDataFrame([(1, 10.0)], "listing_id long, min_price double")
+    for name, body, rate in (("none", ok % 0, 18.0), ("one", ok % 17.5, 17.5)):
+        spark.createDataFrame([(1, 5, True, body)], schema).write.parquet(str(tmp_path / name))
+        rows = state.prices_at_rates(spark.readStream.schema(schema).parquet(str(tmp_path / name)), prices).collect()
+        assert [(r["listing_id"], r["rate"]) for r in rows] == [(1, rate)]
+
+
+def test_order_of_a_catalogue_is_that_of_its_files(spark, tmp_path):
+    (tmp_path / "lines").mkdir()
+    for name, ids_of in (("a.json", (9, 2, 5)), ("b.json", (1, 8))):
+        (tmp_path / "lines" / name).write_text("".join(f'{{"id": {k}, "units": []}}\n' for k in ids_of))
+    (tmp_path / "array.json").write_text('[{"id": 9}, {"id": 2},\n {"id": 5}]')
+    for path, multiline, order in (("lines", False, [9, 2, 5, 1, 8]), ("array.json", True, [9, 2, 5])):
+        rows = cat.listings_of(cat.read_json(spark, str(tmp_path / path), multiline)).orderBy("position").collect()
+        assert [r["listing_id"] for r in rows] == order and [r["position"] for r in rows] == list(range(1, len(order) + 1))
+    with pytest.raises(ValueError, match="position"):
+        cat.listings_of(spark.createDataFrame([(1,)], "id long"))
+
+
+def test_checkpoints_need_a_shared_folder_on_a_cluster():
+    class Context:
+        master = "local-cluster[2,1,1024]"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        checkpoint_folder(Session())
+
+
 def test_nested_catalogue(spark, tmp_path):
     (tmp_path / "c.json").write_text('{"id": 1, "project": "A", "city": "B, C", "amenities": ["x"], "units": [{"unitLabel": "u", "type": "1BR", "bedrooms": 1, "bathrooms": 1, "price": 5, "size": 2, "available": 3}], "pointsOfInterest": [{"label": "Airport", "name": "N", "distanceKm": 1.5}]}\n{"id": 2, "units": []}\n')
     catalogue = cat.read_json(spark, str(tmp_path / "c.json"))
