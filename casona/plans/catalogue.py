@@ -519,7 +519,7 @@ def search_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "form_requests",
     sql="""SELECT c_custkey AS request_id, CAST(NULL AS VARCHAR) AS q, c_mktsegment AS property_type, CAST(NULL AS VARCHAR) AS city, CASE WHEN c_custkey % 2 = 0 THEN '2BR' END AS unit_type,
-  CASE c_custkey % 4 WHEN 0 THEN 1.5 WHEN 1 THEN NULL WHEN 2 THEN NULL ELSE 0.5 END AS min_bathrooms, CAST(NULL AS DOUBLE) AS min_price, CASE c_custkey % 3 WHEN 0 THEN CAST(c_custkey AS DOUBLE) WHEN 1 THEN CAST(c_custkey AS DOUBLE) * 1000 END AS max_price
+  CASE c_custkey % 4 WHEN 0 THEN CAST(1.5 AS DOUBLE) WHEN 3 THEN 0.5 END AS min_bathrooms, CAST(NULL AS DOUBLE) AS min_price, CASE c_custkey % 3 WHEN 0 THEN CAST(c_custkey AS DOUBLE) WHEN 1 THEN CAST(c_custkey AS DOUBLE) * 1000 END AS max_price
 FROM customer""",
 )
 def form_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
