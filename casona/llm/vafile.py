@@ -6,11 +6,12 @@ meet the cells alone, in pairs of blocks, and each score is bounded from both
 sides; a row is dropped where enough others are certain to be better.  Exact
 vectors are then read in the order of the bounds: first those of the best k
 upper bounds of each query, then only those whose upper bound reaches the k-th
-exact score so far, after which the result is certain.
+exact score so far, after which the result is certain.  Where both bounds of a
+score are the same, as with cells that are one number wide, nothing is read.
 
 Of rows with one and the same vector the first ``k + 1`` by id can be among the
-results and the others can't, so that only these go on, and equal queries are
-searched once.  A very common vector is thus no more work than a rare one.
+results and the others can't, so that only these are candidates, and a very
+common vector is no more of them than a rare one.
 """
 
 from __future__ import annotations
@@ -28,12 +29,12 @@ from casona.llm.shared import stored
 #: Vectors and queries of a block, on average.
 BLOCK, QUERY_BLOCK = 65_536, 4_096
 #: Bits of a cell.
-BITS = 6
+BITS = 8
 #: Scores that are bounded at once.
 AT_ONCE = 1 << 22
 #: Scores must be below this to be exact throughout.
 LARGEST = 2**53
-BOUNDS = "query long, row long, upper long"
+BOUNDS = "query long, query_id long, row long, id long, lower long, upper long"
 
 
 def whole_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int, is_query: Column) -> DataFrame:
@@ -122,17 +123,17 @@ def survivors(lower: np.ndarray, upper: np.ndarray, ids: np.ndarray, rows: np.nd
 
 
 def bounded(queries: DataFrame, file: DataFrame, cells: dict[int, Cells], k: int, blocks: int, query_blocks: int) -> DataFrame:
-    """``(query, row, upper)``: for each query the rows of each block of the file that may be among its ``k`` best, with upper bounds."""
+    """``BOUNDS``: for each query the rows of each block of the file that may be among its ``k`` best, with both bounds of the score."""
     own = lambda n, c: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     key = ["g", "h", "dim"]
-    left = queries.select("query", "v", "dim", own(query_blocks, "query").alias("h"), all_of(blocks).alias("g"))
+    left = queries.select("query", "query_id", "v", "dim", own(query_blocks, "query").alias("h"), all_of(blocks).alias("g"))
     right = file.select("row", "id", "cells", "dim", own(blocks, "row").alias("g"), all_of(query_blocks).alias("h"))
 
     def run(asked: pa.Table, candidates: pa.Table) -> pa.Table:
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        out: list[tuple[np.ndarray, ...]] = []
         if asked.num_rows and candidates.num_rows:
-            asks, q = asked.column("query").to_numpy(), matrix(asked.column("v"))
+            asks, names, q = asked.column("query").to_numpy(), asked.column("query_id").to_numpy(), matrix(asked.column("v")).astype(np.float64)
             rows, ids, bytes_of = candidates.column("row").to_numpy(), candidates.column("id").to_numpy(), byte_matrix(candidates.column("cells"))
             weights, low, high = cells[q.shape[1]].bounds(q) if q.shape[1] else (q, np.zeros(len(q)), np.zeros(len(q)))
             step = max(1, AT_ONCE // len(rows))
@@ -142,23 +143,22 @@ def bounded(queries: DataFrame, file: DataFrame, cells: dict[int, Cells], k: int
                 for i, total in enumerate(sums, at):
                     lower, upper = total + low[i], total + high[i]
                     keep = survivors(lower, upper, ids, rows, k)
-                    out.append((np.full(len(keep), asks[i]), rows[keep], upper[keep].astype(np.int64)))
-        columns = [np.concatenate([x[j] for x in out]) if out else np.zeros(0, np.int64) for j in range(3)]
-        return pa.table(columns, names=["query", "row", "upper"])
+                    keep = keep[rows[keep] != asks[i]]
+                    out.append((np.full(len(keep), asks[i]), np.full(len(keep), names[i]), rows[keep], ids[keep], lower[keep].astype(np.int64), upper[keep].astype(np.int64)))
+        columns = [np.concatenate([x[j] for x in out]) if out else np.zeros(0, np.int64) for j in range(6)]
+        return pa.table(columns, names=["query", "query_id", "row", "id", "lower", "upper"])
 
     return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(run, BOUNDS)
 
 
-def read_exactly(pairs: DataFrame, queries: DataFrame, vectors: DataFrame) -> DataFrame:
-    """``(query, row, id, score)`` of pairs ``(query, row)``: their vectors, and no others, are joined."""
-    product = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x).cast("long")
-    return pairs.join(vectors.select("row", "id", "v"), "row").join(queries.select("query", F.col("v").alias("q")), "query").select("query", "row", "id", product.alias("score"))
-
-
-def best(scored: DataFrame, k: int) -> DataFrame:
-    """``scored`` with ``rank``: the ``k`` best of each query."""
-    order = W.partitionBy("query").orderBy(F.desc("score"), "id", "row")
-    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+def scored(pairs: DataFrame, queries: DataFrame, vectors: DataFrame, open_ones: bool) -> DataFrame:
+    """``(query, query_id, row, id, score, read)`` of pairs with bounds; the vectors of those whose bounds differ are joined, and no others, if there are ``open_ones``."""
+    sure = pairs.where("lower = upper").select("query", "query_id", "row", "id", F.col("lower").alias("score"), F.lit(0).alias("read"))
+    if not open_ones:
+        return sure
+    product = F.aggregate(F.zip_with("q", "v", lambda a, b: a.cast("long") * b), F.lit(0).cast("long"), lambda s, x: s + x)
+    read = pairs.where("lower < upper").select("query", "query_id", "row", "id").join(vectors.select("row", "v"), "row").join(queries.select("query", F.col("v").alias("q")), "query")
+    return sure.union(read.select("query", "query_id", "row", "id", product.alias("score"), F.lit(1).alias("read")))
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64, counted: list[int] | None = None) -> DataFrame:
@@ -175,27 +175,28 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
     """
     rows = stored(whole_vectors(vectors, id_col, vector_col, scale, is_query))
     cells = extremes(rows)
+    rows = rows.withColumn("v", F.col("v").cast("array<int>"))
     # the first k + 1 of equal vectors; the window's limit acts before the shuffle too
     firsts = rows.withColumn("nth", F.row_number().over(W.partitionBy("v").orderBy("id", "row"))).where(F.col("nth") <= k + 1).drop("nth", "asks")
     every = stored(firsts)
     file = stored(approximations(every, cells))
-    asked = stored(rows.where("asks").groupBy("v", "dim").agg(F.min("row").alias("query")))
+    asked = rows.where("asks").select(F.col("row").alias("query"), F.col("id").alias("query_id"), "v", "dim")
     blocks, query_blocks = max(1, -(-every.count() // BLOCK)), max(1, -(-asked.count() // QUERY_BLOCK))
     bounds = stored(bounded(asked, file, cells, k + 1, blocks, query_blocks))
-    # the query's own row may be among the best, so one more is looked for
-    order = W.partitionBy("query").orderBy(F.desc("upper"), "row")
-    ahead = bounds.withColumn("at", F.row_number().over(order)).where(F.col("at") <= k + 1)
-    first = stored(read_exactly(ahead.select("query", "row"), asked, every))
-    reached = first.groupBy("query").agg(F.min("score").alias("reached"))
-    rest = bounds.join(reached, "query").where(F.col("upper") >= F.col("reached")).select("query", "row").join(first.select("query", "row"), ["query", "row"], "left_anti")
-    second = stored(read_exactly(rest, asked, every))
+    open_ones = not bounds.where("lower < upper").isEmpty()
+    order = W.partitionBy("query").orderBy(F.desc("upper"), "id", "row")
+    if open_ones:
+        placed = stored(bounds.withColumn("ahead", F.row_number().over(order) <= k))
+        first = stored(scored(placed.where("ahead"), asked, every, True))
+        reached = first.groupBy("query").agg(F.min("score").alias("reached"))
+        rest = placed.where("not ahead").join(reached, "query").where(F.col("upper") >= F.col("reached"))
+        found = stored(first.union(scored(rest, asked, every, True)))
+    else:
+        found = scored(bounds, asked, every, False)
     if counted is not None:
-        counted.append(first.count() + second.count())
-    found = best(first.union(second), k + 1).select("query", "row", "id", "score")
-    back = rows.where("asks").select("v", F.col("id").alias("query_id"), F.col("row").alias("own")).join(asked.select("v", "query"), "v").drop("v")
-    # written, so that a very common query can be split over tasks
-    answers = back.join(stored(found), "query").where("row <> own")
-    ranked = answers.withColumn("rank", F.row_number().over(W.partitionBy("own").orderBy(F.desc("score"), "id", "row"))).where(F.col("rank") <= k)
+        counted.append(found.agg(F.sum("read")).first()[0] or 0)
+    by_score = W.partitionBy("query").orderBy(F.desc("score"), "id", "row")
+    ranked = found.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
