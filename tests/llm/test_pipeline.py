@@ -44,19 +44,55 @@ def test_edge_cases(spark, small, edge, edge_rows, none, name, stage):
     assert set(out.columns) >= set(edge.columns)
     rows = out.collect()
     ids = Counter(r["doc_id"] for r in rows)
+    of = lambda r: (r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"])
     if name == "language":
         assert {4, 5, 6, 7}.isdisjoint(ids) and {1, 2, 3, 8, 10, 11} <= set(ids)
     if name == "near_duplicates":
         assert ids[3] <= 1 and ids[None] == 1 and ids[1] == 1 and ids[2] == 0 and ids[4] == 1 and ids[5] == ids[6] == 0 and ids[8] == 1
     if name == "decontaminated":
-        assert ids == Counter(r[0] for r in edge_rows)
+        assert Counter(map(of, rows)) == Counter(edge_rows)
     if name == "mixed":
-        assert sum(words(r["text"]) for r in rows) > 0
+        times = Counter(map(of, rows))
+        assert set(times) <= set(edge_rows) and sum(words(r["text"]) for r in rows) > 0
+        assert all(n <= 2 * edge_rows.count(row) for row, n in times.items())
+        assert all(times[row] == edge_rows.count(row) for row in edge_rows if not words(row[1]))
+        assert stage(spark, edge.repartition(5), small).count() == len(rows)
     if name == "sharded":
-        assert len(rows) == len(edge_rows)
+        assert Counter(map(of, rows)) == Counter(edge_rows)
+        counts = Counter(r["shard"] for r in rows)
+        assert max(counts.values()) - min(counts.values()) <= 1 and all(sorted(r["slot"] for r in rows if r["shard"] == k) == list(range(n)) for k, n in counts.items())
     assert stage(spark, none, small).count() == 0
 
 
-def test_run(spark, small, docs):
+def test_contaminated_edge_rows_go_and_no_others(spark, small, edge, edge_rows):
+    passage = spark.read.parquet(f"{small}/benchmark.parquet").first()["text"]
+    hit = [(None, f"x {passage} y", None, None, 1), (1, passage.upper(), "en", "a", 1)]
+    docs = spark.createDataFrame(edge_rows + hit, spark.read.parquet(f"{small}/documents.parquet").schema)
+    kept = Counter(tuple(r) for r in cp.decontaminated(spark, docs, small).collect())
+    assert kept == Counter(edge_rows)
+
+
+def test_run(spark, small, docs, doc_rows):
     out = cp.run(spark, small)
-    assert out.columns == [*docs.columns, "shard", "slot"] and out.count() > 0
+    rows = out.collect()
+    assert out.columns == [*docs.columns, "shard", "slot"] and {tuple(r)[:5] for r in rows} <= set(doc_rows)
+    counts = Counter(r["shard"] for r in rows)
+    assert len(rows) > len(doc_rows) / 2 and set(counts) == set(range(cp.SHARDS)) and max(counts.values()) - min(counts.values()) <= 1
+
+
+def test_run_goes_on_where_it_was_broken_off(spark, small, tmp_path, monkeypatch):
+    done = []
+
+    def step(name):
+        def stage(_, docs, __):
+            done.append(name)
+            if name == "b" and done.count("b") == 1:
+                raise RuntimeError("lost")
+            return docs.select("doc_id").limit(3)
+
+        return stage
+
+    monkeypatch.setattr(cp, "STAGES", [(n, step(n)) for n in "abc"])
+    with pytest.raises(RuntimeError):
+        cp.run(spark, small, str(tmp_path / "run"))
+    assert cp.run(spark, small, str(tmp_path / "run")).count() == 3 and done == ["a", "b", "b", "c"]
