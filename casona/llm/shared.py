@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casona.functions.storage import checkpoint_folder, checkpointed
+from casona.functions.storage import checkpoint_folder, checkpointed, stored
 
 __all__ = ["checkpoint_folder", "checkpointed", "connected_components", "stored", "table", "text_pieces"]
 
@@ -35,13 +34,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as a Parquet table in the checkpoint folder, and read from there: smaller than a checkpoint, and read by column."""
-    path = f"{checkpoint_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Smallest node that each node of ``edges`` reaches, as ``(node, root)``.
 
