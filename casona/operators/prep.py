@@ -30,22 +30,23 @@ def developer_name(developer: Column) -> Column:
     return F.coalesce(F.nullif(F.trim(developer), F.lit("")), F.lit(UNKNOWN_DEVELOPER))
 
 
-def with_distances(listings: DataFrame, landmarks: DataFrame) -> DataFrame:
-    """Every listing with every landmark; the landmarks must be few (they are broadcast)."""
-    marks = landmarks.select("category", "name", F.col("lat").alias("mark_lat"), F.col("lng").alias("mark_lng"))
-    return listings.crossJoin(F.broadcast(marks)).withColumn("km", haversine_km(F.col("lat"), F.col("lng"), F.col("mark_lat"), F.col("mark_lng")))
-
-
 def nearest_of(pairs: DataFrame) -> DataFrame:
     best = pairs.groupBy("listing_id", "category").agg(F.min_by(F.struct("name", "km"), F.struct("km", "name")).alias("x"))
     return best.select("listing_id", "category", "x.name", (half_up(F.col("x.km") * 10) / 10).alias("distance_km"))
 
 
 def nearest_landmarks(listings: DataFrame, landmarks: DataFrame) -> DataFrame:
-    """``(listing_id, category, name, distance_km)``: the nearest landmark of each category, to 0.1 km; ties by name."""
-    if landmarks.limit(BROADCAST_LANDMARKS + 1).count() <= BROADCAST_LANDMARKS:
-        return nearest_of(with_distances(listings, landmarks))
-    return nearest_by_grid(listings, landmarks)
+    """``(listing_id, category, name, distance_km)``: the nearest landmark of each category, to 0.1 km; ties by name.
+
+    Few landmarks are broadcast, all of a category as one row, and each listing
+    looks through them where it is; of more only near ones are met.
+    """
+    if landmarks.limit(BROADCAST_LANDMARKS + 1).count() > BROADCAST_LANDMARKS:
+        return nearest_by_grid(listings, landmarks)
+    marks = landmarks.groupBy("category").agg(F.collect_list(F.struct("name", "lat", "lng")).alias("marks"))
+    to_each = F.transform("marks", lambda m: F.struct(haversine_km(F.col("lat"), F.col("lng"), m["lat"], m["lng"]).alias("km"), m["name"].alias("name")))
+    best = listings.select("listing_id", "lat", "lng").crossJoin(F.broadcast(marks)).withColumn("x", F.array_min(to_each))
+    return best.select("listing_id", "category", "x.name", (half_up(F.col("x.km") * 10) / 10).alias("distance_km"))
 
 
 def cells_of(marks: DataFrame, ratio: int, parent: int | None) -> DataFrame:
