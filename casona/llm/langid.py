@@ -170,8 +170,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
     return fit([bytes(t) for t in sample["text"]], list(sample["label"]))
 
 
-def predict(docs: DataFrame, model: ByteCNN, text_col: str = "text", keep: list[str] | None = None, min_score: float | None = None) -> DataFrame:
-    """Columns ``keep`` of ``docs`` (all, if none are given), then ``lang_pred`` (a learned label or ``und``) and ``score`` (0 to 1).
+def predict(docs: DataFrame, model: ByteCNN, text_col: str = "text", keep: list[str] | None = None, min_score: float | None = None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Columns ``keep`` of ``docs`` (all, if none are given), then ``lang_pred`` (a learned label or ``und``) and ``score`` (0 to 1), or what ``names`` calls them.
 
     Whole texts are read, long ones in many windows.  A null text or one without
     a letter is ``und`` with score 0, as is everything if no label was learned.
@@ -179,7 +179,7 @@ def predict(docs: DataFrame, model: ByteCNN, text_col: str = "text", keep: list[
     gives none.  Columns of ``docs`` that have these names already are replaced.
     With ``min_score``, rows that are ``und`` or score less are left out.
     """
-    columns = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
+    columns = [c for c in (docs.columns if keep is None else keep) if c not in names]
     rows = docs.select(*columns, *([] if text_col in columns else [text_col]))
     at = rows.columns.index(text_col)
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in columns)
@@ -187,12 +187,12 @@ def predict(docs: DataFrame, model: ByteCNN, text_col: str = "text", keep: list[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in (x for b in batches for x in text_pieces(b, at)):
             labels, scores = model.predict(texts)
-            out = pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], pa.array(labels, pa.string()), pa.array(scores, pa.float64())], names=[*columns, "lang_pred", "score"])
+            out = pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], pa.array(labels, pa.string()), pa.array(scores, pa.float64())], names=[*columns, *names])
             if min_score is not None:
                 out = out.filter(pa.array((np.array(labels, object) != UNDETERMINED) & (scores >= min_score), pa.bool_()))
             yield out
 
-    return rows.mapInArrow(run, ", ".join(x for x in (schema, "lang_pred string, score double") if x))
+    return rows.mapInArrow(run, ", ".join(x for x in (schema, f"`{names[0]}` string, `{names[1]}` double") if x))
 
 
 def accuracy(found: pd.DataFrame) -> float:

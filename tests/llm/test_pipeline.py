@@ -6,6 +6,7 @@ import corpus_pipeline as cp
 from casona.llm import langid, mixing
 from casona.llm.shared import table
 
+from .conftest import CLASHING
 from .test_decontamination import slow as slow_contamination
 from .test_mixing import words
 from .test_simhash import slow_components
@@ -44,6 +45,7 @@ def test_edge_cases(spark, small, edge, edge_rows, none, name, stage):
     assert set(out.columns) >= set(edge.columns)
     rows = out.collect()
     ids = Counter(r["doc_id"] for r in rows)
+    assert all(r[c] == v for r in rows for c, v in CLASHING.items() if c not in ("shard", "slot"))
     of = lambda r: (r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"])
     if name == "language":
         assert {4, 5, 6, 7}.isdisjoint(ids) and {1, 2, 3, 8, 10, 11} <= set(ids)
