@@ -163,9 +163,11 @@ class Windows:
         self.length = np.array([len(w) for w in of], np.int64)
         widest = int(self.length.max(initial=1))
         known = {w: term_of(w) for w in {w for window in of for w in window}}
-        self.digests = np.zeros((len(of), widest), np.uint64)
+        digests = np.zeros((len(of), widest), np.uint64)
         for k, window in enumerate(of):
-            self.digests[k, : len(window)] = [known[w] for w in window]
+            digests[k, : len(window)] = [known[w] for w in window]
+        self.terms, which = np.unique(digests, return_inverse=True)
+        self.which = which.reshape(digests.shape).astype(np.int32)
         self.filled = np.arange(widest) < self.length[:, None]
         self.anchor = np.array([anchor(w) for w in of], np.int64)
         self.reach = np.array([reach(len(w)) for w in of], np.int64)
@@ -174,11 +176,11 @@ class Windows:
 
     def within(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Windows whose terms all occur in a block; their terms' numbers there, -1 beyond a window's end; places from the rarest term to the commonest, then those."""
-        if not len(self.digests):
+        if not len(self.which):
             return np.zeros(0, np.int64), np.zeros((0, 1), np.int64), np.zeros((0, 1), np.int64)
-        numbers = block.numbers(self.digests)
-        live = np.flatnonzero(((numbers >= 0) | ~self.filled).all(axis=1))
-        numbers = np.where(self.filled[live], numbers[live], -1)
+        known = block.numbers(self.terms)
+        live = np.flatnonzero(((known >= 0)[self.which] | ~self.filled).all(axis=1))
+        numbers = np.where(self.filled[live], known[self.which[live]], -1)
         counts = np.where(numbers >= 0, (block.ends - block.firsts)[numbers] if len(block.ends) else 0, np.iinfo(np.int64).max)
         return live, numbers, np.argsort(counts, axis=1, kind="stable")
 
