@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from casona.llm.shared import checkpointed, connected_components, stored, text_pieces
@@ -277,8 +278,8 @@ WORDS, SIMILAR, PRINTS = 5, 0.8, 4
 BANDS, DEEP = 36, 6
 #: Differing bits of all fingerprints together above which a pair isn't compared: at a similarity of 0.8, 39 are expected, with a deviation of 6.
 ALL_BITS = 72
-#: Texts of a block that are all compared with each other; in larger ones all meet so many pivots first.
-BLOCK_TEXTS, PIVOTS = 64, 8
+#: Texts of a block that are all compared with each other; in larger ones all meet so many pivots first, in so many rounds at most.
+BLOCK_TEXTS, PIVOTS, ROUNDS = 16, 8, 3
 #: Texts of a large block that meet the pivots in one task, on average.
 PART_TEXTS = 1024
 #: Multipliers that make further hashes of one.
@@ -344,12 +345,13 @@ def wide_prints(rows: DataFrame, key: str, text_col: str) -> DataFrame:
     return rows.select(F.col(key).alias("row"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, schema)
 
 
-def confirmed(pairs: DataFrame, rows: DataFrame, key: str, text_col: str, least: float) -> DataFrame:
-    """The ``(a, b)`` of ``pairs`` whose sets of shingles are at least so similar."""
+def confirmed(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The ``(a, b)`` of ``pairs`` whose sets of shingles are at least so similar, of ``texts`` ``(node, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, known = None, None
         for batch in batches:
-            last, known, keep = None, None, []
+            keep = []
             for ta, tb in zip(batch.column(2), batch.column(3), strict=True):
                 tb = tb.as_py()
                 if known is None or tb != last:
@@ -357,19 +359,43 @@ def confirmed(pairs: DataFrame, rows: DataFrame, key: str, text_col: str, least:
                 keep.append(similarity(shingle_set(ta.as_py()), known) >= least)
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    texts = rows.select(F.col(key).alias("row"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
-    left = texts.select(F.col("row").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("row").alias("b"), F.col("text").alias("tb"))
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
     # the common side last: a pivot's pairs are then dealt anew if they are many
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def bits_apart(sums: list[str], others: list[str]) -> Column:
+    return reduce(lambda x, y: x + y, [F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in zip(sums, others, strict=True)])
+
+
+def in_parts(per_root: DataFrame) -> DataFrame:
+    """Rows of a large block ``(root, n, ...)`` once for each ``part`` in which its texts are dealt out."""
+    return per_root.withColumn("part", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / PART_TEXTS).cast("int") - 1)))
+
+
+def pivots_of(texts: DataFrame, sums: list[str]) -> DataFrame:
+    """``PIVOTS`` texts of each block ``(root, n, part, node, ...)``: half those nearest to what most of its first SimHashes have, half picked by hash.
+
+    If all are copies of one text with changes of their own, it is the former.
+    """
+    ones = texts.groupBy("root").agg(F.first("n").alias("n"), *[F.sum(F.expr(f"2 * (shiftrightunsigned({sums[0]}, {b}) & 1L) - 1")).alias(f"b{b}") for b in range(64)])
+    most = ones.select("root", "n", reduce(lambda x, y: x.bitwiseOR(y), [F.when(F.col(f"b{b}") > 0, F.shiftleft(F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long")) for b in range(64)]).alias("most"))
+    off = texts.join(in_parts(checkpointed(most)).drop("n"), ["root", "part"]).withColumn("off", F.bit_count(F.col(sums[0]).bitwiseXOR(F.col("most")))).drop("most")
+    off = checkpointed(off.withColumn("turn", F.xxhash64("node")))
+    # a window's limit on the place acts before the shuffle too
+    ranked = [off.withColumn("place", F.row_number().over(W.partitionBy("root").orderBy(*by))).where(F.col("place") <= PIVOTS // 2) for by in (("off", "turn"), ("turn",))]
+    return checkpointed(ranked[0].union(ranked[1]).select("root", "n", "node", *sums).dropDuplicates(["node"]))
+
+
 def similar_links(nodes: DataFrame, rows: DataFrame, key: str, text_col: str, least: float) -> DataFrame:
     """``(a, b)`` links of the texts ``(node, s0, ..., bands)`` that are ``least`` similar, enough to join them.
 
-    Blocks are what shared keys of bands join; a link is confirmed by the texts.  In a block of up to ``BLOCK_TEXTS`` every pair is
-    a candidate.  In a larger one all are compared with pivots first; what isn't
-    in the largest component then is compared with all outside its own.
+    Blocks are what shared keys of bands join; a link is confirmed by the texts.
+    In a block of up to ``BLOCK_TEXTS`` every pair is a candidate.  In a larger
+    one all are compared with pivots, and what isn't in the largest component
+    then with pivots of its own, in some rounds; what is still outside is
+    compared with all outside its own component.
     """
     keys = nodes.select("node", F.explode("bands").alias("key"))
     # written, so that the join deals out both sides anew and a very common key can be split over tasks
@@ -377,29 +403,38 @@ def similar_links(nodes: DataFrame, rows: DataFrame, key: str, text_col: str, le
     edges = keys.join(shared, "key").select(F.col("node").alias("a"), F.col("rep").alias("b")).where("a <> b")
     sums = [f"s{p}" for p in range(PRINTS)]
     left = checkpointed(connected_components(edges).join(nodes, "node").select("root", "node", *sums))
-    other = lambda x: x.select("root", F.col("node").alias("b"), *[F.col(s).alias(f"t{s}") for s in sums])
-    near = reduce(lambda x, y: x + y, [F.bit_count(F.col(s).bitwiseXOR(F.col(f"t{s}"))) for s in sums]) <= ALL_BITS
-    sizes = checkpointed(left.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    sizes = checkpointed(left.groupBy("root").agg(F.count(F.lit(1)).alias("n")))
+    # from here on only the texts of blocks are moved
+    texts = checkpointed(rows.select(F.col(key).alias("node"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text")).join(left.select("node"), "node", "left_semi"))
+    other = lambda x: x.withColumnsRenamed({"node": "b", **{s: f"t{s}" for s in sums}})
+    near = bits_apart(sums, [f"t{s}" for s in sums]) <= ALL_BITS
+    confirm = lambda pairs: checkpointed(confirmed(checkpointed(pairs.select("a", "b")), texts, least))
     small = left.join(sizes.where(F.col("n") <= BLOCK_TEXTS), "root").drop("n")
-    pairs = small.withColumnRenamed("node", "a").join(other(small), "root").where("a < b").where(near).select("a", "b")
+    found = confirm(small.withColumnRenamed("node", "a").join(other(small), "root").where("a < b").where(near))
     many = sizes.where(F.col("n") > BLOCK_TEXTS)
     if many.isEmpty():
-        return checkpointed(confirmed(checkpointed(pairs), rows, key, text_col, least))
-    large = checkpointed(left.join(many, "root").withColumn("turn", F.pmod(F.xxhash64("node"), F.lit(PIVOTS))))
-    chosen = checkpointed(large.groupBy("root", "turn").agg(F.min_by(F.struct("node", "n", *sums), F.xxhash64("node")).alias("x")).select("root", "x.*"))
-    # a block is dealt out in parts, and its pivots go to each
-    parts = F.ceil(F.col("n") / PART_TEXTS).cast("int")
-    dealt = large.withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), parts)).withColumnRenamed("node", "a")
-    pivots = chosen.select("root", F.col("node").alias("b"), *[F.col(s).alias(f"t{s}") for s in sums], F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
-    pairs = pairs.union(dealt.join(pivots, ["root", "part"]).where("a <> b").where(near).select("a", "b"))
-    found = checkpointed(confirmed(checkpointed(pairs), rows, key, text_col, least))
-    components = connected_components(found).withColumnRenamed("root", "component")
-    labelled = checkpointed(large.join(components, "node", "left").withColumn("component", F.coalesce("component", "node")).select("root", "node", "component", *sums))
-    top = labelled.groupBy("root", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("root").agg(F.max_by("component", F.struct("n", "component")).alias("top"))
-    outside = labelled.join(checkpointed(top), "root").where("component <> top").withColumnRenamed("node", "a")
-    every = other(labelled.drop("component")).join(labelled.select(F.col("node").alias("b"), F.col("component").alias("of")), "b")
-    more = outside.join(every, "root").where("component <> of and (of = top or a < b)").where(near).select("a", "b")
-    return found.union(checkpointed(confirmed(checkpointed(more), rows, key, text_col, least)))
+        return found
+    large = checkpointed(left.join(many, "root").withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), F.ceil(F.col("n") / PART_TEXTS)).cast("int")))
+    links, outside, before = None, large, 0
+    for turn in range(ROUNDS):
+        met = outside.withColumnRenamed("node", "a").join(other(in_parts(pivots_of(outside, sums))).drop("n"), ["root", "part"])
+        new = confirm(met.where("a <> b").where(near))
+        links = new if links is None else links.union(new)
+        components = connected_components(links).withColumnRenamed("root", "component")
+        labelled = checkpointed(large.join(components, "node", "left").withColumn("component", F.coalesce("component", "node")))
+        counts = labelled.groupBy("root", "component").agg(F.count(F.lit(1)).alias("k"), F.first("n").alias("n"))
+        top = checkpointed(counts.groupBy("root").agg(F.max_by("component", F.struct("k", "component")).alias("top"), F.first("n").alias("n")))
+        remaining = checkpointed(labelled.join(in_parts(top).drop("n"), ["root", "part"]).where("component <> top"))
+        left_over = remaining.count()
+        if not left_over or (turn and 2 * left_over > before):
+            break
+        outside, before = remaining.drop("component", "top"), left_over
+    if not left_over:
+        return found.union(links)
+    # what is outside goes to each part of its block
+    every = other(labelled.select("root", "part", "node", "component", *sums)).withColumnRenamed("component", "of")
+    more = in_parts(remaining.drop("part")).withColumnRenamed("node", "a").join(every, ["root", "part"]).where("component <> of and (of = top or a < b)").where(near)
+    return found.union(links).union(confirm(more))
 
 
 def similar_rows(rows: DataFrame, key: str, text_col: str = "text", least: float = SIMILAR) -> DataFrame:

@@ -69,3 +69,35 @@ def test_contaminated_rows_without_an_id_go(spark, small):
     clean, planted = " ".join(prose(rng, 60)), " ".join([*prose(rng, 20), passage, *prose(rng, 20)])
     docs = spark.createDataFrame([(i, t, None, None, 0) for i in (None, 5) for t in (clean, planted)], SCHEMA)
     assert sorted(((r["doc_id"], r["text"]) for r in cp.decontaminated(spark, docs, small).collect()), key=repr) == sorted([(None, clean), (5, clean)], key=repr)
+
+
+def test_large_blocks_equal_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK_TEXTS", 4)
+    monkeypatch.setattr(simhash, "PART_TEXTS", 16)
+    rng = random.Random(12)
+    texts = []
+    for _ in range(2):  # copies of one text that resemble it, but not each other
+        base = prose(rng, 200)
+        for _ in range(40):
+            copy = list(base)
+            for at in rng.sample(range(5, 195), 4):
+                copy[at] = "own" + str(rng.random())
+            texts.append(copy)
+        texts.append(base)
+    shared = prose(rng, 120)
+    texts += [[*shared, *prose(rng, 50)] for _ in range(40)]  # a common passage, and more of their own
+    chain = prose(rng, 200)
+    for k in range(30):
+        chain = [*chain[6:], *prose(rng, 6)]
+        texts.append(chain)
+    rng.shuffle(texts)
+    sets = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in texts]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    docs = spark.createDataFrame([(k, " ".join(t), None, None, 0) for k, t in enumerate(texts)], SCHEMA)
+    assert sorted(r["doc_id"] for r in cp.near_duplicates(spark, docs, "").collect()) == sorted(set(label))
+    assert len(set(label)) < 60
