@@ -28,7 +28,7 @@ WORD = re.compile(rb"[0-9a-z\x80-\xff]+")  # of UTF-8 bytes in lower case
 PHRASE = 10
 SEED = 42
 #: Tokens of a block, at least; a block ends with the document that exceeds them.
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 19
 #: Tokens of a lot of benchmark items, on average: what the driver and a task hold at once.
 LOT_TOKENS = 1_000_000
 #: Occurrences of windows that are followed at once.
