@@ -23,6 +23,7 @@ ICON_AMENITIES = (
     "Pool", "Gym", "Rooftop Terrace", "Security 24/7", "Elevator", "Parking", "Coworking", "Kids Club", "BBQ Area", "Concierge",
     "Pet Friendly", "Beach Club", "Spa", "EV Charging", "Restaurant", "Golf", "Jacuzzi", "Yoga", "Tennis Court", "Marina",
 )
+# Square feet of a square metre, the rate that holds without a live one, how delivery texts and photo links are made.
 SQFT_IN_SQM = 10.7639
 FALLBACK_RATE = 18.0
 DELIVERY = r"([A-Za-z]+)\.?\s+(\d{4})"
