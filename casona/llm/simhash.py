@@ -345,24 +345,29 @@ def wide_prints(rows: DataFrame, key: str, text_col: str) -> DataFrame:
     return rows.select(F.col(key).alias("row"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, schema)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The ``(a, b)`` of ``pairs`` whose sets of shingles are at least so similar, of ``texts`` ``(node, text)``."""
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """``(node, shingles)`` of texts ``(node, text)``: ``shingle_set`` as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, found in (x for b in batches for x in text_pieces(b, 1)):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t).tobytes() for t in found], pa.binary())], names=["node", "shingles"])
+
+    return texts.mapInArrow(run, "node long, shingles binary")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The ``(a, b)`` of ``pairs`` whose ``sets`` of shingles are at least so similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, known = None, None
         for batch in batches:
-            keep = []
-            for ta, tb in zip(batch.column(2), batch.column(3), strict=True):
-                tb = tb.as_py()
-                if known is None or tb != last:
-                    last, known = tb, shingle_set(tb)
-                keep.append(similarity(shingle_set(ta.as_py()), known) >= least)
+            both = zip(batch.column(2), batch.column(3), strict=True)
+            keep = [similarity(*(np.frombuffer(x.as_buffer(), np.uint64) for x in pair)) >= least for pair in both]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     # the common side last: a pivot's pairs are then dealt anew if they are many
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
 def bits_apart(sums: list[str], others: list[str]) -> Column:
@@ -404,11 +409,12 @@ def similar_links(nodes: DataFrame, rows: DataFrame, key: str, text_col: str, le
     sums = [f"s{p}" for p in range(PRINTS)]
     left = checkpointed(connected_components(edges).join(nodes, "node").select("root", "node", *sums))
     sizes = checkpointed(left.groupBy("root").agg(F.count(F.lit(1)).alias("n")))
-    # from here on only the texts of blocks are moved
-    texts = checkpointed(rows.select(F.col(key).alias("node"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text")).join(left.select("node"), "node", "left_semi"))
+    # from here on only the shingles of the texts of blocks are moved
+    texts = rows.select(F.col(key).alias("node"), F.col(text_col).cast("binary").alias("text")).join(left.select("node"), "node", "left_semi")
+    sets = checkpointed(shingle_sets(texts))
     other = lambda x: x.withColumnsRenamed({"node": "b", **{s: f"t{s}" for s in sums}})
     near = bits_apart(sums, [f"t{s}" for s in sums]) <= ALL_BITS
-    confirm = lambda pairs: checkpointed(confirmed(checkpointed(pairs.select("a", "b")), texts, least))
+    confirm = lambda pairs: checkpointed(confirmed(checkpointed(pairs.select("a", "b")), sets, least))
     small = left.join(sizes.where(F.col("n") <= BLOCK_TEXTS), "root").drop("n")
     found = confirm(small.withColumnRenamed("node", "a").join(other(small), "root").where("a < b").where(near))
     many = sizes.where(F.col("n") > BLOCK_TEXTS)
