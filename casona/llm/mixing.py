@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from casona.llm.shared import checkpointed, stored
+from casona.llm.shared import checkpointed, stored, with_row_numbers
 
 #: What the sources weigh, by rank of their name, over and over.
 WEIGHTS = (3, 1, 2)
@@ -124,7 +124,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     Each row is taken by itself, whatever its id.  Rows without words add no
     word and stay once.
     """
-    rows = checkpointed(docs.withColumn("__row", F.monotonically_increasing_id()))  # goes when it is no longer needed
+    rows = with_row_numbers(docs, "__row")
     entries = mix_entries(rows, id_col, text_col, source_col, "__row")
     times = F.when(F.first("size") == 0, 1).otherwise(F.sum(F.col("served").cast("int"))).cast("int")
     taken = entries.groupBy(F.col("rid").alias("__row")).agg(times.alias("__times")).where("__times > 0")

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casona.functions.storage import checkpoint_folder, checkpointed, stored
 
-__all__ = ["checkpoint_folder", "checkpointed", "connected_components", "stored", "table", "text_pieces"]
+__all__ = ["checkpoint_folder", "checkpointed", "connected_components", "stored", "table", "text_pieces", "with_row_numbers"]
 
 #: Bytes of texts that Python code takes out of an Arrow batch at once, about.
 PIECE_BYTES = 1 << 22
@@ -34,6 +35,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_row_numbers(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a long ``name`` that tells rows apart, and is the same whenever they are read again.
+
+    Rows of Parquet files are known by file and place; only other rows are
+    written, with a number each.
+    """
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__index"))
+        paths = docs.select(F.col("_metadata.file_path").alias("__path")).distinct()
+    except AnalysisException:  # no file behind them
+        return checkpointed(docs.withColumn(name, F.monotonically_increasing_id()))
+    files = sorted(r["__path"] for r in paths.collect())  # the driver lists them anyway
+    firsts = docs.sparkSession.createDataFrame([(path, k << 40) for k, path in enumerate(files)], "__path string, __first long")
+    return placed.join(F.broadcast(firsts), "__path").withColumn(name, F.col("__first") + F.col("__index")).drop("__path", "__index", "__first")
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Smallest node that each node of ``edges`` reaches, as ``(node, root)``.
 

@@ -437,10 +437,43 @@ def similar_links(nodes: DataFrame, rows: DataFrame, key: str, text_col: str, le
         outside, before = remaining.drop("component", "top"), left_over
     if not left_over:
         return found.union(links)
-    # what is outside goes to each part of its block
-    every = other(labelled.select("root", "part", "node", "component", *sums)).withColumnRenamed("component", "of")
-    more = in_parts(remaining.drop("part")).withColumnRenamed("node", "a").join(every, ["root", "part"]).where("component <> of and (of = top or a < b)").where(near)
-    return found.union(links).union(confirm(more))
+    return found.union(links).union(checkpointed(block_links(remaining, labelled, sets, least)))
+
+
+def block_links(remaining: DataFrame, labelled: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """``(a, b)`` links between the texts ``remaining`` of large blocks and all ``labelled`` ones of other components.
+
+    Parts of a block meet slices of what remains of it, about ``PART_TEXTS`` of
+    either in one call, which counts common shingles and returns a link at most
+    for each text and component.
+    """
+    slices = checkpointed(remaining.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / PART_TEXTS).cast("int").alias("slices")))
+    left = remaining.select("root", "n", "node", "component").join(F.broadcast(slices) if slices.count() <= 10_000 else slices, "root").join(sets, "node")
+    left = in_parts(left.withColumn("slice", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int")))
+    right = labelled.select("root", "part", "node", "component").join(F.broadcast(slices) if slices.count() <= 10_000 else slices, "root").join(sets, "node")
+    right = right.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    key, columns = ["root", "part", "slice"], ["node", "component", "shingles"]
+
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        out: list[tuple[int, int]] = []
+        nodes, of = b.column("node_b").to_numpy(), b.column("component_b").to_numpy()
+        found = [np.frombuffer(x, np.uint64) for x in b.column("shingles_b").to_pylist()]
+        sizes = np.array([len(x) for x in found], np.int64)
+        flat = np.concatenate([np.zeros(0, np.uint64), *found])
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], np.repeat(np.arange(len(found)), sizes)[order]
+        for node, component, shingles in zip(*(a.column(f"{c}_a").to_pylist() for c in columns), strict=True):
+            own = np.frombuffer(shingles, np.uint64)
+            low, high = np.searchsorted(flat, own), np.searchsorted(flat, own, side="right")
+            n = high - low
+            both = np.bincount(owner[np.repeat(low - np.cumsum(n) + n, n) + np.arange(int(n.sum()))], minlength=len(found))
+            near = np.flatnonzero((both >= least * (len(own) + sizes - both)) & (of != component))
+            out += [(node, int(nodes[near[k]])) for k in np.unique(of[near], return_index=True)[1]]
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    # names of their own, as both sides come from the same tables
+    sides = [x.select(*[F.col(c).alias(f"{c}{side}") for c in (*key, *columns)]).groupBy(*[f"{c}{side}" for c in key]) for side, x in (("_a", left), ("_b", right))]
+    return sides[0].cogroup(sides[1]).applyInArrow(run, "a long, b long")
 
 
 def similar_rows(rows: DataFrame, key: str, text_col: str = "text", least: float = SIMILAR) -> DataFrame:

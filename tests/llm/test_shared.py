@@ -19,3 +19,15 @@ def test_settings_of_the_session_stay(spark, edge):
     before = spark.sparkContext.getConf().getAll(), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     simhash.fingerprints(edge).count()
     assert before == (spark.sparkContext.getConf().getAll(), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+
+
+def test_rows_of_files_are_numbered_without_a_copy(spark, tmp_path):
+    rows = spark.range(1000).repartition(5).withColumnRenamed("id", "doc_id")
+    rows.write.parquet(str(tmp_path / "t"))
+    read = spark.read.parquet(str(tmp_path / "t"))
+    numbered = shared.with_row_numbers(read, "__row")
+    first, again = ({r["__row"]: r["doc_id"] for r in x.collect()} for x in (numbered, numbered))
+    assert len(first) == 1000 and first == again and numbered.columns == ["doc_id", "__row"]
+    assert shared.with_row_numbers(read.where("doc_id < 0"), "__row").count() == 0
+    other = shared.with_row_numbers(spark.range(10).selectExpr("id + 1 as doc_id"), "__row")
+    assert other.select("__row").distinct().count() == 10
