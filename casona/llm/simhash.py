@@ -423,8 +423,8 @@ def similar_links(nodes: DataFrame, rows: DataFrame, key: str, text_col: str, le
     large = checkpointed(left.join(many, "root").withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), F.ceil(F.col("n") / PART_TEXTS)).cast("int")))
     links, outside, before = None, large, 0
     for turn in range(ROUNDS):
-        met = outside.withColumnRenamed("node", "a").join(other(in_parts(pivots_of(outside, sums))).drop("n"), ["root", "part"])
-        new = confirm(met.where("a <> b").where(near))
+        alone = lambda x: x.withColumn("component", F.col("node"))
+        new = checkpointed(block_links(alone(pivots_of(outside, sums)), alone(outside), sets, least))
         links = new if links is None else links.union(new)
         components = connected_components(links).withColumnRenamed("root", "component")
         labelled = checkpointed(large.join(components, "node", "left").withColumn("component", F.coalesce("component", "node")))
