@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casona.llm import decontamination, langid, licenses, mixing, preferences, repeats, revisits, sharding, simhash, vafile
+from casona.llm import decontamination, langid, licenses, merkle, mixing, preferences, repeats, revisits, sharding, simhash, vafile
 from casona.llm.shared import table
 
 
@@ -56,6 +56,10 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash_near_duplicates": op1_simhash_near_duplicates,
@@ -68,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_preference_pairs": op8_preference_pairs,
         "op9_license_scan": op9_license_scan,
         "op10_exact_top_k": op10_exact_top_k,
+        "op11_merkle_manifest": op11_merkle_manifest,
     }
 
 
@@ -79,4 +84,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_benchmark_decontamination": decontamination.DECONTAMINATION_SQL,
         "op8_preference_pairs": preferences.PREFERENCES_SQL,
         "op10_exact_top_k": vafile.TOP_K_SQL,
+        "op11_merkle_manifest": merkle.MERKLE_SQL,
     }
