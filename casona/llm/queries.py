@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casona.llm import decontamination, langid, licenses, merkle, mixing, preferences, repeats, revisits, sharding, simhash, vafile
+from casona.llm import codes, decontamination, langid, licenses, merkle, mixing, preferences, repeats, revisits, sharding, simhash, vafile
 from casona.llm.shared import table
 
 
@@ -60,6 +60,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.digest(table(spark, sf_dir, "documents"))
 
 
+def op12_dictionary_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.digest(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash_near_duplicates": op1_simhash_near_duplicates,
@@ -73,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_license_scan": op9_license_scan,
         "op10_exact_top_k": op10_exact_top_k,
         "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_dictionary_codes": op12_dictionary_codes,
     }
 
 
@@ -85,4 +90,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_preference_pairs": preferences.PREFERENCES_SQL,
         "op10_exact_top_k": vafile.TOP_K_SQL,
         "op11_merkle_manifest": merkle.MERKLE_SQL,
+        "op12_dictionary_codes": codes.CODES_SQL,
     }
