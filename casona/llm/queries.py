@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casona.llm import codes, decontamination, langid, licenses, merkle, mixing, preferences, repeats, revisits, sharding, simhash, vafile
+from casona.llm import codes, decontamination, langid, licenses, merkle, mixing, pii, preferences, repeats, revisits, sharding, simhash, vafile
 from casona.llm.shared import table
 
 
@@ -64,6 +64,10 @@ def op12_dictionary_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.digest(table(spark, sf_dir, "embeddings"))
 
 
+def op13_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash_near_duplicates": op1_simhash_near_duplicates,
@@ -78,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_exact_top_k": op10_exact_top_k,
         "op11_merkle_manifest": op11_merkle_manifest,
         "op12_dictionary_codes": op12_dictionary_codes,
+        "op13_skip_chain_pii": op13_skip_chain_pii,
     }
 
 
