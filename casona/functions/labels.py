@@ -36,8 +36,10 @@ def half_up(x: Column) -> Column:
 
 
 def or_else(a: Column, b: Column) -> Column:
-    """``a``, unless it is null, empty or zero."""
-    return F.coalesce(F.when((a.cast("string") != "") & (a.cast("string") != "0"), a), b)
+    """``a``, unless it is null, an empty text, false, or a number that is zero or none; the text ``0`` counts."""
+    number = a.try_cast("double")
+    nothing = (F.typeof(a) != "string") & ((number == 0) | F.isnan(number))
+    return F.when(a.isNull() | (a.cast("string") == "") | F.coalesce(nothing, F.lit(False)), b).otherwise(a)
 
 
 def folded(query: str) -> str:

@@ -30,6 +30,15 @@ def developer_name(developer: Column) -> Column:
     return F.coalesce(F.nullif(F.trim(developer), F.lit("")), F.lit(UNKNOWN_DEVELOPER))
 
 
+def located(rows: DataFrame) -> DataFrame:
+    """Rows with both coordinates."""
+    return rows.where(is_number("lat") & is_number("lng"))
+
+
+def is_number(c: str) -> Column:
+    return F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+
+
 def nearest_of(pairs: DataFrame) -> DataFrame:
     best = pairs.groupBy("listing_id", "category").agg(F.min_by(F.struct("name", "km"), F.struct("km", "name")).alias("x"))
     return best.select("listing_id", "category", "x.name", (half_up(F.col("x.km") * 10) / 10).alias("distance_km"))
@@ -38,9 +47,11 @@ def nearest_of(pairs: DataFrame) -> DataFrame:
 def nearest_landmarks(listings: DataFrame, landmarks: DataFrame) -> DataFrame:
     """``(listing_id, category, name, distance_km)``: the nearest landmark of each category, to 0.1 km; ties by name.
 
-    Few landmarks are broadcast, all of a category as one row, and each listing
-    looks through them where it is; of more only near ones are met.
+    What lacks a coordinate, or has one that is no number, is left out, on either
+    side.  Few landmarks are broadcast, all of a category as one row, and each
+    listing looks through them where it is; of more only near ones are met.
     """
+    listings, landmarks = located(listings), located(landmarks)
     if landmarks.limit(BROADCAST_LANDMARKS + 1).count() > BROADCAST_LANDMARKS:
         return nearest_by_grid(listings, landmarks)
     marks = landmarks.groupBy("category").agg(F.collect_list(F.struct("name", "lat", "lng")).alias("marks"))
@@ -67,9 +78,10 @@ def nearest_by_grid(listings: DataFrame, landmarks: DataFrame, finest: float = 0
     it meets the landmarks themselves.  ``finest``: degrees; ``ratios``: how many
     of the finest cells the cells of each step are wide.
     """
+    listings, landmarks = located(listings), located(landmarks)
     placed = [F.floor(F.col(c) / finest).alias(n) for c, n in (("lat", "fine_y"), ("lng", "fine_x"))]
-    marks = stored(landmarks.select("category", "name", F.col("lat").alias("mark_lat"), F.col("lng").alias("mark_lng"), *placed).where("fine_y is not null and fine_x is not null"))
-    here = listings.select("listing_id", "lat", "lng").where("lat is not null and lng is not null")
+    marks = stored(landmarks.select("category", "name", F.col("lat").alias("mark_lat"), F.col("lng").alias("mark_lng"), *placed))
+    here = listings.select("listing_id", "lat", "lng")
     left: DataFrame | None = None
     for step, ratio in enumerate(ratios):
         cells = cells_of(marks, ratio, ratios[step - 1] if step else None)

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from casona.functions import labels as lb
 from casona.functions.storage import checkpoint_folder
-from casona.operators import detail, prep, search, summary
+from casona.operators import detail, prep, search, summary, texts
 from casona.operators import preferences as prefs
+from casona.operators.requests import requests_counted
 from casona.operators.search import ListingQuery
 from casona.sources import catalogue as cat
 from casona.sources import fx
@@ -475,6 +476,16 @@ def nearest_landmark_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prep.nearest_by_grid(cat.listings(spark, sf_dir), cat.landmarks(spark, sf_dir))
 
 
+@query(
+    "nearest_landmark_missing", L.replace("18 + CAST(o_orderkey * 37", "CASE WHEN o_orderkey % 11 <> 3 THEN 1 END * 18 + CAST(o_orderkey * 37"), MARKS, NEAREST,
+    sql="SELECT listing_id, category, name, distance_km FROM g WHERE n = 1 AND listing_id % 11 <> 3",
+)
+def nearest_landmark_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some listings have no latitude: they are near nothing."""
+    lat = F.when(F.col("listing_id") % 11 != 3, F.col("lat"))
+    return prep.nearest_landmarks(cat.listings(spark, sf_dir).withColumn("lat", lat), cat.landmarks(spark, sf_dir))
+
+
 @query("poi_rows", L, MARKS, NEAREST, sql=f"SELECT listing_id, CAST(row_number() OVER (PARTITION BY listing_id ORDER BY category) AS INTEGER) AS seq, category AS label, name, {plain('distance_km', 1)} || ' km' AS distance FROM g WHERE n = 1")
 def poi_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nearest landmarks as the points of interest of a listing."""
@@ -551,3 +562,67 @@ LEFT JOIN s ON s.listing_id = l.listing_id GROUP BY n_nationkey""",
 )
 def multi_request_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.requests_matched(search_requests(spark, sf_dir), cat.listings(spark, sf_dir), cat.units(spark, sf_dir))
+
+
+@query("multi_request_index", sql=SQL["multi_request_counts"])
+def multi_request_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same requests by the index of what they ask for."""
+    return requests_counted(search_requests(spark, sf_dir), cat.listings(spark, sf_dir), cat.units(spark, sf_dir))
+
+
+#: Bounds of prices that follow from a customer: some have one bound, some none, some an empty range.
+PRICE_REQUESTS = """
+r AS (
+  SELECT c_custkey AS request_id, CASE WHEN c_custkey % 10 <> 3 THEN floor(abs(c_acctbal) * 9) END AS low,
+         CASE WHEN c_custkey % 10 < 8 THEN floor(abs(c_acctbal) * 9) + c_custkey % 7 * 300 - 100 END AS high FROM customer)"""
+
+
+@query(
+    "price_request_counts", L, U, S, PRICE_REQUESTS,
+    sql="""SELECT CAST(r.request_id AS BIGINT) AS request_id, count(s.listing_id) AS n_listings, CAST(coalesce(sum(s.available), 0) AS BIGINT) AS n_units
+FROM r LEFT JOIN (SELECT DISTINCT request_id, listing_id FROM r JOIN u ON price >= coalesce(low, -1) AND price <= coalesce(high, 1e12)) h ON h.request_id = r.request_id
+LEFT JOIN s ON s.listing_id = h.listing_id AND s.listing_id IN (SELECT listing_id FROM l) GROUP BY r.request_id""",
+)
+def price_request_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A search for each customer that asks for a range of prices alone."""
+    key, low = F.col("c_custkey"), F.floor(F.abs("c_acctbal") * 9).cast("double")
+    text = F.lit(None).cast("string")
+    requests = cat.table(spark, sf_dir, "customer").select(
+        key.cast("long").alias("request_id"),
+        *[text.alias(c) for c in search.ASKED[:4]],
+        F.lit(None).cast("double").alias("min_bathrooms"),
+        F.when(key % 10 != 3, low).alias("min_price"),
+        F.when(key % 10 < 8, low + key % 7 * 300 - 100).alias("max_price"),
+    )
+    return requests_counted(requests, cat.listings(spark, sf_dir), cat.units(spark, sf_dir))
+
+
+def text_index(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of an index of all listings' texts."""
+    folder = f"{checkpoint_folder(spark)}/grams-{uuid.uuid4().hex}"
+    texts.write_index(cat.listings(spark, sf_dir), folder)
+    return folder
+
+
+@query("search_text_index", L, U, S, sql=found_sql(listing="(contains(lower(project), 'er#000000') OR contains(lower(city), 'er#000000'))"))
+def search_text_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text search through the index of grams."""
+    listings = texts.matched_text(cat.listings(spark, sf_dir), text_index(spark, sf_dir), " er#000000 ")
+    return search.ranked(search.matched_summary(listings, cat.units(spark, sf_dir), ListingQuery()), "newest").select(*SEARCH_COLUMNS)
+
+
+TEXTS = """
+t AS (
+  SELECT DISTINCT q FROM (
+    SELECT lower(n_name) AS q FROM nation UNION ALL SELECT substr(lower(n_name), 1, 2) FROM nation UNION ALL SELECT substr(lower(n_name), 2, 1) FROM nation
+    UNION ALL SELECT '%' UNION ALL SELECT '_' UNION ALL SELECT '#' UNION ALL SELECT right(lower(c_name), 7) FROM customer))"""
+
+
+@query("search_many_texts", L, TEXTS, sql="SELECT q, count(*) AS n_listings FROM t JOIN l ON contains(lower(project), q) OR contains(lower(city), q) GROUP BY q")
+def search_many_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many listings have each of many texts: names of nations, their beginnings and letters, ends of customers' names, signs."""
+    name, customer = F.lower("n_name"), F.lower("c_name")
+    asked = cat.table(spark, sf_dir, "nation").select(F.explode(F.array(name, F.substring(name, 1, 2), F.substring(name, 2, 1), F.lit("%"), F.lit("_"), F.lit("#"))).alias("q"))
+    asked = asked.union(cat.table(spark, sf_dir, "customer").select(F.right(customer, F.lit(7))))
+    found = texts.matched_texts(cat.listings(spark, sf_dir), text_index(spark, sf_dir), asked)
+    return found.groupBy("q").agg(F.count(F.lit(1)).alias("n_listings"))

@@ -292,6 +292,25 @@ def test_grid_finds_what_all_pairs_find(spark):
     assert key(prep.nearest_by_grid(listings, landmarks)) == key(prep.nearest_landmarks(listings, landmarks))
 
 
+def test_missing_coordinates_poles_and_the_date_line(spark, monkeypatch):
+    none, bad = None, float("nan")
+    places = [(1, none, 1.0), (2, 1.0, none), (3, bad, 1.0), (4, 90.0, 0.0), (5, -90.0, 77.0), (6, 0.0, 180.0), (7, 0.0, -180.0), (8, 45.0, 179.999), (9, 89.99, -120.0)]
+    marks = [("a", "none", none, 1.0), ("a", "bad", 1.0, bad), ("a", "north", 90.0, 50.0), ("a", "near north", 89.0, 170.0), ("a", "south", -90.0, -10.0), ("a", "east", 0.0, 180.0), ("a", "west", 0.1, -179.9), ("a", "cross", 45.0, -179.99), ("b", "one", none, none)]
+    listings, landmarks = spark.createDataFrame(places, "listing_id long, lat double, lng double"), spark.createDataFrame(marks, "category string, name string, lat double, lng double")
+    key = lambda df: sorted(tuple(r) for r in df.collect())
+    near = key(prep.nearest_landmarks(listings, landmarks))
+    assert near == key(prep.nearest_by_grid(listings, landmarks)) and {r[0]: r[2] for r in near} == {4: "north", 5: "south", 6: "east", 7: "east", 8: "cross", 9: "north"}
+    monkeypatch.setattr(prep, "BROADCAST_LANDMARKS", 3)
+    assert near == key(prep.nearest_landmarks(listings, landmarks))
+    assert spark.range(1).select(haversine_km(F.lit(None).cast("double"), F.lit(0.0), F.lit(0.0), F.lit(0.0))).first()[0] is None
+
+
+@pytest.mark.parametrize("a, taken", [("'0'", True), ("''", False), ("'x'", True), ("cast(null as string)", False), ("0.0D", False), ("0", False), ("-0.0D", False), ("0.5D", True), ("double('NaN')", False), ("cast(0 as decimal(9,2))", False), ("true", True), ("false", False)])
+def test_falsy_by_type(spark, a, taken):
+    row = spark.sql(f"select {a} as a").select(lb.or_else(F.col("a"), F.lit(None)).alias("x"), "a").first()
+    assert (row["x"] is not None) == taken and (not taken or row["x"] == row["a"])
+
+
 def test_grid_reads_landmarks_once_a_step(spark):
     listings = spark.createDataFrame([(1, 20.0, -87.0)], "listing_id long, lat double, lng double")
     landmarks = spark.createDataFrame([("a", f"m{k}", 20.0 + k / 50, -87.0) for k in range(40)], "category string, name string, lat double, lng double")
