@@ -36,3 +36,9 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of tables that nobody reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

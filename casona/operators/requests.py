@@ -113,6 +113,20 @@ def nodes_up_to(place: Column, levels: int) -> Column:
     return F.concat(*each)
 
 
+def nodes_between(low: Column, high: Column, levels: int) -> Column:
+    """The nodes that hold the places from ``low`` to ``high`` between them, each place once."""
+    firsts = [F.ceil(low / (1 << DIGIT * n)).cast("long") for n in range(levels + 1)]
+    ends = [F.floor((high + 1) / (1 << DIGIT * n)).cast("long") for n in range(levels + 1)]
+    run = lambda a, b: F.when(b > a, F.sequence(a, b - 1)).otherwise(F.array().cast("array<bigint>"))
+    each = []
+    for n in range(levels):
+        # without what nodes of the next level hold
+        outside = F.concat(run(firsts[n], F.shiftleft(firsts[n + 1], DIGIT)), run(F.shiftleft(ends[n + 1], DIGIT), ends[n]))
+        own = F.when(firsts[n + 1] < ends[n + 1], outside).otherwise(run(firsts[n], ends[n]))
+        each.append(F.transform(own, partial(node_in, n)))
+    return F.concat(*each)
+
+
 def ways(rows: DataFrame) -> DataFrame:
     """``rows`` of requests with ``way`` and the columns ``KEYS``, empty where nothing is asked."""
     asked = [*EQUAL, "q"]

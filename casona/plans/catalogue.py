@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casona.functions import labels as lb
-from casona.functions.storage import checkpoint_folder
+from casona.functions.storage import checkpoint_folder, removed
 from casona.operators import detail, prep, search, summary, texts
 from casona.operators import preferences as prefs
 from casona.operators.requests import requests_counted
 from casona.operators.search import ListingQuery
 from casona.sources import catalogue as cat
 from casona.sources import fx
-from casona.streaming import state
+from casona.streaming import changes, state
 
 USER = 42
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -413,7 +413,35 @@ def fx_stream_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def favorites_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from a stream of events."""
     clicks = cat.toggles_of(event_stream(spark, sf_dir, "click"))
-    return state.run_to_end(state.toggle_counts(clicks), ["user_id", "listing_id"]).where("n % 2 = 1").select("user_id", "listing_id")
+    return state.run_to_end(state.favorite_changes(clicks), ["user_id", "listing_id"]).where("favorite").select("user_id", "listing_id")
+
+
+def log_of_changes(spark: SparkSession, sf_dir: str) -> str:
+    """The log of a stream of changes of units, which land in files in no order, two at a time."""
+    folder = f"{checkpoint_folder(spark)}/landed-{uuid.uuid4().hex}"
+    cat.unit_changes(spark, sf_dir).repartition(6, F.xxhash64("listing_id", "unit_seq", "version")).write.parquet(folder)
+    log = changes.written_log(spark.readStream.schema(changes.CHANGES).option("maxFilesPerTrigger", 2).parquet(folder))
+    removed(spark, folder)
+    return log
+
+
+#: What the changes leave.
+LEFT = """
+u AS (
+  SELECT listing_id, unit_seq, type, bedrooms, bathrooms, CASE WHEN unit_seq = 2 THEN price + 7 WHEN listing_id % 3 = 0 THEN price + 1000 ELSE price END AS price, size,
+         CASE WHEN unit_seq <> 2 AND listing_id % 3 = 0 THEN 2 ELSE available END AS available
+  FROM u0 WHERE unit_seq <> 2 OR listing_id % 5 = 0)"""
+U0 = U.replace("u AS (", "u0 AS (", 1)
+
+
+@query(
+    "rollup_stream", U0, LEFT, S,
+    sql="""SELECT s.*, units, tabs FROM s JOIN (SELECT listing_id, count(*) AS units FROM u GROUP BY listing_id) USING (listing_id)
+JOIN (SELECT listing_id, string_agg(type || ':' || n, ',' ORDER BY encode(type)) AS tabs FROM (SELECT listing_id, type, CAST(sum(available) AS BIGINT) AS n FROM u GROUP BY ALL) GROUP BY listing_id) USING (listing_id)""",
+)
+def rollup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every listing's roll-up, kept by deltas, after a stream of changes."""
+    return changes.rollups(changes.log_stream(spark, log_of_changes(spark, sf_dir)))
 
 
 CHOICES = """
@@ -564,6 +592,13 @@ def multi_request_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.requests_matched(search_requests(spark, sf_dir), cat.listings(spark, sf_dir), cat.units(spark, sf_dir))
 
 
+@query("standing_request_counts", L, U0, LEFT, S, sql=SQL["multi_request_counts"].removeprefix(f"WITH {L}, {U}, {S}"))
+def standing_request_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same requests, whose counts follow a stream of changes."""
+    log = changes.log_stream(spark, log_of_changes(spark, sf_dir))
+    return changes.standing_counts(log, search_requests(spark, sf_dir), cat.listings(spark, sf_dir))
+
+
 @query("multi_request_index", sql=SQL["multi_request_counts"])
 def multi_request_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same requests by the index of what they ask for."""

@@ -114,6 +114,18 @@ def units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_units(spark, sf_dir).withColumn("unit_seq", F.row_number().over(order)).drop("status", "currency")
 
 
+def unit_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of units, some again: all as they are, dearer ones of some listings, second units gone and some of these back."""
+    key, second = F.col("listing_id") % 3 == 0, F.col("unit_seq") == 2
+    as_is = F.struct(F.lit(1).alias("version"), F.lit(False).alias("removed"), F.col("price"), F.col("available"))
+    dearer = F.struct(F.lit(2).alias("version"), F.lit(False).alias("removed"), (F.col("price") + 1000).alias("price"), F.lit(2).alias("available"))
+    gone = F.struct(F.lit(3).alias("version"), F.lit(True).alias("removed"), F.col("price"), F.col("available"))
+    back = F.struct(F.lit(4).alias("version"), F.lit(False).alias("removed"), (F.col("price") + 7).alias("price"), F.col("available"))
+    each = F.array(as_is, F.when(F.col("listing_id") % 7 == 0, as_is), F.when(key & ~second, dearer), F.when(second, gone), F.when(second & (F.col("listing_id") % 5 == 0), back))
+    rows = units(spark, sf_dir).select("listing_id", "unit_seq", "type", "bedrooms", "bathrooms", "size", F.explode(F.filter(each, lambda c: c.isNotNull())).alias("c"))
+    return rows.select("listing_id", "unit_seq", F.col("c.version").cast("long").alias("version"), "c.removed", "type", "bedrooms", "bathrooms", "c.price", "size", "c.available")
+
+
 def amenities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(listing_id, amenities)``: the brands of a listing's parts, each once, in order."""
     line, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")

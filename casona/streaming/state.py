@@ -2,25 +2,51 @@
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from casona.functions.labels import FALLBACK_RATE
 from casona.functions.storage import checkpoint_folder
 from casona.sources.fx import valid_rates
 
 
-def toggle_counts(toggles: DataFrame, late: str = "30 days") -> DataFrame:
-    """``(user_id, listing_id, n)`` of a stream of toggles; an event that repeats counts once.
-
-    Counting doesn't depend on the order.  What is kept: a number for each pair
-    ever toggled, as a favorite must not be forgotten, and the ids of the events
-    of the last ``late``, within which an event may come late or come again.
+def toggled(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Whether a pair is a favorite, when that changes.  State: whether it is, and the events that may come again, with their times."""
+    odd, seen = json.loads(state.get[0]) if state.exists else (False, {})
+    was, mark = odd, state.getCurrentWatermarkMs()
+    if not state.hasTimedOut:
+        for frame in frames:
+            for event, at in zip(frame["event_id"].tolist(), frame["at"].tolist(), strict=True):
+                if str(event) not in seen:
+                    seen[str(event)], odd = at, not odd
+    seen = {event: at for event, at in seen.items() if at > mark}
+    if odd or seen:
+        state.update((json.dumps((odd, seen)),))
+        if seen:
+            state.setTimeoutTimestamp(min(seen.values()))
+    elif state.exists:
+        state.remove()
+    if odd != was:
+        yield pd.DataFrame({"user_id": [key[0]], "listing_id": [key[1]], "favorite": [odd]})
+
+
+def favorite_changes(toggles: DataFrame, late: str = "30 days") -> DataFrame:
+    """``(user_id, listing_id, favorite)`` of a stream of toggles, whenever it changes; an event that repeats counts once.
+
+    What is kept: the pairs that are favorites, and the events of the last
+    ``late``, within which one may come late or again; what comes later than that
+    is left out.  A pair that is no favorite is forgotten when its last event is.
     """
-    once = toggles.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"])
-    return once.groupBy("user_id", "listing_id").agg(F.count(F.lit(1)).alias("n"))
+    timed = toggles.where("event_id is not null").withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
+    events = timed.select("user_id", "listing_id", "event_id", "ts", F.unix_millis("ts").alias("at"))
+    kinds = ", ".join(f"{c} {toggles.schema[c].dataType.simpleString()}" for c in ("user_id", "listing_id"))
+    return events.groupBy("user_id", "listing_id").applyInPandasWithState(toggled, f"{kinds}, favorite boolean", "body string", "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def last_choices(choices: DataFrame) -> DataFrame:
@@ -33,43 +59,36 @@ def last_rates(payloads: DataFrame) -> DataFrame:
     return valid_rates(payloads).agg(F.max_by(F.struct("rate", "updated_utc"), F.struct("ts", "event_id")).alias("x"))
 
 
-def prices_at_rates(payloads: DataFrame, prices: DataFrame) -> DataFrame:
+def prices_at_rates(payloads: DataFrame, prices: DataFrame, folder: str | None = None) -> DataFrame:
     """``prices`` with ``rate``: that which holds once a stream of payloads is read, or the fallback if none was valid.
 
-    Whenever a micro-batch changes the rate, all prices are joined to it and
-    written anew; the last such table counts.
+    The stream writes a row for each version of the rate and nothing else; prices
+    are joined to the last one when they are read.  In a ``folder`` that is given
+    a later call goes on with what came since.
     """
-    spark: SparkSession = payloads.sparkSession
-    folder = f"{checkpoint_folder(spark)}/prices-{uuid.uuid4().hex}"
-
-    def write(batch: DataFrame, number: int) -> None:
-        valid = batch.select("x.rate").where("rate is not null")
-        if not valid.isEmpty():
-            prices.crossJoin(F.broadcast(valid)).write.mode("overwrite").parquet(f"{folder}/rows/batch={number}")
-
-    prices.withColumn("rate", F.lit(FALLBACK_RATE)).write.parquet(f"{folder}/rows/batch=-1")
-    query = last_rates(payloads).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
-    query.awaitTermination()
-    rows = spark.read.parquet(f"{folder}/rows")
-    last = rows.agg(F.max("batch")).first()[0]
-    return rows.where(F.col("batch") == last).drop("batch")
+    versions = run_to_end(last_rates(payloads), [], folder)
+    return prices.crossJoin(F.broadcast(versions.select(F.coalesce("x.rate", F.lit(FALLBACK_RATE)).alias("rate"))))
 
 
-def run_to_end(stream: DataFrame, keys: list[str]) -> DataFrame:
+def run_to_end(stream: DataFrame, keys: list[str], folder: str | None = None, progress: list | None = None) -> DataFrame:
     """What an updating stream has for each key once all its input is read.
 
     Every micro-batch appends its changed rows to a table in the shared folder;
     the last of each key counts.  A batch that is written again, after a failure,
-    replaces what it wrote before.
+    replaces what it wrote before.  In a ``folder`` that is given a later call
+    goes on with what came since.  ``progress`` gets what Spark says of each
+    micro-batch, if it is given.
     """
     spark: SparkSession = stream.sparkSession
-    folder = f"{checkpoint_folder(spark)}/stream-{uuid.uuid4().hex}"
+    folder = folder or f"{checkpoint_folder(spark)}/stream-{uuid.uuid4().hex}"
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/rows/batch={number}")
 
     query = stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
     query.awaitTermination()
+    if progress is not None:
+        progress += query.recentProgress
     rows = spark.read.schema(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in stream.schema)}, batch int").parquet(f"{folder}/rows")
     values = [c for c in stream.columns if c not in keys]
     if not keys:

@@ -230,10 +230,26 @@ def test_toggle_stream_equals_batch(spark, tmp_path):
         late = (row[0], 1_700_000_000 + row[1], *row[2:])  # a watermark starts in 1970
         spark.createDataFrame([late], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(str(tmp_path / "in"))
-    rows = state.run_to_end(state.toggle_counts(stream), ["user_id", "listing_id"]).where("n % 2 = 1")
+    rows = state.run_to_end(state.favorite_changes(stream), ["user_id", "listing_id"]).where("favorite")
     assert sorted((r["user_id"], r["listing_id"]) for r in rows.collect()) == [(7, 11), (7, 12), (8, 10)]
 
 
+def test_toggle_state_ends(spark, tmp_path):
+    """What is kept are favorites and the pairs of recent events, not every pair ever toggled."""
+    schema, day = "event_id long, ts long, user_id long, listing_id long", 86_400
+    start = 1_700_000_000
+    old = [(2 * k + n, start + k + n, 1, k) for k in range(40) for n in range(2)] + [(500 + k, start, 2, k) for k in range(5)]
+    recent = [(900, start + 100 * day, 3, 1), (901, start + 100 * day, 3, 2), (902, start + 100 * day + 1, 3, 2), (902, start + 100 * day + 1, 3, 2)]
+    for k, rows in enumerate((old, recent, [(950, start + 101 * day, 4, 1)])):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"in/{k}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    progress = []
+    rows = state.run_to_end(state.favorite_changes(stream, "30 days"), ["user_id", "listing_id"], progress=progress).where("favorite")
+    assert sorted((r["user_id"], r["listing_id"]) for r in rows.collect()) == [(2, k) for k in range(5)] + [(3, 1), (4, 1)]
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]]
+    assert max(kept) >= 45 and kept[-1] == 5 + 3  # favorites of user 2, and three pairs with recent events
+
+
 def test_rate_and_choice_streams(spark, tmp_path):
     ok = '{"result":"success","rates":{"MXN":%s},"time_last_update_utc":"t"}'
     schema = "event_id long, ts long, http_ok boolean, body string"
@@ -339,6 +355,17 @@ def test_prices_keep_the_fallback_without_a_valid_rate(spark, tmp_path):
         assert [(r["listing_id"], r["rate"]) for r in rows] == [(1, rate)]
 
 
+def test_a_rate_writes_no_prices_and_goes_on(spark, tmp_path):
+    schema = "event_id long, ts long, http_ok boolean, body string"
+    ok = '{"result":"success","rates":{"MXN":%s},"time_last_update_utc":"t"}'
+    prices = spark.range(1000).withColumn("price", F.lit(2.0))
+    for k, rate in enumerate((17.0, 19.0, 18.5)):
+        spark.createDataFrame([(k, 5 - 3 * (k == 2), True, ok % rate)], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        rows = state.prices_at_rates(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), prices, str(tmp_path / "rates"))
+        assert rows.select("rate").distinct().collect() == [(19.0 if k else 17.0,)] and rows.count() == 1000
+    assert spark.read.parquet(str(tmp_path / "rates/rows")).count() <= 3
+
+
 def test_order_of_a_catalogue_is_that_of_its_files(spark, tmp_path):
     (tmp_path / "lines").mkdir()
     for name, ids_of in (("a.json", (9, 2, 5)), ("b.json", (1, 8))):
