@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from casona.llm.shared import checkpointed, stored, with_row_numbers
+from casona.llm.shared import checkpointed, free_names, stored, with_row_numbers
 
 #: What the sources weigh, by rank of their name, over and over.
 WEIGHTS = (3, 1, 2)
@@ -124,11 +124,12 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     Each row is taken by itself, whatever its id.  Rows without words add no
     word and stay once.
     """
-    rows = with_row_numbers(docs, "__row")
-    entries = mix_entries(rows, id_col, text_col, source_col, "__row")
+    row, often, copy = free_names(docs, "__row", "__times", "__copy")
+    rows = with_row_numbers(docs, row)
+    entries = mix_entries(rows, id_col, text_col, source_col, row)
     times = F.when(F.first("size") == 0, 1).otherwise(F.sum(F.col("served").cast("int"))).cast("int")
-    taken = entries.groupBy(F.col("rid").alias("__row")).agg(times.alias("__times")).where("__times > 0")
-    return rows.join(taken, "__row").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
+    taken = entries.groupBy(F.col("rid").alias(row)).agg(times.alias(often)).where(F.col(often) > 0)
+    return rows.join(taken, row).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(often)))).select(*docs.columns)
 
 
 #: The same rows in SQL; the shuffled order, the finish times and the cut are those above.

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from casona.llm.shared import stored, with_row_numbers
+from casona.llm.shared import free_names, stored, with_row_numbers
 
 SEED = 42
 VIRTUAL_NODES = 512
@@ -114,9 +114,11 @@ def sharded(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", virtual_no
     names ``shard`` and ``slot`` are replaced.
     """
     columns = [c for c in docs.columns if c not in ("shard", "slot")]
-    rows = with_row_numbers(docs, "__row")
-    places = placed(rows.select(F.col(id_col).alias("__id"), "__row"), shards, "__id", virtual_nodes)
-    return rows.select(*columns, "__row").join(places.drop("__id"), "__row").select(*columns, "shard", "slot")
+    [row] = free_names(docs, "__row")
+    rows = with_row_numbers(docs, row)
+    places = placed(rows.select(F.col(id_col).alias("__id"), F.col(row).alias("__number")), shards, "__id", virtual_nodes)
+    places = places.select(F.col("__number").alias(row), "shard", "slot")
+    return rows.select(*columns, row).join(places, row).select(*columns, "shard", "slot")
 
 
 def digest(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

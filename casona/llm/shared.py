@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from casona.functions.storage import checkpoint_folder, checkpointed, stored
 
-__all__ = ["checkpoint_folder", "checkpointed", "connected_components", "stored", "table", "text_pieces", "with_row_numbers"]
+__all__ = ["checkpoint_folder", "checkpointed", "connected_components", "free_names", "stored", "table", "text_pieces", "with_row_numbers"]
 
 #: Bytes of texts that Python code takes out of an Arrow batch at once, about.
 PIECE_BYTES = 1 << 22
@@ -35,20 +35,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores at its end as it takes to be no column of ``docs``."""
+    taken, found = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+    return found
+
+
+def reads_rows_once(docs: DataFrame) -> bool:
+    """Whether the plan from the files up has projections and filters alone, so that a row of a file is there once at most."""
+    node = docs._jdf.queryExecution().analyzed()
+    while node.getClass().getSimpleName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    return node.getClass().getSimpleName() == "LogicalRelation"
+
+
 def with_row_numbers(docs: DataFrame, name: str) -> DataFrame:
     """``docs`` with a long ``name`` that tells rows apart, and is the same whenever they are read again.
 
-    Rows of Parquet files are known by file and place; only other rows are
-    written, with a number each.
+    Rows that are read from Parquet files and no more are known by file and
+    place; all others (joined, exploded, in a union, from elsewhere) are written,
+    with a number each.
     """
+    if not reads_rows_once(docs):
+        return checkpointed(docs.withColumn(name, F.monotonically_increasing_id()))
+    path, index, first = free_names(docs, "__path", "__index", "__first")
     try:
-        placed = docs.select("*", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__index"))
-        paths = docs.select(F.col("_metadata.file_path").alias("__path")).distinct()
-    except AnalysisException:  # no file behind them
+        placed = docs.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(index))
+        paths = docs.select(F.col("_metadata.file_path").alias(path)).distinct()
+    except AnalysisException:  # no rows of files, or a format without places
         return checkpointed(docs.withColumn(name, F.monotonically_increasing_id()))
-    files = sorted(r["__path"] for r in paths.collect())  # the driver lists them anyway
-    firsts = docs.sparkSession.createDataFrame([(path, k << 40) for k, path in enumerate(files)], "__path string, __first long")
-    return placed.join(F.broadcast(firsts), "__path").withColumn(name, F.col("__first") + F.col("__index")).drop("__path", "__index", "__first")
+    files = sorted(r[path] for r in paths.collect())  # the driver lists them anyway
+    firsts = docs.sparkSession.createDataFrame([(p, k << 40) for k, p in enumerate(files)], f"{path} string, {first} long")
+    return placed.join(F.broadcast(firsts), path).withColumn(name, F.col(first) + F.col(index)).drop(path, index, first)
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

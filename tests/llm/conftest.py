@@ -5,6 +5,8 @@ import pytest
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns with the names that operators use or return themselves.
 CLASHING = {"fingerprint": "f", "component_id": "c", "size": "s", "shard": "x", "slot": "y", "score": "z", "lang_pred": "p", "taken": "t", "hits": "h", "kept_id": "k", "hit_id": "i", "removed": "r", "label": "l", "id": "d", "n": "n", "count": "q", "target": "g", "rank": "a", "pass": "b", "fp": "e", "held_out": "o"}
+#: Names that stages use within.
+CLASHING |= {f"__{n}": n for n in ("row", "copy", "times", "lang", "score", "path", "index", "first", "id", "number", "at", "tie", "nth", "run", "arc", "part", "start", "sum", "before")}
 
 
 def prose(rng, n, words=("the", "of", "tion", "ering", "andst", "house", "river", "über", "été", "mañana")):

@@ -101,3 +101,21 @@ def test_large_blocks_equal_all_pairs(spark, monkeypatch):
     docs = spark.createDataFrame([(k, " ".join(t), None, None, 0) for k, t in enumerate(texts)], SCHEMA)
     assert sorted(r["doc_id"] for r in cp.near_duplicates(spark, docs, "").collect()) == sorted(set(label))
     assert len(set(label)) < 60
+
+
+def test_stages_keep_each_row_of_a_join_and_the_columns_of_the_user(spark, docs):
+    from pyspark.sql import functions as F
+
+    names = [f"__{n}" for n in ("row", "copy", "times", "lang", "score", "path", "index", "first", "number")]
+    twice = docs.withColumn("n", F.explode(F.array(F.lit(1), F.lit(2)))).withColumns({n: F.col("doc_id").cast("string") for n in names})
+    count = docs.count()
+    dealt = cp.sharded(spark, twice, "").collect()
+    assert len(dealt) == 2 * count and len({(r["shard"], r["slot"]) for r in dealt}) == 2 * count
+    assert cp.near_duplicates(spark, twice, "").count() == cp.near_duplicates(spark, docs, "").count()
+    words = lambda df: df.agg(F.sum(F.size(F.expr("regexp_extract_all(text, '[^\\\\x20\\\\x09-\\\\x0D]+', 0)")))).first()[0]
+    budget = 1.5 * words(twice)
+    mixed = cp.mixed(spark, twice, "")
+    assert 0.98 * budget <= words(mixed) <= budget
+    for stage in (cp.language(spark, twice, ""), mixed, cp.sharded(spark, twice, "").drop("shard", "slot")):
+        assert stage.columns == twice.columns
+        assert stage.where(" or ".join(f"{n} <> cast(doc_id as string)" for n in names)).count() == 0
