@@ -13,6 +13,8 @@ from casona.functions.storage import checkpoint_folder, checkpointed, stored
 
 __all__ = ["checkpoint_folder", "checkpointed", "connected_components", "free_names", "stored", "table", "text_pieces", "with_row_numbers"]
 
+#: Edges of a task when components are sought, and tasks at least: few edges in many tasks leave many small files.
+TASK_EDGES, LEAST_TASKS = 50_000, 8
 #: Bytes of texts that Python code takes out of an Arrow batch at once, about.
 PIECE_BYTES = 1 << 22
 
@@ -81,28 +83,25 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     step on the map side, so a hub with many edges costs one row for each task.
     Loops and repeated edges are allowed; nodes without an edge don't come back.
     """
-    e = (
-        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-        .where("u <> v")
-        .distinct()
-    )
-    e, seen = checkpointed(e), None
+    e, seen = checkpointed(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()), None
     while True:
         state = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen or not state[0]:
             break
-        seen = state
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        seen, tasks = state, max(LEAST_TASKS, state[0] // TASK_EDGES)
+        few = lambda df, tasks=tasks: df.coalesce(tasks)
+        written = lambda df, few=few: checkpointed(few(df))
+        # what is joined is written, so that the join deals out both sides anew and a hub with very many edges can be split over tasks
+        both = few(e).union(few(e).select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = written(few(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")).distinct())
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")))
         small = (
             large.join(low, "u")
             .select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
             .select("x.u", "x.v")
             .where("u <> v")
-            .distinct()
         )
-        e = checkpointed(small)
+        e = written(few(small).distinct())
     roots = e.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
