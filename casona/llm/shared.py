@@ -90,18 +90,17 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             break
         seen, tasks = state, max(LEAST_TASKS, state[0] // TASK_EDGES)
         few = lambda df, tasks=tasks: df.coalesce(tasks)
-        written = lambda df, few=few: checkpointed(few(df))
-        # what is joined is written, so that the join deals out both sides anew and a hub with very many edges can be split over tasks
+        # an aggregate in fewer tasks is dealt out anew for the join, as is its other side, so that a hub with very many edges can be split over tasks
         both = few(e).union(few(e).select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
-        large = written(few(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")).distinct())
-        low = written(large.groupBy("u").agg(F.min("v").alias("m")))
+        least = few(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = few(few(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")).distinct())
+        low = few(large.groupBy("u").agg(F.min("v").alias("m")))
         small = (
             large.join(low, "u")
             .select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
             .select("x.u", "x.v")
             .where("u <> v")
         )
-        e = written(few(small).distinct())
+        e = checkpointed(few(few(small).distinct()))
     roots = e.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
