@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from casona.sources.layout import write_version
+
 
 def favorites_from_toggles(toggles: DataFrame) -> DataFrame:
     """``(user_id, listing_id)`` that were toggled an odd number of times; an event that repeats counts once."""
@@ -22,8 +24,8 @@ def saved_texts(toggles: DataFrame) -> DataFrame:
 
 
 def save_favorites(toggles: DataFrame, path: str) -> None:
-    """Writes the texts of all users as a Parquet table, in place of what is there."""
-    saved_texts(toggles).write.mode("overwrite").parquet(path)
+    """Writes the texts of all users as the next version of the table in ``path``; what was there stays until it is whole."""
+    write_version(saved_texts(toggles), path)
 
 
 def load_favorites(saved: DataFrame) -> DataFrame:
@@ -52,3 +54,23 @@ def currency_changes(choices: DataFrame, bucket: str = "day") -> DataFrame:
     within = x.withColumn("near", F.lag("currency").over(W.partitionBy("user_id", "bucket").orderBy("ts", "event_id")))
     before = F.coalesce("near", "carried", F.lit("USD"))
     return within.join(carried, ["user_id", "bucket"]).where(F.col("currency") != before).select(*choices.columns)
+
+
+def favorite_bitmaps(favorites: DataFrame) -> DataFrame:
+    """``(bucket, user_id, bits)``: each user's favorites as bitmaps, one for each range of listings in which there are any."""
+    at = favorites.where("listing_id is not null").select("user_id", F.bitmap_bucket_number("listing_id").alias("bucket"), F.bitmap_bit_position("listing_id").alias("at"))
+    return at.groupBy("bucket", "user_id").agg(F.bitmap_construct_agg("at").alias("bits"))
+
+
+def favorites_found(found: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """``(user_id, n_found)`` for every user with favorites: how many of the listings found they have.
+
+    The listings found become a bitmap for each range too, and ranges meet once
+    for all users; neither side has a row for a favorite.
+    """
+    at = found.where("listing_id is not null").select(F.bitmap_bucket_number("listing_id").alias("bucket"), F.bitmap_bit_position("listing_id").alias("at"))
+    own = at.groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("found"))
+    both = bitmaps.join(own, "bucket").select("user_id", "bucket", F.explode(F.array("bits", "found")).alias("bits"))
+    common = both.groupBy("user_id", "bucket").agg(F.bitmap_count(F.bitmap_and_agg("bits")).alias("n"))
+    counts = common.groupBy("user_id").agg(F.sum("n").alias("n_found"))
+    return bitmaps.select("user_id").distinct().join(counts, "user_id", "left").select("user_id", F.coalesce("n_found", F.lit(0)).cast("long").alias("n_found"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -102,9 +103,11 @@ def nearest_by_grid(listings: DataFrame, landmarks: DataFrame, finest: float = 0
 
 
 def snapshot_diff(before: DataFrame, after: DataFrame) -> DataFrame:
-    """``(listing_id, unit_label, change, old_price, new_price)`` between two price lists; unchanged units are left out."""
+    """``(listing_id, unit_label, change, old_price, new_price)`` between two price lists; unchanged units are left out, a missing key is a key."""
     key = ["listing_id", "unit_label"]
-    a, b = before.select(*key, F.col("price").alias("old_price"), F.lit(1).alias("old")), after.select(*key, F.col("price").alias("new_price"), F.lit(1).alias("new"))
-    both = a.join(b, key, "full")
+    a = before.select(*key, F.col("price").alias("old_price"), F.lit(1).alias("old")).alias("a")
+    b = after.select(*key, F.col("price").alias("new_price"), F.lit(1).alias("new")).alias("b")
+    both = a.join(b, reduce(lambda x, y: x & y, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in key]), "full")
     change = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").when(~F.col("old_price").eqNullSafe(F.col("new_price")), "price-changed")
-    return both.withColumn("change", change).where("change is not null").select(*key, "change", "old_price", "new_price")
+    own = [F.when(F.col("old").isNull(), F.col(f"b.{c}")).otherwise(F.col(f"a.{c}")).alias(c) for c in key]
+    return both.withColumn("change", change).where("change is not null").select(*own, "change", "old_price", "new_price")

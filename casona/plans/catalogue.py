@@ -15,7 +15,7 @@ from casona.operators import preferences as prefs
 from casona.operators.requests import requests_counted
 from casona.operators.search import ListingQuery
 from casona.sources import catalogue as cat
-from casona.sources import fx
+from casona.sources import fx, layout
 from casona.streaming import changes, state
 
 USER = 42
@@ -114,6 +114,24 @@ def search_same_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found(spark, sf_dir, ListingQuery(unit_type="2BR", max_price=20000, sort="price-asc"))
 
 
+@query("search_bucketed", L, U, S, sql=found_sql(unit="type = '2BR' AND price <= 20000", order="min_price, position"))
+def search_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on tables in buckets, which meet where they lie."""
+    names = layout.write_bucketed(cat.listings(spark, sf_dir), cat.units(spark, sf_dir), f"{checkpoint_folder(spark)}/buckets-{uuid.uuid4().hex}", 16)
+    listings, units = (spark.table(n) for n in names)
+    q = ListingQuery(unit_type="2BR", max_price=20000, sort="price-asc")
+    return search.ranked(search.matched_summary(listings, units, q), q.sort).select(*SEARCH_COLUMNS)
+
+
+@query("search_clustered", L, U, sql="SELECT listing_id FROM l WHERE listing_id IN (SELECT listing_id FROM u WHERE type = '1BR' AND price >= 10000 AND price <= 12000)")
+def search_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A search of units that lie along a curve of type and price."""
+    folder = f"{checkpoint_folder(spark)}/clustered-{uuid.uuid4().hex}"
+    layout.write_clustered(cat.units(spark, sf_dir), folder)
+    q = ListingQuery(unit_type="1BR", min_price=10000, max_price=12000)
+    return search.matched(cat.listings(spark, sf_dir), spark.read.parquet(folder), q).select("listing_id")
+
+
 @query("search_text", L, U, S, sql=found_sql(listing="(contains(lower(project), 'machin') OR contains(lower(city), 'machin'))"))
 def search_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found(spark, sf_dir, ListingQuery(text="  MACHIN "))
@@ -386,7 +404,14 @@ def favorites_saved_and_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is read back from the texts that were written."""
     path = f"{checkpoint_folder(spark)}/favorites-{uuid.uuid4().hex}"
     prefs.save_favorites(cat.toggles(spark, sf_dir), path)
-    return prefs.load_favorites(spark.read.parquet(path))
+    return prefs.load_favorites(layout.read_version(spark, path))
+
+
+@query("favorites_in_search", U, FAV, sql="SELECT user_id, CAST(count(h.listing_id) AS BIGINT) AS n_found FROM fav LEFT JOIN (SELECT DISTINCT listing_id FROM u WHERE type = '2BR' AND price <= 40000) h USING (listing_id) GROUP BY user_id")
+def favorites_in_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of every user's favorites a search finds, by bitmaps."""
+    found = search.matched(cat.listings(spark, sf_dir), cat.units(spark, sf_dir), ListingQuery(unit_type="2BR", max_price=40000))
+    return prefs.favorites_found(found, prefs.favorite_bitmaps(prefs.favorites_from_toggles(cat.toggles(spark, sf_dir))))
 
 
 def event_stream(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
@@ -538,6 +563,25 @@ def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prep.snapshot_diff(units.where("unit_seq <> 3"), units.where("unit_seq <> 2").withColumn("price", dearer))
 
 
+@query(
+    "snapshot_diff_digests", U,
+    sql="""SELECT coalesce(a.listing_id, b.listing_id) AS listing_id, coalesce(a.unit_label, b.unit_label) AS unit_label,
+  CASE WHEN a.listing_id IS NULL THEN 'added' WHEN b.listing_id IS NULL THEN 'removed' ELSE 'price-changed' END AS change, a.price AS old_price, b.price AS new_price
+FROM (SELECT listing_id, listing_id || '/' || unit_seq AS unit_label, price FROM u WHERE listing_id % 1000 <> 7) a
+FULL JOIN (SELECT listing_id, listing_id || '/' || unit_seq AS unit_label, CASE WHEN listing_id % 1000 = 33 THEN price + 1 ELSE price END AS price FROM u WHERE listing_id % 1000 <> 65) b
+ON a.listing_id = b.listing_id AND a.unit_label = b.unit_label
+WHERE a.listing_id IS NULL OR b.listing_id IS NULL OR a.price IS DISTINCT FROM b.price""",
+)
+def snapshot_diff_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two months with few changes: what differs is found by digests of ranges, and only that is compared."""
+    units = cat.units(spark, sf_dir).select("listing_id", F.concat(F.col("listing_id").cast("string"), F.lit("/"), F.col("unit_seq").cast("string")).alias("unit_label"), "price")
+    key = F.col("listing_id") % 1000
+    folder = f"{checkpoint_folder(spark)}/months-{uuid.uuid4().hex}"
+    layout.write_digested(units.where(key != 7), f"{folder}/before")
+    layout.write_digested(units.where(key != 65).withColumn("price", F.when(key == 33, F.col("price") + 1).otherwise(F.col("price"))), f"{folder}/after")
+    return prep.snapshot_diff(*layout.changed_rows(spark, f"{folder}/before", f"{folder}/after"))
+
+
 def search_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A search for each nation: by its name, with bounds that follow from its key."""
     n = cat.table(spark, sf_dir, "nation")
