@@ -1,7 +1,7 @@
 """Exact top-k inner products with a vector-approximation file.
 
 The file is a stored table with a byte for each component of a vector: the cell
-in which it lies, of cells whose bounds are the same for all vectors.  Queries
+in which it lies, of 32 cells between the component's least and greatest value.  Queries
 meet the cells alone, in pairs of blocks, and each score is bounded from both
 sides; a row is dropped where enough others are certain to be better.  Exact
 vectors are then read in the order of the bounds: first those of the best k
@@ -29,11 +29,11 @@ from casona.llm.shared import stored
 #: Vectors and queries of a block, on average.
 BLOCK, QUERY_BLOCK = 65_536, 4_096
 #: Bits of a cell.
-BITS = 8
+BITS = 5
 #: Scores that are bounded at once.
 AT_ONCE = 1 << 22
-#: Scores must be below this to be exact throughout.
-LARGEST = 2**53
+#: Scores must be below this to be whole numbers of 64 bits.
+LARGEST = 2**63
 BOUNDS = "query long, query_id long, row long, id long, lower long, upper long"
 
 
@@ -57,16 +57,31 @@ class Cells:
 
     @staticmethod
     def over(least: list[float], most: list[float], bits: int = BITS) -> Cells:
-        low = np.array(least)
-        return Cells(low, (np.array(most) - low) // (1 << bits) + 1)
+        low = np.array(least, np.int64)
+        return Cells(low, (np.array(most, np.int64) - low) // (1 << bits) + 1)
 
     def of(self, exact: np.ndarray) -> np.ndarray:
-        return ((exact - self.low) // self.width).astype(np.uint8)
+        return ((exact.astype(np.int64) - self.low) // self.width).astype(np.uint8)
 
     def bounds(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of whole queries: weights of the cells, and what to add to the weighted sum for a lower and an upper bound of the score."""
-        base, room = queries @ self.low, self.width - 1
-        return queries * self.width, base + np.minimum(queries, 0) @ room, base + np.maximum(queries, 0) @ room
+        """Of whole queries: weights of the cells, and what to add to the weighted sum for a lower and an upper bound of the score.
+
+        Weights have the smallest kind of number in which all sums are exact.
+        """
+        most = max(int(x) for x in (np.abs(queries).max(initial=0), np.abs(self.low).max(initial=0), self.width.max(initial=0)))
+        if most * most * 4 * max(1, len(self.low)) >= LARGEST:  # Python's numbers, exact but slow
+            queries, low, width = queries.astype(object), self.low.astype(object), self.width.astype(object)
+        else:
+            low, width = self.low, self.width
+        base, room, weights = queries @ low, width - 1, queries * width
+        largest = 256 * int(np.abs(weights).sum(axis=1).max(initial=0))
+        kind = object if weights.dtype == object else np.float32 if largest < 1 << 24 else np.float64 if largest < 1 << 53 else np.int64
+        return weights.astype(kind), base + np.minimum(queries, 0) @ room, base + np.maximum(queries, 0) @ room
+
+
+def whole(sums: np.ndarray) -> np.ndarray:
+    """Bounds as numbers of 64 bits; one beyond them holds as well at their end."""
+    return np.clip(sums, -LARGEST, LARGEST - 1).astype(np.int64) if sums.dtype == object else sums.astype(np.int64)
 
 
 def matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -86,10 +101,10 @@ def extremes(vectors: DataFrame) -> dict[int, Cells]:
     for r in rows.orderBy("dim", "at").collect():  # a row for each component
         found.setdefault(r["dim"], []).append((r["least"], r["most"]))
     for dim, ends in found.items():
-        largest = sum(max(a * a, b * b) for a, b in ends)
+        largest = sum(max(int(a) ** 2, int(b) ** 2) for a, b in ends)
         if largest >= LARGEST:
-            raise ValueError(f"scores of vectors of {dim} components may reach {largest:.3g}; only those below 2**53 are exact")
-    return {dim: Cells.over([a for a, _ in ends], [b for _, b in ends]) for dim, ends in found.items()}
+            raise ValueError(f"scores of vectors of {dim} components may need {largest.bit_length()} bits; only those below 2**63 are whole numbers of 64 bits")
+    return {dim: Cells.over([int(a) for a, _ in ends], [int(b) for _, b in ends]) for dim, ends in found.items()}
 
 
 def approximations(vectors: DataFrame, cells: dict[int, Cells]) -> DataFrame:
@@ -133,18 +148,18 @@ def bounded(queries: DataFrame, file: DataFrame, cells: dict[int, Cells], k: int
     def run(asked: pa.Table, candidates: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, ...]] = []
         if asked.num_rows and candidates.num_rows:
-            asks, names, q = asked.column("query").to_numpy(), asked.column("query_id").to_numpy(), matrix(asked.column("v")).astype(np.float64)
+            asks, names, q = asked.column("query").to_numpy(), asked.column("query_id").to_numpy(), matrix(asked.column("v")).astype(np.int64)
             rows, ids, bytes_of = candidates.column("row").to_numpy(), candidates.column("id").to_numpy(), byte_matrix(candidates.column("cells"))
-            weights, low, high = cells[q.shape[1]].bounds(q) if q.shape[1] else (q, np.zeros(len(q)), np.zeros(len(q)))
+            weights, low, high = cells[q.shape[1]].bounds(q) if q.shape[1] else (q, np.zeros(len(q), np.int64), np.zeros(len(q), np.int64))
             step = max(1, AT_ONCE // len(rows))
-            scan = bytes_of.T.astype(np.float64)
+            scan = bytes_of.T.astype(weights.dtype)
             for at in range(0, len(q), step):
                 sums = weights[at : at + step] @ scan
-                for i, total in enumerate(sums, at):
-                    lower, upper = total + low[i], total + high[i]
+                for i, total in enumerate(sums if sums.dtype == object else sums.astype(np.int64), at):
+                    lower, upper = whole(total + low[i]), whole(total + high[i])
                     keep = survivors(lower, upper, ids, rows, k)
                     keep = keep[rows[keep] != asks[i]]
-                    out.append((np.full(len(keep), asks[i]), np.full(len(keep), names[i]), rows[keep], ids[keep], lower[keep].astype(np.int64), upper[keep].astype(np.int64)))
+                    out.append((np.full(len(keep), asks[i]), np.full(len(keep), names[i]), rows[keep], ids[keep], lower[keep], upper[keep]))
         columns = [np.concatenate([x[j] for x in out]) if out else np.zeros(0, np.int64) for j in range(6)]
         return pa.table(columns, names=["query", "query_id", "row", "id", "lower", "upper"])
 
@@ -169,13 +184,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
     candidates of their own.  Ranks start at 1, ties go to the smaller id; with
     fewer than ``k`` candidates all come back.  Vectors that are null or hold a
     null or non-finite component take no part; vectors of another length than
-    the query's are no candidates.  Where a score could reach 2**53 it is an
+    the query's are no candidates.  Where a score could reach 2**63 it is an
     error.  An empty table gives no rows.  ``counted`` gets how many exact
     vectors were read, if it is given.
     """
     rows = stored(whole_vectors(vectors, id_col, vector_col, scale, is_query))
     cells = extremes(rows)
-    rows = rows.withColumn("v", F.col("v").cast("array<int>"))
+    small = all(-(2**31) <= end < 2**31 for c in cells.values() for end in (*c.low, *(c.low + (c.width << BITS))))
+    rows = rows.withColumn("v", F.col("v").cast("array<int>" if small else "array<bigint>"))
     # the first k + 1 of equal vectors; the window's limit acts before the shuffle too
     firsts = rows.withColumn("nth", F.row_number().over(W.partitionBy("v").orderBy("id", "row"))).where(F.col("nth") <= k + 1).drop("nth", "asks")
     every = stored(firsts)

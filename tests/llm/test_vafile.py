@@ -44,21 +44,30 @@ def test_few_and_none(spark):
 
 
 @pytest.mark.parametrize("large", [1e9, 1e300])
-def test_scores_that_are_not_exact_are_refused(spark, large):
+def test_scores_beyond_64_bits_are_refused(spark, large):
     df = spark.createDataFrame([(0, [large, 1.0]), (1, [2.0, 1.0])], "vec_id long, embedding array<double>")
-    with pytest.raises(ValueError, match="2\\*\\*53"):
+    with pytest.raises(ValueError, match="2\\*\\*63"):
         vafile.top_k(df, F.col("vec_id") % 20 == 0, 20)
 
 
+@pytest.mark.parametrize("power, dim", [(10, 4), (16, 3), (21, 1), (24, 2), (25, 1)])
+def test_large_scores_are_exact(spark, power, dim):
+    rng = random.Random(power)
+    rows = [(k, [float(rng.randrange(-(2**power), 2**power + 1)) + rng.randrange(64) / 64 for _ in range(dim)]) for k in range(60)] + [(k, [2.0**power] * dim) for k in (100, 101, 120)]
+    assert got(vafile.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, 20)) == slow(rows)
+
+
+@pytest.mark.parametrize("spread", [9, 300, 2**20, 2**29])
 @pytest.mark.parametrize("bits", [2, 4, 6])
-def test_bounds_hold(bits):
+def test_bounds_hold(bits, spread):
     rng = np.random.default_rng(1)
-    exact, q = rng.integers(-300, 300, (500, 9)).astype(float), rng.integers(-300, 300, (20, 9)).astype(float)
+    exact, q = rng.integers(-spread, spread, (500, 9)), rng.integers(-spread, spread, (20, 9))
     cells = vafile.Cells.over(exact.min(axis=0), exact.max(axis=0), bits)
     assert int(cells.of(exact).max()) < 1 << bits
     weights, low, high = cells.bounds(q)
-    sums, true = weights @ cells.of(exact).T.astype(float), q @ exact.T
-    assert (sums + low[:, None] <= true).all() and (true <= sums + high[:, None]).all()
+    sums, true = (weights @ cells.of(exact).T.astype(weights.dtype)).astype(object), q.astype(object) @ exact.T.astype(object)
+    sums = np.vectorize(int, otypes=[object])(sums)
+    assert (sums + low.astype(object)[:, None] <= true).all() and (true <= sums + high.astype(object)[:, None]).all()
 
 
 def test_few_exact_vectors_are_read(spark, small):
@@ -69,10 +78,17 @@ def test_few_exact_vectors_are_read(spark, small):
     assert got(vafile.top_k(df, F.col("vec_id") % 20 == 0, 20, counted=read)) == slow(rows)
     assert 100 * 20 <= read[0] < 100 * 2000 / 10
     # with components of few different values the cells say all
-    few = spark.createDataFrame([(k, (np.clip(v, -31, 31) / 64).tolist()) for k, v in rows], "vec_id long, embedding array<double>")
+    few = spark.createDataFrame([(k, (np.clip(v, -15, 15) / 64).tolist()) for k, v in rows], "vec_id long, embedding array<double>")
     vafile.top_k(few, F.col("vec_id") % 20 == 0, 20, counted=read)
     assert read[1] == 0
 
 
 def test_query(same_as_sql):
     same_as_sql(queries.op10_exact_top_k, vafile.TOP_K_SQL)
+
+
+def test_the_query_reads_few_exact_vectors(spark, small):
+    read, table = [], spark.read.parquet(f"{small}/embeddings.parquet")
+    vafile.top_k(table, F.col("vec_id") % 20 == 0, 20, counted=read)
+    n, asked = table.count(), table.where("vec_id % 20 = 0").count()
+    assert 0 < read[0] <= n * asked / 2  # a tenth of so few rows is among the best
