@@ -16,6 +16,7 @@ is the key by which the work is dealt out.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from functools import reduce
 
@@ -272,18 +273,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 # trie would need 11 bits of four fingerprints, and its rows are too many for the
 # disk (README), so that here bands of MinHashes find the candidates.
 
-#: Words of a shingle, least similarity (Jaccard) of shingle sets, and SimHashes by which candidates are looked through.
-WORDS, SIMILAR, PRINTS = 5, 0.8, 4
+#: Words of a shingle, and least similarity (Jaccard) of shingle sets.
+WORDS, SIMILAR = 5, 0.8
 #: Bands, and MinHashes that must agree in one: all but 2 of 100,000 pairs of a similarity of 0.8 are expected to share a band.
 BANDS, DEEP = 36, 6
-#: Differing bits of all fingerprints together above which a pair isn't compared: at a similarity of 0.8, 39 are expected, with a deviation of 6.
-ALL_BITS = 72
 #: Texts of a block that are all compared with each other; in larger ones all meet so many pivots first, in so many rounds at most.
 BLOCK_TEXTS, PIVOTS, ROUNDS = 16, 8, 3
 #: Texts of a large block that meet the pivots in one task, on average.
 PART_TEXTS = 1024
-#: Multipliers that make further hashes of one.
-MIXERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
+#: Bytes of sets of shingles of small blocks that are compared in one task, on average.
+TASK_BYTES = 1 << 25
 
 
 def shingle_set(text: bytes | None, shingle: int = WORDS) -> np.ndarray:
@@ -322,26 +321,24 @@ def band_keys(hashes: np.ndarray, by: np.ndarray, plus: np.ndarray) -> np.ndarra
 
 
 def wide_prints(rows: DataFrame, key: str, text_col: str) -> DataFrame:
-    """``(row, d1, d2, s0, s1, ..., bands)``: a 128-bit digest of the words of each text; independent SimHashes and ``band_keys`` of its set of shingles."""
+    """``(row, d1, d2, bits, bands)``: a 128-bit digest of the words of each text; the SimHash and ``band_keys`` of its set of shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by, plus = band_hashers()
         for batch, texts in (x for b in batches for x in text_pieces(b, 1)):
-            digests, values, keys = [], np.zeros((batch.num_rows, PRINTS), np.uint64), []
+            digests, values, keys = [], np.zeros(batch.num_rows, np.uint64), []
             for k, text in enumerate(texts):
                 text = text or b""
                 digests.append(xxhash.xxh3_128_digest(b" ".join(text.lower().split())))
                 hashes = shingle_set(text)
                 keys.append(band_keys(hashes, by, plus))
-                for p in range(PRINTS if len(hashes) else 0):
-                    h = (hashes ^ (hashes >> np.uint64(29 + p))) * MIXERS[p]
-                    h = (h ^ (h >> np.uint64(32))) * MIXERS[p - 1]
-                    values[k, p] = np.packbits(2 * bit_counts(h ^ (h >> np.uint64(29))) > len(h), bitorder="little").view("<u8")[0]
+                if len(hashes):
+                    values[k] = np.packbits(2 * bit_counts(hashes) > len(hashes), bitorder="little").view("<u8")[0]
             halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            arrays = [batch.column(0), *[pa.array(halves[:, j].copy()) for j in (0, 1)], *[pa.array(values[:, p].copy().view(np.int64)) for p in range(PRINTS)], pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["row", "d1", "d2", *[f"s{p}" for p in range(PRINTS)], "bands"])
+            arrays = [batch.column(0), *[pa.array(halves[:, j].copy()) for j in (0, 1)], pa.array(values.view(np.int64)), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["row", "d1", "d2", "bits", "bands"])
 
-    schema = "row long, d1 long, d2 long, " + ", ".join(f"s{p} long" for p in range(PRINTS)) + ", bands array<long>"
+    schema = "row long, d1 long, d2 long, bits long, bands array<long>"
     return rows.select(F.col(key).alias("row"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, schema)
 
 
@@ -355,23 +352,32 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "node long, shingles binary")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The ``(a, b)`` of ``pairs`` whose ``sets`` of shingles are at least so similar."""
+def block_pairs(blocks: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """``(a, b)`` links between the texts ``(root, node)`` of each small block, enough to join all that are ``least`` similar.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            both = zip(batch.column(2), batch.column(3), strict=True)
-            keep = [similarity(*(np.frombuffer(x.as_buffer(), np.uint64) for x in pair)) >= least for pair in both]
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    # the common side last: a pivot's pairs are then dealt anew if they are many
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    A set of shingles is moved once, to the task of its block; blocks are dealt
+    by hash to tasks of about ``TASK_BYTES``, so that what a task holds doesn't
+    grow with the table.
+    """
+    size = sets.agg(F.sum(F.octet_length("shingles"))).first()[0] or 0
+    whole = blocks.select("root", "node").join(sets, "node").withColumn("bucket", F.pmod(F.xxhash64("root"), F.lit(1 + size // TASK_BYTES)))
 
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks().sort_by([("root", "ascending"), ("node", "ascending")])
+        root, nodes, shingles = (group.column(c) for c in ("root", "node", "shingles"))
+        edges = np.flatnonzero(np.concatenate([[True], np.diff(root.to_numpy()) != 0, [True]]))
+        out: list[tuple[int, int]] = []
+        for first, end in itertools.pairwise(edges.tolist()):
+            found = [np.frombuffer(x.as_buffer(), np.uint64) for x in shingles[first:end]]
+            of = list(range(len(found)))
+            for j, k in itertools.combinations(of.copy(), 2):
+                if of[j] != of[k] and similarity(found[j], found[k]) >= least:
+                    out.append((first + j, first + k))
+                    of = [of[j] if x == of[k] else x for x in of]
+        ends = np.array(out, np.int64).reshape(-1, 2)
+        return pa.table({c: nodes.take(pa.array(ends[:, k])) for k, c in enumerate("ab")})
 
-def bits_apart(sums: list[str], others: list[str]) -> Column:
-    return reduce(lambda x, y: x + y, [F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in zip(sums, others, strict=True)])
+    return whole.groupBy("bucket").applyInArrow(run, "a long, b long")
 
 
 def in_parts(per_root: DataFrame) -> DataFrame:
@@ -379,44 +385,40 @@ def in_parts(per_root: DataFrame) -> DataFrame:
     return per_root.withColumn("part", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / PART_TEXTS).cast("int") - 1)))
 
 
-def pivots_of(texts: DataFrame, sums: list[str]) -> DataFrame:
-    """``PIVOTS`` texts of each block ``(root, n, part, node, ...)``: half those nearest to what most of its first SimHashes have, half picked by hash.
+def pivots_of(texts: DataFrame) -> DataFrame:
+    """``PIVOTS`` texts of each block ``(root, n, part, node, bits)``: half those nearest to what most of its SimHashes have, half picked by hash.
 
     If all are copies of one text with changes of their own, it is the former.
     """
-    ones = texts.groupBy("root").agg(F.first("n").alias("n"), *[F.sum(F.expr(f"2 * (shiftrightunsigned({sums[0]}, {b}) & 1L) - 1")).alias(f"b{b}") for b in range(64)])
+    ones = texts.groupBy("root").agg(F.first("n").alias("n"), *[F.sum(F.expr(f"2 * (shiftrightunsigned(bits, {b}) & 1L) - 1")).alias(f"b{b}") for b in range(64)])
     most = ones.select("root", "n", reduce(lambda x, y: x.bitwiseOR(y), [F.when(F.col(f"b{b}") > 0, F.shiftleft(F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long")) for b in range(64)]).alias("most"))
-    off = texts.join(in_parts(checkpointed(most)).drop("n"), ["root", "part"]).withColumn("off", F.bit_count(F.col(sums[0]).bitwiseXOR(F.col("most")))).drop("most")
+    off = texts.join(in_parts(checkpointed(most)).drop("n"), ["root", "part"]).withColumn("off", F.bit_count(F.col("bits").bitwiseXOR(F.col("most")))).drop("most")
     off = checkpointed(off.withColumn("turn", F.xxhash64("node")))
     # a window's limit on the place acts before the shuffle too
     ranked = [off.withColumn("place", F.row_number().over(W.partitionBy("root").orderBy(*by))).where(F.col("place") <= PIVOTS // 2) for by in (("off", "turn"), ("turn",))]
-    return checkpointed(ranked[0].union(ranked[1]).select("root", "n", "node", *sums).dropDuplicates(["node"]))
+    return checkpointed(ranked[0].union(ranked[1]).select("root", "n", "node").dropDuplicates(["node"]))
 
 
 def similar_links(nodes: DataFrame, rows: DataFrame, key: str, text_col: str, least: float) -> DataFrame:
-    """``(a, b)`` links of the texts ``(node, s0, ..., bands)`` that are ``least`` similar, enough to join them.
+    """``(a, b)`` links of the texts ``(node, bits, bands)`` that are ``least`` similar, enough to join them.
 
     Blocks are what shared keys of bands join; a link is confirmed by the texts.
-    In a block of up to ``BLOCK_TEXTS`` every pair is a candidate.  In a larger
+    In a block of up to ``BLOCK_TEXTS`` texts all pairs are compared.  In a larger
     one all are compared with pivots, and what isn't in the largest component
     then with pivots of its own, in some rounds; what is still outside is
-    compared with all outside its own component.
+    compared with all outside its own component.  Either way a block ends in the
+    components that all its pairs would give: its size decides the work alone.
     """
     keys = nodes.select("node", F.explode("bands").alias("key"))
     # written, so that the join deals out both sides anew and a very common key can be split over tasks
     shared = checkpointed(keys.groupBy("key").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
     edges = keys.join(shared, "key").select(F.col("node").alias("a"), F.col("rep").alias("b")).where("a <> b")
-    sums = [f"s{p}" for p in range(PRINTS)]
-    left = checkpointed(connected_components(edges).join(nodes, "node").select("root", "node", *sums))
+    left = checkpointed(connected_components(edges).join(nodes, "node").select("root", "node", "bits"))
     sizes = checkpointed(left.groupBy("root").agg(F.count(F.lit(1)).alias("n")))
     # from here on only the shingles of the texts of blocks are moved
     texts = rows.select(F.col(key).alias("node"), F.col(text_col).cast("binary").alias("text")).join(left.select("node"), "node", "left_semi")
     sets = checkpointed(shingle_sets(texts))
-    other = lambda x: x.withColumnsRenamed({"node": "b", **{s: f"t{s}" for s in sums}})
-    near = bits_apart(sums, [f"t{s}" for s in sums]) <= ALL_BITS
-    confirm = lambda pairs: checkpointed(confirmed(checkpointed(pairs.select("a", "b")), sets, least))
-    small = left.join(sizes.where(F.col("n") <= BLOCK_TEXTS), "root").drop("n")
-    found = confirm(small.withColumnRenamed("node", "a").join(other(small), "root").where("a < b").where(near))
+    found = checkpointed(block_pairs(left.join(sizes.where(F.col("n") <= BLOCK_TEXTS), "root"), sets, least))
     many = sizes.where(F.col("n") > BLOCK_TEXTS)
     if many.isEmpty():
         return found
@@ -424,7 +426,7 @@ def similar_links(nodes: DataFrame, rows: DataFrame, key: str, text_col: str, le
     links, outside, before = None, large, 0
     for turn in range(ROUNDS):
         alone = lambda x: x.withColumn("component", F.col("node"))
-        new = checkpointed(block_links(alone(pivots_of(outside, sums)), alone(outside), sets, least))
+        new = checkpointed(block_links(alone(pivots_of(outside)), alone(outside), sets, least))
         links = new if links is None else links.union(new)
         components = connected_components(links).withColumnRenamed("root", "component")
         labelled = checkpointed(large.join(components, "node", "left").withColumn("component", F.coalesce("component", "node")))
@@ -483,10 +485,9 @@ def similar_rows(rows: DataFrame, key: str, text_col: str = "text", least: float
     Texts of the same words are one from the start; so are those without words.
     """
     prints = checkpointed(wide_prints(rows, key, text_col))
-    sums = [f"s{p}" for p in range(PRINTS)]
     least_row = prints.groupBy("d1", "d2").agg(F.min("row").alias("node"))
-    texts = checkpointed(least_row.join(prints.select(F.col("row").alias("node"), *sums, "bands"), "node"))
-    roots = connected_components(similar_links(texts.select("node", *sums, "bands"), rows, key, text_col, least))
+    texts = checkpointed(least_row.join(prints.select(F.col("row").alias("node"), "bits", "bands"), "node"))
+    roots = connected_components(similar_links(texts.select("node", "bits", "bands"), rows, key, text_col, least))
     rooted = texts.select("d1", "d2", "node").join(roots, "node", "left").select("d1", "d2", F.coalesce("root", "node").alias("component"))
     # written, so that the join deals out both sides anew and a very common text can be split over tasks
     return prints.select("row", "d1", "d2").join(checkpointed(rooted), ["d1", "d2"]).select("row", "component")

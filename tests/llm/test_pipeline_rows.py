@@ -3,6 +3,8 @@
 import random
 from collections import Counter
 
+import pytest
+
 import corpus_pipeline as cp
 from casona.llm import simhash
 
@@ -71,9 +73,11 @@ def test_contaminated_rows_without_an_id_go(spark, small):
     assert sorted(((r["doc_id"], r["text"]) for r in cp.decontaminated(spark, docs, small).collect()), key=repr) == sorted([(None, clean), (5, clean)], key=repr)
 
 
-def test_large_blocks_equal_all_pairs(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "BLOCK_TEXTS", 4)
+@pytest.mark.parametrize("block, size", [(4, 1 << 25), (16, 1 << 25), (10**6, 1 << 25), (60, 1 << 14)])
+def test_blocks_of_any_size_equal_all_pairs(spark, monkeypatch, block, size):
+    monkeypatch.setattr(simhash, "BLOCK_TEXTS", block)
     monkeypatch.setattr(simhash, "PART_TEXTS", 16)
+    monkeypatch.setattr(simhash, "TASK_BYTES", size)
     rng = random.Random(12)
     texts = []
     for _ in range(2):  # copies of one text that resemble it, but not each other
