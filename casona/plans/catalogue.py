@@ -703,5 +703,4 @@ def search_many_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, customer = F.lower("n_name"), F.lower("c_name")
     asked = cat.table(spark, sf_dir, "nation").select(F.explode(F.array(name, F.substring(name, 1, 2), F.substring(name, 2, 1), F.lit("%"), F.lit("_"), F.lit("#"))).alias("q"))
     asked = asked.union(cat.table(spark, sf_dir, "customer").select(F.right(customer, F.lit(7))))
-    found = texts.matched_texts(cat.listings(spark, sf_dir), text_index(spark, sf_dir), asked)
-    return found.groupBy("q").agg(F.count(F.lit(1)).alias("n_listings"))
+    return texts.texts_counted(cat.listings(spark, sf_dir), text_index(spark, sf_dir), asked)

@@ -110,3 +110,23 @@ def test_a_search_reads_few_postings(spark, tmp_path):
     assert found.count() < 100 < rows.count() / 100
     assert "PushedFilters: [IsNotNull(gram), EqualTo(gram," in found._jdf.queryExecution().executedPlan().toString()
     assert texts.matched_text(listings, str(tmp_path / "i"), "CASA NUMERO 01234").count() == 1
+
+
+def test_index_is_of_distinct_texts(spark, tmp_path):
+    """Listings that share their texts add no rows, and a place of a text has one gram."""
+    listings = spark.range(3000).select(F.col("id").alias("listing_id"), F.concat(F.lit("Casa "), (F.col("id") % 3).cast("string")).alias("project"), F.lit("Lima").alias("city"))
+    folder = str(tmp_path / "i")
+    texts.write_index(listings, folder)
+    assert texts.index_tables(spark, folder)[0].count() == 3 * len("casa 0") + len("lima")
+    asked = spark.createDataFrame([("casa",), ("a",), ("casa 1",), ("z",)], "q string")
+    assert sorted(map(tuple, texts.texts_counted(listings, folder, asked).collect())) == [("a", 3000), ("casa", 3000), ("casa 1", 1000)]
+
+
+def test_texts_longer_than_a_gram(spark, tmp_path):
+    listings = spark.createDataFrame([(1, "residencial del sol", "Lima"), (2, "residencial del mar", "Lima"), (3, None, "residencial del sol")], "listing_id long, project string, city string")
+    folder = str(tmp_path / "i")
+    texts.write_index(listings, folder)
+    asked = ["residencial", "encial del sol", "residencial del s", "dencial x del", "l sol"]
+    expected = {("residencial", 1), ("residencial", 2), ("residencial", 3), *((q, k) for q in ("encial del sol", "residencial del s", "l sol") for k in (1, 3))}
+    assert set(map(tuple, texts.matched_texts(listings, folder, spark.createDataFrame([(q,) for q in asked], "q string")).collect())) == expected
+    assert {(q, r["listing_id"]) for q in asked for r in texts.matched_text(listings, folder, q).collect()} == expected
