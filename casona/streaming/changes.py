@@ -13,19 +13,19 @@ that each change costs what it touches:
   request, so that a listing enters or leaves a count once.
 
 A key of state holds ``NEAR`` listings with ids in a row, as each key costs a call,
-and at most ``TOGETHER`` units of each, however many it has; a task sums up what it
-has of a listing before the log's rows meet at it.  State is kept by
+and at most ``TOGETHER`` units of each, however many it has; a call works on columns
+of all its rows.  A task sums up what it has of a listing before the log's rows meet
+at it.  State is kept by
 Spark's state store; for much of it choose the RocksDB provider in the session.
 """
 
 from __future__ import annotations
 
-import json
-import math
 import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -36,23 +36,32 @@ from casona.operators.requests import KEYS, TEXT, Bounds, nodes_between, nodes_o
 from casona.operators.search import ASKED, EQUAL
 
 #: Listings, by their ids, and units of each, by their numbers, that one key of state holds.
-NEAR, TOGETHER = 32, 64
+NEAR, TOGETHER = 2_048, 64
 VALUES = ("type", "bedrooms", "bathrooms", "price", "size", "available")
 KINDS = "type string, bedrooms int, bathrooms double, price double, size double, available int"
 CHANGES = f"listing_id long, unit_seq int, version long, removed boolean, {KINDS}"
 LOG = f"listing_id long, sign int, {KINDS}"
-STATE = "body string"
+STATE = "body binary"
 
 
-def bare(value):
-    """A value of a data frame as JSON has it; numbers that may be missing are texts, so that one that is none is not missing."""
-    value = value.item() if hasattr(value, "item") else value
-    return None if value is pd.NA or isinstance(value, float) and math.isnan(value) else value
+def unpacked(state: GroupState, schema: pa.Schema) -> pd.DataFrame:
+    """A state's rows."""
+    return pa.ipc.open_stream(state.get[0]).read_pandas() if state.exists else schema.empty_table().to_pandas()
 
 
-def rows_of(frames: Iterator[pd.DataFrame], columns: tuple[str, ...]) -> Iterator[tuple]:
-    for frame in frames:
-        yield from zip(*(map(bare, frame[c]) for c in columns), strict=True)
+def kept(state: GroupState, rows: pd.DataFrame, schema: pa.Schema) -> None:
+    """State that is empty goes."""
+    if len(rows):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
+            out.write_table(pa.Table.from_pandas(rows[schema.names], schema=schema, preserve_index=False))
+        state.update((sink.getvalue().to_pybytes(),))
+    elif state.exists:
+        state.remove()
+
+
+def same(a: pd.Series, b: pd.Series) -> pd.Series:
+    return (a == b).fillna(False).astype(bool) | a.isna() & b.isna()
 
 
 def exact(frame: DataFrame) -> DataFrame:
@@ -60,26 +69,28 @@ def exact(frame: DataFrame) -> DataFrame:
     return frame.select(*[F.col(c).cast("string").alias(c) if c in VALUES else F.col(c) for c in frame.columns])
 
 
+#: A unit in state: its latest version, and how it is.
+UNIT = pa.schema([("listing_id", pa.int64()), ("unit_seq", pa.int64()), ("version", pa.int64()), ("removed", pa.bool_()), *((v, pa.string()) for v in VALUES)])
+
+
 def latest(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """The log of some units: what they were with sign -1, what they are with 1."""
-    units = json.loads(state.get[0]) if state.exists else {}
-    before: dict[str, list] = {}
-    for listing, unit, version, gone, *values in rows_of(frames, ("listing_id", "unit_seq", "version", "removed", *VALUES)):
-        name = f"{listing}/{unit}"
-        held = units.get(name)
-        if held is None or version > held[0]:
-            before.setdefault(name, held)
-            units[name] = [version, None if gone else values]
-    state.update((json.dumps(units),))
-    out = []
-    for name, old in before.items():
-        now, listing = units[name][1], int(name.split("/")[0])
-        if old is not None and old[1] is not None and old[1] != now:
-            out.append((listing, -1, *old[1]))
-        if now is not None and (old is None or old[1] != now):
-            out.append((listing, 1, *now))
-    if out:
-        yield pd.DataFrame(dict(zip(("listing_id", "sign", *VALUES), zip(*out, strict=True), strict=True)))
+    unit = ["listing_id", "unit_seq"]
+    held = unpacked(state, UNIT)
+    rows = pd.concat([held, *(f[UNIT.names] for f in frames)], ignore_index=True)
+    rows["new"] = rows.index >= len(held)
+    # of equal versions the one that came first holds
+    rows = rows.sort_values("version", ascending=False, kind="stable").drop_duplicates(unit)
+    kept(state, rows, UNIT)
+    both = rows[rows["new"]].merge(held, "left", unit, suffixes=("", "_was"))
+    is_now, was = ~both["removed"].astype(bool), both["version_was"].notna() & ~both["removed_was"].fillna(False).astype(bool)
+    equal = is_now & was
+    for v in VALUES:
+        equal &= same(both[v], both[f"{v}_was"])
+    old = both[was & ~equal][["listing_id", *(f"{v}_was" for v in VALUES)]].set_axis(["listing_id", *VALUES], axis=1)
+    log = pd.concat([old.assign(sign=-1), both[is_now & ~equal][["listing_id", *VALUES]].assign(sign=1)])
+    if len(log):
+        yield log[["listing_id", "sign", *VALUES]]
 
 
 def near(rows: DataFrame) -> DataFrame:
@@ -104,7 +115,7 @@ def written_log(changes: DataFrame) -> str:
     return folder
 
 
-def log_stream(spark: SparkSession, folder: str, files: int = 64) -> DataFrame:
+def log_stream(spark: SparkSession, folder: str, files: int = 256) -> DataFrame:
     return spark.readStream.schema(LOG).option("maxFilesPerTrigger", files).parquet(f"{folder}/rows")
 
 
@@ -126,11 +137,6 @@ def followed(stream: DataFrame, write: Callable[[DataFrame], DataFrame]) -> Data
 # Roll-ups
 
 
-def in_order(value: float | None) -> tuple:
-    """Numbers before what is no number, as Spark has them."""
-    return (math.isnan(value), value) if value is not None else ()
-
-
 def summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Deltas that are equal but for their signs as one, within what a task has at once."""
     for frame in frames:
@@ -141,64 +147,43 @@ def summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 ROLLUP = "listing_id long, min_price double, max_price double, min_bedrooms int, max_bedrooms int, min_size double, available long, units long, tabs string"
 MEASURES = ("price", "bedrooms", "size")
+#: How often a listing has a unit of such values.  Values are texts: what is no number is equal to itself.
+KIND = pa.schema([("listing_id", pa.int64()), *((v, pa.string()) for v in ("type", *MEASURES, "available")), ("sign", pa.int64())])
 
 
-class Rollup:
-    """How often each value of each measure occurs among a listing's units, and units and sums by type."""
-
-    def __init__(self, held: dict | None = None) -> None:
-        held = held or {**{m: [] for m in MEASURES}, "types": []}
-        # values by their texts: what is no number is equal to itself
-        self.counts = {m: dict(held[m]) for m in MEASURES}
-        self.types = {t: [n, total] for t, n, total in held["types"]}
-
-    def add(self, sign: int, kind: str | None, values: tuple, available: str | None) -> None:
-        for measure, text in zip(MEASURES, values, strict=True):
-            own = self.counts[measure]
-            own[text] = own.get(text, 0) + sign
-            if not own[text]:
-                del own[text]
-        own = self.types.setdefault(kind, [0, 0])
-        own[0] += sign
-        own[1] += sign * int(available or 0)
-
-    def held(self) -> dict:
-        """What is left after all deltas of a batch, which may take back before they add."""
-        self.types = {t: x for t, x in self.types.items() if x[0]}
-        return {**{m: list(own.items()) for m, own in self.counts.items()}, "types": [(t, *x) for t, x in self.types.items()]}
-
-    def row(self) -> tuple:
-        ends = {}
-        for measure, own in self.counts.items():
-            values = sorted((float(v) for v in own if v is not None), key=in_order)
-            ends[measure] = (values[0], values[-1]) if values else (None, None)
-        whole = lambda x: None if x is None else int(x)
-        tabs = ",".join(f"{t}:{x[1]}" for t, x in sorted((t, x) for t, x in self.types.items() if t is not None))
-        return (*ends["price"], *map(whole, ends["bedrooms"]), ends["size"][0], sum(x[1] for x in self.types.values()), sum(x[0] for x in self.types.values()), tabs)
+def ends(rows: pd.DataFrame, measure: str) -> tuple[pd.Series, pd.Series]:
+    """The least and the greatest value of each listing as texts; what is no number is greater than all numbers, as Spark has it."""
+    own = rows[rows[measure].notna()]
+    number = own[measure].astype(float)
+    grouped = number.groupby(own["listing_id"])
+    none = number.isna().groupby(own["listing_id"]).any()
+    low, high = (x.map(repr).astype(object).where(x.notna(), "NaN") for x in (grouped.min(), grouped.max()))
+    return low, high.where(~none, "NaN")
 
 
 def rolled(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """The roll-ups of listings after some deltas of theirs."""
-    held = json.loads(state.get[0]) if state.exists else {}
-    touched: dict[str, Rollup] = {}
-    for listing, sign, kind, bedrooms, price, size, available in rows_of(frames, ("listing_id", "sign", "type", "bedrooms", "price", "size", "available")):
-        name = str(listing)
-        if name not in touched:
-            touched[name] = Rollup(held.get(name))
-        touched[name].add(sign, kind, (price, bedrooms, size), available)
-    held |= {name: rollup.held() for name, rollup in touched.items()}
-    kept(state, {name: x for name, x in held.items() if x["types"]})
+    new = pd.concat([f[KIND.names] for f in frames], ignore_index=True)
+    kinds = [c for c in KIND.names if c != "sign"]
+    rows = pd.concat([unpacked(state, KIND), new], ignore_index=True).groupby(kinds, dropna=False, sort=False, as_index=False)["sign"].sum()
+    rows = rows[rows["sign"] != 0]
+    kept(state, rows, KIND)
+    touched = pd.Index(new["listing_id"].unique())
+    rows = rows[rows["listing_id"].isin(touched)]
+    rows = rows.assign(total=rows["sign"] * rows["available"].fillna("0").astype("int64"))
+    out = pd.DataFrame(index=touched)
+    for measure in MEASURES:
+        low, high = ends(rows, measure)
+        out[f"min_{measure}"], out[f"max_{measure}"] = low, high
+    sums = rows.groupby("listing_id")[["sign", "total"]].sum().reindex(touched, fill_value=0)
+    out["units"], out["available"] = sums["sign"].astype(str), sums["total"].astype(str)
+    by_type = rows.groupby(["listing_id", "type"])["total"].sum().reset_index()  # in order, without units of no type
+    out["tabs"] = (by_type["type"].astype(object) + ":" + by_type["total"].astype(str)).groupby(by_type["listing_id"]).agg(",".join)
+    out["tabs"] = out["tabs"].fillna("")
+    columns = [c.split(" ")[0] for c in ROLLUP.split(", ")]
+    out = out.rename_axis("listing_id").reset_index()[columns].astype(object)
     # as texts, so that a missing number stays apart from one that is none
-    rows = [(int(name), *[None if v is None else str(v) for v in rollup.row()]) for name, rollup in touched.items()]
-    yield pd.DataFrame(rows, columns=[c.split(" ")[0] for c in ROLLUP.split(", ")])
-
-
-def kept(state: GroupState, held: dict) -> None:
-    """State that is empty goes."""
-    if held:
-        state.update((json.dumps(held),))
-    elif state.exists:
-        state.remove()
+    yield out.where(out.notna(), None).astype({"listing_id": "int64"})
 
 
 def rollups(log: DataFrame) -> DataFrame:
@@ -209,14 +194,17 @@ def rollups(log: DataFrame) -> DataFrame:
     rows = followed(stream, lambda batch: batch)
     kinds = dict(c.split(" ") for c in ROLLUP.split(", "))
     last = rows.groupBy("listing_id").agg(F.max_by(F.struct(*[c for c in kinds if c != "listing_id"]), "batch").alias("x")).select("listing_id", "x.*")
-    return last.select(*[F.col(c).cast(kind).alias(c) for c, kind in kinds.items()]).where("units > 0")
+    whole = lambda c, kind: F.col(c).cast("double").cast(kind) if kind == "int" else F.col(c).cast(kind)
+    return last.select(*[whole(c, kind).alias(c) for c, kind in kinds.items()]).where("units > 0")
 
 
 # Standing requests
 
 
-#: What the log's rows of a listing are matched to: a request, or none for the listing's available units.
-MATCHES = "listing_id long, key string, sign long"
+#: What the log's rows of a listing are matched to: a request's number, or ``AVAILABLE``.
+MATCHES = "listing_id long, kind long, sign long"
+#: The same in state; ``AVAILABLE`` stands for the listing's available units.
+MATCH, AVAILABLE = pa.schema([(c, pa.int64()) for c in ("listing_id", "kind", "sign")]), -1
 
 
 def request_offers(listings: DataFrame, kinds: DataFrame) -> DataFrame:
@@ -233,29 +221,27 @@ def request_offers(listings: DataFrame, kinds: DataFrame) -> DataFrame:
     return offers
 
 
+def fitting(rows: pd.DataFrame) -> pd.DataFrame:
+    """``(listing_id, kind, n, units)``: the requests that some of a listing's units fit, once, with its available units."""
+    totals = rows[rows["kind"] == AVAILABLE].set_index("listing_id")["sign"]
+    fits = rows[rows["kind"] != AVAILABLE]
+    return pd.DataFrame({"listing_id": fits["listing_id"], "kind": fits["kind"], "n": 1, "units": fits["listing_id"].map(totals).fillna(0).astype("int64")})
+
+
 def counted(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """By how much the counts of requests change with some listings.  State: the available units of each, and how many of its units fit each request."""
-    held = json.loads(state.get[0]) if state.exists else {}
-    before: dict[str, tuple] = {}
-    for listing, name, sign in rows_of(frames, ("listing_id", "key", "sign")):
-        own = held.setdefault(str(listing), [0, {}])
-        before.setdefault(str(listing), (own[0], set(own[1])))
-        if name is None:
-            own[0] += sign
-        elif not (n := own[1].get(name, 0) + sign):
-            own[1].pop(name, None)
-        else:
-            own[1][name] = n
-    out: dict[str, list[int]] = {}
-    for listing, (total, was) in before.items():
-        now, fits = held[listing]
-        for names, n, units in ((fits.keys() - was, 1, now), (was - fits.keys(), -1, -total), (was & fits.keys(), 0, now - total)):
-            for name in names if n or units else ():
-                own = out.setdefault(name, [0, 0])
-                own[0], own[1] = own[0] + n, own[1] + units
-    kept(state, {listing: x for listing, x in held.items() if x[0] or x[1]})
-    if out:
-        yield pd.DataFrame([(name, *x) for name, x in out.items()], columns=["key", "n_listings", "n_units"])
+    held = unpacked(state, MATCH)
+    new = pd.concat([f[MATCH.names] for f in frames], ignore_index=True)
+    rows = pd.concat([held, new], ignore_index=True).groupby(["listing_id", "kind"], sort=False, as_index=False)["sign"].sum()
+    rows = rows[rows["sign"] != 0]
+    kept(state, rows, MATCH)
+    touched = new["listing_id"].unique()
+    now, was = (fitting(x[x["listing_id"].isin(touched)]) for x in (rows, held))
+    was[["n", "units"]] *= -1
+    change = pd.concat([now, was]).groupby("kind", as_index=False)[["n", "units"]].sum()
+    change = change[(change["n"] != 0) | (change["units"] != 0)]
+    if len(change):
+        yield change.set_axis(["kind", "n_listings", "n_units"], axis=1)
 
 
 def standing_counts(log: DataFrame, requests: DataFrame, listings: DataFrame) -> DataFrame:
@@ -266,9 +252,9 @@ def standing_counts(log: DataFrame, requests: DataFrame, listings: DataFrame) ->
     those that it may concern and no others.
     """
     asked = normal_requests(requests)
-    kinds = stored(ways(asked.groupBy("key").agg(*[F.first(c).alias(c) for c in ASKED])))
+    kinds = stored(ways(asked.groupBy("key").agg(*[F.first(c).alias(c) for c in ASKED])).withColumn("kind", F.monotonically_increasing_id()))
     bounds = Bounds(kinds)
-    nodes = bounds.ranges(kinds).select("key", "way", *KEYS, "min_bathrooms", F.inline(nodes_between(F.col("low"), F.col("high"), bounds.levels)))
+    nodes = bounds.ranges(kinds).select("kind", "way", *KEYS, "min_bathrooms", F.inline(nodes_between(F.col("low"), F.col("high"), bounds.levels)))
     nodes = stored(nodes)
     present = sorted(r["way"] for r in nodes.select("way").distinct().collect())  # sixteen at most
     offers = request_offers(listings, kinds)
@@ -277,11 +263,11 @@ def standing_counts(log: DataFrame, requests: DataFrame, listings: DataFrame) ->
     stock = stock.where((F.col("way") >= TEXT) == (F.col("kq") != ""))
     keyed = stock.select("listing_id", "sign", "bathrooms", "way", "kq", *[met(n, c).alias(k) for n, (c, k) in enumerate(zip(EQUAL.values(), KEYS, strict=False))], F.inline(nodes_of(F.col("at"), bounds.levels)))
     fits = F.col("min_bathrooms").isNull() | (F.col("bathrooms") >= F.col("min_bathrooms"))
-    hits = keyed.join(nodes, ["way", *KEYS, "level", "node"]).where(fits).select("listing_id", "key", F.col("sign").cast("long").alias("sign"))
-    totals = log.select("listing_id", F.lit(None).cast("string").alias("key"), (F.col("sign") * F.coalesce("available", F.lit(0))).cast("long").alias("sign"))
+    hits = keyed.join(nodes, ["way", *KEYS, "level", "node"]).where(fits).select("listing_id", "kind", F.col("sign").cast("long").alias("sign"))
+    totals = log.select("listing_id", F.lit(AVAILABLE).cast("long").alias("kind"), (F.col("sign") * F.coalesce("available", F.lit(0))).cast("long").alias("sign"))
     deltas = hits.union(totals).mapInPandas(summed, MATCHES)
-    stream = near(deltas).groupBy("near").applyInPandasWithState(counted, "key string, n_listings long, n_units long", STATE, "update", GroupStateTimeout.NoTimeout)
-    rows = followed(stream, lambda batch: batch.groupBy("key").agg(F.sum("n_listings").alias("n_listings"), F.sum("n_units").alias("n_units")))
-    counts = rows.groupBy("key").agg(F.sum("n_listings").alias("n_listings"), F.sum("n_units").alias("n_units"))
+    stream = near(deltas).groupBy("near").applyInPandasWithState(counted, "kind long, n_listings long, n_units long", STATE, "update", GroupStateTimeout.NoTimeout)
+    rows = followed(stream, lambda batch: batch.groupBy("kind").agg(F.sum("n_listings").alias("n_listings"), F.sum("n_units").alias("n_units")))
+    counts = rows.groupBy("kind").agg(F.sum("n_listings").alias("n_listings"), F.sum("n_units").alias("n_units")).join(kinds.select("kind", "key"), "kind").drop("kind")
     result = asked.select("request_id", "key").join(counts, "key", "left")
     return result.select("request_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_listings", "n_units")])

@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,3 +83,27 @@ def test_nodes_hold_each_place_once(spark, low, high):
     assert sorted(places) == list(range(low, high + 1)) and len(nodes) <= 120
     [up] = spark.range(1).select(rq.nodes_up_to(F.lit(high).cast("long"), 4)).first()
     assert sorted(p for n in up for p in range(n["node"] << 4 * n["level"], n["node"] + 1 << 4 * n["level"])) == list(range(high + 1))
+
+
+class Held:
+    """A state as Spark hands it to a function."""
+
+    exists, get = False, None
+
+    def update(self, value):
+        self.exists, self.get = True, value
+
+    def remove(self):
+        self.exists, self.get = False, None
+
+
+def test_counts_of_a_key_of_many_listings_in_few_calls(spark):
+    """Neighbours share a call, which works on columns; a count goes down as a listing's last unit goes."""
+    assert ch.near(spark.range(4096).withColumnRenamed("id", "listing_id")).select("near").distinct().count() == 2
+    state, frame = Held(), lambda *rows: iter([pd.DataFrame(rows, columns=ch.MATCH.names)])
+    first = [x.values.tolist() for x in ch.counted((0,), frame((1, 7, 2), (1, ch.AVAILABLE, 5), (2, 7, 1), (2, ch.AVAILABLE, 3), (2, 8, 1)), state)]
+    assert first == [[[7, 2, 8], [8, 1, 3]]]
+    second = [x.values.tolist() for x in ch.counted((0,), frame((2, 7, -1), (1, 7, -1), (1, ch.AVAILABLE, 1)), state)]
+    assert second == [[[7, -1, -2]]]
+    list(ch.counted((0,), frame((1, 7, -1), (1, ch.AVAILABLE, -6), (2, 8, -1), (2, ch.AVAILABLE, -3)), state))
+    assert not state.exists
