@@ -56,21 +56,27 @@ def currency_changes(choices: DataFrame, bucket: str = "day") -> DataFrame:
     return within.join(carried, ["user_id", "bucket"]).where(F.col("currency") != before).select(*choices.columns)
 
 
+#: Listings with ids in a row whose bits one number holds.
+BITS = 64
+
+
+def bits_of(rows: DataFrame, *keys: str) -> DataFrame:
+    """``(bucket, *keys, bits)``: the listings of each of ``keys`` as bitmaps, one for each range of ``BITS`` in which there are any."""
+    at = rows.where("listing_id is not null").select(*keys, F.expr(f"shiftright(cast(listing_id as long), {BITS.bit_length() - 1})").alias("bucket"), F.expr(f"shiftleft(1L, cast(pmod(cast(listing_id as long), {BITS}) as int))").alias("bit"))
+    return at.groupBy("bucket", *keys).agg(F.bit_or("bit").alias("bits"))
+
+
 def favorite_bitmaps(favorites: DataFrame) -> DataFrame:
-    """``(bucket, user_id, bits)``: each user's favorites as bitmaps, one for each range of listings in which there are any."""
-    at = favorites.where("listing_id is not null").select("user_id", F.bitmap_bucket_number("listing_id").alias("bucket"), F.bitmap_bit_position("listing_id").alias("at"))
-    return at.groupBy("bucket", "user_id").agg(F.bitmap_construct_agg("at").alias("bits"))
+    """``(bucket, user_id, bits)``: each user's favorites as bitmaps, no more than there are favorites."""
+    return bits_of(favorites, "user_id")
 
 
 def favorites_found(found: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """``(user_id, n_found)`` for every user with favorites: how many of the listings found they have.
 
-    The listings found become a bitmap for each range too, and ranges meet once
-    for all users; neither side has a row for a favorite.
+    The listings found become a bitmap for each range too, and a user's meet
+    these in one join; what is held of a user and a range is one number.
     """
-    at = found.where("listing_id is not null").select(F.bitmap_bucket_number("listing_id").alias("bucket"), F.bitmap_bit_position("listing_id").alias("at"))
-    own = at.groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("found"))
-    both = bitmaps.join(own, "bucket").select("user_id", "bucket", F.explode(F.array("bits", "found")).alias("bits"))
-    common = both.groupBy("user_id", "bucket").agg(F.bitmap_count(F.bitmap_and_agg("bits")).alias("n"))
-    counts = common.groupBy("user_id").agg(F.sum("n").alias("n_found"))
-    return bitmaps.select("user_id").distinct().join(counts, "user_id", "left").select("user_id", F.coalesce("n_found", F.lit(0)).cast("long").alias("n_found"))
+    own = bits_of(found).withColumnRenamed("bits", "found")
+    common = F.coalesce(F.bit_count(F.col("bits").bitwiseAND(F.col("found"))), F.lit(0))
+    return bitmaps.join(own, "bucket", "left").groupBy("user_id").agg(F.sum(common).cast("long").alias("n_found"))

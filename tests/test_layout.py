@@ -122,3 +122,12 @@ def test_bitmaps_equal_the_join(spark):
         if listing is not None:
             users[user] = users.get(user, 0) + (listing in own)
     assert dict(key(prefs.favorites_found(found, prefs.favorite_bitmaps(favorites)))) == users
+
+
+def test_a_users_bits_of_a_range_are_one_number(spark):
+    """Users whose favorites lie in one range take a number each, not a bitmap of 4 KB."""
+    favorites = spark.createDataFrame([(1, 0), (1, 63), (1, 64), (2, -1), (2, 5_000_000_000), (3, None)], "user_id long, listing_id long")
+    bitmaps = prefs.favorite_bitmaps(favorites)
+    assert dict(bitmaps.dtypes)["bits"] == "bigint" and bitmaps.count() == 4
+    found = spark.createDataFrame([(63,), (64,), (64,), (-1,), (5_000_000_001,)], "listing_id long")
+    assert sorted(map(tuple, prefs.favorites_found(found, bitmaps).collect())) == [(1, 2), (2, 1)]
