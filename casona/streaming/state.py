@@ -16,24 +16,35 @@ from casona.functions.storage import checkpoint_folder
 from casona.sources.fx import valid_rates
 
 
+#: Keys of state to which pairs of a user and a listing are dealt, as each key costs a call.
+BUCKETS = 65_536
+
+
 def toggled(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Whether a pair is a favorite, when that changes.  State: whether it is, and the events that may come again, with their times."""
-    odd, seen = json.loads(state.get[0]) if state.exists else (False, {})
-    was, mark = odd, state.getCurrentWatermarkMs()
+    """Whether pairs are favorites, when that changes.  State: for each pair whether it is, and the events that may come again, with their times."""
+    pairs = {(user, listing): (odd, seen) for user, listing, odd, seen in json.loads(state.get[0])} if state.exists else {}
+    before: dict[tuple, bool] = {}
+    mark, text = state.getCurrentWatermarkMs(), lambda x: x if isinstance(x, str) else None  # a missing text may be none or not a number
     if not state.hasTimedOut:
         for frame in frames:
-            for event, at in zip(frame["event_id"].tolist(), frame["at"].tolist(), strict=True):
-                if str(event) not in seen:
-                    seen[str(event)], odd = at, not odd
-    seen = {event: at for event, at in seen.items() if at > mark}
-    if odd or seen:
-        state.update((json.dumps((odd, seen)),))
-        if seen:
-            state.setTimeoutTimestamp(min(seen.values()))
+            for user, listing, event, at in zip(*(frame[c].tolist() for c in ("user_id", "listing_id", "event_id", "at")), strict=True):
+                pair = text(user), text(listing)
+                odd, seen = pairs.get(pair, (False, {}))
+                before.setdefault(pair, odd)
+                if event not in seen:
+                    seen[event], odd = at, not odd
+                pairs[pair] = odd, seen
+    held = [(*pair, odd, {event: at for event, at in seen.items() if at > mark}) for pair, (odd, seen) in pairs.items()]
+    held = [x for x in held if x[2] or x[3]]
+    if held:
+        state.update((json.dumps(held),))
+        if any(x[3] for x in held):
+            state.setTimeoutTimestamp(min(at for x in held for at in x[3].values()))
     elif state.exists:
         state.remove()
-    if odd != was:
-        yield pd.DataFrame({"user_id": [key[0]], "listing_id": [key[1]], "favorite": [odd]})
+    changed = [(*pair, pairs[pair][0]) for pair, odd in before.items() if pairs[pair][0] != odd]
+    if changed:
+        yield pd.DataFrame(changed, columns=["user_id", "listing_id", "favorite"])
 
 
 def favorite_changes(toggles: DataFrame, late: str = "30 days") -> DataFrame:
@@ -44,9 +55,11 @@ def favorite_changes(toggles: DataFrame, late: str = "30 days") -> DataFrame:
     is left out.  A pair that is no favorite is forgotten when its last event is.
     """
     timed = toggles.where("event_id is not null").withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
-    events = timed.select("user_id", "listing_id", "event_id", "ts", F.unix_millis("ts").alias("at"))
-    kinds = ", ".join(f"{c} {toggles.schema[c].dataType.simpleString()}" for c in ("user_id", "listing_id"))
-    return events.groupBy("user_id", "listing_id").applyInPandasWithState(toggled, f"{kinds}, favorite boolean", "body string", "update", GroupStateTimeout.EventTimeTimeout)
+    # as texts, so that a missing or large number stays what it is
+    events = timed.select(*[F.col(c).cast("string").alias(c) for c in ("user_id", "listing_id", "event_id")], "ts", F.unix_millis("ts").alias("at"))
+    dealt = events.withColumn("bucket", F.pmod(F.xxhash64("user_id", "listing_id"), F.lit(BUCKETS)))
+    rows = dealt.groupBy("bucket").applyInPandasWithState(toggled, "user_id string, listing_id string, favorite boolean", "body string", "update", GroupStateTimeout.EventTimeTimeout)
+    return rows.select(*[F.col(c).cast(toggles.schema[c].dataType).alias(c) for c in ("user_id", "listing_id")], "favorite")
 
 
 def last_choices(choices: DataFrame) -> DataFrame:

@@ -250,6 +250,20 @@ def test_toggle_state_ends(spark, tmp_path):
     assert max(kept) >= 45 and kept[-1] == 5 + 3  # favorites of user 2, and three pairs with recent events
 
 
+def test_pairs_share_keys_of_state(spark, tmp_path, monkeypatch):
+    """Many pairs in one call, missing users apart from others, large ids as they are."""
+    monkeypatch.setattr(state, "BUCKETS", 2)
+    schema, start, large = "event_id long, ts long, user_id long, listing_id long", 1_700_000_000, 2**60 + 1
+    rows = [(k, start + k, large + k % 50, 7) for k in range(150)] + [(500, start, None, 7), (501, start, 3, None), (501, start, 3, None)]
+    for k in range(3):
+        spark.createDataFrame(rows[k::3], schema).coalesce(1).write.parquet(str(tmp_path / f"in/{k}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    progress = []
+    found = state.run_to_end(state.favorite_changes(stream), ["user_id", "listing_id"], progress=progress).where("favorite")
+    assert set(map(tuple, found.select("user_id", "listing_id").collect())) == {(large + k, 7) for k in range(50)} | {(None, 7), (3, None)}
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]) <= 2
+
+
 def test_rate_and_choice_streams(spark, tmp_path):
     ok = '{"result":"success","rates":{"MXN":%s},"time_last_update_utc":"t"}'
     schema = "event_id long, ts long, http_ok boolean, body string"
