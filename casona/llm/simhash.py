@@ -399,10 +399,19 @@ def pivots_of(texts: DataFrame) -> DataFrame:
     return checkpointed(ranked[0].union(ranked[1]).select("root", "n", "node").dropDuplicates(["node"]))
 
 
+def trie_edges(nodes: DataFrame, max_bits: int = 4) -> DataFrame:
+    """``(a, b)`` links of the texts ``(node, bits)``: of those with the same SimHash, and of SimHashes within ``max_bits`` bits by the trie."""
+    prints = checkpointed(nodes.groupBy(F.col("bits").alias("fp")).agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("n")))
+    equal = nodes.join(prints.where("n > 1").select(F.col("fp").alias("bits"), F.col("node").alias("b")), "bits").select(F.col("node").alias("a"), "b").where("a <> b")
+    return equal.union(near_links(prints.select("fp", "node"), max_bits))
+
+
 def similar_links(nodes: DataFrame, rows: DataFrame, key: str, text_col: str, least: float) -> DataFrame:
     """``(a, b)`` links of the texts ``(node, bits, bands)`` that are ``least`` similar, enough to join them.
 
-    Blocks are what shared keys of bands join; a link is confirmed by the texts.
+    Blocks are what the trie's links of SimHashes join (``near_links``), and what
+    shared keys of bands, for texts whose SimHashes lie farther apart; a link is
+    confirmed by the texts.
     In a block of up to ``BLOCK_TEXTS`` texts all pairs are compared.  In a larger
     one all are compared with pivots, and what isn't in the largest component
     then with pivots of its own, in some rounds; what is still outside is
@@ -412,7 +421,7 @@ def similar_links(nodes: DataFrame, rows: DataFrame, key: str, text_col: str, le
     keys = nodes.select("node", F.explode("bands").alias("key"))
     # written, so that the join deals out both sides anew and a very common key can be split over tasks
     shared = checkpointed(keys.groupBy("key").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
-    edges = keys.join(shared, "key").select(F.col("node").alias("a"), F.col("rep").alias("b")).where("a <> b")
+    edges = keys.join(shared, "key").select(F.col("node").alias("a"), F.col("rep").alias("b")).where("a <> b").union(trie_edges(nodes))
     left = checkpointed(connected_components(edges).join(nodes, "node").select("root", "node", "bits"))
     sizes = checkpointed(left.groupBy("root").agg(F.count(F.lit(1)).alias("n")))
     # from here on only the shingles of the texts of blocks are moved

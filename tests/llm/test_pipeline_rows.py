@@ -123,3 +123,14 @@ def test_stages_keep_each_row_of_a_join_and_the_columns_of_the_user(spark, docs)
     for stage in (cp.language(spark, twice, ""), mixed, cp.sharded(spark, twice, "").drop("shard", "slot")):
         assert stage.columns == twice.columns
         assert stage.where(" or ".join(f"{n} <> cast(doc_id as string)" for n in names)).count() == 0
+
+
+def test_trie_links_are_candidates(spark, monkeypatch):
+    """Texts whose SimHashes are within four bits meet by the trie, also where no band is shared; what is farther is not its link."""
+    nodes = spark.createDataFrame([(1, 0b0, [1]), (2, 0b1111, [2]), (3, 0b11111111111, [3]), (4, 0b0, [4]), (5, -1, [5])], "node long, bits long, bands array<long>")
+    found = {frozenset((r["a"], r["b"])) for r in simhash.trie_edges(nodes).collect()}
+    assert found == {frozenset((1, 2)), frozenset((1, 4))}
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = spark.createDataFrame([(1, text), (2, f"{text} more"), (3, "another text of a few words that is like none")], "node long, text string")
+    apart = spark.createDataFrame([(1, 0b0, [1]), (2, 0b11, [2]), (3, 0b111, [3])], "node long, bits long, bands array<long>")
+    assert [{r["a"], r["b"]} for r in simhash.similar_links(apart, rows, "node", "text", 0.8).collect()] == [{1, 2}]
