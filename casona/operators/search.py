@@ -152,11 +152,11 @@ def requests_matched(requests: DataFrame, listings: DataFrame, units: DataFrame,
     asked = requests.select("request_id", folded_text.alias("q"), *[text(c).alias(c) for c in ASKED[1:4]], *ASKED[4:])
     asked = stored(asked.withColumn("key", F.md5(F.to_json(F.struct(*ASKED)).cast("binary"))))
     way = reduce(lambda x, y: x + y, [F.when(F.col(c).isNotNull(), 1 << k).otherwise(0) for k, c in enumerate(EQUAL)])
-    kinds = stored(asked.groupBy("key").agg(*[F.first(c).alias(c) for c in ASKED]).withColumn("way", way))
+    kinds = stored(asked.groupBy("key").agg(*[F.first(c).alias(c) for c in ASKED]).withColumns({"way": way, "kind": F.monotonically_increasing_id()}))
     few = kinds.count() <= limit
     ways = [r["way"] for r in kinds.select("way").distinct().collect()]  # eight at most
-    total = F.sum("available").over(W.partitionBy("listing_id"))
-    stock = units.select("listing_id", "type", "bathrooms", "price", total.alias("total")).join(listings.select("listing_id", F.lower("project").alias("project"), "city", F.lower("city").alias("city_folded"), "property_type"), "listing_id")
+    totals = units.groupBy("listing_id").agg(F.sum("available").alias("total"))
+    stock = units.select("listing_id", "type", "bathrooms", "price").join(listings.select("listing_id", F.lower("project").alias("project"), "city", F.lower("city").alias("city_folded"), "property_type"), "listing_id")
     stock = stock.withColumn("way", F.explode(F.array(*[F.lit(w) for w in ways]) if ways else F.expr("cast(array() as array<int>)")))
     # what isn't asked for is the same empty text on both sides
     met = lambda column, k: F.when(F.col("way").bitwiseAND(1 << k) > 0, F.col(column)).otherwise("")
@@ -177,8 +177,10 @@ def requests_matched(requests: DataFrame, listings: DataFrame, units: DataFrame,
             bound("max_price", F.col("u.price") <= F.col("r.max_price")),
         ]
     )
-    hits = stock.join(sought, fits).groupBy("r.key", "u.listing_id").agg(F.first("u.total").alias("total"))
-    counts = hits.groupBy("key").agg(F.count(F.lit(1)).alias("n_listings"), F.sum("total").cast("long").alias("n_units"))
+    # what is kept of a hit is two numbers; totals come to the listings that have any
+    hits = stock.join(sought, fits).select("r.kind", "u.listing_id").distinct().join(totals, "listing_id")
+    counts = hits.groupBy("kind").agg(F.count(F.lit(1)).alias("n_listings"), F.sum("total").cast("long").alias("n_units"))
+    counts = counts.join(kinds.select("kind", "key"), "kind").drop("kind")
     counts = stored(counts)
     every_one = asked.select("request_id", "key").join(F.broadcast(counts) if few else counts, "key", "left")
     return every_one.select("request_id", F.coalesce("n_listings", F.lit(0)).alias("n_listings"), F.coalesce("n_units", F.lit(0)).alias("n_units"))

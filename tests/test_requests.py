@@ -130,3 +130,12 @@ def test_texts_longer_than_a_gram(spark, tmp_path):
     expected = {("residencial", 1), ("residencial", 2), ("residencial", 3), *((q, k) for q in ("encial del sol", "residencial del s", "l sol") for k in (1, 3))}
     assert set(map(tuple, texts.matched_texts(listings, folder, spark.createDataFrame([(q,) for q in asked], "q string")).collect())) == expected
     assert {(q, r["listing_id"]) for q in asked for r in texts.matched_text(listings, folder, q).collect()} == expected
+
+
+def test_hits_of_requests_are_numbers_and_totals_need_no_window(spark, tables):
+    """What a task holds of a hit is a request's number and a listing; no window sorts all units for their totals."""
+    plans, stored = [], search.stored
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(search, "stored", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or stored(df))
+        search.requests_matched(spark.createDataFrame(list(random_requests(random.Random(3), 20)), ASKED), *tables)
+    assert not any("Window" in p for p in plans) and "Aggregate [kind" in plans[-1]
