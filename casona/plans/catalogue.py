@@ -442,10 +442,11 @@ def favorites_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_of_changes(spark: SparkSession, sf_dir: str) -> str:
-    """The log of a stream of changes of units, which land in files in no order, two at a time."""
+    """The log of a stream of changes of units, which land in files in no order, a third of them at a time."""
     folder = f"{checkpoint_folder(spark)}/landed-{uuid.uuid4().hex}"
-    cat.unit_changes(spark, sf_dir).repartition(6, F.xxhash64("listing_id", "unit_seq", "version")).write.parquet(folder)
-    log = changes.written_log(spark.readStream.schema(changes.CHANGES).option("maxFilesPerTrigger", 2).parquet(folder))
+    third = max(2, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // 3))
+    cat.unit_changes(spark, sf_dir).repartition(3 * third, F.xxhash64("listing_id", "unit_seq", "version")).write.parquet(folder)
+    log = changes.written_log(spark.readStream.schema(changes.CHANGES).option("maxFilesPerTrigger", third).parquet(folder))
     removed(spark, folder)
     return log
 

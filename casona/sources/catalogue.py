@@ -122,7 +122,7 @@ def unit_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     gone = F.struct(F.lit(3).alias("version"), F.lit(True).alias("removed"), F.col("price"), F.col("available"))
     back = F.struct(F.lit(4).alias("version"), F.lit(False).alias("removed"), (F.col("price") + 7).alias("price"), F.col("available"))
     each = F.array(as_is, F.when(F.col("listing_id") % 7 == 0, as_is), F.when(key & ~second, dearer), F.when(second, gone), F.when(second & (F.col("listing_id") % 5 == 0), back))
-    rows = units(spark, sf_dir).select("listing_id", "unit_seq", "type", "bedrooms", "bathrooms", "size", F.explode(F.filter(each, lambda c: c.isNotNull())).alias("c"))
+    rows = units(spark, sf_dir).select("listing_id", "unit_seq", "type", "bedrooms", "bathrooms", "size", F.explode(each).alias("c")).where("c is not null")
     return rows.select("listing_id", "unit_seq", F.col("c.version").cast("long").alias("version"), "c.removed", "type", "bedrooms", "bathrooms", "c.price", "size", "c.available")
 
 

@@ -23,12 +23,16 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import DoubleType, StringType
 
 from casona.functions.storage import checkpoint_folder, removed, stored
 from casona.operators import texts
@@ -44,53 +48,91 @@ LOG = f"listing_id long, sign int, {KINDS}"
 STATE = "body binary"
 
 
-def unpacked(state: GroupState, schema: pa.Schema) -> pd.DataFrame:
+def table_of(frames: Iterator[pd.DataFrame], schema: pa.Schema) -> pa.Table:
+    """Rows as Spark hands them over; numbers in them are never missing, so that one that is none stays what it is."""
+    column = lambda f, c: pa.array(f[c.name].to_numpy(), c.type, from_pandas=pa.types.is_string(c.type))
+    return pa.concat_tables([schema.empty_table(), *(pa.table([column(f, c) for c in schema], schema=schema) for f in frames)])
+
+
+def unpacked(state: GroupState, schema: pa.Schema) -> pa.Table:
     """A state's rows."""
-    return pa.ipc.open_stream(state.get[0]).read_pandas() if state.exists else schema.empty_table().to_pandas()
+    return pa.ipc.open_stream(state.get[0]).read_all() if state.exists else schema.empty_table()
 
 
-def kept(state: GroupState, rows: pd.DataFrame, schema: pa.Schema) -> None:
+def kept(state: GroupState, rows: pa.Table) -> None:
     """State that is empty goes."""
     if len(rows):
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
-            out.write_table(pa.Table.from_pandas(rows[schema.names], schema=schema, preserve_index=False))
+        with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
+            out.write_table(rows.combine_chunks())
         state.update((sink.getvalue().to_pybytes(),))
     elif state.exists:
         state.remove()
 
 
-def same(a: pd.Series, b: pd.Series) -> pd.Series:
-    return (a == b).fillna(False).astype(bool) | a.isna() & b.isna()
+def summed_up(rows: pa.Table) -> pa.Table:
+    """Rows that are equal but for their signs as one, without those that come to nothing."""
+    kinds = [c for c in rows.column_names if c != "sign"]
+    total = rows.group_by(kinds, use_threads=False).aggregate([("sign", "sum")])
+    total = pa.table({c: total["sign_sum" if c == "sign" else c] for c in rows.column_names})
+    return total.filter(pc.not_equal(total["sign"], 0))
+
 
+def masked(frame: DataFrame, values: tuple[str, ...]) -> DataFrame:
+    """``frame`` with zeros for missing numbers, and a bit for each value that is missing: pandas has one mark for a missing number and for none."""
+    bits = [F.when(F.col(v).isNull(), 1 << n).otherwise(0) for n, v in enumerate(values)]
+    kinds = {f.name: f.dataType for f in frame.schema}
+    # one that is no number is always the same
+    number = lambda v: F.nanvl(v, F.lit(float("nan"))) if kinds[v] == DoubleType() else F.col(v)
+    filled = {v: F.coalesce(number(v), F.lit(0).cast(kinds[v])) for v in values if kinds[v] != StringType()}
+    return frame.withColumns({**filled, "missing": reduce(lambda x, y: x + y, bits)})
 
-def exact(frame: DataFrame) -> DataFrame:
-    """Numbers that may be missing as texts: pandas has one mark for a missing number and for none."""
-    return frame.select(*[F.col(c).cast("string").alias(c) if c in VALUES else F.col(c) for c in frame.columns])
 
+def unmasked(frame: DataFrame, values: tuple[str, ...]) -> DataFrame:
+    """``masked`` taken back; a number that is none comes from pandas as a missing one."""
+    kinds = {f.name: f.dataType for f in frame.schema}
+    value = lambda v: F.coalesce(F.col(v), F.lit(float("nan"))) if kinds[v] == DoubleType() else F.col(v)
+    return frame.withColumns({v: F.when(F.col("missing").bitwiseAND(1 << n) == 0, value(v)) for n, v in enumerate(values)}).drop("missing")
 
+
+#: Values as functions of state have them.
+HELD = {"type": pa.string(), "bedrooms": pa.int32(), "bathrooms": pa.float64(), "price": pa.float64(), "size": pa.float64(), "available": pa.int32()}
 #: A unit in state: its latest version, and how it is.
-UNIT = pa.schema([("listing_id", pa.int64()), ("unit_seq", pa.int64()), ("version", pa.int64()), ("removed", pa.bool_()), *((v, pa.string()) for v in VALUES)])
+UNIT = pa.schema([("listing_id", pa.int64()), ("unit_seq", pa.int64()), ("version", pa.int64()), ("removed", pa.bool_()), ("missing", pa.int32()), *HELD.items()])
+
+
+def bits(column: pa.ChunkedArray) -> np.ndarray:
+    """Numbers that are equal where a column's values are."""
+    if pa.types.is_string(column.type):
+        return column.combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy()
+    values = column.to_numpy()
+    return values.view("int64") if values.dtype == "float64" else values
 
 
 def latest(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """The log of some units: what they were with sign -1, what they are with 1."""
-    unit = ["listing_id", "unit_seq"]
     held = unpacked(state, UNIT)
-    rows = pd.concat([held, *(f[UNIT.names] for f in frames)], ignore_index=True)
-    rows["new"] = rows.index >= len(held)
+    rows = pa.concat_tables([held, table_of(frames, UNIT)]).combine_chunks()
+    at = np.arange(len(rows))
+    listing, unit, version = (rows[c].to_numpy() for c in ("listing_id", "unit_seq", "version"))
     # of equal versions the one that came first holds
-    rows = rows.sort_values("version", ascending=False, kind="stable").drop_duplicates(unit)
-    kept(state, rows, UNIT)
-    both = rows[rows["new"]].merge(held, "left", unit, suffixes=("", "_was"))
-    is_now, was = ~both["removed"].astype(bool), both["version_was"].notna() & ~both["removed_was"].fillna(False).astype(bool)
-    equal = is_now & was
-    for v in VALUES:
-        equal &= same(both[v], both[f"{v}_was"])
-    old = both[was & ~equal][["listing_id", *(f"{v}_was" for v in VALUES)]].set_axis(["listing_id", *VALUES], axis=1)
-    log = pd.concat([old.assign(sign=-1), both[is_now & ~equal][["listing_id", *VALUES]].assign(sign=1)])
-    if len(log):
-        yield log[["listing_id", "sign", *VALUES]]
+    order = np.lexsort((-at, version, unit, listing))
+    starts = np.flatnonzero(np.r_[True, (np.diff(listing[order]) != 0) | (np.diff(unit[order]) != 0)])
+    now, first = order[np.r_[starts[1:], len(rows)] - 1], np.minimum.reduceat(order, starts)
+    kept(state, rows.take(now))
+    newer = now >= len(held)
+    now, first = now[newer], first[newer]  # first is how a unit was, if it is held
+    gone = rows["removed"].to_numpy()
+    was, is_now = (first < len(held)) & ~gone[first], ~gone[now]
+    equal = was & is_now
+    for v in ("missing", *VALUES):
+        own = bits(rows[v])
+        equal &= own[now] == own[first]
+    back, added = first[was & ~equal], now[is_now & ~equal]
+    if len(back) or len(added):
+        log = rows.select(["listing_id", "missing", *VALUES]).take(np.r_[back, added]).to_pandas()
+        log["sign"] = np.repeat(np.array([-1, 1], "int32"), [len(back), len(added)])
+        yield log
 
 
 def near(rows: DataFrame) -> DataFrame:
@@ -100,11 +142,9 @@ def near(rows: DataFrame) -> DataFrame:
 def change_log(changes: DataFrame) -> DataFrame:
     """The stream of deltas ``LOG`` of a stream of ``CHANGES``; a change without an id of a listing or a unit, or a version, is left out."""
     whole = changes.where("listing_id is not null and unit_seq is not null and version is not null").withColumn("removed", F.coalesce("removed", F.lit(False)))
-    keyed = exact(near(whole.withColumn("part", F.floor(F.col("unit_seq") / TOGETHER))))
-    texts_of = f"listing_id long, sign int, {', '.join(f'{v} string' for v in VALUES)}"
-    log = keyed.groupBy("near", "part").applyInPandasWithState(latest, texts_of, STATE, "append", GroupStateTimeout.NoTimeout)
-    kinds = dict(x.strip().split(" ") for x in KINDS.split(","))
-    return log.select("listing_id", "sign", *[F.col(v).cast(kinds[v]).alias(v) for v in VALUES])
+    keyed = near(masked(whole, VALUES).withColumn("part", F.floor(F.col("unit_seq") / TOGETHER)))
+    log = keyed.groupBy("near", "part").applyInPandasWithState(latest, f"listing_id long, missing int, {KINDS}, sign int", STATE, "append", GroupStateTimeout.NoTimeout)
+    return unmasked(log, VALUES).select("listing_id", "sign", *VALUES)
 
 
 def written_log(changes: DataFrame) -> str:
@@ -137,65 +177,67 @@ def followed(stream: DataFrame, write: Callable[[DataFrame], DataFrame]) -> Data
 # Roll-ups
 
 
-def summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Deltas that are equal but for their signs as one, within what a task has at once."""
-    for frame in frames:
-        if len(frame):
-            grouped = frame.groupby([c for c in frame.columns if c != "sign"], dropna=False, sort=False, as_index=False)["sign"].sum()
-            yield grouped[grouped["sign"] != 0][list(frame.columns)]
+    for batch in batches:
+        if len(batch):
+            yield from summed_up(pa.Table.from_batches([batch])).to_batches()
 
 
 ROLLUP = "listing_id long, min_price double, max_price double, min_bedrooms int, max_bedrooms int, min_size double, available long, units long, tabs string"
 MEASURES = ("price", "bedrooms", "size")
-#: How often a listing has a unit of such values.  Values are texts: what is no number is equal to itself.
-KIND = pa.schema([("listing_id", pa.int64()), *((v, pa.string()) for v in ("type", *MEASURES, "available")), ("sign", pa.int64())])
+ENDS = tuple(f"{end}_{measure}" for measure in MEASURES for end in ("min", "max"))
+#: How often a listing has a unit of such values; ``missing`` tells which of them it lacks.
+OWN = ("type", *MEASURES, "available")
+KIND = pa.schema([("listing_id", pa.int64()), ("missing", pa.int32()), *((v, HELD[v]) for v in OWN), ("sign", pa.int64())])
 
 
-def ends(rows: pd.DataFrame, measure: str) -> tuple[pd.Series, pd.Series]:
-    """The least and the greatest value of each listing as texts; what is no number is greater than all numbers, as Spark has it."""
-    own = rows[rows[measure].notna()]
-    number = own[measure].astype(float)
-    grouped = number.groupby(own["listing_id"])
-    none = number.isna().groupby(own["listing_id"]).any()
-    low, high = (x.map(repr).astype(object).where(x.notna(), "NaN") for x in (grouped.min(), grouped.max()))
-    return low, high.where(~none, "NaN")
+def ends(values: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The least and the greatest of the values at each of ``n`` places, and where there is none; what is no number is greater than all numbers, as Spark has it."""
+    none = np.isnan(values)
+    low, high = np.full(n, np.inf), np.full(n, -np.inf)
+    np.minimum.at(low, at[~none], values[~none])
+    np.maximum.at(high, at[~none], values[~none])
+    numbers, others = np.bincount(at[~none], minlength=n), np.bincount(at[none], minlength=n)
+    return np.where(numbers > 0, low, np.nan), np.where(others > 0, np.nan, high), numbers + others == 0
 
 
 def rolled(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """The roll-ups of listings after some deltas of theirs."""
-    new = pd.concat([f[KIND.names] for f in frames], ignore_index=True)
-    kinds = [c for c in KIND.names if c != "sign"]
-    rows = pd.concat([unpacked(state, KIND), new], ignore_index=True).groupby(kinds, dropna=False, sort=False, as_index=False)["sign"].sum()
-    rows = rows[rows["sign"] != 0]
-    kept(state, rows, KIND)
-    touched = pd.Index(new["listing_id"].unique())
-    rows = rows[rows["listing_id"].isin(touched)]
-    rows = rows.assign(total=rows["sign"] * rows["available"].fillna("0").astype("int64"))
-    out = pd.DataFrame(index=touched)
-    for measure in MEASURES:
-        low, high = ends(rows, measure)
+    new = table_of(frames, KIND)
+    rows = summed_up(pa.concat_tables([unpacked(state, KIND), new]))
+    kept(state, rows)
+    touched = np.unique(new["listing_id"].to_numpy())
+    rows = rows.filter(pa.array(np.isin(rows["listing_id"].to_numpy(), touched))).combine_chunks()
+    at, n = np.searchsorted(touched, rows["listing_id"].to_numpy()), len(touched)
+    lacking, sign = rows["missing"].to_numpy(), rows["sign"].to_numpy()
+    out, missing = {"listing_id": touched}, np.zeros(n, "int32")
+    for k, measure in enumerate(MEASURES):
+        there = lacking & (1 << OWN.index(measure)) == 0
+        low, high, neither = ends(rows[measure].to_numpy()[there].astype("float64"), at[there], n)
         out[f"min_{measure}"], out[f"max_{measure}"] = low, high
-    sums = rows.groupby("listing_id")[["sign", "total"]].sum().reindex(touched, fill_value=0)
-    out["units"], out["available"] = sums["sign"].astype(str), sums["total"].astype(str)
-    by_type = rows.groupby(["listing_id", "type"])["total"].sum().reset_index()  # in order, without units of no type
-    out["tabs"] = (by_type["type"].astype(object) + ":" + by_type["total"].astype(str)).groupby(by_type["listing_id"]).agg(",".join)
-    out["tabs"] = out["tabs"].fillna("")
-    columns = [c.split(" ")[0] for c in ROLLUP.split(", ")]
-    out = out.rename_axis("listing_id").reset_index()[columns].astype(object)
-    # as texts, so that a missing number stays apart from one that is none
-    yield out.where(out.notna(), None).astype({"listing_id": "int64"})
+        missing += np.where(neither, 3 << 2 * k, 0).astype("int32")
+    total = sign * rows["available"].to_numpy()
+    for name, values in (("units", sign), ("available", total)):
+        out[name] = np.zeros(n, "int64")
+        np.add.at(out[name], at, values)
+    typed = pa.table({"at": at, "type": rows["type"], "total": total}).filter(rows["type"].is_valid())
+    typed = typed.group_by(["at", "type"], use_threads=False).aggregate([("total", "sum")]).sort_by([("at", "ascending"), ("type", "ascending")])
+    each = pc.binary_join_element_wise(typed["type"].cast(pa.string()), typed["total_sum"].cast(pa.string()), ":").combine_chunks()
+    cuts = np.searchsorted(typed["at"].to_numpy(), np.arange(n + 1)).astype("int32")
+    out["tabs"] = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts), each), ",").to_pandas()
+    yield pd.DataFrame({**out, "missing": missing})
 
 
 def rollups(log: DataFrame) -> DataFrame:
     """The roll-up of each listing that has units, ``ROLLUP``, once a stream of deltas is read; ``tabs`` are the available units by type."""
-    texts_of = ", ".join(f"{c.split(' ')[0]} {'long' if c.startswith('listing_id') else 'string'}" for c in ROLLUP.split(", "))
-    ready = exact(log.drop("bathrooms")).mapInPandas(summed, f"listing_id long, sign int, {', '.join(f'{v} string' for v in VALUES if v != 'bathrooms')}")
-    stream = near(ready).groupBy("near").applyInPandasWithState(rolled, texts_of, STATE, "update", GroupStateTimeout.NoTimeout)
-    rows = followed(stream, lambda batch: batch)
-    kinds = dict(c.split(" ") for c in ROLLUP.split(", "))
-    last = rows.groupBy("listing_id").agg(F.max_by(F.struct(*[c for c in kinds if c != "listing_id"]), "batch").alias("x")).select("listing_id", "x.*")
-    whole = lambda c, kind: F.col(c).cast("double").cast(kind) if kind == "int" else F.col(c).cast(kind)
-    return last.select(*[whole(c, kind).alias(c) for c, kind in kinds.items()]).where("units > 0")
+    kinds, own = (dict(x.strip().split(" ") for x in text.split(",")) for text in (ROLLUP, KINDS))
+    ready = log.select("listing_id", "sign", *OWN).mapInArrow(summed, f"listing_id long, sign long, {', '.join(f'{v} {own[v]}' for v in OWN)}")
+    rolled_up = f"listing_id long, missing int, {', '.join(f'{c} double' for c in ENDS)}, available long, units long, tabs string"
+    stream = near(masked(ready, OWN)).groupBy("near").applyInPandasWithState(rolled, rolled_up, STATE, "update", GroupStateTimeout.NoTimeout)
+    rows = unmasked(followed(stream, lambda batch: batch), ENDS)
+    last = rows.groupBy("listing_id").agg(F.max_by(F.struct(*[F.col(c).cast(kind).alias(c) for c, kind in kinds.items() if c != "listing_id"]), "batch").alias("x"))
+    return last.select("listing_id", "x.*").where("units > 0")
 
 
 # Standing requests
@@ -230,12 +272,11 @@ def fitting(rows: pd.DataFrame) -> pd.DataFrame:
 
 def counted(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """By how much the counts of requests change with some listings.  State: the available units of each, and how many of its units fit each request."""
-    held = unpacked(state, MATCH)
-    new = pd.concat([f[MATCH.names] for f in frames], ignore_index=True)
-    rows = pd.concat([held, new], ignore_index=True).groupby(["listing_id", "kind"], sort=False, as_index=False)["sign"].sum()
-    rows = rows[rows["sign"] != 0]
-    kept(state, rows, MATCH)
-    touched = new["listing_id"].unique()
+    held, new = unpacked(state, MATCH), table_of(frames, MATCH)
+    rows = summed_up(pa.concat_tables([held, new]))
+    kept(state, rows)
+    held, rows = held.to_pandas(), rows.to_pandas()
+    touched = np.unique(new["listing_id"].to_numpy())
     now, was = (fitting(x[x["listing_id"].isin(touched)]) for x in (rows, held))
     was[["n", "units"]] *= -1
     change = pd.concat([now, was]).groupby("kind", as_index=False)[["n", "units"]].sum()
@@ -265,7 +306,7 @@ def standing_counts(log: DataFrame, requests: DataFrame, listings: DataFrame) ->
     fits = F.col("min_bathrooms").isNull() | (F.col("bathrooms") >= F.col("min_bathrooms"))
     hits = keyed.join(nodes, ["way", *KEYS, "level", "node"]).where(fits).select("listing_id", "kind", F.col("sign").cast("long").alias("sign"))
     totals = log.select("listing_id", F.lit(AVAILABLE).cast("long").alias("kind"), (F.col("sign") * F.coalesce("available", F.lit(0))).cast("long").alias("sign"))
-    deltas = hits.union(totals).mapInPandas(summed, MATCHES)
+    deltas = hits.union(totals).mapInArrow(summed, MATCHES)
     stream = near(deltas).groupBy("near").applyInPandasWithState(counted, "kind long, n_listings long, n_units long", STATE, "update", GroupStateTimeout.NoTimeout)
     rows = followed(stream, lambda batch: batch.groupBy("kind").agg(F.sum("n_listings").alias("n_listings"), F.sum("n_units").alias("n_units")))
     counts = rows.groupBy("kind").agg(F.sum("n_listings").alias("n_listings"), F.sum("n_units").alias("n_units")).join(kinds.select("kind", "key"), "kind").drop("kind")

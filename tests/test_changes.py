@@ -107,3 +107,22 @@ def test_counts_of_a_key_of_many_listings_in_few_calls(spark):
     assert second == [[[7, -1, -2]]]
     list(ch.counted((0,), frame((1, 7, -1), (1, ch.AVAILABLE, -6), (2, 8, -1), (2, ch.AVAILABLE, -3)), state))
     assert not state.exists
+
+
+def test_functions_of_state_get_numbers(spark):
+    """Numbers go to functions of state as they are, beside a mask; what is missing and what is none stay apart, and the first of equal versions holds."""
+    nan = float("nan")
+    rows = spark.createDataFrame([(1, "1BR", 0, nan, None, 7.5, None), (2, None, None, None, nan, -0.0, 3), (3, "2BR", 4, 1.5, 2.5, None, 0)], f"listing_id long, {ch.KINDS}")
+    masked = ch.masked(rows, ch.VALUES)
+    assert dict(masked.dtypes) == {**dict(rows.dtypes), "missing": "int"} and masked.where("price is null or size is null or available is null").isEmpty()
+    assert key(ch.unmasked(masked, ch.VALUES)) == key(rows)
+    state, values = Held(), ["missing", *ch.VALUES]
+    frame = lambda *rows: iter([pd.DataFrame(rows, columns=ch.UNIT.names).astype({"type": object})])
+    unit = lambda version, removed, price, missing=0: (1, 1, version, removed, missing, "2BR", 2, 1.5, price, 9.0, 1)
+    [log] = ch.latest((0,), frame(unit(2, False, nan), unit(2, False, 5.0), unit(1, False, 6.0)), state)
+    assert log["sign"].tolist() == [1] and log["price"].isna().all()
+    assert list(ch.latest((0,), frame(unit(3, False, nan), unit(1, True, 1.0)), state)) == []
+    [log] = ch.latest((0,), frame(unit(4, False, 0.0, 8)), state)
+    assert log["sign"].tolist() == [-1, 1] and log[values].iloc[1].tolist() == [8, "2BR", 2, 1.5, 0.0, 9.0, 1]
+    [log] = ch.latest((0,), frame(unit(5, True, 0.0)), state)
+    assert log["sign"].tolist() == [-1] and log["missing"].tolist() == [8]
