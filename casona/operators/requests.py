@@ -30,8 +30,8 @@ from casona.functions.storage import checkpoint_folder, stored
 from casona.operators import texts
 from casona.operators.search import ASKED, EQUAL
 
-#: Bits of a digit of the radix tree; bounds of a block; steps of a search in a sorted array.
-DIGIT, BLOCK, STEPS = 4, 1_024, 22
+#: Bits of a digit of the radix tree; bounds of a block; slots up to which they are broadcast.
+DIGIT, BLOCK, FEW = 4, 1_024, 10_000
 #: Bits of a way to ask: one for each column that must be equal, and one for the text.
 TEXT = 1 << len(EQUAL)
 KEYS = [*(f"k{n}" for n in range(len(EQUAL))), "kq"]
@@ -45,10 +45,16 @@ def normal_requests(requests: DataFrame) -> DataFrame:
     return stored(asked.withColumn("key", F.md5(F.to_json(F.struct(*ASKED)).cast("binary"))))
 
 
-def below(values: Column, x: Column) -> Column:
-    """How many of a sorted array's numbers are less than ``x``."""
-    step = lambda at, k: F.when((at + k <= F.size(values)) & (F.get(values, at + k - 1) < x), at + k).otherwise(at)
-    return F.aggregate(F.array(*[F.lit(1 << k) for k in reversed(range(STEPS))]), F.lit(0), step)
+def below(rows: DataFrame, name: str, values: str, x: str, most: int) -> DataFrame:
+    """``rows`` with ``name``: how many numbers of the sorted array ``values``, of ``most`` or fewer, are less than ``x``.
+
+    A projection for each step of the search: these are compiled, functions of arrays are not.
+    """
+    rows = rows.withColumn(name, F.lit(0))
+    for step in (1 << k for k in reversed(range(most.bit_length()))):
+        at = F.col(name)
+        rows = rows.withColumn(name, F.when(F.get(F.col(values), at + (step - 1)) < F.col(x), at + step).otherwise(at))
+    return rows
 
 
 class Bounds:
@@ -64,20 +70,20 @@ class Bounds:
         self.count = self.values.count()
         self.last = 2 * self.count + 1
         block = F.floor((F.col("nth") - 1) / BLOCK)
-        self.blocks = stored(self.values.groupBy(block.alias("block")).agg(F.sort_array(F.collect_list("value")).alias("values")))
+        self.blocks = stored(self.values.groupBy(block.alias("__block")).agg(F.sort_array(F.collect_list("value")).alias("__values")))
         # one row: the first number of each block
-        self.tops = self.blocks.agg(F.sort_array(F.collect_list(F.get("values", F.lit(0)))).alias("tops"))
+        self.tops = self.blocks.agg(F.sort_array(F.collect_list(F.get("__values", F.lit(0)))).alias("__tops"))
 
     def placed(self, units: DataFrame, price: str = "price", name: str = "at") -> DataFrame:
         """``units`` with the place of their price."""
-        x = F.col(price).cast("double")
-        before = units.crossJoin(F.broadcast(self.tops)).withColumn("top", below(F.col("tops"), x))
-        joined = before.join(self.blocks, F.col("block") == F.col("top") - 1, "left")
-        within = F.coalesce(F.when(F.col("top") > 0, below(F.col("values"), x)), F.lit(0))
-        less = F.greatest(F.col("top") - 1, F.lit(0)).cast("long") * BLOCK + within
-        same = F.coalesce(F.get("tops", F.col("top")) == x, F.lit(False)) | F.coalesce(F.get("values", within) == x, F.lit(False))
+        x, top, within = F.col("__x"), F.col("__top"), F.col("__within")
+        before = units.withColumn("__x", F.col(price).cast("double")).crossJoin(F.broadcast(self.tops))
+        before = below(before, "__top", "__tops", "__x", -(-self.count // BLOCK))
+        joined = below(before.join(self.blocks, F.col("__block") == top - 1, "left"), "__within", "__values", "__x", min(BLOCK, self.count))
+        less = F.greatest(top - 1, F.lit(0)).cast("long") * BLOCK + within
+        same = F.coalesce(F.get("__tops", top) == x, F.lit(False)) | F.coalesce(F.get("__values", within) == x, F.lit(False))
         at = F.when(x.isNull(), F.lit(self.last)).otherwise(2 * less + same.cast("int"))
-        return joined.withColumn(name, at.cast("long")).drop("tops", "top", "block", "values")
+        return joined.withColumn(name, at.cast("long")).drop("__x", "__tops", "__top", "__within", "__block", "__values")
 
     def ranges(self, kinds: DataFrame) -> DataFrame:
         """``kinds`` with the first and last place that each asks for; a unit without a price fits only those without a bound."""
@@ -161,23 +167,28 @@ def requests_counted(requests: DataFrame, listings: DataFrame, units: DataFrame)
     columns = ["listing_id", "bathrooms", "at", "total"]
     fits = F.col("least").isNull() | (F.col("bathrooms") >= F.col("least"))
 
-    def in_slots(rows: DataFrame, some: list[int], text: Column) -> DataFrame:
-        """Units of each way to ask meet the slots that are equal to them."""
+    worded = [w for w in present if w >= TEXT]
+    if worded:
+        folder = f"{checkpoint_folder(units.sparkSession)}/grams-{uuid.uuid4().hex}"
+        texts.write_index(listings, folder)
+        found = texts.matched_texts(listings, folder, kinds.select("q").where("q is not null"))
+        # each of them is a part of the listing's texts
+        stock = stock.join(found.groupBy("listing_id").agg(F.collect_list("q").alias("texts")), "listing_id", "left")
+
+    def in_slots(some: list[int], slots: DataFrame) -> DataFrame:
+        """Units meet, in one pass for all ways to ask, the slots that are equal to them."""
         met = lambda n, c: F.when(F.col("way").bitwiseAND(1 << n) > 0, F.col(c)).otherwise("")
-        each = rows.withColumn("way", F.explode(F.array(*[F.lit(w) for w in some])))
+        each = stock.withColumn("way", F.explode(F.array(*[F.lit(w) for w in some])))
+        text = F.explode(F.when(F.col("way") >= TEXT, F.col("texts")).otherwise(F.array(F.lit("")))) if worded else F.lit("")
         keyed = each.select(*columns, "way", *[met(n, c).alias(k) for n, (c, k) in enumerate(zip(EQUAL.values(), KEYS, strict=False))], text.alias("kq"))
         return keyed.join(slots, ["way", *KEYS]).where(fits).select("slot", *columns)
 
-    parts = []
-    if 0 in present:  # nothing must be equal: a slot for each number of bathrooms, of which there are as many as units have
-        parts.append(stock.crossJoin(F.broadcast(slots.where("way = 0").select("slot", "least"))).where(fits).select("slot", *columns))
-    if plain := [w for w in present if 0 < w < TEXT]:
-        parts.append(in_slots(stock, plain, F.lit("")))
-    if worded := [w for w in present if w >= TEXT]:
-        folder = f"{checkpoint_folder(units.sparkSession)}/grams-{uuid.uuid4().hex}"
-        texts.write_index(listings, folder)
-        found = stored(texts.matched_texts(listings, folder, kinds.select("q").where("q is not null")))
-        parts.append(in_slots(stock.join(found, "listing_id"), worded, F.col("q")))
+    if slots.count() <= FEW:
+        parts = [in_slots(present, F.broadcast(slots))]
+    else:
+        parts = [in_slots(some, slots)] if (some := [w for w in present if w > 0]) else []
+        if 0 in present:  # nothing must be equal: a slot for each number of bathrooms, of which there are as many as units have
+            parts.append(stock.crossJoin(F.broadcast(slots.where("way = 0").select("slot", "least"))).where(fits).select("slot", *columns))
     cells = reduce(DataFrame.union, parts).groupBy("slot", "listing_id", "at").agg(F.first("total").alias("total"))
     # places from 1 on: 0 stands before the first
     pairs = cells.withColumn("before", F.coalesce(F.lag("at").over(W.partitionBy("slot", "listing_id").orderBy("at")) + 1, F.lit(0).cast("long")))

@@ -139,3 +139,20 @@ def test_hits_of_requests_are_numbers_and_totals_need_no_window(spark, tables):
         patch.setattr(search, "stored", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or stored(df))
         search.requests_matched(spark.createDataFrame(list(random_requests(random.Random(3), 20)), ASKED), *tables)
     assert not any("Window" in p for p in plans) and "Aggregate [kind" in plans[-1]
+
+
+def test_many_slots_equal_brute_force(spark, stock, tables, monkeypatch):
+    """More slots than are broadcast meet the units in a join of equals, those that ask for nothing equal apart."""
+    monkeypatch.setattr(rq, "FEW", 0)
+    asked = list(random_requests(random.Random(12), 120))
+    got = rq.requests_counted(spark.createDataFrame(asked, ASKED), *tables).collect()
+    assert {r["request_id"]: (r["n_listings"], r["n_units"]) for r in got} == {r[0]: brute(stock, r) for r in asked}
+
+
+def test_units_are_placed_once_for_all_ways_to_ask(spark, tables):
+    """Units are read for their totals and for their places, not again for each kind of request."""
+    plans, stored = [], rq.stored
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(rq, "stored", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or stored(df))
+        rq.requests_counted(spark.createDataFrame(list(random_requests(random.Random(2), 60)), ASKED), *tables)
+    assert sum("InMemoryRelation" in line and "unit_seq#" in line for line in plans[-1].splitlines()) == 2
