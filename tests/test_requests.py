@@ -156,3 +156,16 @@ def test_units_are_placed_once_for_all_ways_to_ask(spark, tables):
         patch.setattr(rq, "stored", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or stored(df))
         rq.requests_counted(spark.createDataFrame(list(random_requests(random.Random(2), 60)), ASKED), *tables)
     assert sum("InMemoryRelation" in line and "unit_seq#" in line for line in plans[-1].splitlines()) == 2
+
+
+@pytest.mark.parametrize("block, n", [(1024, 0), (1024, 1), (3, 9), (4, 50), (1024, 50)])
+def test_places_are_found_by_compiled_steps(spark, block, n, monkeypatch):
+    """A search of bounds is made of projections; a function of arrays would be interpreted for each unit."""
+    monkeypatch.setattr(rq, "BLOCK", block)
+    values, nan = [float(k) for k in range(0, 2 * n, 2)], float("nan")
+    bounds = rq.Bounds(spark.createDataFrame([(v, None) for v in values], "min_price double, max_price double"))
+    prices = [None, nan, -1.0, *[k / 2 for k in range(4 * n + 4)]]
+    placed = bounds.placed(spark.createDataFrame([(p,) for p in prices], "price double"))
+    place = lambda p: 2 * n + 1 if p is None else 2 * sum(p != p or v < p for v in values) + (p in values)
+    assert sorted(map(repr, map(tuple, placed.collect()))) == sorted(repr((p, place(p))) for p in prices)
+    assert "lambda" not in placed._jdf.queryExecution().optimizedPlan().toString()
