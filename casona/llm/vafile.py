@@ -1,13 +1,15 @@
 """Exact top-k inner products with a vector-approximation file.
 
 The file is a stored table with a byte for each component of a vector: the cell
-in which it lies, of 32 cells between the component's least and greatest value.  Queries
-meet the cells alone, in pairs of blocks, and each score is bounded from both
-sides; a row is dropped where enough others are certain to be better.  Exact
-vectors are then read in the order of the bounds: first those of the best k
-upper bounds of each query, then only those whose upper bound reaches the k-th
-exact score so far, after which the result is certain.  Where both bounds of a
-score are the same, as with cells that are one number wide, nothing is read.
+in which it lies, of 32 cells between the component's least and greatest value.  Beside
+it lie the exact components, in the smallest kind of whole number that holds them.
+Queries meet the cells in pairs of blocks, and each score is bounded from both
+sides.  Exact vectors of the block are then read in the order of the bounds: first those
+of the best upper bounds of each query, then only those whose upper bound reaches
+the least exact score of these, after which the best of the block are certain.  Where
+both bounds of a score are the same, as with cells that are one number wide,
+nothing is read.  Of each pair of blocks only the best of each query come out, so
+that neither a task nor a table holds more, however little the bounds tell apart.
 
 Of rows with one and the same vector the first ``k + 1`` by id can be among the
 results and the others can't, so that only these are candidates, and a very
@@ -26,15 +28,15 @@ from pyspark.sql import functions as F
 
 from casona.llm.shared import stored
 
-#: Vectors and queries of a block, on average.
-BLOCK, QUERY_BLOCK = 65_536, 4_096
+#: Vectors and queries of a block, on average; fewer of more than so many components, and fewer queries with more than so many results.
+BLOCK, QUERY_BLOCK, USUAL = 65_536, 4_096, 64
 #: Bits of a cell.
 BITS = 5
 #: Scores that are bounded at once.
 AT_ONCE = 1 << 22
 #: Scores must be below this to be whole numbers of 64 bits.
 LARGEST = 2**63
-BOUNDS = "query long, query_id long, row long, id long, lower long, upper long"
+FOUND = "query long, query_id long, row long, id long, score long, read long"
 
 
 def whole_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int, is_query: Column) -> DataFrame:
@@ -54,11 +56,22 @@ class Cells:
 
     low: np.ndarray
     width: np.ndarray
+    high: np.ndarray
 
     @staticmethod
     def over(least: list[float], most: list[float], bits: int = BITS) -> Cells:
-        low = np.array(least, np.int64)
-        return Cells(low, (np.array(most, np.int64) - low) // (1 << bits) + 1)
+        low, high = np.array(least, np.int64), np.array(most, np.int64)
+        return Cells(low, (high - low) // (1 << bits) + 1, high)
+
+    @property
+    def largest(self) -> int:
+        """No component is farther from 0."""
+        return max(int(np.abs(self.low).max(initial=0)), int(np.abs(self.high).max(initial=0)))
+
+    @property
+    def kind(self) -> type:
+        """The smallest kind of whole number that holds all components."""
+        return next(kind for kind in (np.int8, np.int16, np.int32, np.int64) if self.largest <= np.iinfo(kind).max)
 
     def of(self, exact: np.ndarray) -> np.ndarray:
         return ((exact.astype(np.int64) - self.low) // self.width).astype(np.uint8)
@@ -75,13 +88,12 @@ class Cells:
             low, width = self.low, self.width
         base, room, weights = queries @ low, width - 1, queries * width
         largest = 256 * int(np.abs(weights).sum(axis=1).max(initial=0))
-        kind = object if weights.dtype == object else np.float32 if largest < 1 << 24 else np.float64 if largest < 1 << 53 else np.int64
-        return weights.astype(kind), base + np.minimum(queries, 0) @ room, base + np.maximum(queries, 0) @ room
+        return weights.astype(object if weights.dtype == object else summed_in(largest)), base + np.minimum(queries, 0) @ room, base + np.maximum(queries, 0) @ room
 
 
-def whole(sums: np.ndarray) -> np.ndarray:
-    """Bounds as numbers of 64 bits; one beyond them holds as well at their end."""
-    return np.clip(sums, -LARGEST, LARGEST - 1).astype(np.int64) if sums.dtype == object else sums.astype(np.int64)
+def summed_in(largest: int) -> type:
+    """A kind of number in which whole numbers up to ``largest`` are exact, the fastest."""
+    return np.float32 if largest < 1 << 24 else np.float64 if largest < 1 << 53 else np.int64
 
 
 def matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -89,9 +101,9 @@ def matrix(column: pa.ChunkedArray) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1 if len(flat.flatten()) else 0)
 
 
-def byte_matrix(column: pa.ChunkedArray) -> np.ndarray:
+def byte_matrix(column: pa.ChunkedArray, kind: type) -> np.ndarray:
     joined = b"".join(column.to_pylist())
-    return np.frombuffer(joined, np.uint8).reshape(len(column), -1 if joined else 0)
+    return np.frombuffer(joined, kind).reshape(len(column), -1 if joined else 0)
 
 
 def extremes(vectors: DataFrame) -> dict[int, Cells]:
@@ -108,72 +120,92 @@ def extremes(vectors: DataFrame) -> dict[int, Cells]:
 
 
 def approximations(vectors: DataFrame, cells: dict[int, Cells]) -> DataFrame:
-    """The vector-approximation file ``(row, id, dim, cells)``."""
+    """The vector-approximation file ``(row, id, dim, cells, exact)``."""
 
     def run(batches):
         for batch in batches:
-            out = [b""] * batch.num_rows
+            out, exact = [b""] * batch.num_rows, [b""] * batch.num_rows
             dims = batch.column(2).to_numpy()
             for dim in np.unique(dims).tolist():
                 at = np.flatnonzero(dims == dim)
                 if dim:
-                    found = cells[dim].of(matrix(pa.chunked_array([batch.column(3).take(pa.array(at))])))
-                    for k, row in zip(at.tolist(), found, strict=True):
-                        out[k] = row.tobytes()
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.binary())], names=["row", "id", "dim", "cells"])
+                    numbers = matrix(pa.chunked_array([batch.column(3).take(pa.array(at))]))
+                    for k, row, own in zip(at.tolist(), cells[dim].of(numbers), numbers.astype(cells[dim].kind), strict=True):
+                        out[k], exact[k] = row.tobytes(), own.tobytes()
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.binary()), pa.array(exact, pa.binary())], names=["row", "id", "dim", "cells", "exact"])
 
-    return vectors.select("row", "id", "dim", "v").mapInArrow(run, "row long, id long, dim int, cells binary")
+    return vectors.select("row", "id", "dim", "v").mapInArrow(run, "row long, id long, dim int, cells binary, exact binary")
 
 
-def survivors(lower: np.ndarray, upper: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
-    """Places that may be among the ``k`` best (ties go to the smaller id, then row): no ``k`` others are certain to be better."""
-    if len(lower) <= k:
-        return np.arange(len(lower))
-    kth = np.partition(lower, len(lower) - k)[len(lower) - k]
-    sure = np.flatnonzero(lower > kth)
-    equal = np.flatnonzero(lower == kth)
-    last = equal[np.lexsort((rows[equal], ids[equal]))[k - len(sure) - 1]]
-    tied = (upper == kth) & ((ids < ids[last]) | (ids == ids[last]) & (rows <= rows[last]))
-    return np.flatnonzero((upper > kth) | tied)
+def reached_by(sums: np.ndarray, most: int) -> np.ndarray:
+    """For each row of ``sums`` a number that ``most`` of its elements or some more reach: the ``most``-th of the maxima of pieces; with fewer elements, the least."""
+    n = sums.shape[1]
+    if n <= most:
+        return sums.min(axis=1)
+    width = max(1, n // (8 * most))
+    pieces = n // width
+    maxima = sums[:, : pieces * width].reshape(len(sums), pieces, width).max(axis=2)
+    return np.partition(maxima, pieces - most, axis=1)[:, pieces - most]
 
 
-def bounded(queries: DataFrame, file: DataFrame, cells: dict[int, Cells], k: int, blocks: int, query_blocks: int) -> DataFrame:
-    """``BOUNDS``: for each query the rows of each block of the file that may be among its ``k`` best, with both bounds of the score."""
+def certain(total: np.ndarray, low: int, high: int, reached: int, exact: np.ndarray, query: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Of a query and a block: places of its ``most`` best vectors (ties go to the smaller place), their scores, and how many exact vectors were read.
+
+    A score is ``total + low`` at least and ``total + high`` at most; ``most``
+    totals reach ``reached``, unless there are fewer.
+    """
+    score = lambda at: (exact[at].astype(query.dtype) @ query).astype(np.int64)
+    first = np.flatnonzero(total >= reached)
+    first = first[np.argsort(-total[first], kind="stable")[:most]]
+    if low == high:
+        sums = total[first]
+        return first, ((sums if sums.dtype == object else sums.astype(np.int64)) + low).astype(np.int64), 0
+    scores = score(first)
+    open_ones = total >= int(scores.min()) - int(high)
+    open_ones[first] = False
+    rest = np.flatnonzero(open_ones)
+    at, scores = np.concatenate([first, rest]), np.concatenate([scores, score(rest)])
+    best = np.lexsort((at, -scores))[:most]
+    return at[best], scores[best], len(at)
+
+
+def best_of_blocks(queries: DataFrame, file: DataFrame, cells: dict[int, Cells], most: int, blocks: int, query_blocks: int) -> DataFrame:
+    """``FOUND``: for each query the ``most`` best rows of each block of the file, but its own; ``read``: how many exact vectors that took, on one of these rows."""
     own = lambda n, c: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     key = ["g", "h", "dim"]
     left = queries.select("query", "query_id", "v", "dim", own(query_blocks, "query").alias("h"), all_of(blocks).alias("g"))
-    right = file.select("row", "id", "cells", "dim", own(blocks, "row").alias("g"), all_of(query_blocks).alias("h"))
+    right = file.select("row", "id", "cells", "exact", "dim", own(blocks, "row").alias("g"), all_of(query_blocks).alias("h"))
 
     def run(asked: pa.Table, candidates: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, ...]] = []
         if asked.num_rows and candidates.num_rows:
             asks, names, q = asked.column("query").to_numpy(), asked.column("query_id").to_numpy(), matrix(asked.column("v")).astype(np.int64)
-            rows, ids, bytes_of = candidates.column("row").to_numpy(), candidates.column("id").to_numpy(), byte_matrix(candidates.column("cells"))
-            weights, low, high = cells[q.shape[1]].bounds(q) if q.shape[1] else (q, np.zeros(len(q), np.int64), np.zeros(len(q), np.int64))
+            rows, ids = candidates.column("row").to_numpy(), candidates.column("id").to_numpy()
+            order = np.lexsort((rows, ids))  # so that places settle ties
+            rows, ids, dim = rows[order], ids[order], q.shape[1]
+            own_cells = cells[dim] if dim else Cells.over([], [])
+            scan, exact = (byte_matrix(candidates.column(c), kind)[order] for c, kind in (("cells", np.uint8), ("exact", own_cells.kind)))
+            weights, low, high = own_cells.bounds(q)
+            scan, numbers = scan.T.astype(weights.dtype), q.astype(summed_in(own_cells.largest**2 * dim))
             step = max(1, AT_ONCE // len(rows))
-            scan = bytes_of.T.astype(weights.dtype)
-            for at in range(0, len(q), step):
-                sums = weights[at : at + step] @ scan
-                for i, total in enumerate(sums if sums.dtype == object else sums.astype(np.int64), at):
-                    lower, upper = whole(total + low[i]), whole(total + high[i])
-                    keep = survivors(lower, upper, ids, rows, k)
-                    keep = keep[rows[keep] != asks[i]]
-                    out.append((np.full(len(keep), asks[i]), np.full(len(keep), names[i]), rows[keep], ids[keep], lower[keep], upper[keep]))
+            for first in range(0, len(q), step):
+                sums = weights[first : first + step] @ scan
+                for i, (total, reached) in enumerate(zip(sums, reached_by(sums, most), strict=True), first):
+                    at, scores, read = certain(total, low[i], high[i], reached, exact, numbers[i], most)
+                    other = rows[at] != asks[i]
+                    at, scores, reads = at[other], scores[other], np.zeros(other.sum(), np.int64)
+                    reads[:1] = read
+                    out.append((np.full(len(at), asks[i]), np.full(len(at), names[i]), rows[at], ids[at], scores, reads))
         columns = [np.concatenate([x[j] for x in out]) if out else np.zeros(0, np.int64) for j in range(6)]
-        return pa.table(columns, names=["query", "query_id", "row", "id", "lower", "upper"])
+        return pa.table(columns, names=["query", "query_id", "row", "id", "score", "read"])
 
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(run, BOUNDS)
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(run, FOUND)
 
 
-def scored(pairs: DataFrame, queries: DataFrame, vectors: DataFrame, open_ones: bool) -> DataFrame:
-    """``(query, query_id, row, id, score, read)`` of pairs with bounds; the vectors of those whose bounds differ are joined, and no others, if there are ``open_ones``."""
-    sure = pairs.where("lower = upper").select("query", "query_id", "row", "id", F.col("lower").alias("score"), F.lit(0).alias("read"))
-    if not open_ones:
-        return sure
-    product = F.aggregate(F.zip_with("q", "v", lambda a, b: a.cast("long") * b), F.lit(0).cast("long"), lambda s, x: s + x)
-    read = pairs.where("lower < upper").select("query", "query_id", "row", "id").join(vectors.select("row", "v"), "row").join(queries.select("query", F.col("v").alias("q")), "query")
-    return sure.union(read.select("query", "query_id", "row", "id", product.alias("score"), F.lit(1).alias("read")))
+def parts(rows: DataFrame, block: int, results: int = 0) -> int:
+    """Blocks of ``rows``, so many that those of no length are more than ``block`` of the usual number of components and of results."""
+    return max((-(-r["count"] * max(USUAL, r["dim"], results) // (block * USUAL)) for r in rows.groupBy("dim").count().collect()), default=1)  # a row for each length
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64, counted: list[int] | None = None) -> DataFrame:
@@ -194,21 +226,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
     rows = rows.withColumn("v", F.col("v").cast("array<int>" if small else "array<bigint>"))
     # the first k + 1 of equal vectors; the window's limit acts before the shuffle too
     firsts = rows.withColumn("nth", F.row_number().over(W.partitionBy("v").orderBy("id", "row"))).where(F.col("nth") <= k + 1).drop("nth", "asks")
-    every = stored(firsts)
-    file = stored(approximations(every, cells))
+    file = stored(approximations(firsts, cells))
     asked = rows.where("asks").select(F.col("row").alias("query"), F.col("id").alias("query_id"), "v", "dim")
-    blocks, query_blocks = max(1, -(-every.count() // BLOCK)), max(1, -(-asked.count() // QUERY_BLOCK))
-    bounds = stored(bounded(asked, file, cells, k + 1, blocks, query_blocks))
-    open_ones = not bounds.where("lower < upper").isEmpty()
-    order = W.partitionBy("query").orderBy(F.desc("upper"), "id", "row")
-    if open_ones:
-        placed = stored(bounds.withColumn("ahead", F.row_number().over(order) <= k))
-        first = stored(scored(placed.where("ahead"), asked, every, True))
-        reached = first.groupBy("query").agg(F.min("score").alias("reached"))
-        rest = placed.where("not ahead").join(reached, "query").where(F.col("upper") >= F.col("reached"))
-        found = stored(first.union(scored(rest, asked, every, True)))
-    else:
-        found = scored(bounds, asked, every, False)
+    found = stored(best_of_blocks(asked, file, cells, k + 1, parts(file, BLOCK), parts(asked, QUERY_BLOCK, min(k + 1, BLOCK))))
     if counted is not None:
         counted.append(found.agg(F.sum("read")).first()[0] or 0)
     by_score = W.partitionBy("query").orderBy(F.desc("score"), "id", "row")

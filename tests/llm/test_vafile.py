@@ -83,6 +83,30 @@ def test_few_exact_vectors_are_read(spark, small):
     assert read[1] == 0
 
 
+def test_no_table_outgrows_vectors_and_results(spark, monkeypatch):
+    """Where two far vectors leave the others in one cell and the bounds tell nothing apart, what is stored are vectors and the best of each query and block."""
+    counts, store = [], vafile.stored
+    monkeypatch.setattr(vafile, "stored", lambda df: counts.append((out := store(df)).count()) or out)
+    monkeypatch.setattr(vafile, "BLOCK", 150)
+    monkeypatch.setattr(vafile, "QUERY_BLOCK", 30)
+    rng = np.random.default_rng(3)
+    rows = [(k, v.tolist()) for k, v in enumerate(rng.normal(0, 1, (600, 4)))] + [(601, [1e4] * 4), (602, [-1e4] * 4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert got(vafile.top_k(df, F.col("vec_id") % 5 == 0, 3)) == slow(rows, 3, 5)
+    assert max(counts) <= 120 * 5 * 4 + 602
+
+
+def test_more_results_than_vectors(spark):
+    rows = [(k, [k / 7, 1 - k / 9]) for k in range(30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert got(vafile.top_k(df, F.col("vec_id") % 10 == 0, 10**9)) == slow(rows, 10**9, 10)
+
+
+def test_blocks_of_long_vectors_and_of_many_results_are_small(spark):
+    rows = spark.createDataFrame([(64,)] * 100 + [(640,)] * 50, "dim int")
+    assert [vafile.parts(rows, 10), vafile.parts(rows, 10, 6400), vafile.parts(rows.where("dim = 64"), 100), vafile.parts(rows.where("false"), 10)] == [50, 1000, 1, 1]
+
+
 def test_query(same_as_sql):
     same_as_sql(queries.op10_exact_top_k, vafile.TOP_K_SQL)
 
